@@ -20,15 +20,17 @@ percentiles with linear interpolation between the two closest ranks, equal to
    ``exact_rows`` per target) and reads the value at the rank directly.
 
 Target tables (at most four rows per group) are joined to the rows by the
-group keys; they are broadcast only below ``broadcast_rows``.  Each round's
-state is checkpointed to the session's ``spark.checkpoint.dir`` so lineage
-stays short and survives executor loss.
+group keys; they are broadcast only below ``broadcast_rows``.  The histogram
+and the targets are small and reused, so they are persisted (a lost block is
+recomputed from lineage); each refinement round is checkpointed to the
+session's ``spark.checkpoint.dir`` so an iterative lineage stays short.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,6 +69,15 @@ def bucket_key(v: Column, bits: int = 8) -> Column:
     )
 
 
+def _sizes(state: DataFrame, is_big: Column) -> tuple[int, int]:
+    """(targets still too big, targets not yet single-valued) in one action."""
+    r = state.agg(
+        F.count(F.when(is_big, 1)).alias("big"),
+        F.count(F.when(F.col("lo") < F.col("hi"), 1)).alias("pending"),
+    ).first()
+    return int(r["big"]), int(r["pending"])
+
+
 def _maybe_broadcast(df: DataFrame, n_rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if n_rows <= limit else df
 
@@ -127,14 +138,20 @@ def grouped_summary(
             F.min("_v").alias("lo"),
             F.max("_v").alias("hi"),
         )
-        .checkpoint(eager=True)
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
 
+    # One window pass over the (bounded) histogram of each group gives the
+    # group's count, mean and running count; the second moment follows from
+    # the same partitioning without another exchange.
     wg = Window.partitionBy(*keys)
-    per = hist.withColumn("_n", F.sum("c").over(wg)).withColumn("_s", F.sum("s").over(wg))
-    per = per.withColumn(
-        "_mean", F.when(F.col("_n") > 0, F.col("_s") / F.col("_n").cast("double"))
+    wb = wg.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per = (
+        hist.withColumn("_n", F.sum("c").over(wg))
+        .withColumn("_s", F.sum("s").over(wg))
+        .withColumn("_before", F.coalesce(F.sum("c").over(wb), F.lit(0)))
     )
+    per = per.withColumn("_mean", F.when(F.col("_n") > 0, F.col("_s") / F.col("_n").cast("double")))
     per = per.withColumn(
         "_dev",
         F.when(
@@ -149,31 +166,27 @@ def grouped_summary(
         F.sum("_dev").alias("_m2"),
     )
 
-    # Ranks (0-based) needed by every probability: floor and ceil of p*(n-1).
+    # Ranks (0-based) needed by every probability: floor and ceil of p*(n-1);
+    # each bucket emits the ranks that fall inside it (no join needed).
     pos_cols = [(F.col("_n") - 1).cast("double") * F.lit(float(p)) for p in probs]
     rank_arr = F.array_distinct(
         F.array(*[F.floor(c) for c in pos_cols], *[F.ceil(c) for c in pos_cols])
     )
-    ranks = groups.filter(F.col("_n") > 0).select(*keys, F.explode(rank_arr).alias("k"))
-
-    # Choose, for each rank, the bucket that holds it.
-    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    cum = hist.filter(F.col("c") > 0).withColumn("_before", F.coalesce(F.sum("c").over(wb), F.lit(0)))
-    r = ranks.select(*[F.col(k).alias(f"_r_{k}") for k in keys], "k")
-    cond = reduce(lambda a, b: a & b, [cum[k].eqNullSafe(r[f"_r_{k}"]) for k in keys])
+    inside = F.filter(rank_arr, lambda k: (F.col("_before") <= k) & (k < F.col("_before") + F.col("c")))
     state = (
-        cum.join(r, cond & (cum["_before"] <= r["k"]) & (r["k"] < cum["_before"] + cum["c"]))
-        .select(*keys, "k", "lo", "hi", F.col("_before").alias("below"), F.col("c").alias("cnt"))
-        .checkpoint(eager=True)
+        per.filter(F.col("c") > 0)
+        .select(*keys, F.explode(inside).alias("k"), "lo", "hi", F.col("_before").alias("below"), F.col("c").alias("cnt"))
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
 
     # Refinement rounds for ranges that are still too big to resolve directly.
     nb = float(refine_buckets)
+    is_big = (F.col("lo") < F.col("hi")) & (F.col("cnt") > exact_rows)
     while True:
-        big = state.filter((F.col("lo") < F.col("hi")) & (F.col("cnt") > exact_rows))
-        n_big = big.count()
+        n_big, n_pending = _sizes(state, is_big)
         if n_big == 0:
             break
+        big = state.filter(is_big)
         j = _joined(base, big, keys, n_big, broadcast_rows)
         b = F.least(
             F.floor((F.col("_v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * nb),
@@ -192,26 +205,34 @@ def grouped_summary(
             F.col("_before").alias("below"),
             F.col("c").alias("cnt"),
         )
-        keep = state.filter(~((F.col("lo") < F.col("hi")) & (F.col("cnt") > exact_rows)))
+        keep = state.filter(~is_big)
+        # a refine round is rare; checkpoint it so the loop's lineage stays short
         state = keep.unionByName(new).checkpoint(eager=True)
 
-    # Final pass: distinct values inside each small range, value at the rank.
+    # Final pass: each pending range holds at most ``exact_rows`` values, so
+    # they are gathered per target, sorted, and the value at the rank read.
     pending = state.filter(F.col("lo") < F.col("hi"))
-    n_pending = pending.count()
     resolved = state.filter(F.col("lo") == F.col("hi")).select(*keys, "k", F.col("lo").alias("val"))
     if n_pending:
         j = _joined(base, pending, keys, n_pending, broadcast_rows)
-        d = j.groupBy(*keys, "k", "below", "_v").agg(F.count("_v").alias("c"))
-        wt = Window.partitionBy(*keys, "k").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-        d = d.withColumn("_before", F.col("below") + F.coalesce(F.sum("c").over(wt), F.lit(0)))
-        picked = d.filter(
-            (F.col("_before") <= F.col("k")) & (F.col("k") < F.col("_before") + F.col("c"))
-        ).select(*keys, "k", F.col("_v").alias("val"))
+        picked = j.groupBy(*keys, "k", "below").agg(F.sort_array(F.collect_list("_v")).alias("_vs"))
+        picked = picked.select(
+            *keys, "k", F.element_at(F.col("_vs"), (F.col("k") - F.col("below") + 1).cast("int")).alias("val")
+        )
         resolved = resolved.unionByName(picked)
-    resolved = resolved.checkpoint(eager=True)
 
-    vals = resolved.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("k", "val"))).alias("_m"))
-    out = groups.join(vals, keys, "left")
+    # Group measures and rank values meet in one aggregation (no join).
+    null_d = F.lit(None).cast("double")
+    null_l = F.lit(None).cast("long")
+    both = groups.select(*keys, "_n", "_mean", "_m2", null_l.alias("k"), null_d.alias("val")).unionByName(
+        resolved.select(*keys, null_l.alias("_n"), null_d.alias("_mean"), null_d.alias("_m2"), F.col("k").cast("long").alias("k"), "val")
+    )
+    out = both.groupBy(*keys).agg(
+        F.max("_n").alias("_n"),
+        F.max("_mean").alias("_mean"),
+        F.max("_m2").alias("_m2"),
+        F.map_from_entries(F.collect_list(F.when(F.col("k").isNotNull(), F.struct("k", "val")))).alias("_m"),
+    )
 
     cols = [F.col(k) for k in keys]
     cols.append(F.col("_mean").alias(out_mean))
