@@ -17,7 +17,7 @@ from rastercube.schema import ARCHIVE_LISTING
 
 # Native-resolution band file pattern (strict) and the looser
 # fall-back rule (contains ``_<band>_`` and ends with ``.jp2``).
-STRICT_BAND = r"^.*IMG_DATA/R10m/.*_{band}_10m\.jp2$"
+STRICT_BAND = r"^.*IMG_DATA/R10m/.*_{band}_10m\{ext}$"
 LOOSE_SUFFIX = ".jp2"
 
 
@@ -68,7 +68,7 @@ def archive_completeness(listing: DataFrame) -> DataFrame:
     ).withColumn("complete", F.col("readable") & (F.col("n_members") > 0))
 
 
-def resolve_bands(listing: DataFrame, bands: list[str], on_missing: str = "error") -> DataFrame:
+def resolve_bands(listing: DataFrame, bands: list[str], on_missing: str = "error", ext: str = LOOSE_SUFFIX) -> DataFrame:
     """``(archive, band, member)``: the first strict match in listing order
     (ties on the ordinal broken by member name),
     else the first loose match; none -> error (or NULL with
@@ -79,8 +79,8 @@ def resolve_bands(listing: DataFrame, bands: list[str], on_missing: str = "error
     loose = F.lit(False)
     for b in bands:
         is_b = F.col("band") == b
-        strict = strict | (is_b & F.col("member").rlike(STRICT_BAND.format(band=b)))
-        loose = loose | (is_b & F.col("member").contains(f"_{b}_") & F.col("member").endswith(LOOSE_SUFFIX))
+        strict = strict | (is_b & F.col("member").rlike(STRICT_BAND.format(band=b, ext=ext)))
+        loose = loose | (is_b & F.col("member").contains(f"_{b}_") & F.col("member").endswith(ext))
     prio = F.when(strict, 0).when(loose, 1)
     cand = lst.withColumn("prio", prio).filter(F.col("prio").isNotNull())
     found = cand.groupBy("archive", "band").agg(
