@@ -146,19 +146,18 @@ def grouped_summary(
     # the same partitioning without another exchange.
     wg = Window.partitionBy(*keys)
     wb = wg.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    per = (
-        hist.withColumn("_n", F.sum("c").over(wg))
-        .withColumn("_s", F.sum("s").over(wg))
-        .withColumn("_before", F.coalesce(F.sum("c").over(wb), F.lit(0)))
-    )
-    per = per.withColumn("_mean", F.when(F.col("_n") > 0, F.col("_s") / F.col("_n").cast("double")))
-    per = per.withColumn(
-        "_dev",
-        F.when(
-            F.col("c") > 0,
-            F.coalesce(F.col("m2"), F.lit(0.0))
-            + F.col("c") * F.pow(F.col("s") / F.col("c").cast("double") - F.col("_mean"), 2),
-        ).otherwise(F.lit(0.0)),
+    n_g = F.sum("c").over(wg)
+    mean_g = F.when(n_g > 0, F.sum("s").over(wg) / n_g.cast("double"))
+    dev = F.when(
+        F.col("c") > 0,
+        F.coalesce(F.col("m2"), F.lit(0.0)) + F.col("c") * F.pow(F.col("s") / F.col("c").cast("double") - mean_g, 2),
+    ).otherwise(F.lit(0.0))
+    per = hist.select(
+        *keys, "c", "lo", "hi",
+        n_g.alias("_n"),
+        mean_g.alias("_mean"),
+        dev.alias("_dev"),
+        F.coalesce(F.sum("c").over(wb), F.lit(0)).alias("_before"),
     )
     groups = per.groupBy(*keys).agg(
         F.first("_n").alias("_n"),

@@ -10,8 +10,8 @@ many-to-many range join; three plans give the same rows:
             their cell (broadcast below a checked size, else a shuffled join
             that AQE can split when one cell is hot) with the range test kept
             as a residual -- for many zones
-``union``   one filtered aggregation per zone, unioned (the reference's plan,
-            kept as a cross-check)
+``union``   one filtered scan per zone, unioned, then one aggregation (the
+            reference's per-zone filters, kept as a cross-check)
 """
 
 from __future__ import annotations
@@ -181,17 +181,18 @@ def assign_zones(
 def zone_stats(obs: DataFrame, boxes: DataFrame, strategy: str = "inline", method: str = "exact", **kw) -> DataFrame:
     """Five measures per (zone, date), ordered; zones with no pixel give no row."""
     if strategy == "union":
+        # one filtered scan per zone (literal box -> pushed into the scan),
+        # unioned, then a single grouped aggregation
         rows = _collect_boxes(boxes, kw.pop("max_inline", MAX_INLINE_ZONES))
+        if not rows:
+            return five_measures(obs.limit(0).withColumn("zone", F.lit(None).cast("string")), ["zone", "date"], method=method)
         frames = [
-            five_measures(
-                bbox_filter(obs.select("date", "row", "col", "ndvi"), r.row_min, r.row_max, r.col_min, r.col_max)
-                .withColumn("zone", F.lit(r.zone).cast("string")),
-                ["zone", "date"],
-                method=method,
-            )
+            bbox_filter(obs.select("date", "row", "col", "ndvi"), r.row_min, r.row_max, r.col_min, r.col_max)
+            .withColumn("zone", F.lit(r.zone).cast("string"))
             for r in rows
         ]
-        return reduce(lambda a, b: a.unionByName(b), frames).orderBy("zone", "date")
+        tagged = reduce(lambda a, b: a.unionByName(b), frames)
+        return five_measures(tagged, ["zone", "date"], method=method).orderBy("zone", "date")
     tagged = assign_zones(obs.select("date", "row", "col", "ndvi"), boxes, strategy, **kw)
     return five_measures(tagged, ["zone", "date"], method=method).orderBy("zone", "date")
 
