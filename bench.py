@@ -72,7 +72,7 @@ def main() -> None:
     timed("zone_bounds", lambda: sink(zones.zone_pixel_bounds(td.customer_zones(spark, sf_dir))))
     timed("cube_block_mean", lambda: sink(grid.block_means(obs, 20)))
     timed("cube_dense", lambda: sink(grid.dense_cube(grid.block_means(obs, 20))))
-    timed("cube_series", lambda: sink(grid.cube_series(grid.dense_cube(grid.block_means(obs, 20)))))
+    timed("cube_series", lambda: sink(grid.series_from_means(grid.block_means(obs, 20))))
     timed("block_resample", lambda: sink(grid.block_resample(td.raster(spark, sf_dir), 3, ["label"])))
     timed(
         "select_acquisitions",

@@ -2,10 +2,9 @@
 
 The cube is never assembled on one machine.  Its long form is a DataFrame
 ``(t, date, row_ds, col_ds, value)`` covering every lattice cell (missing =
-NULL); the lattice is generated by ``spark.range`` over ``rows*cols*dates``
-with the indices derived arithmetically (no cross join), and joined to the
-block means on the cell key.  The vector form gathers each cell's values
-over time into one array (bounded by the number of dates).
+NULL), generated strip by strip (no cross join, and the full volume is never
+shuffled).  The vector form gathers each cell's values over time into one
+array (bounded by the number of dates).
 """
 
 from __future__ import annotations
@@ -66,25 +65,36 @@ def with_time_index(means: DataFrame, dates: DataFrame | None = None) -> DataFra
 
 
 def dense_cube(means: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Every (t, row_ds, col_ds) cell of the lattice; value FLOAT, NULL = missing."""
+    """Every (t, row_ds, col_ds) cell of the lattice; value FLOAT, NULL = missing.
+
+    Block means are gathered per (date, row strip) into a ``col -> value``
+    map (bounded by the grid width); a ``dates x rows`` lattice from
+    ``spark.range`` supplies strips without any data.  The dense rows are
+    generated by exploding each strip after the last shuffle, so the full
+    ``rows x cols x dates`` volume is never shuffled or joined.
+    """
     spark = means.sparkSession
     ext = cube_extent(means).first()
     if ext is None or ext.n_rows is None:
         return spark.createDataFrame([], "t int, date string, row_ds int, col_ds int, value float")
     n_rows, n_cols = int(ext.n_rows), int(ext.n_cols)
-    dates = time_axis(means)
-    d, n_dates = _checked_dates(dates)
-    total = n_rows * n_cols * n_dates
-    parts = partitions or max(1, min(total // 1_000_000 + 1, 100_000))
-    per_plane = n_rows * n_cols
+    d, n_dates = _checked_dates(time_axis(means))
+    strips = (
+        means.join(d, "date")
+        .groupBy("t", "row_ds")
+        .agg(F.map_from_entries(F.collect_list(F.struct("col_ds", F.col("ndvi_mean").cast("float")))).alias("_m"))
+    )
+    total = n_dates * n_rows
+    parts = partitions or max(1, min(total * n_cols // 1_000_000 + 1, 100_000))
     lattice = spark.range(0, total, 1, parts).select(
-        (F.col("id") / F.lit(per_plane)).cast("int").alias("t"),
-        ((F.col("id") % F.lit(per_plane)) / F.lit(n_cols)).cast("int").alias("row_ds"),
-        (F.col("id") % F.lit(n_cols)).cast("int").alias("col_ds"),
+        (F.col("id") / F.lit(n_rows)).cast("int").alias("t"),
+        (F.col("id") % F.lit(n_rows)).cast("int").alias("row_ds"),
+    )
+    dense = lattice.join(strips, ["t", "row_ds"], "left").join(d, "t")
+    cells = F.transform(F.sequence(F.lit(0), F.lit(n_cols - 1)), lambda c: F.element_at(F.col("_m"), c))
+    return dense.select("t", "date", "row_ds", F.posexplode(cells).alias("col_ds", "value")).select(
+        "t", "date", "row_ds", F.col("col_ds").cast("int").alias("col_ds"), "value"
     )
-    vals = means.join(d, "date").select("t", "row_ds", "col_ds", F.col("ndvi_mean").cast("float").alias("value"))
-    cube = lattice.join(vals, ["t", "row_ds", "col_ds"], "left")
-    return cube.join(d, "t").select("t", "date", "row_ds", "col_ds", "value")
 
 
 def cube_slice(cube: DataFrame, t: int) -> DataFrame:
@@ -93,17 +103,47 @@ def cube_slice(cube: DataFrame, t: int) -> DataFrame:
 
 
 def cube_series(cube: DataFrame) -> DataFrame:
-    """Per cell, the values over time as ``ARRAY<FLOAT>`` indexed by ``t``.
-
-    Each group holds at most one value per date.
-    """
+    """Per cell of a (stored) dense cube, the values over time as
+    ``ARRAY<FLOAT>`` indexed by ``t``.  Each group holds one value per date."""
     n_dates = cube.agg(F.max("t")).first()[0]
     n_dates = 0 if n_dates is None else int(n_dates) + 1
     g = cube.groupBy("row_ds", "col_ds").agg(
         F.map_from_entries(F.collect_list(F.struct("t", "value"))).alias("_m")
     )
-    series = F.transform(F.sequence(F.lit(0), F.lit(n_dates - 1)), lambda i: F.element_at(F.col("_m"), i))
-    return g.select("row_ds", "col_ds", series.alias("series"))
+    return g.select("row_ds", "col_ds", _series_array("_m", n_dates).alias("series"))
+
+
+def _series_array(m: str, n_dates: int):
+    return F.transform(F.sequence(F.lit(0), F.lit(n_dates - 1)), lambda i: F.element_at(F.col(m), i))
+
+
+def series_from_means(means: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Vector form of the dense cube straight from the block means.
+
+    Cells with data gather their (t, value) pairs (at most one per date);
+    a ``rows x cols`` lattice -- the number of dates times smaller than the
+    dense cube -- supplies cells without any data as all-NULL series.
+    """
+    spark = means.sparkSession
+    ext = cube_extent(means).first()
+    if ext is None or ext.n_rows is None:
+        return spark.createDataFrame([], "row_ds int, col_ds int, series array<float>")
+    n_rows, n_cols = int(ext.n_rows), int(ext.n_cols)
+    d, n_dates = _checked_dates(time_axis(means))
+    present = (
+        means.join(d, "date")
+        .groupBy("row_ds", "col_ds")
+        .agg(F.map_from_entries(F.collect_list(F.struct("t", F.col("ndvi_mean").cast("float")))).alias("_m"))
+    )
+    total = n_rows * n_cols
+    parts = partitions or max(1, min(total // 1_000_000 + 1, 100_000))
+    lattice = spark.range(0, total, 1, parts).select(
+        (F.col("id") / F.lit(n_cols)).cast("int").alias("row_ds"),
+        (F.col("id") % F.lit(n_cols)).cast("int").alias("col_ds"),
+    )
+    return lattice.join(present, ["row_ds", "col_ds"], "left").select(
+        "row_ds", "col_ds", _series_array("_m", n_dates).alias("series")
+    )
 
 
 def cube_crop(cube: DataFrame, row_start: int, row_end: int, col_start: int, col_end: int) -> DataFrame:

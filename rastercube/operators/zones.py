@@ -158,14 +158,17 @@ def assign_zones(
             "*",
             F.explode(F.sequence(F.floor(F.col("col_min") / cell), F.floor(F.col("col_max") / cell))).alias("_cc"),
         )
-        n_cells = cells.count()
-        if n_cells <= max_broadcast_cells:
+        # one small action: the cell count (broadcast size check) and the
+        # envelope of all boxes (a literal filter the Parquet scan can use)
+        env = cells.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("row_min").alias("a"), F.max("row_max").alias("b"),
+            F.min("col_min").alias("c"), F.max("col_max").alias("d"),
+        ).first()
+        if env.n <= max_broadcast_cells:
             cells = F.broadcast(cells)
         o = obs.withColumn("_cr", F.floor(F.col("row") / cell)).withColumn("_cc", F.floor(F.col("col") / cell))
-        env = b.agg(
-            F.min("row_min").alias("a"), F.max("row_max").alias("b"), F.min("col_min").alias("c"), F.max("col_max").alias("d")
-        ).first()
-        if env is not None and env.a is not None:
+        if env.a is not None:
             o = o.filter(in_box(F.lit(env.a), F.lit(env.b), F.lit(env.c), F.lit(env.d)))
         j = o.join(
             cells,

@@ -157,7 +157,7 @@ def q_cube_slice(spark, d):
 
 
 def q_cube_series(spark, d):
-    return grid.cube_series(_dense(spark, d))
+    return grid.series_from_means(_means(spark, d))
 
 
 def q_cube_crop(spark, d):

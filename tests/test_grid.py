@@ -46,6 +46,10 @@ def test_dense_invariants_and_series(spark):
     assert cube.filter(F.col("value").isNotNull()).count() == means.count()
     series = grid.cube_series(cube)
     assert series.count() == ext.n_rows * ext.n_cols
+    direct = grid.series_from_means(means)
+    assert sorted((r.row_ds, r.col_ds, tuple(r.series)) for r in direct.collect()) == sorted(
+        (r.row_ds, r.col_ds, tuple(r.series)) for r in series.collect()
+    )
     back = series.select("row_ds", "col_ds", F.posexplode("series").alias("t", "value"))
     a = sorted((r.row_ds, r.col_ds, r.t, r.value) for r in back.collect())
     b = sorted((r.row_ds, r.col_ds, r.t, r.value) for r in cube.collect())
