@@ -79,3 +79,26 @@ def test_date_parts(spark):
     df = spark.createDataFrame([("2024-03-05T10:11:12.000Z",)], "start_iso string")
     r = cat.date_parts(df).first()
     assert (r.day, r.month, r.mmdd) == ("2024-03-05", 3, "03-05")
+
+
+def test_max_cloud_and_manifest_from_selection(spark, tmpdir_path):
+    import os
+
+    from rastercube.sources.manifest import read_manifest, write_manifest
+
+    rows = [
+        _product(f"p{i}", f"2024-{m:02d}-0{1 + i % 5}T10:00:00.000Z", [("productType", "S2MSI2A"), ("cloudCover", str(c))])
+        for i, (m, c) in enumerate([(1, 5.0), (1, 30.0), (2, 1.0), (3, 19.9), (3, 20.0), (7, 0.5), (12, 2.0)])
+    ]
+    df = spark.createDataFrame(rows, CATALOG_PRODUCT).withColumn("start", F.to_timestamp("ContentDate.Start"))
+    low = cat.catalog_filter(df, max_cloud=20.0)
+    assert sorted(r.Id for r in low.collect()) == ["p0", "p2", "p3", "p5", "p6"]
+    sel = cat.select_acquisitions(cat.flatten(df))
+    ids = [r.id for r in sel.collect()]
+    # months 1, 3, 7, 12 give one each; the rest is filled by lowest cloud
+    assert ids == ["p0", "p1", "p2", "p3", "p4", "p5", "p6"]
+    out = os.path.join(tmpdir_path, "manifest")
+    write_manifest(cat.manifest_rows(sel, "/data/raw/"), out)
+    back = read_manifest(spark, out, multi_line=False).orderBy("date").collect()
+    assert [r.id for r in back] == ids and back[0].path == "/data/raw/S2A_MSIL2A_T33TTG.zip"
+    assert back[0].date == "2024-01-01" and back[0].cloud_cover == 5.0
