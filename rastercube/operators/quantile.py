@@ -108,6 +108,8 @@ def grouped_summary(
     ``n`` counts non-missing values; mean/std/percentiles skip NULL (and NaN).
     ``std`` is the sample standard deviation (NULL for fewer than two values).
     Groups whose values are all missing appear with ``n = 0`` and NULLs.
+    The work runs when this is called (it is iterative); the small result
+    table comes back persisted.
     """
     names = dict(names or {})
     out_mean = names.get("mean", "mean")
@@ -178,6 +180,7 @@ def grouped_summary(
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
 
+    first_state = state
     # Refinement rounds for ranges that are still too big to resolve directly.
     nb = float(refine_buckets)
     is_big = (F.col("lo") < F.col("hi")) & (F.col("cnt") > exact_rows)
@@ -246,4 +249,9 @@ def grouped_summary(
         interp = (hi_k.cast("double") - pos) * lo_v + (pos - lo_k.cast("double")) * hi_v
         cols.append(F.when(F.col("_n") > 0, F.when(lo_k == hi_k, lo_v).otherwise(interp)).alias(name))
     cols.append(F.col("_n").cast("long").alias(out_n))
-    return out.select(*cols)
+    # The result has one row per group: keep it, release the intermediates.
+    result = out.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    result.count()
+    hist.unpersist()
+    first_state.unpersist()
+    return result
