@@ -52,8 +52,9 @@ def time_axis(df: DataFrame) -> DataFrame:
     return d.select("date", (F.dense_rank().over(Window.orderBy("date")) - 1).cast("int").alias("t"))
 
 
-def _checked_dates(dates: DataFrame, limit: int = MAX_BROADCAST_DATES) -> tuple[DataFrame, int]:
-    n = dates.count()
+def _checked_dates(dates: DataFrame, limit: int = MAX_BROADCAST_DATES, n: int | None = None) -> tuple[DataFrame, int]:
+    """Broadcast the dates axis only when its (counted) size is below ``limit``."""
+    n = dates.count() if n is None else n
     return (F.broadcast(dates) if n <= limit else dates), n
 
 
@@ -78,7 +79,7 @@ def dense_cube(means: DataFrame, partitions: int | None = None) -> DataFrame:
     if ext is None or ext.n_rows is None:
         return spark.createDataFrame([], "t int, date string, row_ds int, col_ds int, value float")
     n_rows, n_cols = int(ext.n_rows), int(ext.n_cols)
-    d, n_dates = _checked_dates(time_axis(means))
+    d, n_dates = _checked_dates(time_axis(means), n=int(ext.n_dates))
     strips = (
         means.join(d, "date")
         .groupBy("t", "row_ds")
@@ -129,7 +130,7 @@ def series_from_means(means: DataFrame, partitions: int | None = None) -> DataFr
     if ext is None or ext.n_rows is None:
         return spark.createDataFrame([], "row_ds int, col_ds int, series array<float>")
     n_rows, n_cols = int(ext.n_rows), int(ext.n_cols)
-    d, n_dates = _checked_dates(time_axis(means))
+    d, n_dates = _checked_dates(time_axis(means), n=int(ext.n_dates))
     present = (
         means.join(d, "date")
         .groupBy("row_ds", "col_ds")
