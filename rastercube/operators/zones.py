@@ -200,6 +200,33 @@ def zone_stats(obs: DataFrame, boxes: DataFrame, strategy: str = "inline", metho
     return five_measures(tagged, ["zone", "date"], method=method).orderBy("zone", "date")
 
 
+def date_and_zone_stats(
+    obs: DataFrame, boxes: DataFrame, method: str = "exact", max_inline: int = MAX_INLINE_ZONES
+) -> tuple[DataFrame, DataFrame]:
+    """Per-date and per-(zone, date) statistics from one shared set of scans.
+
+    Each pixel is tagged with a NULL "whole scene" key plus every zone that
+    contains it, and one grouped summary runs over ``(zone, date)``.  The
+    exact percentiles read the observations twice in total, instead of
+    twice per statistics table.
+    """
+    rows = _collect_boxes(boxes, max_inline)
+    tags = F.array_compact(
+        F.array(
+            *[
+                F.when(in_box(F.lit(r.row_min), F.lit(r.row_max), F.lit(r.col_min), F.lit(r.col_max)), F.lit(r.zone))
+                for r in rows
+            ]
+        )
+    ) if rows else F.array().cast("array<string>")
+    all_tags = F.concat(F.array(F.lit(None).cast("string")), tags)
+    tagged = obs.select("date", "row", "col", "ndvi").withColumn("zone", F.explode(all_tags))
+    both = five_measures(tagged, ["zone", "date"], method=method)
+    by_date = both.filter(F.col("zone").isNull()).drop("zone").orderBy("date")
+    by_zone = both.filter(F.col("zone").isNotNull()).orderBy("zone", "date")
+    return by_date, by_zone
+
+
 def zone_pivot(stats: DataFrame, measure: str = "ndvi_mean", digits: int | None = 3) -> DataFrame:
     """date x zone table of one measure; zone columns sorted, missing = NULL."""
     v = F.round(F.col(measure), digits) if digits is not None else F.col(measure)

@@ -18,7 +18,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from rastercube.operators import grid, zones
-from rastercube.operators.stats import date_stats
 from rastercube.sources import store
 from rastercube.sources.manifest import read_manifest, tile_records
 from rastercube.sources.tiles import load_tiles
@@ -72,12 +71,17 @@ def run(
     _timed(res, "load", lambda: store.write_observations(obs.select(*cols), obs_path))
     o = store.read_observations(spark, obs_path, with_tile="tile_id" in cols)
 
-    _timed(res, "date_stats", lambda: store.write_csv(date_stats(o, method=method), os.path.join(out_dir, "global_stats")))
-
     if boxes is None:
         boxes = zones.zone_pixel_bounds(zones.reference_zones(spark))
     zpath = os.path.join(out_dir, "zone_stats")
-    _timed(res, "zone_stats", lambda: store.write_csv(zones.zone_stats(o, boxes, method=method), zpath))
+
+    def stats_step():
+        # one shared pair of scans for both statistics tables
+        by_date, by_zone = zones.date_and_zone_stats(o, boxes, method=method)
+        store.write_csv(by_date, os.path.join(out_dir, "global_stats"))
+        store.write_csv(by_zone, zpath)
+
+    _timed(res, "statistics", stats_step)
     zs = store.read_stats_csv(spark, zpath, zones=True, parse_dates=False)
     store.write_csv(zones.zone_pivot(zs), os.path.join(out_dir, "zone_pivot"))
     zs.transform(zones.zone_series).write.mode("overwrite").parquet(os.path.join(out_dir, "zone_series"))

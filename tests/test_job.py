@@ -18,7 +18,7 @@ def test_job_end_to_end_on_tiles(spark, tmpdir_path):
     obs = job.load_observations(spark, manifest, step=10, strip_rows=2, tile_pixels=60)
     out = os.path.join(tmpdir_path, "out")
     res = job.run(spark, obs, out, crop=(0, 870, 0, 1098), stride=1)
-    assert set(res.timings) == {"load", "date_stats", "zone_stats", "cube", "chart_tables"}
+    assert set(res.timings) == {"load", "statistics", "cube", "chart_tables"}
 
     stats = store.read_stats_csv(spark, os.path.join(out, "global_stats"))
     assert stats.count() == 2 and dict(stats.dtypes)["date"] == "date"

@@ -98,3 +98,13 @@ def test_pivot_series_error_bars(spark):
     assert [r.pos for r in ser] == list(range(len(ser)))
     assert all(r.band_lo <= r.band_hi for r in ser)
     assert all(abs(r.ndvi_mean + r.err_plus - r.band_hi) < 1e-12 for r in ser)
+
+
+def test_shared_scan_statistics_equal_separate(spark):
+    from rastercube.operators.stats import date_stats
+
+    o = td.obs(spark, SF001)
+    boxes = td.test_boxes(spark)
+    by_date, by_zone = zones.date_and_zone_stats(o, boxes)
+    assert _stats(by_date) == _stats(date_stats(o))
+    assert _stats(by_zone) == _stats(zones.zone_stats(o, boxes))
