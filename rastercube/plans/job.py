@@ -16,6 +16,7 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rastercube.operators import grid, zones
 from rastercube.sources import store
@@ -102,3 +103,72 @@ def run(
 
     _timed(res, "chart_tables", charts)
     return res
+
+
+def select_to_manifest(
+    spark: SparkSession,
+    products_path: str,
+    out_path: str,
+    path_prefix: str,
+    tile: str | None = "T33TTG",
+    start_after: str | None = None,
+    start_before: str | None = None,
+    max_cloud: float | None = None,
+    n: int = 8,
+) -> DataFrame:
+    """Catalogue products (JSON, one product per line) -> predicates ->
+    acquisition choice -> manifest written as JSON lines.  Returns the
+    selected products."""
+    from rastercube.operators import catalog as cat
+    from rastercube.schema import CATALOG_PRODUCT
+    from rastercube.sources.manifest import write_manifest
+
+    products = spark.read.schema(CATALOG_PRODUCT).json(products_path)
+    products = products.withColumn("start", F.to_timestamp("ContentDate.Start"))
+    found = cat.catalog_filter(
+        products, start_after=start_after, start_before=start_before, name_contains=tile, max_cloud=max_cloud
+    )
+    chosen = cat.select_acquisitions(cat.flatten(found), n=n)
+    write_manifest(cat.manifest_rows(chosen, path_prefix), out_path)
+    return chosen
+
+
+def main(argv: list[str] | None = None) -> None:
+    import argparse
+
+    from rastercube.session import build_session
+
+    ap = argparse.ArgumentParser(prog="python -m rastercube.plans.job")
+    sub = ap.add_subparsers(dest="cmd", required=True)
+    sel = sub.add_parser("select", help="choose acquisitions from a catalogue and write the manifest")
+    sel.add_argument("--products", required=True)
+    sel.add_argument("--out", required=True)
+    sel.add_argument("--path-prefix", default="")
+    sel.add_argument("--tile", default="T33TTG")
+    sel.add_argument("--after")
+    sel.add_argument("--before")
+    sel.add_argument("--max-cloud", type=float)
+    run_p = sub.add_parser("run", help="load tiles and write statistics, cube and chart tables")
+    run_p.add_argument("--manifest", required=True)
+    run_p.add_argument("--out", required=True)
+    run_p.add_argument("--data-dir")
+    run_p.add_argument("--block", type=int, default=10)
+    run_p.add_argument("--method", default="exact", choices=["exact", "builtin", "approx"])
+    args = ap.parse_args(argv)
+
+    spark = build_session()
+    if args.cmd == "select":
+        chosen = select_to_manifest(
+            spark, args.products, args.out, args.path_prefix, args.tile, args.after, args.before, args.max_cloud
+        )
+        store.preview(chosen)
+    else:
+        obs = load_observations(spark, args.manifest, args.data_dir)
+        res = run(spark, obs, args.out, block=args.block, method=args.method)
+        for k, v in res.timings.items():
+            print(f"{k:14s} {v:8.1f} s")
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()

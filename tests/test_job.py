@@ -35,3 +35,24 @@ def test_job_end_to_end_on_tiles(spark, tmpdir_path):
     assert one.count() == cube.count() // 2
     mesh = spark.read.parquet(os.path.join(out, "mesh"))
     assert mesh.filter(F.col("value").isNull()).count() == 0
+
+
+def test_select_to_manifest(spark, tmpdir_path):
+    from rastercube.sources.manifest import read_manifest
+
+    products = [
+        {"Id": f"p{i}", "Name": f"S2A_MSIL2A_2024{m:02d}01_T33TTG", "Collection": "SENTINEL-2",
+         "ContentDate": {"Start": f"2024-{m:02d}-01T10:00:00.000Z"},
+         "Attributes": [{"Name": "productType", "Value": "S2MSI2A"}, {"Name": "cloudCover", "Value": str(c)}]}
+        for i, (m, c) in enumerate([(1, 5), (2, 1), (3, 9), (4, 2), (5, 3), (6, 4), (7, 6), (8, 7), (9, 8), (10, 1)])
+    ]
+    src = os.path.join(tmpdir_path, "products.json")
+    with open(src, "w") as f:
+        f.write("\n".join(json.dumps(p) for p in products))
+    out = os.path.join(tmpdir_path, "manifest")
+    chosen = job.select_to_manifest(spark, src, out, "/data/raw/", start_after="2024-01-01", start_before="2024-12-31")
+    ids = [r.id for r in chosen.collect()]
+    # months 1,3,4,5,6,7,8,9 are the first eight target months present (Feb skipped)
+    assert ids == ["p0", "p2", "p3", "p4", "p5", "p6", "p7", "p8"]
+    m = read_manifest(spark, out, multi_line=False).orderBy("date").collect()
+    assert [r.date for r in m][:2] == ["2024-01-01", "2024-03-01"]
