@@ -62,6 +62,7 @@ def main() -> None:
 
     timed("load_store", lambda: store.write_observations(td.obs(spark, sf_dir), obs_path, partitions=cpus * 2))
     obs = store.read_observations(spark, obs_path)
+    n_obs = obs.count()
     boxes = td.test_boxes(spark)
 
     timed("date_stats", lambda: date_stats(obs).collect())
@@ -69,6 +70,7 @@ def main() -> None:
     timed("zone_stats", lambda: zones.zone_stats(obs, boxes, strategy="inline").collect())
     timed("zone_stats_cells", lambda: zones.zone_stats(obs, boxes, strategy="cells", cell=250).collect())
     timed("zone_stats_union", lambda: zones.zone_stats(obs, boxes, strategy="union").collect())
+    timed("date_and_zone_stats", lambda: [t.collect() for t in zones.date_and_zone_stats(obs, boxes)])
     timed("zone_bounds", lambda: sink(zones.zone_pixel_bounds(td.customer_zones(spark, sf_dir))))
     timed("cube_block_mean", lambda: sink(grid.block_means(obs, 20)))
     timed("cube_dense", lambda: sink(grid.dense_cube(grid.block_means(obs, 20))))
@@ -93,6 +95,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "sf": sf,
+                "obs_rows": n_obs,
             }
         )
     )

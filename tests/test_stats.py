@@ -127,3 +127,25 @@ def test_no_python_in_statistics_plan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert not math.isnan(df.count())
+
+
+def test_invariants_on_testdata(spark):
+    from rastercube.sources.testdata import obs
+    from conftest import SF001
+
+    st = date_stats(obs(spark, SF001)).collect()
+    assert all(r.ndvi_p25 <= r.ndvi_p75 for r in st)
+    assert all(-1.0 <= r.ndvi_p25 and r.ndvi_p75 <= 1.0 for r in st)
+    assert sum(r.pixel_count for r in st) == obs(spark, SF001).count()
+
+
+def test_scale_offset_and_extra_mask(spark):
+    from rastercube.operators.bands import mask_valid, with_ndvi
+
+    raw = raw_df(spark)
+    # reflectance = dn * 0.0001 - 0.1: the ratio changes, the mask is unchanged
+    scaled = with_ndvi(mask_valid(raw), scale=0.0001, offset=-0.1).collect()
+    by_key = {(r.date, r.row, r.col): r.ndvi for r in scaled}
+    assert by_key[("2024-01-05", 0, 0)] == pytest.approx((0.2 - 0.0) / (0.2 + 0.0), abs=1e-6)
+    masked = mask_valid(raw, extra=F.col("row") == 0).count()
+    assert masked == 3

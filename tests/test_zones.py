@@ -108,3 +108,14 @@ def test_shared_scan_statistics_equal_separate(spark):
     by_date, by_zone = zones.date_and_zone_stats(o, boxes)
     assert _stats(by_date) == _stats(date_stats(o))
     assert _stats(by_zone) == _stats(zones.zone_stats(o, boxes))
+
+
+def test_inline_membership_is_one_scan_without_join(spark, tmpdir_path):
+    from rastercube.sources.store import read_observations, write_observations
+
+    write_observations(td.obs(spark, SF001), tmpdir_path)
+    o = read_observations(spark, tmpdir_path)
+    tagged = zones.assign_zones(o.select("date", "row", "col", "ndvi"), td.test_boxes(spark), "inline")
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert "Join" not in plan and "Generate" in plan
