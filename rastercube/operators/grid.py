@@ -65,7 +65,26 @@ def with_time_index(means: DataFrame, dates: DataFrame | None = None) -> DataFra
     return means.join(d, "date")
 
 
-def dense_cube(means: DataFrame, partitions: int | None = None) -> DataFrame:
+def extent_from_obs(obs: DataFrame, n: int) -> tuple[int, int, int] | None:
+    """``(n_rows, n_cols, n_dates)`` of the block-``n`` grid, read from two
+    integer columns and the date of the observations (no aggregation of the
+    block means).  Truncation is monotone, so ``max(int(r/n)) = int(max(r)/n)``."""
+    r = obs.agg(F.max("row").alias("r"), F.max("col").alias("c"), F.countDistinct("date").alias("d")).first()
+    if r is None or r.r is None:
+        return None
+    return int(r.r / n) + 1, int(r.c / n) + 1, int(r.d)
+
+
+def _extent(means: DataFrame, extent: tuple[int, int, int] | None):
+    if extent is not None:
+        return extent
+    ext = cube_extent(means).first()
+    if ext is None or ext.n_rows is None:
+        return None
+    return int(ext.n_rows), int(ext.n_cols), int(ext.n_dates)
+
+
+def dense_cube(means: DataFrame, partitions: int | None = None, extent: tuple[int, int, int] | None = None) -> DataFrame:
     """Every (t, row_ds, col_ds) cell of the lattice; value FLOAT, NULL = missing.
 
     Block means are gathered per (date, row strip) into a ``col -> value``
@@ -75,11 +94,11 @@ def dense_cube(means: DataFrame, partitions: int | None = None) -> DataFrame:
     ``rows x cols x dates`` volume is never shuffled or joined.
     """
     spark = means.sparkSession
-    ext = cube_extent(means).first()
-    if ext is None or ext.n_rows is None:
+    ext = _extent(means, extent)
+    if ext is None:
         return spark.createDataFrame([], "t int, date string, row_ds int, col_ds int, value float")
-    n_rows, n_cols = int(ext.n_rows), int(ext.n_cols)
-    d, n_dates = _checked_dates(time_axis(means), n=int(ext.n_dates))
+    n_rows, n_cols = ext[0], ext[1]
+    d, n_dates = _checked_dates(time_axis(means), n=ext[2])
     strips = (
         means.join(d, "date")
         .groupBy("t", "row_ds")
@@ -118,7 +137,9 @@ def _series_array(m: str, n_dates: int):
     return F.transform(F.sequence(F.lit(0), F.lit(n_dates - 1)), lambda i: F.element_at(F.col(m), i))
 
 
-def series_from_means(means: DataFrame, partitions: int | None = None) -> DataFrame:
+def series_from_means(
+    means: DataFrame, partitions: int | None = None, extent: tuple[int, int, int] | None = None
+) -> DataFrame:
     """Vector form of the dense cube straight from the block means.
 
     Cells with data gather their (t, value) pairs (at most one per date);
@@ -126,11 +147,11 @@ def series_from_means(means: DataFrame, partitions: int | None = None) -> DataFr
     dense cube -- supplies cells without any data as all-NULL series.
     """
     spark = means.sparkSession
-    ext = cube_extent(means).first()
-    if ext is None or ext.n_rows is None:
+    ext = _extent(means, extent)
+    if ext is None:
         return spark.createDataFrame([], "row_ds int, col_ds int, series array<float>")
-    n_rows, n_cols = int(ext.n_rows), int(ext.n_cols)
-    d, n_dates = _checked_dates(time_axis(means), n=int(ext.n_dates))
+    n_rows, n_cols = ext[0], ext[1]
+    d, n_dates = _checked_dates(time_axis(means), n=ext[2])
     present = (
         means.join(d, "date")
         .groupBy("row_ds", "col_ds")

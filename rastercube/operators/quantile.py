@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from rastercube.session import checkpoint_dir
 
-MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_ROWS = 500_000  # target rows are ~50 bytes: at most ~25 MB broadcast
 
 
 def _pow2(e: Column) -> Column:

@@ -40,7 +40,7 @@ PIXEL_SIZE = 10.0
 TILE_PIXELS = 10980
 
 MAX_INLINE_ZONES = 64
-MAX_BROADCAST_CELLS = 5_000_000
+MAX_BROADCAST_CELLS = 1_000_000  # ~50 bytes per (zone, cell) row
 
 
 def reference_zones(spark: SparkSession) -> DataFrame:

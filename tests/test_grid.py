@@ -39,9 +39,11 @@ def test_block20_and_identity(spark):
 
 
 def test_dense_invariants_and_series(spark):
-    means = grid.block_means(td.obs(spark, SF001), 20)
+    o = td.obs(spark, SF001)
+    means = grid.block_means(o, 20)
     cube = grid.dense_cube(means)
     ext = grid.cube_extent(means).first()
+    assert grid.extent_from_obs(o, 20) == (ext.n_rows, ext.n_cols, ext.n_dates)
     assert cube.count() == ext.n_rows * ext.n_cols * ext.n_dates
     assert cube.filter(F.col("value").isNotNull()).count() == means.count()
     series = grid.cube_series(cube)
