@@ -88,6 +88,13 @@ def footprint_contains(lon: float | Column, lat: float | Column, footprint: str
     return F.when(n >= 3, in_bbox & (n_cross % 2 == 1)).otherwise(F.lit(False))
 
 
+def iso_month(iso: str | Column) -> Column:
+    """Calendar month as written in an ISO-8601 timestamp string (the local
+    fields of the string, whatever its offset and the session time zone)."""
+    c = F.col(iso) if isinstance(iso, str) else iso
+    return F.substring(c, 6, 2).cast("int")
+
+
 def flatten(products: DataFrame) -> DataFrame:
     """Nested products -> ``(id, name, start, month, day, cloud)``."""
     start = F.to_timestamp(F.col("ContentDate.Start"))
@@ -95,7 +102,7 @@ def flatten(products: DataFrame) -> DataFrame:
         F.col("Id").alias("id"),
         F.col("Name").alias("name"),
         start.alias("start"),
-        F.month(start).cast("int").alias("month"),
+        iso_month("ContentDate.Start").alias("month"),
         F.substring(F.col("ContentDate.Start"), 1, 10).alias("day"),
         cloud_cover().alias("cloud"),
     )
@@ -104,9 +111,9 @@ def flatten(products: DataFrame) -> DataFrame:
 def date_parts(df: DataFrame, start_iso: str = "start_iso") -> DataFrame:
     """ISO day prefix, month number and ``MM-DD`` label of an ISO timestamp string."""
     day = F.substring(F.col(start_iso), 1, 10)
-    return df.withColumn("day", day).withColumn(
-        "month", F.month(F.to_timestamp(F.col(start_iso))).cast("int")
-    ).withColumn("mmdd", F.substring(day, 6, 5))
+    return df.withColumn("day", day).withColumn("month", iso_month(start_iso)).withColumn(
+        "mmdd", F.substring(day, 6, 5)
+    )
 
 
 def by_month(cat: DataFrame) -> DataFrame:

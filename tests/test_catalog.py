@@ -102,3 +102,12 @@ def test_max_cloud_and_manifest_from_selection(spark, tmpdir_path):
     back = read_manifest(spark, out, multi_line=False).orderBy("date").collect()
     assert [r.id for r in back] == ids and back[0].path == "/data/raw/S2A_MSIL2A_T33TTG.zip"
     assert back[0].date == "2024-01-01" and back[0].cloud_cover == 5.0
+
+
+def test_month_is_read_as_written(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([("2024-02-01T00:30:00.000Z",), ("2024-01-31T23:00:00+02:00",)], "start_iso string")
+        assert [r.month for r in cat.date_parts(df).collect()] == [2, 1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
