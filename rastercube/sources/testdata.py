@@ -64,7 +64,7 @@ def test_boxes(spark: SparkSession) -> DataFrame:
 
 
 def customer_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zones derived from ``customer``: centre spread over the Rome tile area."""
+    """Zones derived from ``customer``: centres spread over the UTM 33N tile area."""
     c = table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey"])
     return c.select(
         F.col("c_name").alias("zone"),
