@@ -228,9 +228,13 @@ def date_and_zone_stats(
 
 
 def zone_pivot(stats: DataFrame, measure: str = "ndvi_mean", digits: int | None = 3) -> DataFrame:
-    """date x zone table of one measure; zone columns sorted, missing = NULL."""
+    """date x zone table of one measure; zone columns sorted, missing = NULL;
+    a duplicate (date, zone) is an error."""
     v = F.round(F.col(measure), digits) if digits is not None else F.col(measure)
-    return stats.groupBy("date").pivot("zone").agg(F.max(v)).orderBy("date")
+    one = F.when(
+        F.count(F.lit(1)) > 1, F.raise_error(F.lit("duplicate (date, zone) in pivot input"))
+    ).otherwise(F.max(v))
+    return stats.groupBy("date").pivot("zone").agg(one).orderBy("date")
 
 
 def zone_error_bars(stats: DataFrame) -> DataFrame:

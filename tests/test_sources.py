@@ -93,8 +93,8 @@ def _expected(tiles, step):
     out = []
     for name, date, red, nir, _ in tiles:
         h, w = red.shape[0] // step, red.shape[1] // step
-        r = np.rint(red[: h * step, : w * step].reshape(h, step, w, step).astype(float).mean(axis=(1, 3))).astype(np.float32)
-        n = np.rint(nir[: h * step, : w * step].reshape(h, step, w, step).astype(float).mean(axis=(1, 3))).astype(np.float32)
+        r = np.floor(red[: h * step, : w * step].reshape(h, step, w, step).astype(float).mean(axis=(1, 3)) + 0.5).astype(np.float32)
+        n = np.floor(nir[: h * step, : w * step].reshape(h, step, w, step).astype(float).mean(axis=(1, 3)) + 0.5).astype(np.float32)
         for i in range(h):
             for j in range(w):
                 if r[i, j] > 0 and n[i, j] > 0:

@@ -119,3 +119,9 @@ def test_inline_membership_is_one_scan_without_join(spark, tmpdir_path):
     plan = tagged._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
     assert "Join" not in plan and "Generate" in plan
+
+
+def test_pivot_duplicate_is_error(spark):
+    df = spark.createDataFrame([("A", "d1", 0.1), ("A", "d1", 0.2)], "zone string, date string, ndvi_mean double")
+    with pytest.raises(Exception, match="duplicate"):
+        zones.zone_pivot(df).collect()
