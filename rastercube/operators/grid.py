@@ -105,6 +105,7 @@ def dense_cube(means: DataFrame, partitions: int | None = None, extent: tuple[in
         .agg(F.map_from_entries(F.collect_list(F.struct("col_ds", F.col("ndvi_mean").cast("float")))).alias("_m"))
     )
     total = n_dates * n_rows
+    # each strip explodes into n_cols rows: aim at ~1M output rows per partition
     parts = partitions or max(1, min(total * n_cols // 1_000_000 + 1, 100_000))
     lattice = spark.range(0, total, 1, parts).select(
         (F.col("id") / F.lit(n_rows)).cast("int").alias("t"),
@@ -158,7 +159,8 @@ def series_from_means(
         .agg(F.map_from_entries(F.collect_list(F.struct("t", F.col("ndvi_mean").cast("float")))).alias("_m"))
     )
     total = n_rows * n_cols
-    parts = partitions or max(1, min(total // 1_000_000 + 1, 100_000))
+    # each output row carries n_dates values: aim at ~1M values per partition
+    parts = partitions or max(1, min(total * max(n_dates, 1) // 1_000_000 + 1, 100_000))
     lattice = spark.range(0, total, 1, parts).select(
         (F.col("id") / F.lit(n_cols)).cast("int").alias("row_ds"),
         (F.col("id") % F.lit(n_cols)).cast("int").alias("col_ds"),
