@@ -60,8 +60,11 @@ def bucket_key(v: Column, bits: int = 8) -> Column:
     e = _exponent(a)
     mant = F.floor((a / _pow2(e) - 1.0) * float(1 << bits))
     pos = (e + 1100) * (1 << bits) + mant + 1
+    top = (1 << 62)  # beyond every finite key
     return (
         F.when(v.isNull() | F.isnan(v), F.lit(None))
+        .when(v == float("inf"), F.lit(top))
+        .when(v == float("-inf"), F.lit(-top))
         .when(v > 0, pos)
         .when(v < 0, -pos)
         .otherwise(F.lit(0))

@@ -76,6 +76,8 @@ def _compare_with_builtin(spark, data, probs=(0.25, 0.5, 0.75, 0.1, 0.99), **kw)
         for c in ["mean", "std"] + [f"p{i}" for i in range(len(probs))]:
             if r[c] is None:
                 assert o[c] is None, (r.g, c)
+            elif math.isnan(r[c]):
+                assert math.isnan(o[c]), (r.g, c)
             else:
                 assert o[c] == pytest.approx(r[c], rel=1e-9, abs=1e-12), (r.g, c, o[c], r[c])
 
@@ -90,6 +92,7 @@ def test_exact_percentiles_match_builtin_random(spark):
     data += [("ties", 0.5)] * 50 + [("ties", -0.5)] * 30 + [("ties", 0.0)] * 7
     data += [("nulls", None), ("nulls", 1.0), ("nulls", 2.0)]
     data += [("allnull", None)]
+    data += [("inf", float("inf")), ("inf", 1.0), ("inf", float("-inf")), ("inf", 2.0), ("inf", 3.0)]
     _compare_with_builtin(spark, data)
 
 
