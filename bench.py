@@ -6,8 +6,9 @@ Like the reference's job, observations are loaded once (here: mapped from
 ``lineitem`` and written to the date-partitioned observation store in a
 fresh scratch folder) and the statistics run on the loaded data.  Each
 query's result is fully computed: small results are collected, large ones
-go to Spark's ``noop`` sink.  Each query runs twice and the faster run is
-reported (the first run pays for code generation and JIT warm-up).
+go to Spark's ``noop`` sink.  Each query runs three times and the fastest run is
+reported, after one untimed warm-up pass over the statistics and cube code
+(the JVM compiles hot code on first use).
 ``value`` is the sum of the query times.
 """
 
@@ -45,7 +46,7 @@ def main() -> None:
     obs_path = os.path.join(scratch, "observations")
     times: dict[str, float] = {}
 
-    def timed(name, fn, runs=2):
+    def timed(name, fn, runs=3):
         best = None
         for _ in range(runs):
             t0 = time.time()
@@ -65,6 +66,12 @@ def main() -> None:
     n_obs = obs.count()
     boxes = td.test_boxes(spark)
 
+    # untimed warm-up: one pass of the statistics and cube code paths so JIT
+    # compilation is not charged to whichever query happens to run first
+    date_stats(obs).collect()
+    zones.zone_stats(obs, boxes).collect()
+    sink(grid.dense_cube(grid.block_means(obs, 20)))
+
     timed("date_stats", lambda: date_stats(obs).collect())
     timed("date_stats_builtin", lambda: date_stats(obs, method="builtin").collect())
     timed("zone_stats", lambda: zones.zone_stats(obs, boxes, strategy="inline").collect())
@@ -90,7 +97,7 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "headline_queries_total_best_of_2",
+                "metric": "headline_queries_total_best_of_3",
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
