@@ -153,6 +153,7 @@ def main(argv: list[str] | None = None) -> None:
     run_p.add_argument("--manifest", required=True)
     run_p.add_argument("--out", required=True)
     run_p.add_argument("--data-dir")
+    run_p.add_argument("--json-lines", action="store_true", help="manifest written by 'select' (JSON lines)")
     run_p.add_argument("--block", type=int, default=10)
     run_p.add_argument("--method", default="exact", choices=["exact", "builtin", "approx"])
     args = ap.parse_args(argv)
@@ -164,7 +165,7 @@ def main(argv: list[str] | None = None) -> None:
         )
         store.preview(chosen)
     else:
-        obs = load_observations(spark, args.manifest, args.data_dir)
+        obs = load_observations(spark, args.manifest, args.data_dir, multi_line=not args.json_lines)
         res = run(spark, obs, args.out, block=args.block, method=args.method)
         for k, v in res.timings.items():
             print(f"{k:14s} {v:8.1f} s")
