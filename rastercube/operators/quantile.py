@@ -143,7 +143,6 @@ def grouped_summary(
             F.min("_v").alias("lo"),
             F.max("_v").alias("hi"),
         )
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
 
     # One window pass over the (bounded) histogram of each group gives the
@@ -163,7 +162,7 @@ def grouped_summary(
         mean_g.alias("_mean"),
         dev.alias("_dev"),
         F.coalesce(F.sum("c").over(wb), F.lit(0)).alias("_before"),
-    )
+    ).persist(StorageLevel.MEMORY_AND_DISK)  # small and reused: group measures, targets
     groups = per.groupBy(*keys).agg(
         F.first("_n").alias("_n"),
         F.first("_mean").alias("_mean"),
@@ -180,10 +179,8 @@ def grouped_summary(
     state = (
         per.filter(F.col("c") > 0)
         .select(*keys, F.explode(inside).alias("k"), "lo", "hi", F.col("_before").alias("below"), F.col("c").alias("cnt"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
 
-    first_state = state
     # Refinement rounds for ranges that are still too big to resolve directly.
     nb = float(refine_buckets)
     is_big = (F.col("lo") < F.col("hi")) & (F.col("cnt") > exact_rows)
@@ -255,6 +252,5 @@ def grouped_summary(
     # The result has one row per group: keep it, release the intermediates.
     result = out.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
     result.count()
-    hist.unpersist()
-    first_state.unpersist()
+    per.unpersist()
     return result
