@@ -20,10 +20,11 @@ percentiles with linear interpolation between the two closest ranks, equal to
    ``exact_rows`` per target) and reads the value at the rank directly.
 
 Target tables (at most four rows per group) are joined to the rows by the
-group keys; they are broadcast only below ``broadcast_rows``.  The histogram
-and the targets are small and reused, so they are persisted (a lost block is
-recomputed from lineage); each refinement round is checkpointed to the
-session's ``spark.checkpoint.dir`` so an iterative lineage stays short.
+group keys; they are broadcast only below ``broadcast_rows`` (counted
+first).  The windowed histogram is small and reused, so it is persisted (a
+lost block is recomputed from lineage); each refinement round is
+checkpointed to the session's ``spark.checkpoint.dir`` so an iterative
+lineage stays short.
 """
 
 from __future__ import annotations
