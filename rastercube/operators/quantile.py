@@ -16,8 +16,8 @@ percentiles with linear interpolation between the two closest ranks, equal to
    finds the bucket that holds each wanted rank.
 2. While a chosen bucket still holds more than ``exact_rows`` rows, one more
    scan splits its value range into ``refine_buckets`` equal-width pieces.
-3. A last scan counts the distinct values inside the chosen ranges (at most
-   ``exact_rows`` per target) and reads the value at the rank directly.
+3. A last scan gathers the values inside each chosen range (at most
+   ``exact_rows`` per target), sorts them and reads the value at the rank.
 
 Target tables (at most four rows per group) are joined to the rows by the
 group keys; they are broadcast only below ``broadcast_rows`` (counted
