@@ -74,11 +74,22 @@ def read_stats_csv(spark: SparkSession, path: str, zones: bool = False, parse_da
     return df
 
 
-def write_cube(cube: DataFrame, path: str) -> None:
-    """Dense cube partitioned by time index, plus the ordered ``dates`` table."""
-    cube.select("row_ds", "col_ds", "value", "date", "t").repartition("t").write.mode("overwrite").partitionBy(
-        "t"
-    ).parquet(os.path.join(path, "cube"))
+def write_cube(cube: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Dense cube partitioned by time index, plus the ordered ``dates`` table.
+
+    Rows are range-partitioned on ``(t, row_ds)`` so one time plane is split
+    over many tasks and files (a plane can be a large share of the cube), and
+    files are sorted by row for row-group pruning.
+    """
+    n = partitions or int(cube.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (
+        cube.select("row_ds", "col_ds", "value", "date", "t")
+        .repartitionByRange(n, "t", "row_ds")
+        .sortWithinPartitions("t", "row_ds", "col_ds")
+        .write.mode("overwrite")
+        .partitionBy("t")
+        .parquet(os.path.join(path, "cube"))
+    )
     cube.select("t", "date").distinct().coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "dates"))
 
 
