@@ -92,7 +92,8 @@ def run(
     def cube_step():
         means = grid.block_means(o, block)
         # extent from two integer columns of the store, not from the means
-        store.write_cube(grid.dense_cube(means, extent=grid.extent_from_obs(o, block)), cube_dir)
+        cube = grid.dense_cube(means, extent=grid.extent_from_obs(o, block))
+        store.write_cube(cube, cube_dir, dates=grid.time_axis(o))
 
     _timed(res, "cube", cube_step)
     cube, _ = store.read_cube(spark, cube_dir)

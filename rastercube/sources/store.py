@@ -74,12 +74,14 @@ def read_stats_csv(spark: SparkSession, path: str, zones: bool = False, parse_da
     return df
 
 
-def write_cube(cube: DataFrame, path: str, partitions: int | None = None) -> None:
+def write_cube(cube: DataFrame, path: str, partitions: int | None = None, dates: DataFrame | None = None) -> None:
     """Dense cube partitioned by time index, plus the ordered ``dates`` table.
 
     Rows are range-partitioned on ``(t, row_ds)`` so one time plane is split
     over many tasks and files (a plane can be a large share of the cube), and
-    files are sorted by row for row-group pruning.
+    files are sorted by row for row-group pruning.  ``dates`` is the
+    ``(t, date)`` axis; without it the axis is read back from the written
+    files.
     """
     n = partitions or int(cube.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
@@ -90,7 +92,10 @@ def write_cube(cube: DataFrame, path: str, partitions: int | None = None) -> Non
         .partitionBy("t")
         .parquet(os.path.join(path, "cube"))
     )
-    cube.select("t", "date").distinct().coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "dates"))
+    if dates is None:
+        # read (t, date) back from the written files instead of recomputing the cube
+        dates = cube.sparkSession.read.parquet(os.path.join(path, "cube")).select("t", "date").distinct()
+    dates.select("t", "date").coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "dates"))
 
 
 def read_cube(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
