@@ -1,9 +1,9 @@
 """Parquet observation store, statistics CSVs, cube store (sinks and re-reads).
 
-The observation store is written range-partitioned on ``(date, row)`` and
-sorted within files, then laid out as ``date=...`` folders, so a date filter
-prunes folders and a ``row``/``col`` box prunes row groups by their min/max
-statistics.  Every reader passes an explicit schema (no inference, and the
+The observation store is hash-partitioned on ``(date, [tile,] row block)``,
+sorted by row within files and laid out as ``date=...`` folders, so a date
+filter prunes folders and a ``row``/``col`` box prunes row groups by their
+min/max statistics.  Every reader passes an explicit schema (no inference, and the
 ``date`` partition value stays a string).
 """
 
@@ -34,12 +34,23 @@ def write_observations(
     partitions: int | None = None,
     max_records_per_file: int = 5_000_000,
     mode: str = "overwrite",
+    row_block: int = 500,
 ) -> None:
-    """Flat observation store: ``date=...`` folders, files clustered by row."""
+    """Flat observation store: ``date=...`` folders, files sorted by row.
+
+    Rows are hash-partitioned on ``(date, [tile_id,] row // row_block)``: a
+    date that holds a large share of the pixels still spreads over many
+    keys, and unlike range partitioning no sampling pass re-reads the input
+    (which, straight from the tile source, would decode every tile twice).
+    """
     n = partitions or int(obs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col("date")]
+    if "tile_id" in obs.columns:
+        keys.append(F.col("tile_id"))
+    keys.append(F.floor(F.col("row") / row_block))
     keep = [c for c in obs.columns if c != "date"]
     (
-        obs.repartitionByRange(n, "date", "row")
+        obs.repartition(n, *keys)
         .sortWithinPartitions("date", "row", "col")
         .select(*keep, "date")
         .write.mode(mode)
@@ -74,11 +85,14 @@ def read_stats_csv(spark: SparkSession, path: str, zones: bool = False, parse_da
     return df
 
 
-def write_cube(cube: DataFrame, path: str, partitions: int | None = None, dates: DataFrame | None = None) -> None:
+def write_cube(
+    cube: DataFrame, path: str, partitions: int | None = None, dates: DataFrame | None = None, row_block: int = 16
+) -> None:
     """Dense cube partitioned by time index, plus the ordered ``dates`` table.
 
-    Rows are range-partitioned on ``(t, row_ds)`` so one time plane is split
-    over many tasks and files (a plane can be a large share of the cube), and
+    Rows are hash-partitioned on ``(t, row_ds // row_block)`` so one time
+    plane is split over many tasks and files (a plane can be a large share of
+    the cube) without a sampling pass that would recompute the cube, and
     files are sorted by row for row-group pruning.  ``dates`` is the
     ``(t, date)`` axis; without it the axis is read back from the written
     files.
@@ -86,7 +100,7 @@ def write_cube(cube: DataFrame, path: str, partitions: int | None = None, dates:
     n = partitions or int(cube.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         cube.select("row_ds", "col_ds", "value", "date", "t")
-        .repartitionByRange(n, "t", "row_ds")
+        .repartition(n, F.col("t"), F.floor(F.col("row_ds") / row_block))
         .sortWithinPartitions("t", "row_ds", "col_ds")
         .write.mode("overwrite")
         .partitionBy("t")
