@@ -80,8 +80,13 @@ def main() -> None:
     timed("date_and_zone_stats", lambda: [t.collect() for t in zones.date_and_zone_stats(obs, boxes)])
     timed("zone_bounds", lambda: sink(zones.zone_pixel_bounds(td.customer_zones(spark, sf_dir))))
     timed("cube_block_mean", lambda: sink(grid.block_means(obs, 20)))
-    timed("cube_dense", lambda: sink(grid.dense_cube(grid.block_means(obs, 20))))
-    timed("cube_series", lambda: sink(grid.series_from_means(grid.block_means(obs, 20))))
+    # as the job does: the grid extent comes from two integer columns of the
+    # store instead of a second aggregation of the block means
+    timed("cube_dense", lambda: sink(grid.dense_cube(grid.block_means(obs, 20), extent=grid.extent_from_obs(obs, 20))))
+    timed(
+        "cube_series",
+        lambda: sink(grid.series_from_means(grid.block_means(obs, 20), extent=grid.extent_from_obs(obs, 20))),
+    )
     timed("block_resample", lambda: sink(grid.block_resample(td.raster(spark, sf_dir), 3, ["label"])))
     timed(
         "select_acquisitions",
