@@ -152,3 +152,20 @@ def test_scale_offset_and_extra_mask(spark):
     assert by_key[("2024-01-05", 0, 0)] == pytest.approx((0.2 - 0.0) / (0.2 + 0.0), abs=1e-6)
     masked = mask_valid(raw, extra=F.col("row") == 0).count()
     assert masked == 3
+
+
+def test_forced_refinement_on_testdata_matches_builtin(spark):
+    from rastercube.sources.testdata import obs
+    from conftest import SF001
+
+    o = obs(spark, SF001)
+    kw = dict(exact_rows=5, refine_buckets=8, broadcast_rows=10)
+    a = {r.date: r for r in five_measures(o, ["date"], method="exact", **kw).collect()}
+    b = {r.date: r for r in five_measures(o, ["date"], method="builtin").collect()}
+    assert a.keys() == b.keys()
+    for d in b:
+        for c in ["ndvi_mean", "ndvi_std", "ndvi_p25", "ndvi_p75", "pixel_count"]:
+            if b[d][c] is None:
+                assert a[d][c] is None
+            else:
+                assert a[d][c] == pytest.approx(b[d][c], rel=1e-9, abs=1e-12)
