@@ -129,12 +129,19 @@ def _envelope(rows) -> Column:
 def assign_zones(
     obs: DataFrame,
     boxes: DataFrame,
-    strategy: str = "inline",
+    strategy: str = "auto",
     cell: int = 1000,
     max_inline: int = MAX_INLINE_ZONES,
     max_broadcast_cells: int = MAX_BROADCAST_CELLS,
 ) -> DataFrame:
-    """``obs`` rows tagged with every zone whose box contains them (``zone`` column)."""
+    """``obs`` rows tagged with every zone whose box contains them (``zone`` column).
+
+    ``auto`` picks ``inline`` for at most ``max_inline`` zones (counted
+    first) and ``cells`` beyond.
+    """
+    if strategy == "auto":
+        n_zones = boxes.limit(max_inline + 1).count()
+        strategy = "inline" if n_zones <= max_inline else "cells"
     if strategy == "inline":
         rows = _collect_boxes(boxes, max_inline)
         if not rows:
@@ -181,7 +188,7 @@ def assign_zones(
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
-def zone_stats(obs: DataFrame, boxes: DataFrame, strategy: str = "inline", method: str = "exact", **kw) -> DataFrame:
+def zone_stats(obs: DataFrame, boxes: DataFrame, strategy: str = "auto", method: str = "exact", **kw) -> DataFrame:
     """Five measures per (zone, date), ordered; zones with no pixel give no row."""
     if strategy == "union":
         # one filtered scan per zone (literal box -> pushed into the scan),

@@ -125,3 +125,17 @@ def test_pivot_duplicate_is_error(spark):
     df = spark.createDataFrame([("A", "d1", 0.1), ("A", "d1", 0.2)], "zone string, date string, ndvi_mean double")
     with pytest.raises(Exception, match="duplicate"):
         zones.zone_pivot(df).collect()
+
+
+def test_auto_strategy_switches_to_cells_for_many_zones(spark):
+    from rastercube.schema import ZONE_BOXES
+
+    o = td.obs(spark, SF001)
+    many = spark.createDataFrame([(f"z{i}", 10 * i, 10 * i + 200, 0, 400) for i in range(80)], ZONE_BOXES)
+    tagged = zones.assign_zones(o, many, "auto", cell=250)
+    assert "Join" in tagged._jdf.queryExecution().executedPlan().toString()
+    few = zones.assign_zones(o, td.test_boxes(spark), "auto")
+    assert "Join" not in few._jdf.queryExecution().executedPlan().toString()
+    a = _stats(zones.zone_stats(o, many))
+    b = _stats(zones.zone_stats(o, many, strategy="union", max_inline=100))
+    assert a == b
