@@ -137,5 +137,5 @@ def test_auto_strategy_switches_to_cells_for_many_zones(spark):
     few = zones.assign_zones(o, td.test_boxes(spark), "auto")
     assert "Join" not in few._jdf.queryExecution().executedPlan().toString()
     a = _stats(zones.zone_stats(o, many))
-    b = _stats(zones.zone_stats(o, many, strategy="union", max_inline=100))
+    b = _stats(zones.zone_stats(o, many, strategy="inline", max_inline=100))
     assert a == b
