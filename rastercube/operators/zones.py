@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from rastercube.functions.geo import utm_columns
 from rastercube.operators.stats import five_measures
-from rastercube.schema import ZONE_BOXES, ZONES
+from rastercube.schema import ZONES
 
 # The reference's zones (name, lon, lat, radius km) and the
 # georeference it uses for its tile (origin easting/northing of the

@@ -19,7 +19,7 @@ from rastercube.functions.columns import normalized_difference
 from rastercube.functions.paths import resolve_path
 from rastercube.operators import catalog as cat
 from rastercube.operators import grid, zones
-from rastercube.operators.stats import date_stats, five_measures, observation_count
+from rastercube.operators.stats import date_stats, observation_count
 from rastercube.operators.bands import valid_mask
 from rastercube.sources import testdata as td
 from rastercube.sources.archives import resolve_bands

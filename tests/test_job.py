@@ -3,7 +3,6 @@ import os
 
 from pyspark.sql import functions as F
 
-from rastercube.operators import grid
 from rastercube.operators.stats import date_stats
 from rastercube.plans import job
 from rastercube.sources import store
