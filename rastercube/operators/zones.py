@@ -155,7 +155,9 @@ def assign_zones(
         pre = obs.filter(reduce(lambda a, b: a | b, [
             in_box(F.lit(r.row_min), F.lit(r.row_max), F.lit(r.col_min), F.lit(r.col_max)) for r in rows
         ]) & _envelope(rows))
-        return pre.withColumn("zone", F.explode(F.array_compact(tags)))
+        # explode the plain array and drop the NULL tags afterwards: no lambda,
+        # so the generator stays inside whole-stage code generation
+        return pre.withColumn("zone", F.explode(tags)).filter(F.col("zone").isNotNull())
     if strategy == "cells":
         b = boxes.select("zone", "row_min", "row_max", "col_min", "col_max")
         cells = b.select(
@@ -218,16 +220,20 @@ def date_and_zone_stats(
     twice per statistics table.
     """
     rows = _collect_boxes(boxes, max_inline)
-    tags = F.array_compact(
-        F.array(
-            *[
-                F.when(in_box(F.lit(r.row_min), F.lit(r.row_max), F.lit(r.col_min), F.lit(r.col_max)), F.lit(r.zone))
-                for r in rows
-            ]
-        )
-    ) if rows else F.array().cast("array<string>")
-    all_tags = F.concat(F.array(F.lit(None).cast("string")), tags)
-    tagged = obs.select("date", "row", "col", "ndvi").withColumn("zone", F.explode(all_tags))
+    scene = "\u0000scene"  # stands for the whole-scene group until after the explode
+    tags = F.array(
+        F.lit(scene),
+        *[
+            F.when(in_box(F.lit(r.row_min), F.lit(r.row_max), F.lit(r.col_min), F.lit(r.col_max)), F.lit(r.zone))
+            for r in rows
+        ],
+    )
+    tagged = (
+        obs.select("date", "row", "col", "ndvi")
+        .withColumn("zone", F.explode(tags))
+        .filter(F.col("zone").isNotNull())
+        .withColumn("zone", F.when(F.col("zone") != scene, F.col("zone")))
+    )
     both = five_measures(tagged, ["zone", "date"], method=method)
     by_date = both.filter(F.col("zone").isNull()).drop("zone").orderBy("date")
     by_zone = both.filter(F.col("zone").isNotNull()).orderBy("zone", "date")
