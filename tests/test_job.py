@@ -55,3 +55,14 @@ def test_select_to_manifest(spark, tmpdir_path):
     assert ids == ["p0", "p2", "p3", "p4", "p5", "p6", "p7", "p8"]
     m = read_manifest(spark, out, multi_line=False).orderBy("date").collect()
     assert [r.date for r in m][:2] == ["2024-01-01", "2024-03-01"]
+
+
+def test_materialize_and_preview(spark, capsys):
+    from fixtures import obs_df
+
+    o = store.materialize(obs_df(spark))
+    assert o.is_cached and o.count() == 5
+    store.preview(o, 2, schema=True)
+    out = capsys.readouterr().out
+    assert "ndvi" in out and "only showing top 2 rows" in out
+    o.unpersist()
