@@ -7,13 +7,18 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-DEFAULT_CONF = {
+# Defaults applied only where the session has no explicit value (so settings
+# from spark-submit or the cluster win).
+SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.python.filterPushdown.enabled": "true",
+}
+# Fixed at start-up: no web UI and no console progress bars.
+STARTUP_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -28,15 +33,17 @@ def build_session(
 
     ``master`` falls back to ``$SPARK_MASTER`` and then ``local[*]``.  On a
     cluster the master, executor sizing and ``spark.checkpoint.dir`` come from
-    the submit configuration; this helper only fills what is missing.
+    the submit configuration.  ``conf`` is applied as given; ``SQL_DEFAULTS``
+    only where nothing is set yet.
     """
     master = master or os.environ.get("SPARK_MASTER") or "local[*]"
     builder = SparkSession.builder.master(master).appName(app)
-    merged = dict(DEFAULT_CONF)
-    merged.update(conf or {})
-    for k, v in merged.items():
+    for k, v in {**STARTUP_CONF, **(conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    for k, v in SQL_DEFAULTS.items():
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("WARN")
     checkpoint_dir(spark)
     return spark
