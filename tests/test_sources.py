@@ -175,3 +175,12 @@ def test_tile_source_scale_offset_matches_dataframe_path(spark, tmpdir_path):
         else:
             assert a[k] == pytest.approx(b[k], abs=1e-6)
     assert any(v is None for v in a.values())  # zero reflectance sums become NULL
+
+
+def test_tile_decoder_by_import_path_and_missing_codec(spark, tmpdir_path):
+    tiles = _tiles(tmpdir_path)
+    recs = spark.createDataFrame([(p, d, n) for n, d, _, _, p in tiles], "path string, date string, name string")
+    df = load_tiles(spark, recs, step=10, strip_rows=6, tile_pixels=60, decoder="rastercube.sources.tiles:NPY_DECODER")
+    assert sorted(tuple(r) for r in df.collect()) == _expected(tiles, 10)
+    with pytest.raises(Exception, match="JPEG-2000"):
+        load_tiles(spark, recs, step=10, tile_pixels=60, decoder="jp2").collect()
