@@ -167,11 +167,6 @@ def grouped_summary(
         dev.alias("_dev"),
         F.coalesce(F.sum("c").over(wb), F.lit(0)).alias("_before"),
     ).persist(StorageLevel.MEMORY_AND_DISK)  # small and reused: group measures, targets
-    groups = per.groupBy(*keys).agg(
-        F.first("_n").alias("_n"),
-        F.first("_mean").alias("_mean"),
-        F.sum("_dev").alias("_m2"),
-    )
 
     # Ranks (0-based) needed by every probability: floor and ceil of p*(n-1);
     # each bucket emits the ranks that fall inside it (no join needed).
@@ -227,16 +222,17 @@ def grouped_summary(
         )
         resolved = resolved.unionByName(picked)
 
-    # Group measures and rank values meet in one aggregation (no join).
+    # The histogram rows (group measures, second-moment parts) and the rank
+    # values meet in one aggregation per group (no join).
     null_d = F.lit(None).cast("double")
     null_l = F.lit(None).cast("long")
-    both = groups.select(*keys, "_n", "_mean", "_m2", null_l.alias("k"), null_d.alias("val")).unionByName(
-        resolved.select(*keys, null_l.alias("_n"), null_d.alias("_mean"), null_d.alias("_m2"), F.col("k").cast("long").alias("k"), "val")
+    both = per.select(*keys, "_n", "_mean", "_dev", null_l.alias("k"), null_d.alias("val")).unionByName(
+        resolved.select(*keys, null_l.alias("_n"), null_d.alias("_mean"), null_d.alias("_dev"), F.col("k").cast("long").alias("k"), "val")
     )
     out = both.groupBy(*keys).agg(
         F.max("_n").alias("_n"),
         F.max("_mean").alias("_mean"),
-        F.max("_m2").alias("_m2"),
+        F.sum("_dev").alias("_m2"),
         F.map_from_entries(F.collect_list(F.when(F.col("k").isNotNull(), F.struct("k", "val")))).alias("_m"),
     )
 
