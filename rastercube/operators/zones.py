@@ -117,6 +117,18 @@ def _collect_boxes(boxes: DataFrame, limit: int) -> list:
     return rows
 
 
+def _literal_box(r) -> Column:
+    return in_box(F.lit(r.row_min), F.lit(r.row_max), F.lit(r.col_min), F.lit(r.col_max))
+
+
+def _tag_array(rows, first: Column | None = None) -> Column:
+    """``array(first?, CASE WHEN in box THEN zone END, ...)``: exploded as is and
+    NULL tags dropped afterwards -- no lambda, so the generator stays inside
+    whole-stage code generation."""
+    tags = [F.when(_literal_box(r), F.lit(r.zone)) for r in rows]
+    return F.array(*([first] if first is not None else []), *tags)
+
+
 def _envelope(rows) -> Column:
     return in_box(
         F.lit(min(r.row_min for r in rows)),
@@ -146,18 +158,8 @@ def assign_zones(
         rows = _collect_boxes(boxes, max_inline)
         if not rows:
             return obs.limit(0).withColumn("zone", F.lit(None).cast("string"))
-        tags = F.array(
-            *[
-                F.when(in_box(F.lit(r.row_min), F.lit(r.row_max), F.lit(r.col_min), F.lit(r.col_max)), F.lit(r.zone))
-                for r in rows
-            ]
-        )
-        pre = obs.filter(reduce(lambda a, b: a | b, [
-            in_box(F.lit(r.row_min), F.lit(r.row_max), F.lit(r.col_min), F.lit(r.col_max)) for r in rows
-        ]) & _envelope(rows))
-        # explode the plain array and drop the NULL tags afterwards: no lambda,
-        # so the generator stays inside whole-stage code generation
-        return pre.withColumn("zone", F.explode(tags)).filter(F.col("zone").isNotNull())
+        pre = obs.filter(reduce(lambda a, b: a | b, [_literal_box(r) for r in rows]) & _envelope(rows))
+        return pre.withColumn("zone", F.explode(_tag_array(rows))).filter(F.col("zone").isNotNull())
     if strategy == "cells":
         b = boxes.select("zone", "row_min", "row_max", "col_min", "col_max")
         cells = b.select(
@@ -221,16 +223,9 @@ def date_and_zone_stats(
     """
     rows = _collect_boxes(boxes, max_inline)
     scene = "\u0000scene"  # stands for the whole-scene group until after the explode
-    tags = F.array(
-        F.lit(scene),
-        *[
-            F.when(in_box(F.lit(r.row_min), F.lit(r.row_max), F.lit(r.col_min), F.lit(r.col_max)), F.lit(r.zone))
-            for r in rows
-        ],
-    )
     tagged = (
         obs.select("date", "row", "col", "ndvi")
-        .withColumn("zone", F.explode(tags))
+        .withColumn("zone", F.explode(_tag_array(rows, F.lit(scene))))
         .filter(F.col("zone").isNotNull())
         .withColumn("zone", F.when(F.col("zone") != scene, F.col("zone")))
     )
