@@ -22,11 +22,17 @@ def bin_cells(obs: DataFrame, n: int, row: str = "row", col: str = "col") -> Dat
     return obs.withColumn("row_ds", trunc_div_int(row, n)).withColumn("col_ds", trunc_div_int(col, n))
 
 
-def block_means(obs: DataFrame, n: int = 10, value: str = "ndvi") -> DataFrame:
-    """Mean of ``value`` per (date, row_ds, col_ds)."""
+def block_means(obs: DataFrame, n: int = 10, value: str = "ndvi", by: list[str] | None = None) -> DataFrame:
+    """Mean of ``value`` per (date, row_ds, col_ds).
+
+    Pixels of different tiles on one date that share grid coordinates are
+    averaged together, as the reference does; ``by=["tile_id"]`` keeps the
+    tiles apart instead.
+    """
+    by = list(by or [])
     return (
-        bin_cells(obs.select("date", "row", "col", value), n)
-        .groupBy("date", "row_ds", "col_ds")
+        bin_cells(obs.select("date", *by, "row", "col", value), n)
+        .groupBy("date", *by, "row_ds", "col_ds")
         .agg(F.avg(value).alias("ndvi_mean"))
     )
 

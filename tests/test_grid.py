@@ -88,3 +88,12 @@ def test_raster_explode(spark):
     strips = spark.createDataFrame([(0, 0, [1.0, 0.0, 2.0]), (0, 1, [0.0, 0.0, 3.0])], "k int, row int, values array<float>")
     got = sorted(tuple(r) for r in grid.raster_explode(strips, ["k"], step=10).collect())
     assert got == [(0, 0, 0, 1.0), (0, 0, 20, 2.0), (0, 10, 20, 3.0)]
+
+
+def test_block_means_keep_tiles_apart(spark):
+    rows = [("t1", "d", 0, 0, 0.2), ("t2", "d", 0, 0, 0.6)]
+    o = spark.createDataFrame(rows, "tile_id string, date string, row int, col int, ndvi float")
+    pooled = grid.block_means(o, 10).collect()
+    assert len(pooled) == 1 and pooled[0].ndvi_mean == pytest.approx(0.4)
+    apart = {r.tile_id: r.ndvi_mean for r in grid.block_means(o, 10, by=["tile_id"]).collect()}
+    assert apart == {"t1": pytest.approx(0.2), "t2": pytest.approx(0.6)}
