@@ -61,7 +61,7 @@ def main() -> None:
     # warm the JVM once so the first query does not pay for class loading
     td.table(spark, sf_dir, "region").count()
 
-    timed("load_store", lambda: store.write_observations(td.obs(spark, sf_dir), obs_path, partitions=cpus * 2))
+    timed("load_store", lambda: store.write_observations(td.obs(spark, sf_dir), obs_path))
     obs = store.read_observations(spark, obs_path)
     n_obs = obs.count()
     boxes = td.test_boxes(spark)

@@ -1,9 +1,9 @@
 """Parquet observation store, statistics CSVs, cube store (sinks and re-reads).
 
-The observation store is hash-partitioned on ``(date, [tile,] row block)``,
-sorted by row within files and laid out as ``date=...`` folders, so a date
-filter prunes folders and a ``row``/``col`` box prunes row groups by their
-min/max statistics.  Every reader passes an explicit schema (no inference, and the
+The observation store is rebalanced on ``date`` by adaptive execution (hot
+dates split by size, small ones merged), sorted by row within files and laid
+out as ``date=...`` folders, so a date filter prunes folders and a
+``row``/``col`` box prunes row groups by their min/max statistics.  Every reader passes an explicit schema (no inference, and the
 ``date`` partition value stays a string).
 """
 
@@ -34,24 +34,24 @@ def write_observations(
     partitions: int | None = None,
     max_records_per_file: int = 5_000_000,
     mode: str = "overwrite",
-    row_block: int = 500,
 ) -> None:
     """Flat observation store: ``date=...`` folders, files sorted by row.
 
-    Rows are hash-partitioned on ``(date, [tile_id,] row // row_block)``: a
-    date that holds a large share of the pixels still spreads over many
-    keys, and unlike range partitioning no sampling pass re-reads the input
-    (which, straight from the tile source, would decode every tile twice).
+    The ``rebalance`` hint lets adaptive execution hash the rows by date,
+    merge small dates into one task and split a date that holds a large share
+    of the pixels into tasks of the advisory size -- so each task writes one
+    or few date folders (no small-file explosion), a hot date is spread, and
+    no sampling pass re-reads the input (which, straight from the tile
+    source, would decode every tile twice).  ``partitions`` forces an exact
+    hash partitioning on (date, row block) instead.
     """
-    n = partitions or int(obs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col("date")]
-    if "tile_id" in obs.columns:
-        keys.append(F.col("tile_id"))
-    keys.append(F.floor(F.col("row") / row_block))
     keep = [c for c in obs.columns if c != "date"]
+    if partitions:
+        laid = obs.repartition(partitions, F.col("date"), F.floor(F.col("row") / 500))
+    else:
+        laid = obs.hint("rebalance", "date")
     (
-        obs.repartition(n, *keys)
-        .sortWithinPartitions("date", "row", "col")
+        laid.sortWithinPartitions("date", "row", "col")
         .select(*keep, "date")
         .write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
@@ -90,18 +90,20 @@ def write_cube(
 ) -> None:
     """Dense cube partitioned by time index, plus the ordered ``dates`` table.
 
-    Rows are hash-partitioned on ``(t, row_ds // row_block)`` so one time
-    plane is split over many tasks and files (a plane can be a large share of
-    the cube) without a sampling pass that would recompute the cube, and
-    files are sorted by row for row-group pruning.  ``dates`` is the
+    Rows are rebalanced on ``t`` by adaptive execution (a large time plane is
+    split by size, small ones merged; no sampling pass that would recompute
+    the cube), and files are sorted by row for row-group pruning.
+    ``partitions`` forces a hash partitioning on ``(t, row_ds // row_block)``.  ``dates`` is the
     ``(t, date)`` axis; without it the axis is read back from the written
     files.
     """
-    n = partitions or int(cube.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    c = cube.select("row_ds", "col_ds", "value", "date", "t")
+    if partitions:
+        c = c.repartition(partitions, F.col("t"), F.floor(F.col("row_ds") / row_block))
+    else:
+        c = c.hint("rebalance", "t")
     (
-        cube.select("row_ds", "col_ds", "value", "date", "t")
-        .repartition(n, F.col("t"), F.floor(F.col("row_ds") / row_block))
-        .sortWithinPartitions("t", "row_ds", "col_ds")
+        c.sortWithinPartitions("t", "row_ds", "col_ds")
         .write.mode("overwrite")
         .partitionBy("t")
         .parquet(os.path.join(path, "cube"))
