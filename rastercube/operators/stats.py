@@ -22,7 +22,10 @@ def five_measures(
 
     method:
       ``exact``   distributed exact percentiles (default; no group ever sits
-                  whole in one task, see ``operators.quantile``)
+                  whole in one task, see ``operators.quantile``).  It reads
+                  ``df`` twice (column-pruned), so give it a stored or
+                  persisted table -- the job reads the observation store --
+                  rather than an expensive source such as the tile decoder
       ``builtin`` Spark's ``percentile``: one pass, but each group's distinct
                   values are merged in a single task -- only for groups of a
                   known, bounded size
