@@ -66,3 +66,18 @@ def test_materialize_and_preview(spark, capsys):
     out = capsys.readouterr().out
     assert "ndvi" in out and "only showing top 2 rows" in out
     o.unpersist()
+
+
+def test_store_writes_few_files_per_date(spark, tmpdir_path):
+    import glob
+
+    from conftest import SF01
+    from rastercube.sources import testdata as td
+
+    store.write_observations(td.obs(spark, SF01), tmpdir_path)
+    folders = glob.glob(os.path.join(tmpdir_path, "date=*"))
+    assert len(folders) == 83
+    assert max(len(glob.glob(os.path.join(f, "*.parquet"))) for f in folders) <= 2
+    back = store.read_observations(spark, tmpdir_path)
+    assert back.count() == td.obs(spark, SF01).count()
+    assert dict(back.dtypes)["date"] == "string"
