@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from rastercube.llm.common import byte_values, mix64, shuffle_partitions
 
 # Words handled at once in a task, words whose name a worker keeps.
 CHUNK_WORDS, CACHE_WORDS = 300_000, 500_000
-ROUNDS = 4
+ROUNDS = 3
 # Odd multipliers of the running hashes (fixed values).
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 HITS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("row", pa.int64()), ("first", pa.int32()),
@@ -111,14 +112,14 @@ def _chunks(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[p
     """Parts of batches with their texts' words, up to about ``CHUNK_WORDS`` words unless one text has more."""
     for batch in batches:
         begin, words, size = 0, [], 0
-        column = batch.column(text_at)
-        for i in range(batch.num_rows):
-            found = (byte_values(column.slice(i, 1))[0] or b"").split()
-            words.append(found)
-            size += len(found)
-            if size >= CHUNK_WORDS or i + 1 == batch.num_rows:
-                yield batch.slice(begin, i + 1 - begin), words
-                begin, words, size = i + 1, [], 0
+        for i in range(0, batch.num_rows, 16):
+            found = [(t or b"").split() for t in byte_values(batch.column(text_at).slice(i, 16))]
+            words += found
+            size += sum(map(len, found))
+            done = min(i + 16, batch.num_rows)
+            if size >= CHUNK_WORDS or done == batch.num_rows:
+                yield batch.slice(begin, done - begin), words
+                begin, words, size = done, [], 0
 
 
 def _starts(words: list[list[bytes]], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,17 +151,22 @@ def _hits(a: np.ndarray, b: np.ndarray, row: np.ndarray, first: np.ndarray, last
     on[1:] = again[1:] & again[:-1] & (row[1:] == row[:-1]) & (first[1:] == last[:-1] + 1)
     head = np.flatnonzero(~on)
     a, b, row, first, last, sure = a[head], b[head], row[head], first[head], last[np.append(head[1:], len(on)) - 1], sure[head]
+    return _batch(a, b, row, first, last, sure)
+
+
+def _batch(a, b, row, first, last, sure) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(row), pa.array(first.astype(np.int32)),
          pa.array(last.astype(np.int32)), pa.array(sure)], schema=HITS)
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], window: int, rounds: int) -> Iterator[pa.RecordBatch]:
-    """For every run of windows with the same anchor a row (anchor's words as hash, windows first..last).
+    """For every run of windows with the same anchor a row (anchor, context, windows first..last).
 
     A window's anchor is, of the symbols that its words fix, the one of least
-    name.  Equal windows have equal anchors.  A window without such a symbol
-    (one with very long runs) stands for itself.
+    name; it goes by the hash of the words that fix it.  Equal windows have
+    equal anchors.  The context is a hash of all words of the run's windows.
+    A window without such a symbol (one with very long runs) stands for itself.
     """
     for batch, words in _chunks(batches, 2):
         base, doc, start = _starts(words, window)
@@ -175,59 +181,69 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int, rounds: int) -> Ite
         head = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (anchor[1:] < 0) | (doc[1:] != doc[:-1])))
         at = np.flatnonzero(head)
         end = np.append(at[1:], len(head)) - 1
-        spans, own = Spans(names, BASES[0]), anchor[at] < 0
-        a = spans(np.where(own, start[at], lo[anchor[at]]), np.where(own, start[at] + window - 1, hi[anchor[at]]))
-        # the span's length beside its hash; 0 keeps windows that stand for themselves apart
-        b = np.where(own, 0, hi[anchor[at]] - lo[anchor[at]] + 1).astype(np.uint64)
+        own = anchor[at] < 0
+        first = np.where(own, start[at], lo[anchor[at]])
+        last = np.where(own, start[at] + window - 1, hi[anchor[at]])
+        # the length beside the words; 0 keeps windows that stand for themselves apart
+        length = np.where(own, 0, last - first + 1).astype(np.uint64)
+        a = mix64(Spans(names, BASES[0])(first, last) ^ mix64(length, 98))
+        b = Spans(mix64(names, 1), BASES[1])(start[at], start[end] + window - 1)
         row = batch.column(0).to_numpy()[doc[at]]
         yield _hits(a, b, row, start[at] - base[doc[at]], start[end] - base[doc[at]])
 
 
+def _spans(column: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """``(place in the column, field -> values)`` of all spans of a column of lists."""
+    size = np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    flat = column.flatten()
+    return np.repeat(np.arange(len(column)), size), {
+        f.name: flat.field(i).to_numpy(zero_copy_only=False) for i, f in enumerate(flat.type)}
+
+
+def _covered(at: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` positions lie in one of the spans at..last."""
+    change = np.bincount(at, minlength=n + 1) - np.bincount(last + 1, minlength=n + 1)
+    return np.cumsum(change)[:n] > 0
+
+
 def _candidates(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Every window whose anchor occurs elsewhere, by two 64-bit hashes of all its words."""
+    """The runs found equal as a whole, joined; and every window of runs to be compared, by two 64-bit hashes."""
     for batch, words in _chunks(batches, 2):
         base, doc, start = _starts(words, window)
-        if not len(start):
-            continue
-        names = word_names([w for text in words for w in text])
-        spans = batch.column(3).to_pylist()
-        change = np.zeros(base[-1] + 1, np.int64)
-        for at, runs in zip(base, spans):
-            for run in runs:
-                change[at + run["first"]] += 1
-                change[at + run["last"] + 1] -= 1
-        chosen = np.cumsum(change)[start] > 0
+        rows = batch.column(0).to_numpy()
+        place, span = _spans(batch.column(3))
+        first, last = span["first"] + base[place], span["last"] + base[place]
+        done = _covered(first[span["done"]], last[span["done"]], int(base[-1]))
+        edge = np.zeros(int(base[-1]) + 1, bool)
+        edge[base] = True  # runs do not cross texts
+        head = np.flatnonzero(done & (edge[:-1] | ~np.concatenate(([False], done[:-1]))))
+        end = np.flatnonzero(done & (edge[1:] | ~np.append(done[1:], False)))
+        at = np.searchsorted(base, head, "right") - 1
+        if len(head):
+            own = mix64(mix64(rows[at].view(np.uint64)) ^ (head - base[at]).astype(np.uint64), 79)
+            yield _batch(own, mix64(own, 80), rows[at], head - base[at], end - base[at], np.ones(len(head), bool))
+        chosen = _covered(first[span["compare"]], last[span["compare"]], int(base[-1]))[start]
         doc, start = doc[chosen], start[chosen]
-        a, b = (Spans(mix64(names, i), x)(start, start + window - 1) for i, x in enumerate(BASES))
-        first = start - base[doc]
-        yield _hits(a, b, batch.column(0).to_numpy()[doc], first, first)
+        if len(start):
+            names = word_names([w for text in words for w in text])
+            a, b = (Spans(mix64(names, i), x)(start, start + window - 1) for i, x in enumerate(BASES))
+            yield _hits(a, b, rows[doc], start - base[doc], start - base[doc])
 
 
 def _remove(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for i in range(batch.num_rows):
-            words = (byte_values(batch.column(2).slice(i, 1))[0] or b"").split()
-            runs, n = batch.column(3)[i].as_py(), len(words)
-            if runs:
-                change = np.zeros(n + 1, np.int64)
-                np.add.at(change, [r["first"] for r in runs], 1)
-                np.add.at(change, [r["last"] + window for r in runs], -1)
-                keep = np.cumsum(change)[:-1] == 0
-                words = [w for w, k in zip(words, keep.tolist()) if k]
-            out.append((b" ".join(words).decode(), n, n - len(words)))
+    for batch, words in _chunks(batches, 2):
+        base = np.concatenate(([0], np.cumsum([len(w) for w in words])))
+        place, span = _spans(batch.column(3))
+        gone = _covered(span["first"] + base[place], span["last"] + base[place] + window - 1, int(base[-1]))
+        removed = np.concatenate(([0], np.cumsum(gone)))[base]
+        removed = removed[1:] - removed[:-1]
+        kept = [b" ".join(compress(w, (~gone[i: i + len(w)]).tolist()) if r else w)
+                for w, i, r in zip(words, base.tolist(), removed.tolist())]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(1), *[pa.array([x[i] for x in out], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64()))]],
+            [batch.column(1), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(np.diff(base)), pa.array(removed)],
             names=["doc_id", "kept_text", "n_words", "n_removed"])
 
 
-def _met(hits: DataFrame, parts: int) -> DataFrame:
-    """``(row, spans)``: the runs of windows of each row that are sure or meet another of equal (a, b)."""
-    hits = hits.repartition(parts, "a", "b")
-    hits = hits.withColumn("n", F.count("*").over(Window.partitionBy("a", "b"))).where("sure or n > 1")
-    return hits.groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-
-
 def remove_repeats(docs: DataFrame, window: int = 35, rounds: int = ROUNDS, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """A row per document: doc_id, kept_text, n_words, n_removed.
@@ -239,8 +255,10 @@ def remove_repeats(docs: DataFrame, window: int = 35, rounds: int = ROUNDS, id_c
 
     1. :func:`recompress` names runs and pairs in rounds; every window's
        anchor (:func:`_anchors`) goes to where equal anchors meet.
-    2. Windows whose anchor occurs elsewhere are verified by all their words
-       (128 bits of hash), again where equal ones meet.
+       Runs whose contexts are equal too repeat as a whole.  Of runs of one
+       anchor with different contexts, one for each context goes on.
+    2. Their windows are verified one by one, by all their words (128 bits of
+       hash), again where equal ones meet.
     3. Words under verified windows are taken out.
 
     A passage repeated very often is combined in each task first, so no task
@@ -254,8 +272,16 @@ def remove_repeats(docs: DataFrame, window: int = 35, rounds: int = ROUNDS, id_c
     parts = shuffle_partitions(docs)
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                         F.col(text_col).cast("string").alias("text")).repartition(parts, "row")
-    found = _met(texts.mapInArrow(partial(_anchors, window=window, rounds=rounds), HITS_DDL), parts)
+    hits = texts.mapInArrow(partial(_anchors, window=window, rounds=rounds), HITS_DDL).repartition(parts, "a")
+    equal = Window.partitionBy("a", "b")
+    hits = hits.withColumn("nth", F.row_number().over(equal.orderBy("row", "first"))).withColumn(
+        "equal", F.count("*").over(equal)).withColumn("all", F.count("*").over(Window.partitionBy("a")))
+    hits = hits.withColumn("done", F.expr("sure or equal > 1")).withColumn("compare", F.expr("all > equal and nth = 1"))
+    found = hits.where("done or compare").groupBy("row").agg(
+        F.collect_list(F.struct("first", "last", "done", "compare")).alias("spans"))
     near = texts.join(found.hint("shuffle_hash"), "row")
-    true = _met(near.mapInArrow(partial(_candidates, window=window), HITS_DDL), parts)
+    hits = near.mapInArrow(partial(_candidates, window=window), HITS_DDL).repartition(parts, "a", "b")
+    hits = hits.withColumn("equal", F.count("*").over(equal)).where("sure or equal > 1")
+    true = hits.groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     return texts.join(true.hint("shuffle_hash"), "row", "left").mapInArrow(
         partial(_remove, window=window), "doc_id long, kept_text string, n_words long, n_removed long")
