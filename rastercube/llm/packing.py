@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -19,6 +20,7 @@ SCHEMA = pa.schema([
 DDL = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
        "offset long")
 CACHE_WORDS, CACHE_LENGTH = 400_000, 48
+STOPS = frozenset(".,;:!?")
 
 
 class WordIds(dict):
@@ -32,15 +34,34 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
+        self.old: dict = {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.asarray(self.encoder.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.encode(word)
         if len(word) <= CACHE_LENGTH:
-            if len(self) >= CACHE_WORDS:
+            if len(self) >= CACHE_WORDS:  # words in use come back from the old half
+                self.old = dict(self)
                 self.clear()
             self[word] = ids
         return ids
 
+    def encode(self, word: str) -> bytes:
+        """The ids of a word seen for the first time.
+
+        The tokenizer lowers case and splits letters from other characters.
+        For Latin-1 letters that is simple enough to be done here, so that a
+        word, its capitalised form and its forms before a stop share an entry.
+        """
+        stem = word[:-1] if word[-1:] in STOPS else word
+        if stem.isalpha() and max(stem) <= "\xff":
+            low = stem.lower()
+            if low != word:
+                return self[low] + (b"" if stem is word else self[word[-1]])
+        ids = self.encoder.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def ids(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
