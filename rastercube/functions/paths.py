@@ -13,8 +13,9 @@ MOUNT_ROOT = "/mnt/"
 
 
 def basename(path: str | Column) -> Column:
-    """Last component, splitting on both ``/`` and ``\\``."""
-    return F.regexp_extract(col_(path), r"([^/\\]*)$", 1)
+    """Last component, splitting on both ``/`` and ``\\``; the drive of a
+    drive-relative name (``C:name``) is not part of it."""
+    return F.regexp_extract(col_(path), r"^(?:[A-Za-z]:)?(?:.*[/\\])?([^/\\]*)$", 1)
 
 
 def drive_to_mount(path: str | Column) -> Column:

@@ -145,7 +145,9 @@ def select_acquisitions(cat: DataFrame, n: int = N_ACQUISITIONS, months: list[in
     order_arr = F.array(*[F.lit(m) for m in months])
     best = month_best(cat).withColumn("_p", F.array_position(order_arr, F.col("month")))
     chosen = best.filter(F.col("_p") > 0).orderBy("_p").limit(n).drop("_p")
-    k = chosen.count()
+    # at most one product a month: kept as literal rows, so the catalogue is not read again for them
+    winners = chosen.collect()
+    chosen, k = cat.sparkSession.createDataFrame(winners, chosen.schema), len(winners)
     picked = chosen
     if k < n:
         rest = cat.join(chosen.select("id"), "id", "left_anti")

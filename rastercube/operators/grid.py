@@ -90,14 +90,23 @@ def _extent(means: DataFrame, extent: tuple[int, int, int] | None):
     return int(ext.n_rows), int(ext.n_cols), int(ext.n_dates)
 
 
-def dense_cube(means: DataFrame, partitions: int | None = None, extent: tuple[int, int, int] | None = None) -> DataFrame:
+STRIP = 64  # columns of a strip
+
+
+def dense_cube(
+    means: DataFrame,
+    partitions: int | None = None,
+    extent: tuple[int, int, int] | None = None,
+    by_time: bool = False,
+) -> DataFrame:
     """Every (t, row_ds, col_ds) cell of the lattice; value FLOAT, NULL = missing.
 
-    Block means are gathered per (date, row strip) into a ``col -> value``
-    map (bounded by the grid width); a ``dates x rows`` lattice from
-    ``spark.range`` supplies strips without any data.  The dense rows are
-    generated by exploding each strip after the last shuffle, so the full
-    ``rows x cols x dates`` volume is never shuffled or joined.
+    Block means are gathered per (date, row, strip of ``STRIP`` columns) into
+    a ``col -> value`` map; a lattice from ``spark.range`` supplies strips
+    without any data.  The dense rows are generated by exploding each strip
+    after the last shuffle, so the full ``rows x cols x dates`` volume is never
+    shuffled or joined, and the work grows with the width, not its square.
+    ``by_time`` rebalances the strips on ``t`` for ``store.write_cube``.
     """
     spark = means.sparkSession
     ext = _extent(means, extent)
@@ -105,22 +114,30 @@ def dense_cube(means: DataFrame, partitions: int | None = None, extent: tuple[in
         return spark.createDataFrame([], "t int, date string, row_ds int, col_ds int, value float")
     n_rows, n_cols = ext[0], ext[1]
     d, n_dates = _checked_dates(time_axis(means), n=ext[2])
+    n_strips = -(-n_cols // STRIP)
     strips = (
         means.join(d, "date")
-        .groupBy("t", "row_ds")
+        .groupBy("t", "row_ds", F.floor(F.col("col_ds") / STRIP).cast("int").alias("_s"))
         .agg(F.map_from_entries(F.collect_list(F.struct("col_ds", F.col("ndvi_mean").cast("float")))).alias("_m"))
     )
-    total = n_dates * n_rows
-    # each strip explodes into n_cols rows: aim at ~1M output rows per partition
-    parts = partitions or max(1, min(total * n_cols // 1_000_000 + 1, 100_000))
+    total = n_dates * n_rows * n_strips
+    # each strip explodes into STRIP rows: aim at ~1M output rows per partition
+    parts = partitions or max(1, min(total * STRIP // 1_000_000 + 1, 100_000))
+    plane = n_rows * n_strips
     lattice = spark.range(0, total, 1, parts).select(
-        (F.col("id") / F.lit(n_rows)).cast("int").alias("t"),
-        (F.col("id") % F.lit(n_rows)).cast("int").alias("row_ds"),
+        F.floor(F.col("id") / F.lit(plane)).cast("int").alias("t"),
+        F.floor((F.col("id") % F.lit(plane)) / F.lit(n_strips)).cast("int").alias("row_ds"),
+        (F.col("id") % F.lit(n_strips)).cast("int").alias("_s"),
+    )
+    dense = lattice.join(strips, ["t", "row_ds", "_s"], "left").join(d, "t")
+    if by_time:
+        dense = dense.hint("rebalance", "t")
+    first = F.col("_s") * STRIP
+    cells = F.transform(
+        F.sequence(first, F.least(first + STRIP, F.lit(n_cols)) - 1), lambda c: F.element_at(F.col("_m"), c)
     )
-    dense = lattice.join(strips, ["t", "row_ds"], "left").join(d, "t")
-    cells = F.transform(F.sequence(F.lit(0), F.lit(n_cols - 1)), lambda c: F.element_at(F.col("_m"), c))
-    return dense.select("t", "date", "row_ds", F.posexplode(cells).alias("col_ds", "value")).select(
-        "t", "date", "row_ds", F.col("col_ds").cast("int").alias("col_ds"), "value"
+    return dense.select("t", "date", "row_ds", "_s", F.posexplode(cells).alias("col_ds", "value")).select(
+        "t", "date", "row_ds", (F.col("col_ds") + F.col("_s") * STRIP).cast("int").alias("col_ds"), "value"
     )
 
 

@@ -219,30 +219,43 @@ def date_and_zone_stats(
     Each pixel is tagged with a NULL "whole scene" key plus every zone that
     contains it, and one grouped summary runs over ``(zone, date)``.  The
     exact percentiles read the observations twice in total, instead of
-    twice per statistics table.
+    twice per statistics table.  Any number of zones: beyond ``max_inline``
+    the zone rows come from the cell join instead of literal boxes.
     """
-    rows = _collect_boxes(boxes, max_inline)
-    scene = "\u0000scene"  # stands for the whole-scene group until after the explode
-    tagged = (
-        obs.select("date", "row", "col", "ndvi")
-        .withColumn("zone", F.explode(_tag_array(rows, F.lit(scene))))
-        .filter(F.col("zone").isNotNull())
-        .withColumn("zone", F.when(F.col("zone") != scene, F.col("zone")))
-    )
+    pixels = obs.select("date", "row", "col", "ndvi")
+    if boxes.limit(max_inline + 1).count() > max_inline:
+        whole = pixels.withColumn("zone", F.lit(None).cast("string"))
+        tagged = whole.unionByName(assign_zones(pixels, boxes, "cells"))
+    else:
+        rows = _collect_boxes(boxes, max_inline)
+        scene = "\u0000scene"  # stands for the whole-scene group until after the explode
+        alone = F.array(F.lit(scene))
+        tags = alone
+        if rows:  # only a pixel inside some box fans out
+            inside = reduce(lambda a, b: a | b, [_literal_box(r) for r in rows])
+            tags = F.when(inside, _tag_array(rows, F.lit(scene))).otherwise(alone)
+        tagged = (
+            pixels.withColumn("zone", F.explode(tags))
+            .filter(F.col("zone").isNotNull())
+            .withColumn("zone", F.when(F.col("zone") != scene, F.col("zone")))
+        )
     both = five_measures(tagged, ["zone", "date"], method=method)
     by_date = both.filter(F.col("zone").isNull()).drop("zone").orderBy("date")
     by_zone = both.filter(F.col("zone").isNotNull()).orderBy("zone", "date")
     return by_date, by_zone
 
 
-def zone_pivot(stats: DataFrame, measure: str = "ndvi_mean", digits: int | None = 3) -> DataFrame:
+def zone_pivot(
+    stats: DataFrame, measure: str = "ndvi_mean", digits: int | None = 3, names: list[str] | None = None
+) -> DataFrame:
     """date x zone table of one measure; zone columns sorted, missing = NULL;
-    a duplicate (date, zone) is an error."""
+    a duplicate (date, zone) is an error.  ``names`` spares Spark the search
+    for the zones (and its limit on their number)."""
     v = F.round(F.col(measure), digits) if digits is not None else F.col(measure)
     one = F.when(
         F.count(F.lit(1)) > 1, F.raise_error(F.lit("duplicate (date, zone) in pivot input"))
     ).otherwise(F.max(v))
-    return stats.groupBy("date").pivot("zone").agg(one).orderBy("date")
+    return stats.groupBy("date").pivot("zone", names).agg(one).orderBy("date")
 
 
 def zone_error_bars(stats: DataFrame) -> DataFrame:

@@ -42,6 +42,9 @@ def _timed(res: JobResult, name: str, fn):
     return out
 
 
+MAX_PIVOT_ZONES = 10_000
+
+
 def load_observations(
     spark: SparkSession, manifest_path: str, data_dir: str | None = None, multi_line: bool = True, **tile_options
 ) -> DataFrame:
@@ -84,7 +87,9 @@ def run(
 
     _timed(res, "statistics", stats_step)
     zs = store.read_stats_csv(spark, zpath, zones=True, parse_dates=False)
-    store.write_csv(zones.zone_pivot(zs), os.path.join(out_dir, "zone_pivot"))
+    names = [r.zone for r in boxes.select("zone").distinct().orderBy("zone").limit(MAX_PIVOT_ZONES + 1).collect()]
+    if len(names) <= MAX_PIVOT_ZONES:  # a table has only so many columns; the long form below has all zones
+        store.write_csv(zones.zone_pivot(zs, names=names), os.path.join(out_dir, "zone_pivot"))
     zs.transform(zones.zone_series).write.mode("overwrite").parquet(os.path.join(out_dir, "zone_series"))
 
     cube_dir = os.path.join(out_dir, "cube")
@@ -92,8 +97,8 @@ def run(
     def cube_step():
         means = grid.block_means(o, block)
         # extent from two integer columns of the store, not from the means
-        cube = grid.dense_cube(means, extent=grid.extent_from_obs(o, block))
-        store.write_cube(cube, cube_dir, dates=grid.time_axis(o))
+        cube = grid.dense_cube(means, extent=grid.extent_from_obs(o, block), by_time=True)
+        store.write_cube(cube, cube_dir, dates=grid.time_axis(o), laid_out=True)
 
     _timed(res, "cube", cube_step)
     cube, _ = store.read_cube(spark, cube_dir)
@@ -117,6 +122,7 @@ def select_to_manifest(
     start_before: str | None = None,
     max_cloud: float | None = None,
     n: int = 8,
+    point: tuple[float, float] | None = None,
 ) -> DataFrame:
     """Catalogue products (JSON, one product per line) -> predicates ->
     acquisition choice -> manifest written as JSON lines.  Returns the
@@ -125,11 +131,13 @@ def select_to_manifest(
     from rastercube.schema import CATALOG_PRODUCT
     from rastercube.sources.manifest import write_manifest
 
-    products = spark.read.schema(CATALOG_PRODUCT).json(products_path)
+    products = spark.read.schema(CATALOG_PRODUCT).option("mode", "FAILFAST").json(products_path)
     products = products.withColumn("start", F.to_timestamp("ContentDate.Start"))
     found = cat.catalog_filter(
         products, start_after=start_after, start_before=start_before, name_contains=tile, max_cloud=max_cloud
     )
+    if point is not None:  # only products whose footprint holds the (lon, lat)
+        found = found.filter(cat.footprint_contains(*point))
     chosen = cat.select_acquisitions(cat.flatten(found), n=n)
     write_manifest(cat.manifest_rows(chosen, path_prefix), out_path)
     return chosen
@@ -150,6 +158,7 @@ def main(argv: list[str] | None = None) -> None:
     sel.add_argument("--after")
     sel.add_argument("--before")
     sel.add_argument("--max-cloud", type=float)
+    sel.add_argument("--point", type=float, nargs=2, metavar=("LON", "LAT"))
     run_p = sub.add_parser("run", help="load tiles and write statistics, cube and chart tables")
     run_p.add_argument("--manifest", required=True)
     run_p.add_argument("--out", required=True)
@@ -162,7 +171,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     if args.cmd == "select":
         chosen = select_to_manifest(
-            spark, args.products, args.out, args.path_prefix, args.tile, args.after, args.before, args.max_cloud
+            spark, args.products, args.out, args.path_prefix, args.tile, args.after, args.before, args.max_cloud,
+            point=tuple(args.point) if args.point else None,
         )
         store.preview(chosen)
     else:

@@ -9,11 +9,18 @@ to 6 digits.
 
 from __future__ import annotations
 
-from rastercube.functions.geo import ALPHA, ECC_TERM, RECT_A, UTM_FALSE_EASTING, UTM_K0, central_meridian
-from rastercube.operators.zones import TILE_ORIGIN_X, TILE_ORIGIN_Y, PIXEL_SIZE, TILE_PIXELS
 from rastercube.plans import queries as Q
 from rastercube.sources.testdata import TEST_BOXES
 
+# Fixed values, stated here on their own: the projection's published series
+# for WGS 84 (alpha 1 to 6, eccentricity, rectifying radius), zone 33, and the tile.
+ALPHA = [0.0008377318206244698, 7.608527773572307e-07, 1.1976455033294527e-09,
+         2.4291706072013587e-12, 5.711757677865804e-15, 1.4911177312583895e-17]
+ECC_TERM = 0.08181919084262149
+RECT_A = 6367449.145823415
+UTM_FALSE_EASTING, UTM_K0, CENTRAL_MERIDIAN = 500000.0, 0.9996, 15.0
+TILE_ORIGIN_X, TILE_ORIGIN_Y, PIXEL_SIZE, TILE_PIXELS = 300000.0, 4700040.0, 10.0, 10980
+
 RAW_OBS = """raw_obs AS (
   SELECT strftime(l_shipdate, '%Y-%m') AS date,
          CAST((l_orderkey % 100) * 10 AS INTEGER) AS row,
@@ -71,7 +78,7 @@ def _utm_sql(lon: str, lat: str) -> tuple[str, str, str, str]:
     Returns (easting, northing) in terms of columns ``xi_p``/``eta_p``, and
     the expressions for those two columns.
     """
-    cm = float(central_meridian(33))
+    cm = CENTRAL_MERIDIAN
     phi = f"radians({lat})"
     lam = f"radians({lon} - {cm!r})"
     t = f"sinh(atanh(sin({phi})) - {ECC_TERM!r} * atanh({ECC_TERM!r} * sin({phi})))"
@@ -130,6 +137,7 @@ PATHS = r"""p AS (
            WHEN 0 THEN 'C:\data\raw\S2_' || o_orderkey || '.zip'
            WHEN 1 THEN 'd:/tiles/' || o_orderstatus || '\S2_' || o_orderkey || '.zip'
            WHEN 2 THEN '/mnt/e/raw/S2_' || o_orderkey || '.zip'
+           WHEN 3 THEN CASE WHEN o_orderkey % 8 = 3 THEN 'C:' ELSE '' END || 'S2_' || o_orderkey || '.zip'
            ELSE 'S2_' || o_orderkey || '.zip' END AS path
   FROM orders)"""
 
@@ -171,17 +179,17 @@ FLAT = """fc AS (
   FROM orders)"""
 
 
-def _selection(lo: str, hi: str) -> str:
+def _selection(n: int) -> str:
     months = ", ".join(str(m) for m in [1, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12])
     return f"""WITH {FLAT},
-c AS (SELECT * FROM fc WHERE start > TIMESTAMP '{lo}' AND start < TIMESTAMP '{hi}'),
+c AS (SELECT * FROM fc),
 best AS (SELECT id, start, month, cloud FROM (
   SELECT *, row_number() OVER (PARTITION BY month ORDER BY cloud, start, id) AS rn FROM c) WHERE rn = 1),
 chosen AS (SELECT id, start, month, cloud FROM best WHERE month IN ({months})
-           ORDER BY list_position([{months}], month) LIMIT 8),
+           ORDER BY list_position([{months}], month) LIMIT {n}),
 fill AS (SELECT id, start, month, cloud FROM (
   SELECT *, row_number() OVER (ORDER BY cloud, start, id) AS rn FROM c WHERE id NOT IN (SELECT id FROM chosen))
-  WHERE rn <= 8 - (SELECT count(*) FROM chosen))
+  WHERE rn <= {n} - (SELECT count(*) FROM chosen))
 SELECT * FROM chosen UNION ALL SELECT * FROM fill"""
 
 
@@ -215,6 +223,11 @@ FROM raw_obs GROUP BY date""",
     "zone_stats": ZONE_STATS,
     "zone_stats_cells": ZONE_STATS,
     "zone_stats_union": ZONE_STATS,
+    "date_and_zone_stats": f"""WITH {OBS},
+cb AS (SELECT 'z' || c_custkey AS zone, (c_custkey * 37) % 900 AS r, (c_custkey * 53) % 900 AS c FROM customer)
+SELECT b.zone, o.date, {measures()} FROM obs o JOIN cb b
+  ON o.row BETWEEN b.r AND b.r + 20 AND o.col BETWEEN b.c AND b.c + 30 GROUP BY b.zone, o.date
+UNION ALL SELECT '*' AS zone, date, {measures()} FROM obs GROUP BY date""",
     "zone_utm": f"WITH {UTM} SELECT zone, round(easting, 3) AS easting, round(northing, 3) AS northing FROM utm",
     "zone_bounds": f"""WITH {BOUNDS}
 SELECT zone, greatest(row_min, 0) AS row_min, greatest(row_max, 0) AS row_max,
@@ -273,7 +286,7 @@ SELECT path,
             THEN '/mnt/' || lower(regexp_extract(path, '^([A-Za-z]):[/\\](.*)', 1)) || '/' ||
                  regexp_replace(regexp_extract(path, '^([A-Za-z]):[/\\](.*)', 2), '\\', '/', 'g')
             ELSE path END AS local_path,
-       '/data/raw/' || regexp_extract(path, '([^/\\]*)$', 1) AS pod_path
+       '/data/raw/' || regexp_replace(list_last(string_split(replace(path, '\', '/'), '/')), '^[A-Za-z]:', '') AS pod_path
 FROM p""",
     "band_resolve": "WITH " + LISTING + r""",
 bands AS (SELECT unnest(['B04', 'B08']) AS band),
@@ -293,6 +306,12 @@ SELECT Id, CASE WHEN list_filter(Attributes, lambda a: a.Name = 'cloudCover')[1]
                 ELSE coalesce(CAST(list_filter(Attributes, lambda a: a.Name = 'cloudCover')[1].Value AS DOUBLE), 100.0::DOUBLE)
            END AS cloud
 FROM cat""",
+    "catalog_max_cloud": f"""WITH {NESTED},
+c AS (SELECT *, CASE WHEN list_filter(Attributes, lambda a: a.Name = 'cloudCover')[1] IS NULL THEN 50.0::DOUBLE
+                ELSE coalesce(CAST(list_filter(Attributes, lambda a: a.Name = 'cloudCover')[1].Value AS DOUBLE), 100.0::DOUBLE)
+           END AS cloud FROM cat)
+SELECT Id, Name FROM c WHERE Collection = 'SENTINEL-2' AND cloud < 20.0
+  AND coalesce(len(list_filter(Attributes, lambda a: a.Name = 'productType' AND a.Value = 'S2MSI2A')) > 0, false)""",
     "catalog_filter": f"""WITH {NESTED}
 SELECT Id, Name, start_iso FROM cat
 WHERE Collection = 'SENTINEL-2' AND start > TIMESTAMP '{Q.SEARCH_WINDOW[0]}' AND start < TIMESTAMP '{Q.SEARCH_WINDOW[1]}'
@@ -307,6 +326,6 @@ SELECT month, count(*) AS n_products, round(min(cloud), 6) AS min_cloud, min(sta
     "month_best": f"""WITH {FLAT}
 SELECT month, id, start, cloud FROM (
   SELECT *, row_number() OVER (PARTITION BY month ORDER BY cloud, start, id) AS rn FROM fc) WHERE rn = 1""",
-    "select_acquisitions": _selection(*Q.CATALOG_WINDOW),
-    "select_acquisitions_fill": _selection(*Q.CATALOG_WINDOW_FILL),
+    "select_acquisitions": _selection(8),
+    "select_acquisitions_fill": _selection(20),
 }

@@ -35,8 +35,8 @@ BBOX = (200, 600, 100, 450)
 ZONE_CELL = 250
 RESAMPLE_BLOCK = 3
 POINT = (12.5, 41.9)
-CATALOG_WINDOW = ("1996-01-31", "1997-01-01")
-CATALOG_WINDOW_FILL = ("1996-01-31", "1996-05-01")
+N_FILL = 20  # more than the target months, so that the fill branch works on the whole catalogue
+MAX_CLOUD = 20.0
 SEARCH_WINDOW = ("1996-01-01", "1997-12-31")
 
 
@@ -81,6 +81,20 @@ def q_date_stats_approx(spark, d):
 
 # ---- zones --------------------------------------------------------------------------
 
+def customer_boxes(spark, d) -> DataFrame:
+    """100 and more overlapping boxes from ``customer``, named by key."""
+    k = F.col("c_custkey").cast("int")
+    return td.table(spark, d, "customer", ["c_custkey"]).select(
+        F.concat(F.lit("z"), k.cast("string")).alias("zone"), ((k * 37) % 900).alias("row_min"),
+        ((k * 37) % 900 + 20).alias("row_max"), ((k * 53) % 900).alias("col_min"), ((k * 53) % 900 + 30).alias("col_max"))
+
+
+def q_date_and_zone_stats(spark, d):
+    by_date, by_zone = zones.date_and_zone_stats(td.obs(spark, d), customer_boxes(spark, d))
+    return r6(by_zone.unionByName(by_date.withColumn("zone", F.lit("*"))))
+
+
+
 def q_zone_stats(spark, d):
     return r6(zones.zone_stats(td.obs(spark, d), td.test_boxes(spark), strategy="inline"))
 
@@ -195,6 +209,7 @@ def archive_paths(spark, d) -> DataFrame:
         F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("C:\\data\\raw\\S2_"), k, F.lit(".zip")))
         .when(F.col("o_orderkey") % 4 == 1, F.concat(F.lit("d:/tiles/"), F.col("o_orderstatus"), F.lit("\\S2_"), k, F.lit(".zip")))
         .when(F.col("o_orderkey") % 4 == 2, F.concat(F.lit("/mnt/e/raw/S2_"), k, F.lit(".zip")))
+        .when(F.col("o_orderkey") % 8 == 3, F.concat(F.lit("C:S2_"), k, F.lit(".zip")))
         .otherwise(F.concat(F.lit("S2_"), k, F.lit(".zip")))
     )
     return o.select(path.alias("path"))
@@ -299,17 +314,17 @@ def q_month_best(spark, d):
     return cat.month_best(td.catalog(spark, d)).select("month", "id", "start", "cloud")
 
 
-def _window(spark, d, w):
-    c = td.catalog(spark, d)
-    return c.filter((F.col("start") > F.lit(w[0]).cast("timestamp")) & (F.col("start") < F.lit(w[1]).cast("timestamp")))
+def q_catalog_max_cloud(spark, d):
+    n = nested_catalog(spark, d).withColumn("start", F.to_timestamp("ContentDate.Start"))
+    return cat.catalog_filter(n, max_cloud=MAX_CLOUD).select("Id", "Name")
 
 
 def q_select_acquisitions(spark, d):
-    return cat.select_acquisitions(_window(spark, d, CATALOG_WINDOW)).select("id", "start", "month", "cloud")
+    return cat.select_acquisitions(td.catalog(spark, d)).select("id", "start", "month", "cloud")
 
 
 def q_select_acquisitions_fill(spark, d):
-    return cat.select_acquisitions(_window(spark, d, CATALOG_WINDOW_FILL)).select("id", "start", "month", "cloud")
+    return cat.select_acquisitions(td.catalog(spark, d), n=N_FILL).select("id", "start", "month", "cloud")
 
 
 QUERIES: dict[str, Query] = {
@@ -322,6 +337,7 @@ QUERIES: dict[str, Query] = {
     "zone_stats": q_zone_stats,
     "zone_stats_cells": q_zone_stats_cells,
     "zone_stats_union": q_zone_stats_union,
+    "date_and_zone_stats": q_date_and_zone_stats,
     "zone_utm": q_zone_utm,
     "zone_bounds": q_zone_bounds,
     "bbox_filter": q_bbox_filter,
@@ -345,6 +361,7 @@ QUERIES: dict[str, Query] = {
     "band_resolve": q_band_resolve,
     "cloud_cover_extract": q_cloud_cover_extract,
     "catalog_filter": q_catalog_filter,
+    "catalog_max_cloud": q_catalog_max_cloud,
     "footprint_contains": q_footprint_contains,
     "acq_date_parts": q_acq_date_parts,
     "catalog_by_month": q_catalog_by_month,

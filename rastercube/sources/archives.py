@@ -57,7 +57,9 @@ def _list_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def list_archives(paths: DataFrame, column: str = "path") -> DataFrame:
     """``(archive, ordinal, member, readable)``; an unreadable or empty
     archive yields one row with NULL member."""
-    return paths.select(F.col(column).alias("archive")).mapInArrow(_list_batches, ARCHIVE_LISTING)
+    parts = int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a manifest is one small file: deal the paths out before archives are opened
+    return paths.select(F.col(column).alias("archive")).repartition(parts).mapInArrow(_list_batches, ARCHIVE_LISTING)
 
 
 def archive_completeness(listing: DataFrame) -> DataFrame:

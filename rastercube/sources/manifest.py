@@ -12,8 +12,8 @@ from rastercube.schema import MANIFEST
 def read_manifest(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """``(id, name, date, cloud_cover, path)``.  ``multi_line=True`` reads a
     JSON array document; ``False`` reads JSON lines (as written by
-    ``write_manifest``).  A missing path is an error."""
-    return spark.read.schema(MANIFEST).option("multiLine", multi_line).json(path)
+    ``write_manifest``).  A missing path is an error, and so is malformed JSON."""
+    return spark.read.schema(MANIFEST).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
 
 
 def tile_records(manifest: DataFrame, data_dir: str | None = None) -> DataFrame:

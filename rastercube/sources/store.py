@@ -71,28 +71,35 @@ def read_observations(spark: SparkSession, path: str, with_tile: bool = False) -
     return df.select(*cols)
 
 
+ONE_FILE_ROWS = 1_000_000
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """A small result table as one CSV file with a header row."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """A result table as CSV with a header row: one file if it has few rows, else one a task."""
+    df = df.coalesce(1) if df.limit(ONE_FILE_ROWS + 1).count() <= ONE_FILE_ROWS else df
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_stats_csv(spark: SparkSession, path: str, zones: bool = False, parse_dates: bool = True) -> DataFrame:
     """Statistics CSV back as a table; ``date`` parsed to DATE when asked."""
     schema = ZONE_STATS if zones else DATE_STATS
-    df = spark.read.schema(schema).option("header", True).csv(path)
+    df = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
     if parse_dates:
         df = df.withColumn("date", F.to_date("date"))
     return df
 
 
 def write_cube(
-    cube: DataFrame, path: str, partitions: int | None = None, dates: DataFrame | None = None, row_block: int = 16
+    cube: DataFrame, path: str, partitions: int | None = None, dates: DataFrame | None = None, row_block: int = 16,
+    laid_out: bool = False,
 ) -> None:
     """Dense cube partitioned by time index, plus the ordered ``dates`` table.
 
     Rows are rebalanced on ``t`` by adaptive execution (a large time plane is
     split by size, small ones merged; no sampling pass that would recompute
     the cube), and files are sorted by row for row-group pruning.
+    A cube from ``dense_cube(by_time=True)`` is ``laid_out`` already: its
+    strips were rebalanced before they became rows, and no row is shuffled.
     ``partitions`` forces a hash partitioning on ``(t, row_ds // row_block)``.  ``dates`` is the
     ``(t, date)`` axis; without it the axis is read back from the written
     files.
@@ -100,7 +107,7 @@ def write_cube(
     c = cube.select("row_ds", "col_ds", "value", "date", "t")
     if partitions:
         c = c.repartition(partitions, F.col("t"), F.floor(F.col("row_ds") / row_block))
-    else:
+    elif not laid_out:
         c = c.hint("rebalance", "t")
     (
         c.sortWithinPartitions("t", "row_ds", "col_ds")

@@ -13,4 +13,4 @@ def _rows(zf, member, r0, r1):
     return NPY_DECODER[1](zf, member, r0, r1)
 
 
-FLAKY = (".npy", _rows)
+FLAKY = (".npy", _rows, NPY_DECODER[2])

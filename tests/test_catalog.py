@@ -1,12 +1,9 @@
 from datetime import datetime
 
-import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
 from rastercube.operators import catalog as cat
 from rastercube.schema import CATALOG_PRODUCT
-from rastercube.sources import testdata as td
 
 
 def _product(pid, start, attrs, name="S2A_MSIL2A_T33TTG", coll="SENTINEL-2", fp=None):
@@ -43,30 +40,22 @@ def test_catalog_filter_and_footprint(spark):
     assert inside["in"] and not inside["out"]
 
 
-def _plain_selection(products, n=8, months=cat.TARGET_MONTHS):
-    """The selection rule, written directly in Python over a small list."""
-    by_month = {}
-    for p in sorted(products, key=lambda p: (p["start"], p["id"])):
-        by_month.setdefault(p["month"], []).append(p)
-    sel = []
-    for m in months:
-        if m in by_month and len(sel) < n:
-            sel.append(min(by_month[m], key=lambda p: p["cloud"]))
-    if len(sel) < n:
-        ids = {p["id"] for p in sel}
-        rest = sorted((p for p in products if p["id"] not in ids), key=lambda p: (p["cloud"], p["start"], p["id"]))
-        sel.extend(rest[: n - len(sel)])
-    return sorted(sel[:n], key=lambda p: (p["start"], p["id"]))
-
-
-@pytest.mark.parametrize("window", [("1996-01-31", "1997-01-01"), ("1996-01-31", "1996-05-01"), ("1995-01-01", "2002-01-01")])
-def test_selection_matches_plain_rule(spark, window):
-    c = td.catalog(spark, SF001)
-    c = c.filter((F.col("start") > F.lit(window[0]).cast("timestamp")) & (F.col("start") < F.lit(window[1]).cast("timestamp")))
-    products = [r.asDict() for r in c.collect()]
-    want = [p["id"] for p in _plain_selection(products)]
-    got = [r.id for r in cat.select_acquisitions(c).collect()]
-    assert got == want
+def _dated(*products):
+    return [(i, datetime(2024, m, day), m, cloud) for i, m, day, cloud in products]
+
+
+def test_selection_by_hand(spark):
+    schema = "id long, start timestamp, month int, cloud double"
+    # one product a month but two in March; February is no target month, so the others come first
+    full = _dated(*[(m, m, 5, float(m)) for m in range(1, 13)], (20, 3, 9, 1.0))
+    got = [r.id for r in cat.select_acquisitions(spark.createDataFrame(full, schema)).collect()]
+    assert got == [1, 20, 4, 5, 6, 7, 8, 9]
+    # three target months: their best, then the least cloudy of the rest (ties by start, then id), in date order
+    few = _dated((1, 1, 2, 9.0), (2, 1, 3, 4.0), (3, 2, 1, 4.0), (4, 2, 1, 4.0), (5, 4, 8, 30.0), (6, 6, 1, 2.0), (7, 6, 2, 50.0))
+    df = spark.createDataFrame(few, schema)
+    assert [r.id for r in cat.select_acquisitions(df, n=5).collect()] == [2, 3, 4, 5, 6]
+    assert [r.id for r in cat.select_acquisitions(df, n=8).collect()] == [1, 2, 3, 4, 5, 6, 7]
+    assert [r.id for r in cat.select_acquisitions(df, n=2).collect()] == [2, 5]
 
 
 def test_month_best_ties(spark):

@@ -14,7 +14,7 @@ def test_job_end_to_end_on_tiles(spark, tmpdir_path):
     manifest = os.path.join(tmpdir_path, "manifest.json")
     with open(manifest, "w") as f:
         json.dump([{"id": n, "name": n, "date": d, "cloud_cover": 1.0, "path": p} for n, d, _, _, p in tiles], f)
-    obs = job.load_observations(spark, manifest, step=10, strip_rows=2, tile_pixels=60)
+    obs = job.load_observations(spark, manifest, step=10, strip_rows=2)
     out = os.path.join(tmpdir_path, "out")
     res = job.run(spark, obs, out, crop=(0, 870, 0, 1098), stride=1)
     assert set(res.timings) == {"load", "statistics", "cube", "chart_tables"}

@@ -17,7 +17,7 @@ SCRIPT = textwrap.dedent(
     spark = build_session("local[2,3]", conf={"spark.sql.shuffle.partitions": "4"})
     tiles = _tiles(folder)
     recs = spark.createDataFrame([(p, d, n) for n, d, _, _, p in tiles], "path string, date string, name string")
-    opts = dict(step=10, strip_rows=2, tile_pixels=60)
+    opts = dict(step=10, strip_rows=2)
     flaky = sorted(tuple(r) for r in load_tiles(spark, recs, decoder="flaky_decoder:FLAKY", **opts).collect())
     clean = sorted(tuple(r) for r in load_tiles(spark, recs, **opts).collect())
     print(json.dumps({"equal": flaky == clean, "rows": len(clean)}))

@@ -11,7 +11,7 @@ from rastercube.functions.paths import resolve_path
 from rastercube.schema import ARCHIVE_LISTING
 from rastercube.sources.archives import archive_completeness, list_archives, resolve_bands
 from rastercube.sources.manifest import read_manifest, tile_records, write_manifest
-from rastercube.sources.tiles import find_band, load_tiles
+from rastercube.sources.tiles import find_band, load_tiles, onto_grid
 
 
 def test_path_mapping(spark):
@@ -25,7 +25,7 @@ def test_path_mapping(spark):
     df = spark.createDataFrame(paths, "path string")
     got = df.select(resolve_path("path").alias("l"), resolve_path("path", "/data/raw").alias("p")).collect()
     assert [r.l for r in got] == ["/mnt/c/data/raw/a.zip", "/mnt/d/x/y/b.zip", "/mnt/c/raw/c.zip", "plain.zip", "C:relative.zip"]
-    assert [r.p for r in got] == ["/data/raw/a.zip", "/data/raw/b.zip", "/data/raw/c.zip", "/data/raw/plain.zip", "/data/raw/C:relative.zip"]
+    assert [r.p for r in got] == ["/data/raw/a.zip", "/data/raw/b.zip", "/data/raw/c.zip", "/data/raw/plain.zip", "/data/raw/relative.zip"]
 
 
 LISTINGS = {
@@ -106,22 +106,57 @@ def _expected(tiles, step):
 def test_tile_source_matches_numpy(spark, tmpdir_path):
     tiles = _tiles(tmpdir_path)
     recs = spark.createDataFrame([(p, d, n) for n, d, _, _, p in tiles], "path string, date string, name string")
-    df = load_tiles(spark, recs, step=10, strip_rows=2, tile_pixels=60)
+    df = load_tiles(spark, recs, step=10, strip_rows=2)
     got = sorted(tuple(r) for r in df.collect())
     assert got == _expected(tiles, 10)
     assert df.filter(F.col("red") <= 0).count() == 0
 
 
-def test_tile_source_prunes_partitions(spark, tmpdir_path):
+def test_tile_source_reads_only_chosen_strips(spark, tmpdir_path):
     tiles = _tiles(tmpdir_path)
     recs = spark.createDataFrame([(p, d, n) for n, d, _, _, p in tiles], "path string, date string, name string")
-    df = load_tiles(spark, recs, step=10, strip_rows=1, tile_pixels=60)
-    q = df.filter((F.col("date") == "2024-03-05") & (F.col("row") >= 30))
-    assert q.rdd.getNumPartitions() == 3  # one tile, strips 3..5 of 6
-    want = [t for t in _expected(tiles, 10) if t[1] == "2024-03-05" and t[2] >= 30]
+    q = load_tiles(spark, recs.filter("date = '2024-03-05'"), step=10, strip_rows=2, rows=(30, 45))
+    want = [t for t in _expected(tiles, 10) if t[1] == "2024-03-05" and 30 <= t[2] <= 45]
     assert sorted(tuple(r) for r in q.collect()) == want
 
 
+def test_tile_height_comes_from_the_raster(spark, tmpdir_path):
+    red = np.full((12000, 20), 100, np.uint16)
+    path = _write_tile(tmpdir_path, "tall", red, red)
+    recs = spark.createDataFrame([(path, "2024-01-05", "tall")], "path string, date string, name string")
+    got = load_tiles(spark, recs).agg(F.count("*"), F.max("row")).first()
+    assert tuple(got) == (2400, 11990)
+
+
+def test_second_band_is_averaged_onto_the_first(spark, tmpdir_path):
+    red = np.full((60, 60), 100, np.uint16)
+    fine = np.full((120, 120), 100, np.uint16)
+    fine[:, :90] = 300
+    coarse = np.full((30, 30), 100, np.uint16)
+    coarse[:, :20] = 300
+    rows = [(_write_tile(tmpdir_path, n, red, nir), "2024-01-05", n) for n, nir in (("fine", fine), ("coarse", coarse))]
+    got = load_tiles(spark, spark.createDataFrame(rows, "path string, date string, name string"), strip_rows=2).collect()
+    half = {n: sum(r.ndvi == 0.5 for r in got if r.tile_id == n) for n in ("fine", "coarse")}
+    assert len(got) == 72 and half == {"fine": 24, "coarse": 24}
+    assert {round(r.ndvi, 4) for r in got if r.tile_id == "fine"} == {0.5, 0.3333, 0.0}  # the column of cells cut in half
+    quarters = fine.copy()
+    quarters[60:, 60:], quarters[:60], quarters[60:, :60] = 100, 300, 300
+    path = _write_tile(tmpdir_path, "quarters", red, quarters)
+    got = load_tiles(spark, spark.createDataFrame([(path, "d", "q")], "path string, date string, name string")).collect()
+    assert sum(r.ndvi == 0.5 for r in got) == 27 and sum(r.ndvi == 0.0 for r in got) == 9
+    odd = onto_grid(np.arange(49, dtype=np.float64).reshape(7, 7), np.linspace(0, 7, 4), np.linspace(0, 7, 4))
+    fine_grid = np.repeat(np.repeat(np.arange(49.0).reshape(7, 7), 3, 0), 3, 1).reshape(3, 7, 3, 7).mean(axis=(1, 3))
+    assert np.allclose(odd, fine_grid)
+
+
+def test_truncated_manifest_is_an_error(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "cut.json")
+    with open(p, "w") as f:
+        f.write('[{"id": "a", "name": "n", "date": "2024-01-05", "path": "x.zip"}, {"id": "b", "na')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_manifest(spark, p).collect()
+
+
 def test_archive_listing_and_completeness(spark, tmpdir_path):
     tiles = _tiles(tmpdir_path)
     bad = os.path.join(tmpdir_path, "broken.zip")
@@ -162,8 +197,8 @@ def test_tile_source_scale_offset_matches_dataframe_path(spark, tmpdir_path):
 
     tiles = _tiles(tmpdir_path)
     recs = spark.createDataFrame([(p, d, n) for n, d, _, _, p in tiles], "path string, date string, name string")
-    raw = load_tiles(spark, recs, step=10, strip_rows=3, tile_pixels=60)
-    scaled = load_tiles(spark, recs, step=10, strip_rows=3, tile_pixels=60, scale=0.0001, offset=-0.2)
+    raw = load_tiles(spark, recs, step=10, strip_rows=3)
+    scaled = load_tiles(spark, recs, step=10, strip_rows=3, scale=0.0001, offset=-0.2)
     via_df = with_ndvi(raw.drop("ndvi"), scale=0.0001, offset=-0.2)
     key = ["tile_id", "date", "row", "col"]
     a = {tuple(r[k] for k in key): r.ndvi for r in scaled.collect()}
@@ -180,7 +215,7 @@ def test_tile_source_scale_offset_matches_dataframe_path(spark, tmpdir_path):
 def test_tile_decoder_by_import_path_and_missing_codec(spark, tmpdir_path):
     tiles = _tiles(tmpdir_path)
     recs = spark.createDataFrame([(p, d, n) for n, d, _, _, p in tiles], "path string, date string, name string")
-    df = load_tiles(spark, recs, step=10, strip_rows=6, tile_pixels=60, decoder="rastercube.sources.tiles:NPY_DECODER")
+    df = load_tiles(spark, recs, step=10, strip_rows=6, decoder="rastercube.sources.tiles:NPY_DECODER")
     assert sorted(tuple(r) for r in df.collect()) == _expected(tiles, 10)
     with pytest.raises(Exception, match="JPEG-2000"):
-        load_tiles(spark, recs, step=10, tile_pixels=60, decoder="jp2").collect()
+        load_tiles(spark, recs, step=10, decoder="jp2").collect()
