@@ -229,6 +229,30 @@ def cube_display_scale(cube: DataFrame, lo: float = -0.2, hi: float = 0.8) -> Da
     return cube.withColumn("value", clamp_keep_null("value", lo, hi))
 
 
+def band_regrid(
+    bands: DataFrame, keys: list[str], height: int, width: int, out_height: int, out_width: int, value: str = "value"
+) -> DataFrame:
+    """Average a band of ``height x width`` onto ``out_height x out_width`` cells, weighted by shared area.
+
+    ``bands`` holds ``keys + (row, col, value)``.  Each pixel goes to the cells
+    that it overlaps (a few at most when the target is coarser), then one
+    aggregation.  Cells without a pixel are absent.
+    """
+    def overlaps(index, size: int, out: int, name: str):
+        first = F.floor(index * out / size)
+        last = F.ceil((index + 1) * out / size) - 1
+        return F.explode(F.transform(F.sequence(first, last), lambda k: F.struct(
+            k.cast("int").alias(name),
+            (F.least((k + 1) * F.lit(size / out), index + 1) - F.greatest(k * F.lit(size / out), index)).alias("w"))))
+
+    b = bands.select(*keys, "row", "col", F.col(value).cast("double").alias("_v"))
+    b = b.withColumn("_r", overlaps(F.col("row"), height, out_height, "row_ds"))
+    b = b.withColumn("_c", overlaps(F.col("col"), width, out_width, "col_ds"))
+    weight = F.col("_r.w") * F.col("_c.w")
+    return b.groupBy(*keys, F.col("_r.row_ds"), F.col("_c.col_ds")).agg(
+        (F.sum(F.col("_v") * weight) / F.sum(weight)).alias(value))
+
+
 def block_resample(
     bands: DataFrame,
     n: int,

@@ -220,6 +220,9 @@ SELECT date, count(*) AS n_total, count(CASE WHEN red > 0 AND nir > 0 THEN 1 END
 FROM raw_obs GROUP BY date""",
     "obs_count": f"WITH {OBS} SELECT count(*) AS n_obs FROM obs",
     "date_stats": f"WITH {OBS} SELECT date, {measures()} FROM obs GROUP BY date ORDER BY date",
+    "date_stats_approx": f"""WITH {OBS}
+SELECT date, round(avg(CAST(ndvi AS DOUBLE)), 6) AS ndvi_mean, round(stddev_samp(CAST(ndvi AS DOUBLE)), 6) AS ndvi_std,
+       count(ndvi) AS pixel_count, true AS ndvi_p25_near, true AS ndvi_p75_near FROM obs GROUP BY date""",
     "zone_stats": ZONE_STATS,
     "zone_stats_cells": ZONE_STATS,
     "zone_stats_union": ZONE_STATS,
@@ -277,6 +280,16 @@ SELECT label, CAST(floor(row / {N}) AS INTEGER) AS row_ds, CAST(floor(col / {N})
 FROM r, ext
 WHERE floor(row / {N}) < ext.h // {N} AND floor(col / {N}) < ext.w // {N}
 GROUP BY 1, 2, 3""",
+    "band_regrid": f"""WITH {RASTER},
+e AS (SELECT max(row) + 1 AS h, ((max(row) + 1) * 2) // 5 AS oh FROM r),
+c AS (SELECT label, value, row, col, h / oh AS sr, 64.0::DOUBLE / 24 AS sc, i, j FROM r, e,
+        LATERAL (SELECT unnest(range(CAST(row * oh // h AS BIGINT), CAST(ceil((row + 1) * oh / h) AS BIGINT))) AS i),
+        LATERAL (SELECT unnest(range(CAST(col * 24 // 64 AS BIGINT), CAST(ceil((col + 1) * 24 / 64) AS BIGINT))) AS j)),
+w AS (SELECT label, i, j, CAST(value AS DOUBLE) AS v,
+             (least((i + 1) * sr, row + 1) - greatest(i * sr, row)) * (least((j + 1) * sc, col + 1) - greatest(j * sc, col)) AS a
+      FROM c)
+SELECT label, CAST(i AS INTEGER) AS row_ds, CAST(j AS INTEGER) AS col_ds, round(sum(v * a) / sum(a), 6) AS value
+FROM w GROUP BY 1, 2, 3""",
     "raster_explode": """SELECT label, CAST(vec_id * 10 AS INTEGER) AS row, CAST(pos * 10 AS INTEGER) AS col, value
 FROM (SELECT label, vec_id, unnest(range(len(embedding))) AS pos, unnest(embedding) AS value FROM embeddings)
 WHERE value > 0""",

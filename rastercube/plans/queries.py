@@ -76,7 +76,16 @@ def q_date_stats(spark, d):
 
 
 def q_date_stats_approx(spark, d):
-    return r6(date_stats(td.obs(spark, d), method="approx"))
+    """Approximate quartiles, checked in the query: each must have a rank within one percent of its own."""
+    obs = td.obs(spark, d)
+    stats = date_stats(obs, method="approx")
+    below = [F.avg((F.col("ndvi") < F.col(p)).cast("int")).alias(f"lt_{p}") for p in ("ndvi_p25", "ndvi_p75")]
+    upto = [F.avg((F.col("ndvi") <= F.col(p)).cast("int")).alias(f"le_{p}") for p in ("ndvi_p25", "ndvi_p75")]
+    ranks = obs.join(stats.select("date", "ndvi_p25", "ndvi_p75"), "date").groupBy("date").agg(*below, *upto)
+    return r6(stats.join(ranks, "date").select(
+        "date", "ndvi_mean", "ndvi_std", "pixel_count",
+        *[((F.col(f"lt_{p}") <= q + 0.01) & (F.col(f"le_{p}") >= q - 0.01)).alias(f"{p}_near")
+          for p, q in (("ndvi_p25", 0.25), ("ndvi_p75", 0.75))]))
 
 
 # ---- zones --------------------------------------------------------------------------
@@ -195,6 +204,13 @@ def q_block_resample(spark, d):
     return grid.block_resample(td.raster(spark, d), RESAMPLE_BLOCK, ["label"])
 
 
+def q_band_regrid(spark, d):
+    """The embeddings as a band of 64 columns, averaged onto 24 columns and 4 rows for each 10."""
+    raster = td.raster(spark, d)
+    height = raster.agg(F.max("row")).first()[0] + 1
+    return r6(grid.band_regrid(raster, ["label"], height, 64, height * 2 // 5, 24))
+
+
 def q_raster_explode(spark, d):
     e = td.table(spark, d, "embeddings").select("label", F.col("vec_id").cast("int").alias("row"), F.col("embedding").alias("values"))
     return grid.raster_explode(e, ["label"], step=10)
@@ -356,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "cube_fill_zero": q_cube_fill_zero,
     "cube_display_scale": q_cube_display_scale,
     "block_resample": q_block_resample,
+    "band_regrid": q_band_regrid,
     "raster_explode": q_raster_explode,
     "path_resolve": q_path_resolve,
     "band_resolve": q_band_resolve,

@@ -169,3 +169,23 @@ def test_forced_refinement_on_testdata_matches_builtin(spark):
                 assert a[d][c] is None
             else:
                 assert a[d][c] == pytest.approx(b[d][c], rel=1e-9, abs=1e-12)
+
+
+def test_results_come_in_order(spark):
+    """SRT1 and SRT2: by date, and by zone and date."""
+    from conftest import SF001
+    from rastercube.operators import zones
+    from rastercube.sources import testdata as td
+
+    from rastercube.operators import stats
+
+    obs = td.obs(spark, SF001)
+    dates = [r.date for r in stats.date_stats(obs).collect()]
+    assert len(dates) > 10 and dates == sorted(dates)
+    boxes = td.test_boxes(spark) if hasattr(td, "test_boxes") else spark.createDataFrame(
+        td.TEST_BOXES, "zone string, row_min int, row_max int, col_min int, col_max int")
+    keys = [(r.zone, r.date) for r in zones.zone_stats(obs, boxes).collect()]
+    assert len(keys) > 10 and keys == sorted(keys)
+    by_date, by_zone = zones.date_and_zone_stats(obs, boxes)
+    assert [r.date for r in by_date.collect()] == dates
+    assert [(r.zone, r.date) for r in by_zone.collect()] == keys
