@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -40,15 +41,18 @@ TOKEN = re.compile(
     r"</([a-zA-Z][^\s/>]*)[^>]*(?:>|$)|<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">]|['\"](?=[^>]*>))*+)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 SPACE = re.compile(r"\s+")
+# Elements nested deeper become siblings there, as in browsers; no text is lost.
+MAX_LEVEL = 512
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "items", "path")
+    __slots__ = ("tag", "attrs", "parent", "level", "items", "path", "good")
 
     def __init__(self, tag: str, attrs: dict, parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.level = parent.level + 1 if parent else 0
         self.items: list = []
-        self.path = None
+        self.path = self.good = None
 
 
 def parse(page: str) -> Node:
@@ -87,6 +91,9 @@ def parse(page: str) -> Node:
                         up = up.parent
                     if up.tag == open_tag:
                         node = _close(node, open_tag, depth)
+            if node.level >= MAX_LEVEL:
+                depth[node.tag] -= 1
+                node = node.parent
             child = Node(tag, attrs, node)
             node.items.append(child)
             if tag in RAW and not found[3].rstrip().endswith("/"):
@@ -180,10 +187,17 @@ def path_of(node: Node) -> str:
     if node.path is None:
         names = sorted({re.sub(r"\d+", "0", c) for c in node.attrs.get("class", "").split()})
         own = ".".join([node.tag, *names])
-        node.path = f"{path_of(node.parent)}>{own}" if node.parent else own
+        node.path = sys.intern(f"{path_of(node.parent)}>{own}" if node.parent else own)  # siblings share it
     return node.path
 
 
+def likely(node: Node) -> bool:
+    """Whether a container's tag or names say that it holds the main text."""
+    if node.good is None:
+        node.good = node.tag in ("article", "main") or bool(_words(node) & GOOD_WORDS)
+    return node.good
+
+
 CONTAINERS = frozenset("article main section div td body html center blockquote".split())
 
 
@@ -216,8 +230,7 @@ def container_scores(root: Node) -> dict[str, float]:
                 share, up = float(own - linked), node
                 while up is not None:
                     if up.tag in CONTAINERS:
-                        good = up.tag in ("article", "main") or bool(_words(up) & GOOD_WORDS)
-                        scores[path_of(up)] = scores.get(path_of(up), 0.0) + share * (2.0 if good else 1.0)
+                        scores[path_of(up)] = scores.get(path_of(up), 0.0) + share * (2.0 if likely(up) else 1.0)
                         share *= 0.9
                     up = up.parent
 
@@ -258,7 +271,8 @@ def main_text(pages: DataFrame, votes: int = 5, id_col: str = "page_id", url_col
 
     Null html and pages without text give an empty text; a null url or host is
     one host of its own; repeated rows count each and come back each; an empty
-    table gives none; other columns are left out.
+    table gives none; other columns are left out.  Elements below
+    ``MAX_LEVEL`` levels are read as siblings at that level.
     """
     def best(root: Node) -> str | None:
         scores = container_scores(root)

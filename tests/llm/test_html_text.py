@@ -49,3 +49,14 @@ def test_hosts(spark):
 
 def test_empty(spark, pages_schema):
     assert html_text.main_text(spark.createDataFrame([], pages_schema)).count() == 0
+
+
+def test_deep_nesting_loses_no_text():
+    """Thousands of levels, closed or not, are read; text behind them is still the page's."""
+    for n in (3, 400, 3000):
+        for end in ("</div>" * n, ""):
+            root = html_text.parse("<body>" + "<div>" * n + "<p>deep</p><b>er</b>" + end + "<p>after</p>")
+            assert html_text.text_blocks(root) == ["deep", "er", "after"]
+            assert max(html_text.container_scores(root).values()) > 0
+    root = html_text.parse("<body>" + "<span>x " * 3000)
+    assert html_text.extract(root, ["html>body"]) == " ".join("x" * 3000)
