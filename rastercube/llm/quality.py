@@ -62,12 +62,13 @@ def upper_bound(failures: int, n: int, delta: float) -> float:
         return 1.0
 
     def below(p: float) -> float:
-        # log-sum of the binomial terms up to ``failures``
-        a, b = math.log(p), math.log1p(-p)
-        top = [math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * a + (n - k) * b
-               for k in range(failures + 1)]
-        high = max(top)
-        return high + math.log(sum(math.exp(t - high) for t in top))
+        # log-sum of the binomial terms up to ``failures``; below the mean they fall, so the sum ends early
+        a, b, top = math.log(p), math.log1p(-p), []
+        for k in range(failures, -1, -1):
+            top.append(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * a + (n - k) * b)
+            if top[-1] < top[0] - 50:
+                break
+        return top[0] + math.log(sum(math.exp(t - top[0]) for t in top))
 
     lo, hi, goal = failures / n, 1.0, math.log(delta)
     for _ in range(60):
@@ -91,7 +92,7 @@ def certify(held: dict, alpha: float, delta: float) -> dict:
     chosen = {}
     for (stratum, rule), (n, wrong) in held.items():
         for cutoff, failures in zip(RULES[rule][1], wrong):
-            # too many to be certified; also keeps the exact sum short
+            # a rate above the goal cannot be certified
             if not n or failures > n * alpha / rules or upper_bound(failures, n, delta / len(held)) > alpha / rules:
                 break
             chosen[stratum, rule] = cutoff
