@@ -58,6 +58,15 @@ def time_axis(df: DataFrame) -> DataFrame:
     return d.select("date", (F.dense_rank().over(Window.orderBy("date")) - 1).cast("int").alias("t"))
 
 
+def plane_axis(df: DataFrame, by: list[str]) -> DataFrame:
+    """The planes of a cube: ``date, t`` and, with ``by``, each (by, date) that has data, numbered ``_p``."""
+    dates = time_axis(df)
+    if not by:
+        return dates.withColumn("_p", F.col("t"))
+    planes = df.select("date", *by).distinct().join(dates, "date")
+    return planes.withColumn("_p", (F.row_number().over(Window.orderBy("t", *by)) - 1).cast("int"))
+
+
 def _checked_dates(dates: DataFrame, limit: int = MAX_BROADCAST_DATES, n: int | None = None) -> tuple[DataFrame, int]:
     """Broadcast the dates axis only when its (counted) size is below ``limit``."""
     n = dates.count() if n is None else n
@@ -98,9 +107,14 @@ def dense_cube(
     partitions: int | None = None,
     extent: tuple[int, int, int] | None = None,
     by_time: bool = False,
+    by: list[str] | None = None,
 ) -> DataFrame:
     """Every (t, row_ds, col_ds) cell of the lattice; value FLOAT, NULL = missing.
 
+    With ``by=["tile_id"]`` every tile has planes of its own, one for each
+    date that it was taken on, all on the common time axis and of the common
+    (largest) extent.
+
     Block means are gathered per (date, row, strip of ``STRIP`` columns) into
     a ``col -> value`` map; a lattice from ``spark.range`` supplies strips
     without any data.  The dense rows are generated by exploding each strip
@@ -111,33 +125,35 @@ def dense_cube(
     spark = means.sparkSession
     ext = _extent(means, extent)
     if ext is None:
-        return spark.createDataFrame([], "t int, date string, row_ds int, col_ds int, value float")
+        keyed = "".join(f"{k} {means.schema[k].dataType.simpleString()}, " for k in by or [])
+        return spark.createDataFrame([], f"t int, date string, {keyed}row_ds int, col_ds int, value float")
     n_rows, n_cols = ext[0], ext[1]
-    d, n_dates = _checked_dates(time_axis(means), n=ext[2])
+    by = list(by or [])
+    d, n_planes = _checked_dates(plane_axis(means, by), n=None if by else ext[2])
     n_strips = -(-n_cols // STRIP)
     strips = (
-        means.join(d, "date")
-        .groupBy("t", "row_ds", F.floor(F.col("col_ds") / STRIP).cast("int").alias("_s"))
+        means.join(d, ["date", *by])
+        .groupBy("_p", "row_ds", F.floor(F.col("col_ds") / STRIP).cast("int").alias("_s"))
         .agg(F.map_from_entries(F.collect_list(F.struct("col_ds", F.col("ndvi_mean").cast("float")))).alias("_m"))
     )
-    total = n_dates * n_rows * n_strips
+    total = n_planes * n_rows * n_strips
     # each strip explodes into STRIP rows: aim at ~1M output rows per partition
     parts = partitions or max(1, min(total * STRIP // 1_000_000 + 1, 100_000))
     plane = n_rows * n_strips
     lattice = spark.range(0, total, 1, parts).select(
-        F.floor(F.col("id") / F.lit(plane)).cast("int").alias("t"),
+        F.floor(F.col("id") / F.lit(plane)).cast("int").alias("_p"),
         F.floor((F.col("id") % F.lit(plane)) / F.lit(n_strips)).cast("int").alias("row_ds"),
         (F.col("id") % F.lit(n_strips)).cast("int").alias("_s"),
     )
-    dense = lattice.join(strips, ["t", "row_ds", "_s"], "left").join(d, "t")
+    dense = lattice.join(strips, ["_p", "row_ds", "_s"], "left").join(d, "_p")
     if by_time:
         dense = dense.hint("rebalance", "t")
     first = F.col("_s") * STRIP
     cells = F.transform(
         F.sequence(first, F.least(first + STRIP, F.lit(n_cols)) - 1), lambda c: F.element_at(F.col("_m"), c)
     )
-    return dense.select("t", "date", "row_ds", "_s", F.posexplode(cells).alias("col_ds", "value")).select(
-        "t", "date", "row_ds", (F.col("col_ds") + F.col("_s") * STRIP).cast("int").alias("col_ds"), "value"
+    return dense.select("t", "date", *by, "row_ds", "_s", F.posexplode(cells).alias("col_ds", "value")).select(
+        "t", "date", *by, "row_ds", (F.col("col_ds") + F.col("_s") * STRIP).cast("int").alias("col_ds"), "value"
     )
 
 
@@ -146,50 +162,73 @@ def cube_slice(cube: DataFrame, t: int) -> DataFrame:
     return cube.filter(F.col("t") == t)
 
 
-def cube_series(cube: DataFrame) -> DataFrame:
+def cube_series(cube: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Per cell of a (stored) dense cube, the values over time as
     ``ARRAY<FLOAT>`` indexed by ``t``.  Each group holds one value per date."""
+    by = list(by or [])
     n_dates = cube.agg(F.max("t")).first()[0]
     n_dates = 0 if n_dates is None else int(n_dates) + 1
-    g = cube.groupBy("row_ds", "col_ds").agg(
-        F.map_from_entries(F.collect_list(F.struct("t", "value"))).alias("_m")
-    )
-    return g.select("row_ds", "col_ds", _series_array("_m", n_dates).alias("series"))
+    g = cube.groupBy(*by, "row_ds", "col_ds").agg(F.sort_array(F.collect_list(F.struct("t", "value"))).alias("_v"))
+    return g.select(*by, "row_ds", "col_ds", _series_array("_v", n_dates).alias("series"))
+
 
+def _series_array(pairs: str, n_dates: int):
+    """Sorted (t, value) pairs as an array of ``n_dates``: each pair brings the NULLs of the gap before it."""
+    none = F.lit(None).cast("float")
 
-def _series_array(m: str, n_dates: int):
-    return F.transform(F.sequence(F.lit(0), F.lit(n_dates - 1)), lambda i: F.element_at(F.col(m), i))
+    def upto(i):
+        return F.coalesce(F.get(F.col(pairs), i)["t"], F.lit(-1))
+
+    def with_gap(pair, i):
+        gap = pair["t"] - upto(i - 1) - 1
+        gap = F.when(gap < 0, F.raise_error(F.lit("two values of one cell and date")).cast("int")).otherwise(gap)
+        return F.concat(F.array_repeat(none, gap), F.array(pair["value"].cast("float")))
+
+    filled = F.flatten(F.transform(F.col(pairs), with_gap))
+    rest = F.array_repeat(none, F.lit(n_dates - 1) - upto(F.size(pairs) - 1))
+    return F.when(F.col(pairs).isNull(), F.array_repeat(none, F.lit(n_dates))).otherwise(F.concat(filled, rest))
 
 
 def series_from_means(
-    means: DataFrame, partitions: int | None = None, extent: tuple[int, int, int] | None = None
+    means: DataFrame, partitions: int | None = None, extent: tuple[int, int, int] | None = None,
+    by: list[str] | None = None,
 ) -> DataFrame:
     """Vector form of the dense cube straight from the block means.
 
     Cells with data gather their (t, value) pairs (at most one per date);
     a ``rows x cols`` lattice -- the number of dates times smaller than the
     dense cube -- supplies cells without any data as all-NULL series.
+    ``by=["tile_id"]`` gives every tile series of its own.
     """
     spark = means.sparkSession
     ext = _extent(means, extent)
     if ext is None:
-        return spark.createDataFrame([], "row_ds int, col_ds int, series array<float>")
+        keyed = "".join(f"{k} {means.schema[k].dataType.simpleString()}, " for k in by or [])
+        return spark.createDataFrame([], f"{keyed}row_ds int, col_ds int, series array<float>")
     n_rows, n_cols = ext[0], ext[1]
+    by = list(by or [])
     d, n_dates = _checked_dates(time_axis(means), n=ext[2])
     present = (
         means.join(d, "date")
-        .groupBy("row_ds", "col_ds")
-        .agg(F.map_from_entries(F.collect_list(F.struct("t", F.col("ndvi_mean").cast("float")))).alias("_m"))
+        .groupBy(*by, "row_ds", "col_ds")
+        .agg(F.sort_array(F.collect_list(F.struct("t", F.col("ndvi_mean").cast("float").alias("value")))).alias("_v"))
     )
-    total = n_rows * n_cols
+    total, plane = n_rows * n_cols, n_rows * n_cols
+    if by:
+        groups = means.select(*by).distinct().withColumn("_g", (F.row_number().over(Window.orderBy(*by)) - 1).cast("int"))
+        groups, n_groups = _checked_dates(groups)
+        total *= n_groups
     # each output row carries n_dates values: aim at ~1M values per partition
     parts = partitions or max(1, min(total * max(n_dates, 1) // 1_000_000 + 1, 100_000))
     lattice = spark.range(0, total, 1, parts).select(
-        (F.col("id") / F.lit(n_cols)).cast("int").alias("row_ds"),
+        F.floor(F.col("id") / F.lit(plane)).cast("int").alias("_g"),
+        F.floor((F.col("id") % F.lit(plane)) / F.lit(n_cols)).cast("int").alias("row_ds"),
         (F.col("id") % F.lit(n_cols)).cast("int").alias("col_ds"),
     )
-    return lattice.join(present, ["row_ds", "col_ds"], "left").select(
-        "row_ds", "col_ds", _series_array("_m", n_dates).alias("series")
+    if by:
+        lattice = lattice.join(groups, "_g")
+    return lattice.join(present, [*by, "row_ds", "col_ds"], "left").select(
+        *by, "row_ds", "col_ds", _series_array("_v", n_dates).alias("series")
     )
 
 
@@ -214,6 +253,7 @@ def cube_stride(cube: DataFrame, step: int, row0: int = 0, col0: int = 0) -> Dat
     return s.select(
         "t",
         "date",
+        *[c for c in cube.columns if c == "tile_id"],
         ((F.col("col_ds") - col0) / step).cast("int").alias("x"),
         ((F.col("row_ds") - row0) / step).cast("int").alias("y"),
         F.col("t").alias("z"),

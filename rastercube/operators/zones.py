@@ -9,13 +9,17 @@ many-to-many range join; three plans give the same rows:
 ``cells``   each box is cut into coarse grid cells; observations equi-join on
             their cell (broadcast below a checked size, else a shuffled join
             that AQE can split when one cell is hot) with the range test kept
-            as a residual -- for many zones
+            as a residual -- for many zones; cells are as large as a typical box
 ``union``   one filtered scan per zone, unioned, then one aggregation (the
             reference's per-zone filters, kept as a cross-check)
+
+Boxes with a ``tile_id`` (``mosaic.zone_tile_boxes``) hold pixels of that tile
+only; boxes without one hold the pixels of those numbers in any tile.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -109,16 +113,24 @@ def bbox_filter(obs: DataFrame, row_min: int, row_max: int, col_min: int, col_ma
     return obs.filter(in_box(F.lit(row_min), F.lit(row_max), F.lit(col_min), F.lit(col_max)))
 
 
+EDGES = ("row_min", "row_max", "col_min", "col_max")
+
+
+def _tile_key(boxes: DataFrame) -> list[str]:
+    return ["tile_id"] if "tile_id" in boxes.columns else []
+
+
 def _collect_boxes(boxes: DataFrame, limit: int) -> list:
     """Collect a zone dimension after checking it is small (bounded driver use)."""
-    rows = boxes.select("zone", "row_min", "row_max", "col_min", "col_max").limit(limit + 1).collect()
+    rows = boxes.select("zone", *_tile_key(boxes), *EDGES).limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"more than {limit} zones; use strategy='cells'")
     return rows
 
 
 def _literal_box(r) -> Column:
-    return in_box(F.lit(r.row_min), F.lit(r.row_max), F.lit(r.col_min), F.lit(r.col_max))
+    box = in_box(F.lit(r.row_min), F.lit(r.row_max), F.lit(r.col_min), F.lit(r.col_max))
+    return box & (F.col("tile_id") == r.tile_id) if "tile_id" in r else box
 
 
 def _tag_array(rows, first: Column | None = None) -> Column:
@@ -142,14 +154,16 @@ def assign_zones(
     obs: DataFrame,
     boxes: DataFrame,
     strategy: str = "auto",
-    cell: int = 1000,
+    cell: int | None = None,
     max_inline: int = MAX_INLINE_ZONES,
     max_broadcast_cells: int = MAX_BROADCAST_CELLS,
 ) -> DataFrame:
     """``obs`` rows tagged with every zone whose box contains them (``zone`` column).
 
     ``auto`` picks ``inline`` for at most ``max_inline`` zones (counted
-    first) and ``cells`` beyond.
+    first) and ``cells`` beyond.  ``cell`` is the side of a cell in pixels,
+    by default that of a typical box, so that a box lies in few cells and a
+    cell holds few pixels.
     """
     if strategy == "auto":
         n_zones = boxes.limit(max_inline + 1).count()
@@ -161,7 +175,9 @@ def assign_zones(
         pre = obs.filter(reduce(lambda a, b: a | b, [_literal_box(r) for r in rows]) & _envelope(rows))
         return pre.withColumn("zone", F.explode(_tag_array(rows))).filter(F.col("zone").isNotNull())
     if strategy == "cells":
-        b = boxes.select("zone", "row_min", "row_max", "col_min", "col_max")
+        tile = _tile_key(boxes)
+        b = boxes.select("zone", *tile, *EDGES)
+        cell = cell or _cell_side(b)
         cells = b.select(
             "*",
             F.explode(F.sequence(F.floor(F.col("row_min") / cell), F.floor(F.col("row_max") / cell))).alias("_cr"),
@@ -183,7 +199,7 @@ def assign_zones(
             o = o.filter(in_box(F.lit(env.a), F.lit(env.b), F.lit(env.c), F.lit(env.d)))
         j = o.join(
             cells,
-            (o["_cr"] == cells["_cr"])
+            reduce(lambda x, y: x & y, [o[k] == cells[k] for k in (*tile, "_cr")])
             & (o["_cc"] == cells["_cc"])
             & o["row"].between(cells["row_min"], cells["row_max"])
             & o["col"].between(cells["col_min"], cells["col_max"]),
@@ -192,23 +208,31 @@ def assign_zones(
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
-def zone_stats(obs: DataFrame, boxes: DataFrame, strategy: str = "auto", method: str = "exact", **kw) -> DataFrame:
-    """Five measures per (zone, date), ordered; zones with no pixel give no row."""
+def _cell_side(boxes: DataFrame) -> int:
+    """A side for which the boxes lie in a few cells each, all together: their mean side or root mean area."""
+    h, w = F.col("row_max") - F.col("row_min") + 1, F.col("col_max") - F.col("col_min") + 1
+    r = boxes.agg(F.avg(F.greatest(h, w)).alias("side"), F.avg(h.cast("double") * w).alias("area")).first()
+    return max(1, math.ceil(max(r.side or 1.0, (r.area or 1.0) ** 0.5)))
+
+
+def zone_stats(
+    obs: DataFrame, boxes: DataFrame, strategy: str = "auto", method: str = "exact", by: list[str] | None = None, **kw
+) -> DataFrame:
+    """Five measures per (zone, date), ordered; zones with no pixel give no row.
+    ``by=["tile_id"]`` gives them per (tile_id, zone, date)."""
+    keys = [*(by or []), "zone", "date"]
+    obs = obs.select(*dict.fromkeys([*(by or []), *_tile_key(boxes)]), "date", "row", "col", "ndvi")
     if strategy == "union":
         # one filtered scan per zone (literal box -> pushed into the scan),
         # unioned, then a single grouped aggregation
         rows = _collect_boxes(boxes, kw.pop("max_inline", MAX_INLINE_ZONES))
         if not rows:
-            return five_measures(obs.limit(0).withColumn("zone", F.lit(None).cast("string")), ["zone", "date"], method=method)
-        frames = [
-            bbox_filter(obs.select("date", "row", "col", "ndvi"), r.row_min, r.row_max, r.col_min, r.col_max)
-            .withColumn("zone", F.lit(r.zone).cast("string"))
-            for r in rows
-        ]
+            return five_measures(obs.limit(0).withColumn("zone", F.lit(None).cast("string")), keys, method=method)
+        frames = [obs.filter(_literal_box(r)).withColumn("zone", F.lit(r.zone).cast("string")) for r in rows]
         tagged = reduce(lambda a, b: a.unionByName(b), frames)
-        return five_measures(tagged, ["zone", "date"], method=method).orderBy("zone", "date")
-    tagged = assign_zones(obs.select("date", "row", "col", "ndvi"), boxes, strategy, **kw)
-    return five_measures(tagged, ["zone", "date"], method=method).orderBy("zone", "date")
+        return five_measures(tagged, keys, method=method).orderBy(*keys)
+    tagged = assign_zones(obs, boxes, strategy, **kw)
+    return five_measures(tagged, keys, method=method).orderBy(*keys)
 
 
 def date_and_zone_stats(
@@ -222,7 +246,7 @@ def date_and_zone_stats(
     twice per statistics table.  Any number of zones: beyond ``max_inline``
     the zone rows come from the cell join instead of literal boxes.
     """
-    pixels = obs.select("date", "row", "col", "ndvi")
+    pixels = obs.select(*_tile_key(boxes), "date", "row", "col", "ndvi")
     if boxes.limit(max_inline + 1).count() > max_inline:
         whole = pixels.withColumn("zone", F.lit(None).cast("string"))
         tagged = whole.unionByName(assign_zones(pixels, boxes, "cells"))

@@ -18,7 +18,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rastercube.operators import grid, zones
+from rastercube.operators import grid, mosaic, zones
+from rastercube.schema import TILES
 from rastercube.sources import store
 from rastercube.sources.manifest import read_manifest, tile_records
 from rastercube.sources.tiles import load_tiles
@@ -53,6 +54,17 @@ def load_observations(
     return load_tiles(spark, records, **tile_options)
 
 
+def check_tiles(obs: DataFrame, tiles: DataFrame | None) -> None:
+    """Observations must be of one tile, or all of tiles that the dimension has."""
+    seen = obs.select("tile_id").distinct()
+    if tiles is not None:
+        unknown = seen.join(tiles.select("tile_id"), "tile_id", "left_anti").limit(5).collect()
+        if unknown:
+            raise ValueError(f"not in the tile dimension: {sorted(str(r.tile_id) for r in unknown)}")
+    elif len(codes := seen.select(mosaic.tile_code("tile_id").alias("c")).where("c is not null").distinct().limit(5).collect()) > 1:
+        raise ValueError(f"several tiles ({sorted(r.c for r in codes)}, ...) need a tile dimension")
+
+
 def run(
     spark: SparkSession,
     obs: DataFrame,
@@ -62,21 +74,32 @@ def run(
     crop: tuple[int, int, int, int] = CROP,
     stride: int = MESH_STRIDE,
     method: str = "exact",
+    tiles: DataFrame | None = None,
 ) -> JobResult:
     """Run the job over an observation DataFrame, writing every result.
 
+    Observations of one tile need no ``tiles``.  Those of several need the
+    tile dimension (``schema.TILES``): zones are then placed in every tile
+    that they reach, and the cube has planes of its own for each tile.
+
     ``obs`` is first written to the flat observation store (date folders,
     row-clustered files) and every later step reads the store back, so a
     lost executor recomputes from Parquet, never from the tile decoder.
     """
     res = JobResult(out_dir)
     obs_path = os.path.join(out_dir, "observations")
+    if tiles is not None:
+        obs = obs.withColumn("tile_id", F.coalesce(mosaic.tile_code("tile_id"), F.col("tile_id")))
     cols = [c for c in ("tile_id", "date", "row", "col", "red", "nir", "ndvi") if c in obs.columns]
     _timed(res, "load", lambda: store.write_observations(obs.select(*cols), obs_path))
     o = store.read_observations(spark, obs_path, with_tile="tile_id" in cols)
 
+    by = [] if tiles is None else ["tile_id"]
+    if "tile_id" in cols:
+        check_tiles(o, tiles)
     if boxes is None:
-        boxes = zones.zone_pixel_bounds(zones.reference_zones(spark))
+        centres = zones.reference_zones(spark)
+        boxes = zones.zone_pixel_bounds(centres) if tiles is None else mosaic.zone_tile_boxes(centres, tiles)
     zpath = os.path.join(out_dir, "zone_stats")
 
     def stats_step():
@@ -95,13 +118,13 @@ def run(
     cube_dir = os.path.join(out_dir, "cube")
 
     def cube_step():
-        means = grid.block_means(o, block)
+        means = grid.block_means(o, block, by=by)
         # extent from two integer columns of the store, not from the means
-        cube = grid.dense_cube(means, extent=grid.extent_from_obs(o, block), by_time=True)
+        cube = grid.dense_cube(means, extent=grid.extent_from_obs(o, block), by_time=True, by=by)
         store.write_cube(cube, cube_dir, dates=grid.time_axis(o), laid_out=True)
 
     _timed(res, "cube", cube_step)
-    cube, _ = store.read_cube(spark, cube_dir)
+    cube, _ = store.read_cube(spark, cube_dir, with_tile=bool(by))
 
     def charts():
         grid.cube_display_scale(cube).write.mode("overwrite").partitionBy("t").parquet(os.path.join(out_dir, "maps"))
@@ -165,6 +188,7 @@ def main(argv: list[str] | None = None) -> None:
     run_p.add_argument("--data-dir")
     run_p.add_argument("--json-lines", action="store_true", help="manifest written by 'select' (JSON lines)")
     run_p.add_argument("--block", type=int, default=10)
+    run_p.add_argument("--tiles", help="tile dimension, one JSON object a line (needed for several tiles)")
     run_p.add_argument("--method", default="exact", choices=["exact", "builtin", "approx"])
     args = ap.parse_args(argv)
 
@@ -177,7 +201,8 @@ def main(argv: list[str] | None = None) -> None:
         store.preview(chosen)
     else:
         obs = load_observations(spark, args.manifest, args.data_dir, multi_line=not args.json_lines)
-        res = run(spark, obs, args.out, block=args.block, method=args.method)
+        tiles = spark.read.schema(TILES).option("mode", "FAILFAST").json(args.tiles) if args.tiles else None
+        res = run(spark, obs, args.out, block=args.block, method=args.method, tiles=tiles)
         for k, v in res.timings.items():
             print(f"{k:14s} {v:8.1f} s")
     spark.stop()

@@ -123,6 +123,35 @@ dense AS (
   SELECT l.t, l.date, l.row_ds, l.col_ds, CAST(m.ndvi_mean AS FLOAT) AS value
   FROM lat l LEFT JOIN means m ON m.date = l.date AND m.row_ds = l.row_ds AND m.col_ds = l.col_ds)"""
 
+# Observations of four tiles (by supplier), two by two, 1,000 pixels of 100 m each way.
+TILE_OBS = """tile_obs AS (
+  SELECT 'T' || (l_suppkey % 4) AS tile_id, strftime(l_shipdate, '%Y-%m') AS date,
+         CAST((l_orderkey % 100) * 10 AS INTEGER) AS row, CAST((l_partkey % 100) * 10 AS INTEGER) AS col,
+         CAST(l_quantity * l_tax * 1000 AS FLOAT) AS red, CAST(l_extendedprice * l_discount / 10 AS FLOAT) AS nir
+  FROM lineitem),
+tobs AS (
+  SELECT tile_id, date, row, col, CAST(CAST(nir - red AS DOUBLE) / CAST(nir + red AS DOUBLE) AS FLOAT) AS ndvi
+  FROM tile_obs WHERE red > 0 AND nir > 0)"""
+TILE_BOXES = UTM + """,
+tiles(tile_id, ox, oy) AS (VALUES ('T0', 200000.0::DOUBLE, 4750040.0::DOUBLE), ('T1', 300000.0, 4750040.0),
+                                  ('T2', 200000.0, 4650040.0), ('T3', 300000.0, 4650040.0)),
+tb AS (
+  SELECT zone, tile_id, greatest(CAST(floor((oy - (northing + radius_km * 1000.0)) / 100.0) AS INTEGER), 0) AS row_min,
+         least(CAST(floor((oy - (northing - radius_km * 1000.0)) / 100.0) AS INTEGER), 999) AS row_max,
+         greatest(CAST(floor((easting - radius_km * 1000.0 - ox) / 100.0) AS INTEGER), 0) AS col_min,
+         least(CAST(floor((easting + radius_km * 1000.0 - ox) / 100.0) AS INTEGER), 999) AS col_max
+  FROM utm, tiles),
+boxes AS (SELECT * FROM tb WHERE row_min <= row_max AND col_min <= col_max)"""
+TILE_DENSE = TILE_OBS + f""",
+means AS (
+  SELECT tile_id, date, CAST(trunc(row / {Q.CUBE_BLOCK}) AS INTEGER) AS row_ds,
+         CAST(trunc(col / {Q.CUBE_BLOCK}) AS INTEGER) AS col_ds, avg(CAST(ndvi AS DOUBLE)) AS ndvi_mean
+  FROM tobs GROUP BY 1, 2, 3, 4),
+ta AS (SELECT date, CAST(dense_rank() OVER (ORDER BY date) - 1 AS INTEGER) AS t FROM (SELECT DISTINCT date FROM means)),
+ext AS (SELECT max(row_ds) + 1 AS nr, max(col_ds) + 1 AS nc FROM means),
+cells AS (SELECT CAST(r.r AS INTEGER) AS row_ds, CAST(c.c AS INTEGER) AS col_ds
+          FROM ext, generate_series(0, ext.nr - 1) r(r), generate_series(0, ext.nc - 1) c(c))"""
+
 R0, R1, C0, C1 = Q.CROP
 CROPPED = DENSE + f""",
 crop AS (SELECT * FROM dense WHERE row_ds >= {R0} AND row_ds < {R1} AND col_ds >= {C0} AND col_ds < {C1})"""
@@ -252,6 +281,29 @@ SELECT zone, date, round(ndvi_mean, 6) AS ndvi_mean, round(ndvi_p75 - ndvi_mean,
        round(ndvi_mean - ndvi_p25, 6) AS err_minus, round(ndvi_p25, 6) AS band_lo, round(ndvi_p75, 6) AS band_hi,
        CAST(row_number() OVER (PARTITION BY zone ORDER BY date) - 1 AS INTEGER) AS pos
 FROM zs""",
+    "zone_tile_boxes": f"WITH {TILE_BOXES} SELECT zone, tile_id, row_min, row_max, col_min, col_max FROM boxes",
+    "zone_stats_by_tile": f"""WITH {TILE_OBS},
+{TILE_BOXES}
+SELECT o.tile_id, b.zone, o.date, {measures()} FROM tobs o JOIN boxes b ON o.tile_id = b.tile_id
+  AND o.row BETWEEN b.row_min AND b.row_max AND o.col BETWEEN b.col_min AND b.col_max GROUP BY o.tile_id, b.zone, o.date""",
+    "zone_stats_tiles": f"""WITH {TILE_OBS},
+{TILE_BOXES}
+SELECT b.zone, o.date, {measures()} FROM tobs o JOIN boxes b ON o.tile_id = b.tile_id
+  AND o.row BETWEEN b.row_min AND b.row_max AND o.col BETWEEN b.col_min AND b.col_max GROUP BY b.zone, o.date""",
+    "cube_dense_by_tile": f"""WITH {TILE_DENSE}
+SELECT ta.t, p.date, p.tile_id, c.row_ds, c.col_ds, CAST(m.ndvi_mean AS FLOAT) AS value
+FROM (SELECT DISTINCT tile_id, date FROM means) p JOIN ta ON ta.date = p.date CROSS JOIN cells c
+LEFT JOIN means m ON m.tile_id = p.tile_id AND m.date = p.date AND m.row_ds = c.row_ds AND m.col_ds = c.col_ds""",
+    "cube_series_by_tile": f"""WITH {TILE_DENSE}
+SELECT g.tile_id, c.row_ds, c.col_ds, list(CAST(m.ndvi_mean AS FLOAT) ORDER BY ta.t) AS series
+FROM (SELECT DISTINCT tile_id FROM means) g CROSS JOIN cells c CROSS JOIN ta
+LEFT JOIN means m ON m.tile_id = g.tile_id AND m.date = ta.date AND m.row_ds = c.row_ds AND m.col_ds = c.col_ds
+GROUP BY g.tile_id, c.row_ds, c.col_ds""",
+    "mosaic_block_mean": f"""WITH {TILE_OBS}
+SELECT date, CAST(trunc((row + CASE WHEN tile_id IN ('T2', 'T3') THEN 1000 ELSE 0 END) / {Q.CUBE_BLOCK}) AS INTEGER) AS row_ds,
+       CAST(trunc((col + CASE WHEN tile_id IN ('T1', 'T3') THEN 1000 ELSE 0 END) / {Q.CUBE_BLOCK}) AS INTEGER) AS col_ds,
+       round(avg(CAST(ndvi AS DOUBLE)), 6) AS ndvi_mean
+FROM tobs GROUP BY 1, 2, 3""",
     "cube_block_mean": f"WITH {MEANS} SELECT date, row_ds, col_ds, round(ndvi_mean, 6) AS ndvi_mean FROM means",
     "cube_extent": f"""WITH {MEANS}
 SELECT CAST(max(row_ds) + 1 AS INTEGER) AS n_rows, CAST(max(col_ds) + 1 AS INTEGER) AS n_cols,

@@ -18,7 +18,7 @@ from pyspark.sql.types import DoubleType
 from rastercube.functions.columns import normalized_difference
 from rastercube.functions.paths import resolve_path
 from rastercube.operators import catalog as cat
-from rastercube.operators import grid, zones
+from rastercube.operators import grid, mosaic, zones
 from rastercube.operators.stats import date_stats, observation_count
 from rastercube.operators.bands import valid_mask
 from rastercube.sources import testdata as td
@@ -145,6 +145,37 @@ def q_zone_series(spark, d):
     return r6(zones.zone_series(_zone_stats_small(spark, d)))
 
 
+# ---- several tiles ----------------------------------------------------------------------
+
+def q_zone_tile_boxes(spark, d):
+    return mosaic.zone_tile_boxes(td.customer_zones(spark, d), td.test_tiles(spark))
+
+
+def q_zone_stats_by_tile(spark, d):
+    return r6(zones.zone_stats(td.obs(spark, d, tile=True), q_zone_tile_boxes(spark, d), by=["tile_id"]))
+
+
+def q_zone_stats_tiles(spark, d):
+    """A zone's pixels in all tiles that it reaches, together."""
+    return r6(zones.zone_stats(td.obs(spark, d, tile=True), q_zone_tile_boxes(spark, d)))
+
+
+def _tile_means(spark, d):
+    return grid.block_means(td.obs(spark, d, tile=True), CUBE_BLOCK, by=["tile_id"])
+
+
+def q_cube_dense_by_tile(spark, d):
+    return grid.dense_cube(_tile_means(spark, d), by=["tile_id"])
+
+
+def q_cube_series_by_tile(spark, d):
+    return grid.series_from_means(_tile_means(spark, d), by=["tile_id"])
+
+
+def q_mosaic_block_mean(spark, d):
+    return r6(grid.block_means(mosaic.to_mosaic(td.obs(spark, d, tile=True), td.test_tiles(spark)), CUBE_BLOCK))
+
+
 # ---- grid and cube ---------------------------------------------------------------------
 
 def _means(spark, d):
@@ -360,6 +391,12 @@ QUERIES: dict[str, Query] = {
     "zone_pivot": q_zone_pivot,
     "zone_error_bars": q_zone_error_bars,
     "zone_series": q_zone_series,
+    "zone_tile_boxes": q_zone_tile_boxes,
+    "zone_stats_by_tile": q_zone_stats_by_tile,
+    "zone_stats_tiles": q_zone_stats_tiles,
+    "cube_dense_by_tile": q_cube_dense_by_tile,
+    "cube_series_by_tile": q_cube_series_by_tile,
+    "mosaic_block_mean": q_mosaic_block_mean,
     "cube_block_mean": q_cube_block_mean,
     "cube_extent": q_cube_extent,
     "time_axis": q_time_axis,

@@ -98,6 +98,18 @@ ZONE_BOXES = StructType(
     ]
 )
 
+# The tile dimension: top-left corner and pixel size in projected metres, extent in native pixels.
+TILES = StructType(
+    [
+        StructField("tile_id", StringType(), False),
+        StructField("origin_x", DoubleType(), False),
+        StructField("origin_y", DoubleType(), False),
+        StructField("pixel_size", DoubleType(), False),
+        StructField("n_rows", IntegerType(), False),
+        StructField("n_cols", IntegerType(), False),
+    ]
+)
+
 ARCHIVE_LISTING = StructType(
     [
         StructField("archive", StringType(), False),

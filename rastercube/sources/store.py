@@ -104,13 +104,14 @@ def write_cube(
     ``(t, date)`` axis; without it the axis is read back from the written
     files.
     """
-    c = cube.select("row_ds", "col_ds", "value", "date", "t")
+    tile = [c for c in cube.columns if c == "tile_id"]
+    c = cube.select(*tile, "row_ds", "col_ds", "value", "date", "t")
     if partitions:
         c = c.repartition(partitions, F.col("t"), F.floor(F.col("row_ds") / row_block))
     elif not laid_out:
         c = c.hint("rebalance", "t")
     (
-        c.sortWithinPartitions("t", "row_ds", "col_ds")
+        c.sortWithinPartitions("t", *tile, "row_ds", "col_ds")
         .write.mode("overwrite")
         .partitionBy("t")
         .parquet(os.path.join(path, "cube"))
@@ -121,13 +122,14 @@ def write_cube(
     dates.select("t", "date").coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "dates"))
 
 
-def read_cube(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_cube(spark: SparkSession, path: str, with_tile: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(cube, dates)``; a filter on ``t`` prunes to one folder."""
-    cube = spark.read.schema("row_ds INT, col_ds INT, value FLOAT, date STRING, t INT").parquet(
+    tile = ["tile_id"] if with_tile else []
+    cube = spark.read.schema("".join(f"{c} STRING, " for c in tile) + "row_ds INT, col_ds INT, value FLOAT, date STRING, t INT").parquet(
         os.path.join(path, "cube")
     )
     dates = spark.read.schema(DATES_SCHEMA).parquet(os.path.join(path, "dates")).orderBy("t")
-    return cube.select("t", "date", "row_ds", "col_ds", "value"), dates
+    return cube.select("t", "date", *tile, "row_ds", "col_ds", "value"), dates
 
 
 def preview(df: DataFrame, n: int = 20, schema: bool = False) -> None:

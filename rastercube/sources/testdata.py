@@ -28,10 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
     return df.select(*columns) if columns else df
 
 
-def raw_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unmasked observation candidates (date, row, col, red, nir)."""
+def raw_obs(spark: SparkSession, sf_dir: str, tile: bool = False) -> DataFrame:
+    """Unmasked observation candidates (date, row, col, red, nir), led by a ``tile_id`` from the supplier if wanted."""
     li = table(spark, sf_dir, "lineitem")
+    tiles = [F.concat(F.lit("T"), (F.col("l_suppkey") % 4).cast("string")).alias("tile_id")] if tile else []
     return li.select(
+        *tiles,
         F.date_format("l_shipdate", "yyyy-MM").alias("date"),
         ((F.col("l_orderkey") % 100) * 10).cast("int").alias("row"),
         ((F.col("l_partkey") % 100) * 10).cast("int").alias("col"),
@@ -40,12 +42,22 @@ def raw_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def obs(spark: SparkSession, sf_dir: str, tile: bool = False) -> DataFrame:
     """Masked observations with NDVI: the loader's output on the test tables."""
-    r = raw_obs(spark, sf_dir).filter(valid_mask("red", "nir"))
+    r = raw_obs(spark, sf_dir, tile).filter(valid_mask("red", "nir"))
     return r.withColumn("ndvi", normalized_difference("nir", "red"))
 
 
+# Fixed test tiles: two by two, 1,000 pixels of 100 m each way.
+TEST_TILES = [(f"T{k}", 200000.0 + (k % 2) * 100000.0, 4750040.0 - (k // 2) * 100000.0, 100.0, 1000, 1000) for k in range(4)]
+
+
+def test_tiles(spark: SparkSession) -> DataFrame:
+    from rastercube.schema import TILES
+
+    return spark.createDataFrame(TEST_TILES, TILES)
+
+
 # Fixed test zones in native pixels, (row_min, row_max, col_min, col_max):
 # overlap (A/B), past the edge (C), empty (OFF) and edge-column (EDGE) cases.
 TEST_BOXES = [
