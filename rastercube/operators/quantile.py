@@ -32,6 +32,7 @@ lineage stays short.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -115,8 +116,9 @@ def grouped_summary(
     ``n`` counts non-missing values; mean/std/percentiles skip NULL (and NaN).
     ``std`` is the sample standard deviation (NULL for fewer than two values).
     Groups whose values are all missing appear with ``n = 0`` and NULLs.
-    The work runs when this is called (it is iterative); the small result
-    table comes back persisted.
+    The work runs when this is called (it is iterative); the small result is
+    written below ``spark.checkpoint.dir`` and read back, so nothing stays
+    cached.
     """
     names = dict(names or {})
     out_mean = names.get("mean", "mean")
@@ -125,7 +127,7 @@ def grouped_summary(
     out_p = [names.get(f"p{i}", f"p{i}") for i in range(len(probs))]
 
     spark = df.sparkSession
-    checkpoint_dir(spark)
+    folder = checkpoint_dir(spark)
     if not keys:  # one global group: a constant key keeps every step a keyed join
         df = df.withColumn("_g", F.lit(0))
         return grouped_summary(
@@ -249,8 +251,9 @@ def grouped_summary(
         interp = (hi_k.cast("double") - pos) * lo_v + (pos - lo_k.cast("double")) * hi_v
         cols.append(F.when(F.col("_n") > 0, F.when(lo_k == hi_k, lo_v).otherwise(interp)).alias(name))
     cols.append(F.col("_n").cast("long").alias(out_n))
-    # The result has one row per group: keep it, release the intermediates.
-    result = out.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-    result.count()
+    # The result has one row per group: settle it, release the intermediates.
+    result = out.select(*cols)
+    path = f"{folder}/summary-{uuid.uuid4().hex}"
+    result.write.parquet(path)
     per.unpersist()
-    return result
+    return spark.read.schema(result.schema).parquet(path)
