@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from rastercube.llm.common import byte_values, mix64, shuffle_partitions
 
-# Words handled at once in a task, words whose name a worker keeps.
-CHUNK_WORDS, CACHE_WORDS = 300_000, 500_000
+# Words handled at once in a task, words whose name a worker keeps, keys that a task remembers having sent.
+CHUNK_WORDS, CACHE_WORDS, SENT_KEYS = 300_000, 500_000, 1 << 16
 ROUNDS = 3
 # Odd multipliers of the running hashes (fixed values).
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 HITS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("row", pa.int64()), ("first", pa.int32()),
-                  ("last", pa.int32()), ("sure", pa.bool_())])
-HITS_DDL = "a long, b long, row long, first int, last int, sure boolean"
+                  ("last", pa.int32()), ("sure", pa.bool_()), ("several", pa.bool_())])
+HITS_DDL = "a long, b long, row long, first int, last int, sure boolean, several boolean"
 
 
 class WordNames(dict):
@@ -108,8 +108,9 @@ def _least(key: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return out
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
-    """Parts of batches with their texts' words, up to about ``CHUNK_WORDS`` words unless one text has more."""
+def _chunks(batches: Iterator[pa.RecordBatch], text_at: int,
+            chunk_words: int) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
+    """Parts of batches with their texts' words, up to about ``chunk_words`` words unless one text has more."""
     for batch in batches:
         begin, words, size = 0, [], 0
         for i in range(0, batch.num_rows, 16):
@@ -117,7 +118,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[p
             words += found
             size += sum(map(len, found))
             done = min(i + 16, batch.num_rows)
-            if size >= CHUNK_WORDS or done == batch.num_rows:
+            if size >= chunk_words or done == batch.num_rows:
                 yield batch.slice(begin, done - begin), words
                 begin, words, size = done, [], 0
 
@@ -132,35 +133,86 @@ def _starts(words: list[list[bytes]], window: int) -> tuple[np.ndarray, np.ndarr
     return base, doc, start
 
 
-def _hits(a: np.ndarray, b: np.ndarray, row: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
-    """Rows to be met with others of equal (a, b).
-
-    Of those that meet within the chunk already one goes on, marked as sure;
-    the others are sure too, and are dealt out evenly under names of their own.
+class Sent:
+    """Keys (a, b) that a task has sent on for the others to meet; a key that is forgotten is merely sent again."""
+
+    def __init__(self, most: int = SENT_KEYS):
+        self.most = most
+        self.keys = np.empty((3, 0), np.uint64)  # one number for the key, by which they are sorted, and both parts
+        self.used = np.empty(0, bool)
+
+    def has(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key, (one, x, y) = a ^ mix64(b), self.keys
+        if not len(one):
+            return np.zeros(len(key), bool)
+        at = np.minimum(np.searchsorted(one, key), len(one) - 1)
+        found = (x[at] == a) & (y[at] == b)
+        self.used[at[found]] = True
+        return found
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Remember keys that it does not have; when full, those that were never met again are forgotten."""
+        if self.keys.shape[1] + len(a) > self.most:
+            self.keys, self.used = self.keys[:, self.used], np.zeros(int(self.used.sum()), bool)
+        room = max(0, self.most - self.keys.shape[1])
+        keys = np.concatenate((self.keys, np.stack((a ^ mix64(b), a, b))[:, :room]), axis=1)
+        used = np.append(self.used, np.zeros(keys.shape[1] - len(self.used), bool))
+        order = np.argsort(keys[0], kind="stable")
+        self.keys, self.used = keys[:, order], used[order]
+
+
+def _hits(a: np.ndarray, b: np.ndarray, row: np.ndarray, first: np.ndarray, last: np.ndarray, sent: Sent,
+          told: Sent | None = None) -> pa.RecordBatch:
+    """Rows to be met with others of equal a, combined with what the task has ``sent`` before.
+
+    Of rows of equal (a, b) one goes on, marked as sure; the others are sure
+    too.  With ``told``, of an a with several b one row goes on, marked so;
+    the others need not be met to know that they must be compared, and the a
+    is remembered in ``told``.  What does not go on is dealt out evenly under
+    names of its own.  So a task sends a hot key a few times, however often
+    it has it.
     """
     order = np.lexsort((b, a))
-    same = np.zeros(len(a), bool)
-    same[1:] = (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])
-    again, sure = np.empty(len(a), bool), np.empty(len(a), bool)
+    same_a = np.concatenate(([False], a[order][1:] == a[order][:-1]))[: len(a)]
+    same = same_a & np.concatenate(([False], b[order][1:] == b[order][:-1]))[: len(a)]
+    again, sure, several = np.empty(len(a), bool), np.empty(len(a), bool), np.zeros(len(a), bool)
     again[order] = same
     sure[order] = same | np.append(same[1:], False)
-    own = mix64(mix64(row.view(np.uint64)) ^ first.astype(np.uint64), 77)
-    a, b = np.where(again, own, a), np.where(again, mix64(own, 78), b)
-    # neighbours among them need one row
+    known = sent.has(a, b)
+    again |= known
+    sure |= known
+    own = again.copy()
+    if told is not None:
+        zero = np.zeros_like(a)
+        known = told.has(a, zero)
+        group = np.cumsum(~same_a) - 1  # of each a, in this order
+        contexts = np.bincount(group[~same], minlength=1)
+        several[order] = (contexts > 1)[group]
+        several = (several | known) & ~again
+        at = order[several[order]]  # by a; the first of each speaks for it
+        speaks = np.concatenate(([True], a[at][1:] != a[at][:-1]))[: len(at)] & ~known[at]
+        own[at[~speaks]] = True
+        told.add(a[at[speaks]], zero[at[speaks]])
+    met = sure & ~again
+    sent.add(a[met], b[met])
+    name = mix64(mix64(row.view(np.uint64)) ^ first.astype(np.uint64), 77)
+    a, b = np.where(own, name, a), np.where(own, mix64(name, 78), b)
+    # neighbours among those that are only sure need one row
     on = np.zeros(len(a), bool)
     on[1:] = again[1:] & again[:-1] & (row[1:] == row[:-1]) & (first[1:] == last[:-1] + 1)
     head = np.flatnonzero(~on)
-    a, b, row, first, last, sure = a[head], b[head], row[head], first[head], last[np.append(head[1:], len(on)) - 1], sure[head]
-    return _batch(a, b, row, first, last, sure)
+    a, b, row, first, last, sure, several = (
+        a[head], b[head], row[head], first[head], last[np.append(head[1:], len(on)) - 1], sure[head], several[head])
+    return _batch(a, b, row, first, last, sure, several)
 
 
-def _batch(a, b, row, first, last, sure) -> pa.RecordBatch:
+def _batch(a, b, row, first, last, sure, several) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(row), pa.array(first.astype(np.int32)),
-         pa.array(last.astype(np.int32)), pa.array(sure)], schema=HITS)
+         pa.array(last.astype(np.int32)), pa.array(sure), pa.array(several)], schema=HITS)
 
 
-def _anchors(batches: Iterator[pa.RecordBatch], window: int, rounds: int) -> Iterator[pa.RecordBatch]:
+def _anchors(batches: Iterator[pa.RecordBatch], window: int, rounds: int, chunk_words: int) -> Iterator[pa.RecordBatch]:
     """For every run of windows with the same anchor a row (anchor, context, windows first..last).
 
     A window's anchor is, of the symbols that its words fix, the one of least
@@ -168,7 +220,8 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int, rounds: int) -> Ite
     equal anchors.  The context is a hash of all words of the run's windows.
     A window without such a symbol (one with very long runs) stands for itself.
     """
-    for batch, words in _chunks(batches, 2):
+    sent, told = Sent(), Sent()
+    for batch, words in _chunks(batches, 2, chunk_words):
         base, doc, start = _starts(words, window)
         if not len(start):
             continue
@@ -189,7 +242,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int, rounds: int) -> Ite
         a = mix64(Spans(names, BASES[0])(first, last) ^ mix64(length, 98))
         b = Spans(mix64(names, 1), BASES[1])(start[at], start[end] + window - 1)
         row = batch.column(0).to_numpy()[doc[at]]
-        yield _hits(a, b, row, start[at] - base[doc[at]], start[end] - base[doc[at]])
+        yield _hits(a, b, row, start[at] - base[doc[at]], start[end] - base[doc[at]], sent, told)
 
 
 def _spans(column: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
@@ -206,9 +259,10 @@ def _covered(at: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(change)[:n] > 0
 
 
-def _candidates(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+def _candidates(batches: Iterator[pa.RecordBatch], window: int, chunk_words: int) -> Iterator[pa.RecordBatch]:
     """The runs found equal as a whole, joined; and every window of runs to be compared, by two 64-bit hashes."""
-    for batch, words in _chunks(batches, 2):
+    sent = Sent()
+    for batch, words in _chunks(batches, 2, chunk_words):
         base, doc, start = _starts(words, window)
         rows = batch.column(0).to_numpy()
         place, span = _spans(batch.column(3))
@@ -221,17 +275,18 @@ def _candidates(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.R
         at = np.searchsorted(base, head, "right") - 1
         if len(head):
             own = mix64(mix64(rows[at].view(np.uint64)) ^ (head - base[at]).astype(np.uint64), 79)
-            yield _batch(own, mix64(own, 80), rows[at], head - base[at], end - base[at], np.ones(len(head), bool))
+            yield _batch(own, mix64(own, 80), rows[at], head - base[at], end - base[at], np.ones(len(head), bool),
+                         np.zeros(len(head), bool))
         chosen = _covered(first[span["compare"]], last[span["compare"]], int(base[-1]))[start]
         doc, start = doc[chosen], start[chosen]
         if len(start):
             names = word_names([w for text in words for w in text])
             a, b = (Spans(mix64(names, i), x)(start, start + window - 1) for i, x in enumerate(BASES))
-            yield _hits(a, b, rows[doc], start - base[doc], start - base[doc])
+            yield _hits(a, b, rows[doc], start - base[doc], start - base[doc], sent)
 
 
-def _remove(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    for batch, words in _chunks(batches, 2):
+def _remove(batches: Iterator[pa.RecordBatch], window: int, chunk_words: int) -> Iterator[pa.RecordBatch]:
+    for batch, words in _chunks(batches, 2, chunk_words):
         base = np.concatenate(([0], np.cumsum([len(w) for w in words])))
         place, span = _spans(batch.column(3))
         gone = _covered(span["first"] + base[place], span["last"] + base[place] + window - 1, int(base[-1]))
@@ -245,7 +300,7 @@ def _remove(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
 
 
 def remove_repeats(docs: DataFrame, window: int = 35, rounds: int = ROUNDS, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """A row per document: doc_id, kept_text, n_words, n_removed.
 
     Removed is every word covered by a ``window`` of consecutive words whose
@@ -261,9 +316,11 @@ def remove_repeats(docs: DataFrame, window: int = 35, rounds: int = ROUNDS, id_c
        hash), again where equal ones meet.
     3. Words under verified windows are taken out.
 
-    A passage repeated very often is combined in each task first, so no task
-    gets more than a row of it from each chunk of another; a row's spans are
-    bounded by its own length.  Null and short texts lose nothing; repeated
+    A passage repeated very often, and a phrase that very many passages share,
+    are combined in each task first (:func:`_hits`, over the whole task by
+    :class:`Sent`), so that what meets in one task does not grow with their
+    number; a row's spans are bounded by its own length.  ``chunk_words`` is
+    how many words a task works on at once.  Null and short texts lose nothing; repeated
     rows are copies of each other, so all windows of each go; a null id stays;
     an empty table gives none; other columns are left out.
     """
@@ -272,16 +329,19 @@ def remove_repeats(docs: DataFrame, window: int = 35, rounds: int = ROUNDS, id_c
     parts = shuffle_partitions(docs)
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                         F.col(text_col).cast("string").alias("text")).repartition(parts, "row")
-    hits = texts.mapInArrow(partial(_anchors, window=window, rounds=rounds), HITS_DDL).repartition(parts, "a")
+    hits = texts.mapInArrow(partial(_anchors, window=window, rounds=rounds, chunk_words=chunk_words), HITS_DDL).repartition(parts, "a")
     equal = Window.partitionBy("a", "b")
+    anchor = Window.partitionBy("a")
     hits = hits.withColumn("nth", F.row_number().over(equal.orderBy("row", "first"))).withColumn(
-        "equal", F.count("*").over(equal)).withColumn("all", F.count("*").over(Window.partitionBy("a")))
-    hits = hits.withColumn("done", F.expr("sure or equal > 1")).withColumn("compare", F.expr("all > equal and nth = 1"))
+        "equal", F.count("*").over(equal)).withColumn("all", F.count("*").over(anchor)).withColumn(
+        "others", F.bool_or("several").over(anchor))
+    hits = hits.withColumn("done", F.expr("sure or equal > 1")).withColumn(
+        "compare", F.expr("(all > equal or others) and nth = 1"))
     found = hits.where("done or compare").groupBy("row").agg(
         F.collect_list(F.struct("first", "last", "done", "compare")).alias("spans"))
     near = texts.join(found.hint("shuffle_hash"), "row")
-    hits = near.mapInArrow(partial(_candidates, window=window), HITS_DDL).repartition(parts, "a", "b")
+    hits = near.mapInArrow(partial(_candidates, window=window, chunk_words=chunk_words), HITS_DDL).repartition(parts, "a", "b")
     hits = hits.withColumn("equal", F.count("*").over(equal)).where("sure or equal > 1")
     true = hits.groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     return texts.join(true.hint("shuffle_hash"), "row", "left").mapInArrow(
-        partial(_remove, window=window), "doc_id long, kept_text string, n_words long, n_removed long")
+        partial(_remove, window=window, chunk_words=chunk_words), "doc_id long, kept_text string, n_words long, n_removed long")

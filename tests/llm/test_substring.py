@@ -42,6 +42,49 @@ def test_small_alphabets_and_overlaps(spark, monkeypatch):
         assert sorted(tuple(r) for r in substring.remove_repeats(df, window=window).collect()) == want
 
 
+def test_hot_phrases_and_passages_over_many_chunks(spark):
+    """A phrase in every text, passages of several contexts and copies: combined over a task's chunks, nothing lost."""
+    rng = random.Random(3)
+    text = lambda n: [rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randrange(40)) for _ in range(n)]
+    phrase, passages = text(14), [text(45) for _ in range(3)]
+    texts = []
+    for i in range(900):
+        parts = text(rng.randint(0, 25)) + phrase + text(rng.randint(0, 25))
+        if i % 3 == 0:
+            parts += passages[rng.choice([0, 0, 0, 1])] + text(rng.randint(0, 9))
+        texts.append(" ".join(parts) if i % 10 else " ".join(passages[2][:40] + phrase))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = sorted((i, *p) for i, p in enumerate(plain(texts, 35)))
+    for chunk_words in (1, substring.CHUNK_WORDS):
+        got = substring.remove_repeats(df, window=35, chunk_words=chunk_words).collect()
+        assert sorted(tuple(r) for r in got) == want
+
+
+def test_a_task_sends_a_hot_key_once():
+    rng = np.random.default_rng(8)
+    n, sent, told = 2000, substring.Sent(), substring.Sent()
+    met, hot = Counter(), np.uint64(77)
+    for chunk in range(20):
+        a = rng.integers(0, 1 << 62, n).astype(np.uint64)
+        b = substring.mix64(a, 5)
+        a[::2] = hot  # one anchor in half the rows, with contexts of its own
+        b[1::4], a[1::4] = 5, 6  # one context in a quarter of them
+        at = np.arange(n)
+        out = substring._hits(a, b, np.full(n, chunk), at * 40, at * 40, sent, told).to_pydict()
+        met.update(x for x in out["a"] if x in (6, 77))
+        assert sum(out["sure"]) == n // 4 and sum(out["several"]) == n // 2
+    assert met == {6: 1, 77: 1}
+
+
+def test_keys_that_are_forgotten_are_sent_again():
+    sent, keys = substring.Sent(4), np.arange(10, dtype=np.uint64)
+    sent.add(keys[:3], keys[:3])
+    assert sent.has(keys[:5], keys[:5]).tolist() == [True, True, True, False, False]
+    sent.add(keys[3:6], keys[3:6])
+    assert sent.has(keys[:3], keys[:3]).all() and sent.keys.shape[1] == 4
+    assert not sent.has(keys[:3], keys[1:4]).any()
+
+
 def test_a_symbol_follows_from_the_words_that_fix_it():
     rng = np.random.default_rng(4)
     for alphabet in (2, 5, 50):
