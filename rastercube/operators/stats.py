@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from rastercube.operators.quantile import grouped_summary
 
 PROBS = (0.25, 0.75)
+# ``auto``: groups of at most so many rows, by count, are summarised in one pass.  Spark holds up to 128 groups'
+# values in a task before it sorts: at about 100 bytes each, some 250 MB.
+ONE_PASS_ROWS = 20_000
 
 
 def five_measures(
@@ -30,6 +33,11 @@ def five_measures(
                   values are merged in a single task -- only for groups of a
                   known, bounded size
       ``approx``  ``percentile_approx`` (bounded sketch, approximate)
+      ``auto``    the exact numbers, by ``builtin`` if no group has more than
+                  ``one_pass_rows`` rows (they are counted first), else by
+                  ``exact``
+
+    NULL and NaN count as missing.
     """
     names = {
         "mean": f"{prefix}_mean",
@@ -38,10 +46,14 @@ def five_measures(
         "p1": f"{prefix}_p75",
         "n": "pixel_count",
     }
+    if method == "auto":
+        limit = kwargs.pop("one_pass_rows", ONE_PASS_ROWS)
+        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        method = "builtin" if largest <= limit else "exact"
     if method == "exact":
         out = grouped_summary(df, keys, value, list(PROBS), names=names, **kwargs)
         return out.select(*keys, *[names[k] for k in ("mean", "std", "p0", "p1", "n")])
-    v = F.col(value)
+    v = F.when(~F.isnan(value), F.col(value))
     if method == "builtin":
         pct = F.percentile(v, F.array(*[F.lit(p) for p in PROBS]))
     elif method == "approx":

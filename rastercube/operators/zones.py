@@ -216,9 +216,11 @@ def _cell_side(boxes: DataFrame) -> int:
 
 
 def zone_stats(
-    obs: DataFrame, boxes: DataFrame, strategy: str = "auto", method: str = "exact", by: list[str] | None = None, **kw
+    obs: DataFrame, boxes: DataFrame, strategy: str = "auto", method: str = "auto", by: list[str] | None = None, **kw
 ) -> DataFrame:
     """Five measures per (zone, date), ordered; zones with no pixel give no row.
+    The numbers are exact; zones that hold few pixels a date (counted) are
+    summarised in one pass, larger ones by the distributed path.
     ``by=["tile_id"]`` gives them per (tile_id, zone, date)."""
     keys = [*(by or []), "zone", "date"]
     obs = obs.select(*dict.fromkeys([*(by or []), *_tile_key(boxes)]), "date", "row", "col", "ndvi")

@@ -11,7 +11,7 @@ from rastercube.functions.paths import resolve_path
 from rastercube.schema import ARCHIVE_LISTING
 from rastercube.sources.archives import archive_completeness, list_archives, resolve_bands
 from rastercube.sources.manifest import read_manifest, tile_records, write_manifest
-from rastercube.sources.tiles import find_band, load_tiles, onto_grid
+from rastercube.sources.tiles import NpyBand, find_band, load_tiles, onto_grid
 
 
 def test_path_mapping(spark):
@@ -219,3 +219,45 @@ def test_tile_decoder_by_import_path_and_missing_codec(spark, tmpdir_path):
     assert sorted(tuple(r) for r in df.collect()) == _expected(tiles, 10)
     with pytest.raises(Exception, match="JPEG-2000"):
         load_tiles(spark, recs, step=10, decoder="jp2").collect()
+
+
+@pytest.mark.parametrize("scale", [(1, 1), (2, 2), (2, 3)])
+def test_compressed_members_give_the_same_rows(spark, tmpdir_path, scale):
+    """Stored and compressed archives, bands of unequal resolution, all rows and chosen ones."""
+    rng = np.random.default_rng(6)
+    red = rng.integers(0, 3000, (250, 60)).astype(np.uint16)
+    nir = rng.integers(0, 3000, (250 * scale[0] // scale[1] * 2, 90)).astype(np.uint16)
+    recs = []
+    for kind in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+        path = os.path.join(tmpdir_path, f"kind{kind}-{scale[0]}{scale[1]}.zip")
+        with zipfile.ZipFile(path, "w", kind) as zf:
+            for band, a in (("B04", red), ("B08", nir)):
+                data = io.BytesIO()
+                np.save(data, a)
+                zf.writestr(f"G/IMG_DATA/R10m/T_{band}_10m.npy", data.getvalue())
+        recs.append((path, "2024-03-05"))
+    for rows in ((None, None), (35, 144), (140, None), (900, None)):
+        stored, packed = (
+            sorted(tuple(r)[2:] for r in load_tiles(
+                spark, spark.createDataFrame([r], "path string, date string"), strip_rows=3, rows=rows).collect())
+            for r in recs)
+        assert stored == packed
+        assert bool(stored) == (rows[0] != 900)
+
+
+def test_a_band_read_from_top_to_bottom_never_goes_back(tmpdir_path):
+    a = np.arange(4000, dtype=np.uint16).reshape(200, 20)
+    path = os.path.join(tmpdir_path, "band.zip")
+    data = io.BytesIO()
+    np.save(data, a)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr("b.npy", data.getvalue())
+    with zipfile.ZipFile(path) as zf:
+        band = NpyBand(zf, "b.npy")
+        sought, seek = [], band.file.seek
+        band.file.seek = lambda to: sought.append((to, band.file.tell())) or seek(to)
+        for r0, r1 in ((0, 11), (10, 30), (29, 30), (29, 60), (60, 90), (100, 300), (150, 200), (200, 210)):
+            assert np.array_equal(band.rows(r0, r1), a[r0:r1])
+        assert all(to >= at for to, at in sought)
+        assert np.array_equal(band.rows(5, 9), a[5:9])
+        band.close()

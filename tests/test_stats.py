@@ -103,6 +103,25 @@ def test_refinement_rounds_and_non_broadcast_path(spark):
     _compare_with_builtin(spark, data, exact_rows=50, refine_buckets=16, broadcast_rows=0)
 
 
+def test_auto_counts_before_it_chooses(spark, monkeypatch):
+    from rastercube.operators import stats
+
+    nan = float("nan")
+    rows = [("a", float(i)) for i in range(10)] + [("b", 1.0), ("b", nan), ("b", None), ("c", nan), ("d", None), (None, 3.0)]
+    df = spark.createDataFrame(rows, "date string, ndvi double")
+    ran = []
+    distributed = stats.grouped_summary
+    monkeypatch.setattr(stats, "grouped_summary", lambda *a, **k: ran.append(1) or distributed(*a, **k))
+    want = [(None, 3.0, None, 3.0, 3.0, 1), ("a", 4.5, 3.02765, 2.25, 6.75, 10), ("b", 1.0, None, 1.0, 1.0, 1),
+            ("c", None, None, None, None, 0), ("d", None, None, None, None, 0)]
+    for limit, runs in ((10, 0), (9, 1)):
+        got = five_measures(df, ["date"], method="auto", one_pass_rows=limit).collect()
+        assert sorted((tuple(round(x, 5) if isinstance(x, float) else x for x in r) for r in got),
+                      key=lambda r: r[0] or "") == want
+        assert len(ran) == runs
+    assert five_measures(df.limit(0), ["date"], method="auto").count() == 0
+
+
 def test_five_measures_methods_agree(spark):
     from rastercube.sources.testdata import obs
     from conftest import SF001

@@ -61,7 +61,8 @@ def test_strategies_agree_on_testdata(spark):
     b = _stats(zones.zone_stats(o, boxes, strategy="cells", cell=250))
     c = _stats(zones.zone_stats(o, boxes, strategy="union"))
     d = _stats(zones.zone_stats(o, boxes, strategy="cells", cell=100, max_broadcast_cells=0))
-    assert a == b == c == d
+    e = _stats(zones.zone_stats(o, boxes, method="exact"))
+    assert a == b == c == d == e
     assert "OFF" not in {r[0] for r in a}
     # a pixel may count in two zones: A and B overlap
     counts = {(r[0], r[1]): r[-1] for r in a}
