@@ -74,9 +74,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternates the large-star and small-star steps, each one aggregation of a
     minimum (combined map-side) and one join back, until the edges stay as
-    they are; then every edge leads from a node to its root.  Each round's
-    edges are settled.  No group is gathered: a node with very many edges only
-    makes a skewed join, which AQE splits.  An empty edge table gives none.
+    they are; then every edge leads from a node to its root.  Each step's
+    edges are settled, and so are the minima: AQE splits a skewed join only
+    where both its sides come straight from a shuffle, not from an
+    aggregation.  So no group is gathered, and a node with very many edges
+    only makes a join that is split.  An empty edge table gives none.
     """
     edges = settle(edges.where("u != v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
@@ -84,11 +86,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while state[0]:
         # large star: each larger neighbour of a node is tied to the smallest one
         both = edges.union(edges.select("v", "u")).toDF("a", "b")
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = settle(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
+        large = settle(large.where("u != v").distinct())
         # small star: a node and its smaller neighbours are tied to the smallest
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = settle(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u")
         edges = settle(small.select("u", F.col("m").alias("v")).union(
             small.where("v != m").select("v", "m")).distinct())

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from rastercube.llm import simhash
 
@@ -90,3 +91,36 @@ def test_gray_rank_orders_the_gray_sequence():
 
 def test_empty(no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
+
+
+def test_joins_of_a_hub_are_split(spark, monkeypatch):
+    """A node with nearly all edges: both star steps find it, in joins that AQE splits."""
+    from rastercube.llm import common
+
+    held = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.files.maxPartitionBytes": "256k"}
+    plans, before, settle = [], {k: spark.conf.get(k, None) for k in held}, common.settle
+
+    def settled(df):
+        execution = df._jdf.queryExecution()
+        execution.toRdd().count()  # so that the plan is the final one
+        plans.append(execution.executedPlan().toString())
+        return settle(df)
+
+    monkeypatch.setattr(common, "settle", settled)
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        for hub in (0, 1 << 40):
+            plans.clear()
+            other = F.xxhash64("id").bitwiseAND(F.lit((1 << 39) - 1))
+            edges = spark.range(1, 400_001).select(F.lit(hub).cast("long").alias("u"), other.alias("v"))
+            found = common.connected_components(edges)
+            assert found.select("root").distinct().count() == 1 and found.count() == 400_001
+            assert any("SortMergeJoin(skew=true)" in p for p in plans)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
