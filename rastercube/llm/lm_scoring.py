@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastercube.llm.common import byte_values, mix64
+from rastercube.llm.common import byte_values, mix64, settle
 
 # Word classes are numbered (a, b), a < SIDE, b < SIDE; the last row of the embeddings stands for "no word".
 SIDE, WIDTH, REACH = 32, 16, 2
@@ -21,6 +22,8 @@ SHAPES = [("embed", (len(OFFSETS) * (VOCABULARY + 1), WIDTH)), ("out_a", (WIDTH,
           ("out_b", (WIDTH, SIDE)), ("bias_b", (SIDE, SIDE))]
 SIZE = sum(int(np.prod(s)) for _, s in SHAPES)
 BATCH, SCALE, CACHE_WORDS = 8192, 1 << 24, 500_000
+# Tokens of at least a HEAD-th of all words are known to every task, so at most so many; others are joined. Count of an unseen token.
+HEAD, UNSEEN = 1 << 16, 0.5
 
 
 class WordClasses(dict):
@@ -56,7 +59,10 @@ def start(seed: int) -> np.ndarray:
 
 def sequence(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(classes, positions, document)``: texts one after another with ``REACH`` blanks around each."""
-    words = [t.split() for t in texts]
+    return _sequence([t.split() for t in texts])
+
+
+def _sequence(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     size = np.array([len(w) for w in words], np.int64)
     first = REACH + np.concatenate(([0], np.cumsum(size + REACH)))[:-1]
     doc = np.repeat(np.arange(len(words)), size)
@@ -158,38 +164,115 @@ def fit(texts: DataFrame, rounds: int = 2, mask: int = 8, rate: float = 0.05, se
     return weights
 
 
-def scores(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_tokens, log_likelihood, mean_log_likelihood)`` of every row under a fitted network."""
+def token_counts(texts: DataFrame) -> DataFrame:
+    """``(token, class, n)``: how often every lower-cased word is in the texts (one string column).
+
+    Counts are combined in the tasks and summed by Spark; the table stays
+    distributed, settled, and grows with the vocabulary of the corpus.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+
+        def flush() -> pa.RecordBatch:
+            words = list(held)
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.binary()), pa.array([_CLASSES[w] for w in words], pa.int32()),
+                 pa.array(list(held.values()), pa.int64())], names=["token", "class", "n"])
+            held.clear()
+            return out
+
+        for batch in batches:
+            for _, found in _parts(batch.column(0)):
+                for t in found:
+                    held.update(t.lower().split())
+                if len(held) >= CACHE_WORDS:
+                    yield flush()
+        if held:
+            yield flush()
+
+    found = texts.mapInArrow(count, "token binary, class int, n long")
+    return settle(found.groupBy("token").agg(F.first("class").alias("class"), F.sum("n").alias("n")))
+
+
+def scores(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text",
+           counts: DataFrame | None = None) -> DataFrame:
+    """``(doc_id, n_tokens, log_likelihood, mean_log_likelihood)`` of every row under a fitted network.
+
+    With ``counts`` (:func:`token_counts`) the probability of a word is that
+    of its class by the network times that of the token in its class, (n +
+    ``UNSEEN``) / (words + ``UNSEEN`` * (tokens + 1)) by the counts of the
+    class; the one more is what all unseen tokens share.  Without, the classes
+    alone are scored.
+
+    Tokens of at least a ``HEAD``-th of the words are looked up in the tasks;
+    so no key of the join that adds the others has more than a ``HEAD``-th of
+    the rows.  Sums are of whole numbers, so the order does not matter.
+    """
+    base, head, least = None, {}, 0
+    if counts is not None:
+        base = np.zeros(VOCABULARY)
+        classes = counts.groupBy("class").agg(F.sum("n"), F.count("*")).collect()
+        for c, n, tokens in classes:
+            base[c] = n + UNSEEN * tokens
+        base = np.log(UNSEEN) - np.log(base + UNSEEN)
+        least = max(1, -(-sum(r[1] for r in classes) // HEAD))
+        common = counts.where(F.col("n") >= least).select("token", "n").toArrow()
+        head = dict(zip(common.column(0).to_pylist(), np.log1p(common.column(1).to_numpy() / UNSEEN).tolist()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = views(weights)
         for batch in batches:
             total, count = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
-            for i, found in _parts(batch.column(1)):
-                classes, position, doc = sequence(found)
+            rare: list[bytes] = []
+            rares = np.zeros(batch.num_rows, np.int64)
+            for i, found in _parts(batch.column(2)):
+                words = [t.lower().split() for t in found]
+                classes, position, doc = _sequence(words)
                 for k in range(0, len(position), BATCH):
                     part = doc[k: k + BATCH] + i
                     total += np.bincount(part, forward(net, classes, position[k: k + BATCH])[-1], batch.num_rows)
-                    count += np.bincount(part, minlength=batch.num_rows)
-            total = total.round(2)
+                count += np.bincount(doc + i, minlength=batch.num_rows)
+                if base is not None:
+                    flat = [w for d in words for w in d]
+                    gain = np.fromiter((head.get(w, 0.0) for w in flat), np.float64, len(flat))
+                    total += np.bincount(doc + i, gain + base[classes[position]], batch.num_rows)
+                    others = np.flatnonzero(gain == 0)
+                    rare += [flat[j] for j in others.tolist()]
+                    rares += np.bincount(doc[others] + i, minlength=batch.num_rows)
+            ends = np.concatenate(([0], np.cumsum(rares))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(count), pa.array(total),
-                 pa.array(total / np.maximum(count, 1), mask=count == 0)],
-                names=["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string")).mapInArrow(
-        run, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")
+                [batch.column(0), batch.column(1), pa.array(count), pa.array(np.rint(total * SCALE).astype(np.int64)),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(rare, pa.binary()))],
+                names=["row", "doc_id", "n_tokens", "total", "rare"])
+
+    out = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+                      F.col(text_col).cast("string")).mapInArrow(
+        run, "row long, doc_id long, n_tokens long, total long, rare array<binary>")
+    if counts is not None:
+        out = settle(out)
+        gain = F.rint(F.log1p(F.col("n") / UNSEEN) * SCALE).cast("long")
+        gains = counts.where(F.col("n") < least).select("token", gain.alias("total"))
+        added = out.select("row", F.explode("rare").alias("token")).join(gains, "token")
+        out = out.select("row", "doc_id", "n_tokens", "total").unionByName(
+            added.select("row", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n_tokens"), "total"))
+        out = out.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("total").alias("total"))
+    total = F.round(F.col("total") / SCALE, 2)
+    return out.select("doc_id", "n_tokens", total.alias("log_likelihood"),
+                      F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_likelihood"))
 
 
 def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Score every document by the summed conditional log-probabilities of its words.
 
     The network is fitted on all texts (:func:`fit`, whose options are passed
-    on); then every word is predicted from the two words on either side and the
+    on) and all tokens, lower-cased words, are counted (:func:`token_counts`);
+    then every word is predicted from the two words on either side and the
     log-probabilities of its class (one of 1,024 by hash, as a pair of 32-way
-    softmaxes, the second given the first) are summed.  Null and empty texts
+    softmaxes, the second given the first) and of the token in its class (by
+    the smoothed counts, :func:`scores`) are summed.  Null and empty texts
     have no tokens, sum 0 and a null mean; repeated rows are learnt from and
     scored each; a null id stays; an empty table gives none; other columns are
     left out.
     """
-    return scores(docs, fit(docs.select(F.col(text_col).cast("string")), **options), id_col, text_col)
+    texts = docs.select(F.col(text_col).cast("string"))
+    return scores(docs, fit(texts, **options), id_col, text_col, token_counts(texts))

@@ -56,3 +56,36 @@ def test_rows(docs, rows, no_docs):
     for r in got:
         assert (r.mean_log_likelihood is None) == (r.n_tokens == 0) and r.log_likelihood <= 0
     assert lm.pseudo_likelihood(no_docs).count() == 0
+
+
+def test_tokens_of_one_class_score_by_their_counts(spark, monkeypatch):
+    """A junk word costs more than the frequent word of its class, by the smoothed counts, looked up or joined."""
+    kind = lm.WordClasses()
+    junk = next(w for i in range(100_000) if kind[(w := f"junk{i}").encode()] == kind[b"the"])
+    docs = [(0, "the " * 40), (1, f"a The b {junk} c the"), (2, None)] + [(3, "x y")] * 3
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    weights, counts = lm.start(1), lm.token_counts(df.select("text"))
+    n = {}
+    for _, t in docs:
+        for w in (t or "").lower().encode().split():
+            n[w] = n.get(w, 0) + 1
+    assert {bytes(r.token): r.n for r in counts.collect()} == n
+    words, sizes = np.zeros(lm.VOCABULARY), np.zeros(lm.VOCABULARY)
+    for w, k in n.items():
+        words[kind[w]] += k
+        sizes[kind[w]] += 1
+    share = lambda w: np.log((n.get(w, 0) + lm.UNSEEN) / (words[kind[w]] + lm.UNSEEN * (sizes[kind[w]] + 1)))
+    tests = docs + [(4, f"the {junk}"), (5, "the the"), (6, "the neverseen")]
+    asked = spark.createDataFrame(tests, "doc_id long, text string").repartition(2)
+    plain = {r.doc_id: r for r in lm.scores(asked, weights).collect()}
+    for head in (lm.HEAD, 4, 1):
+        monkeypatch.setattr(lm, "HEAD", head)
+        got = lm.scores(asked, weights, counts=counts).collect()
+        assert sorted(r.doc_id for r in got) == sorted(r[0] for r in tests)
+        for r in got:
+            text = dict(tests)[r.doc_id]
+            more = sum(share(w) for w in (text or "").lower().encode().split())
+            assert r.n_tokens == plain[r.doc_id].n_tokens
+            assert abs(r.log_likelihood - plain[r.doc_id].log_likelihood - more) < 0.02
+        score = {r.doc_id: r.log_likelihood for r in got}
+        assert score[5] > score[4] + 2
