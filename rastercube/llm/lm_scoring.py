@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +22,8 @@ SHAPES = [("embed", (len(OFFSETS) * (VOCABULARY + 1), WIDTH)), ("out_a", (WIDTH,
           ("out_b", (WIDTH, SIDE)), ("bias_b", (SIDE, SIDE))]
 SIZE = sum(int(np.prod(s)) for _, s in SHAPES)
 BATCH, SCALE, CACHE_WORDS = 8192, 1 << 24, 500_000
-# Tokens of at least a HEAD-th of all words are known to every task, so at most so many; others are joined. Count of an unseen token.
-HEAD, UNSEEN = 1 << 16, 0.5
+# So many of the most frequent tokens, at most, are known to every task; others are joined. Count of an unseen token.
+HEAD, UNSEEN = 1 << 17, 0.5
 
 
 class WordClasses(dict):
@@ -68,49 +68,58 @@ def _sequence(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndar
     doc = np.repeat(np.arange(len(words)), size)
     position = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + first[doc]
     classes = np.full(int(size.sum()) + REACH * (len(words) + 1), NONE, np.int64)
-    classes[position] = np.fromiter((_CLASSES[w] for d in words for w in d), np.int64, len(doc))
+    classes[position] = np.fromiter(map(_CLASSES.__getitem__, chain.from_iterable(words)), np.int64, len(doc))
     return classes, position, doc
 
 
-def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(probabilities, log of the norm)`` by row; ``x`` is used up."""
-    top = x.max(axis=1)
-    np.exp(np.subtract(x, top[:, None], out=x), out=x)
-    total = x.sum(axis=1)
-    x /= total[:, None]
-    return x, top + np.log(total)
+def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(exponentials, their sums, log of the norm)`` by column; ``x`` is used up."""
+    top = x.max(axis=0)
+    np.exp(np.subtract(x, top, out=x), out=x)
+    total = x.sum(axis=0)
+    return x, total, top + np.log(total)
 
 
 def forward(net: dict, classes: np.ndarray, at: np.ndarray) -> tuple:
-    """Hidden layer, both softmaxes and log p of the words at ``at``, each seen only through its neighbours."""
-    rows = np.stack([classes[at + o] + j * (VOCABULARY + 1) for j, o in enumerate(OFFSETS)])
-    hidden = np.tanh(net["embed"][rows].sum(axis=0))
+    """Hidden layer, both softmaxes (a column per word) and log p of the words at ``at``, each seen only through its neighbours."""
+    rows = [classes[at + o] for o in OFFSETS]
+    hidden = net["embed"].take(rows[0], axis=0)
+    for j in range(1, len(OFFSETS)):
+        hidden += net["embed"][j * (VOCABULARY + 1): (j + 1) * (VOCABULARY + 1)].take(rows[j], axis=0)
+    np.tanh(hidden, out=hidden)
     a, b = np.divmod(classes[at], SIDE)
     line = np.arange(len(at))
-    score_a = hidden @ net["out_a"] + net["bias_a"]
-    score_b = hidden @ net["out_b"] + net["bias_b"][a]
-    chosen = score_a[line, a] + score_b[line, b]
-    (soft_a, norm_a), (soft_b, norm_b) = _softmax(score_a), _softmax(score_b)
-    return rows, hidden, a, b, soft_a, soft_b, chosen - norm_a - norm_b
+    score_a = net["out_a"].T @ hidden.T
+    score_a += net["bias_a"][:, None]
+    score_b = net["out_b"].T @ hidden.T
+    score_b += net["bias_b"].T.take(a, axis=1)
+    chosen = score_a[a, line] + score_b[b, line]
+    soft_a, total_a, norm_a = _softmax(score_a)
+    soft_b, total_b, norm_b = _softmax(score_b)
+    return rows, hidden, a, b, soft_a, soft_b, total_a, total_b, chosen - norm_a - norm_b
 
 
 def train(flat: np.ndarray, squares: np.ndarray, classes: np.ndarray, at: np.ndarray, rate: float) -> None:
     """One Adagrad step on the masked words at ``at``, in place."""
     net, grad = views(flat), np.zeros_like(flat)
-    rows, hidden, a, b, soft_a, soft_b, _ = forward(net, classes, at)
+    rows, hidden, a, b, soft_a, soft_b, total_a, total_b, _ = forward(net, classes, at)
     line, g = np.arange(len(at)), views(grad)
-    soft_a[line, a] -= 1
-    soft_b[line, b] -= 1
-    soft_a /= len(at)
-    soft_b /= len(at)
-    g["out_a"][:], g["bias_a"][:] = hidden.T @ soft_a, soft_a.sum(axis=0)
-    g["out_b"][:] = hidden.T @ soft_b
-    np.add.at(g["bias_b"], a, soft_b)
-    back = (soft_a @ net["out_a"].T + soft_b @ net["out_b"].T) * (1 - hidden * hidden)
-    for r in rows:
+    soft_a /= total_a
+    soft_b /= total_b
+    soft_a[a, line] -= 1
+    soft_b[b, line] -= 1
+    one = np.zeros((SIDE, len(at)), np.float32)
+    one[a, line] = 1
+    g["out_a"][:], g["bias_a"][:] = hidden.T @ soft_a.T, soft_a.sum(axis=1)
+    g["out_b"][:], g["bias_b"][:] = hidden.T @ soft_b.T, one @ soft_b.T
+    back = (soft_a.T @ net["out_a"].T + soft_b.T @ net["out_b"].T) * (1 - hidden * hidden)
+    for j, r in enumerate(rows):
+        r = r.astype(np.int16)  # sorted by radix
         order = np.argsort(r, kind="stable")
-        head = np.flatnonzero(np.concatenate(([True], r[order][1:] != r[order][:-1])))
-        g["embed"][r[order][head]] += np.add.reduceat(back[order], head)
+        r = r[order]
+        head = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
+        g["embed"][r[head] + np.int64(j * (VOCABULARY + 1))] = np.add.reduceat(back.take(order, axis=0), head)
+    grad /= len(at)
     squares += grad * grad
     flat -= rate * grad / (np.sqrt(squares) + 1e-6)
 
@@ -120,13 +129,26 @@ def _parts(column: pa.Array, texts: int = 256) -> Iterator[tuple[int, list[bytes
         yield i, [t or b"" for t in byte_values(column.slice(i, texts))]
 
 
-def fit(texts: DataFrame, rounds: int = 2, mask: int = 8, rate: float = 0.05, seed: int = 7) -> np.ndarray:
+def targets(texts: list[bytes], doc: np.ndarray, rounds: int, turn: int) -> np.ndarray:
+    """Which words of the texts are masked in round ``turn``: of the ``rounds`` rounds every word is in exactly one.
+
+    The round is a hash of the text and the place in it, so it is the same
+    wherever and in whichever order the texts are read.
+    """
+    start = np.searchsorted(doc, np.arange(len(texts)))
+    salt = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64)
+    with np.errstate(over="ignore"):
+        place = mix64((np.arange(len(doc)) - start[doc]).astype(np.uint64) + salt[doc])
+    return place % np.uint64(rounds) == np.uint64(turn)
+
+
+def fit(texts: DataFrame, rounds: int = 2, rate: float = 0.05, seed: int = 7) -> np.ndarray:
     """Train the network over all texts (one string column); returns its weights as one vector.
 
     In every round each partition starts from the common weights and learns
-    from its own texts: of each text's words every ``mask``-th by a hash of its
-    place, another choice each round, is masked and predicted from both sides.
-    The partitions' changes, weighted by their masked words, are summed by
+    from its own texts: the rounds share the words out by a hash
+    (:func:`targets`), so over all rounds each word of the corpus is masked and
+    predicted from both sides once.  The partitions' changes, weighted by their masked words, are summed by
     Spark (in whole numbers, so the order does not matter) and averaged.  What
     is gathered grows with the number of partitions; the driver gets one
     vector of fixed size.
@@ -137,12 +159,10 @@ def fit(texts: DataFrame, rounds: int = 2, mask: int = 8, rate: float = 0.05, se
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flat, squares, n = given.copy(), np.zeros(SIZE, np.float32), 0
-            part = TaskContext.get().partitionId()
             for batch in batches:
-                for i, found in _parts(batch.column(0)):
-                    classes, position, _ = sequence(found)
-                    place = mix64(np.arange(n + i, n + i + len(position)).astype(np.uint64), part * rounds + turn)
-                    masked = position[place % np.uint64(mask) == 0]
+                for _, found in _parts(batch.column(0)):
+                    classes, position, doc = sequence(found)
+                    masked = position[targets(found, doc, rounds, turn)]
                     for k in range(0, len(masked), BATCH):
                         train(flat, squares, classes, masked[k: k + BATCH], rate)
                     n += len(masked)
@@ -158,7 +178,7 @@ def fit(texts: DataFrame, rounds: int = 2, mask: int = 8, rate: float = 0.05, se
             F.sum(F.col("change").cast("decimal(38,0)") * F.col("n")).alias("total"), F.sum("n").alias("n"))
         mean = summed.select("at", (F.col("total") / F.col("n")).cast("double").alias("mean")).toArrow()
         if not mean.num_rows:
-            break
+            continue
         weights = weights.copy()
         weights[mean.column("at").to_numpy()] += (mean.column("mean").to_numpy() / SCALE).astype(np.float32)
     return weights
@@ -204,19 +224,26 @@ def scores(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_co
     class; the one more is what all unseen tokens share.  Without, the classes
     alone are scored.
 
-    Tokens of at least a ``HEAD``-th of the words are looked up in the tasks;
-    so no key of the join that adds the others has more than a ``HEAD``-th of
-    the rows.  Sums are of whole numbers, so the order does not matter.
+    The most frequent tokens are looked up in the tasks, at most ``HEAD`` and
+    whole steps of an eighth in log2 of the count; so no key of the join that
+    adds the others has much more than a ``HEAD``-th of the rows.  Sums are of
+    whole numbers, so the order does not matter.
     """
-    base, head, least = None, {}, 0
+    base, head = None, {}
     if counts is not None:
         base = np.zeros(VOCABULARY)
         classes = counts.groupBy("class").agg(F.sum("n"), F.count("*")).collect()
         for c, n, tokens in classes:
             base[c] = n + UNSEEN * tokens
         base = np.log(UNSEEN) - np.log(base + UNSEEN)
-        least = max(1, -(-sum(r[1] for r in classes) // HEAD))
-        common = counts.where(F.col("n") >= least).select("token", "n").toArrow()
+        step = F.floor(F.log2("n") * 8)
+        least, held = 0, 0
+        for s, tokens in sorted(counts.groupBy(step.alias("s")).count().collect(), reverse=True):
+            held += tokens
+            if held > HEAD:
+                least = s + 1
+                break
+        common = counts.where(step >= least).select("token", "n").toArrow()
         head = dict(zip(common.column(0).to_pylist(), np.log1p(common.column(1).to_numpy() / UNSEEN).tolist()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,8 +260,8 @@ def scores(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_co
                     total += np.bincount(part, forward(net, classes, position[k: k + BATCH])[-1], batch.num_rows)
                 count += np.bincount(doc + i, minlength=batch.num_rows)
                 if base is not None:
-                    flat = [w for d in words for w in d]
-                    gain = np.fromiter((head.get(w, 0.0) for w in flat), np.float64, len(flat))
+                    flat = list(chain.from_iterable(words))
+                    gain = np.fromiter(map(head.get, flat, repeat(0.0)), np.float64, len(flat))
                     total += np.bincount(doc + i, gain + base[classes[position]], batch.num_rows)
                     others = np.flatnonzero(gain == 0)
                     rare += [flat[j] for j in others.tolist()]
@@ -251,7 +278,7 @@ def scores(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_co
     if counts is not None:
         out = settle(out)
         gain = F.rint(F.log1p(F.col("n") / UNSEEN) * SCALE).cast("long")
-        gains = counts.where(F.col("n") < least).select("token", gain.alias("total"))
+        gains = counts.where(step < least).select("token", gain.alias("total"))
         added = out.select("row", F.explode("rare").alias("token")).join(gains, "token")
         out = out.select("row", "doc_id", "n_tokens", "total").unionByName(
             added.select("row", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n_tokens"), "total"))

@@ -89,3 +89,24 @@ def test_tokens_of_one_class_score_by_their_counts(spark, monkeypatch):
             assert abs(r.log_likelihood - plain[r.doc_id].log_likelihood - more) < 0.02
         score = {r.doc_id: r.log_likelihood for r in got}
         assert score[5] > score[4] + 2
+
+
+def test_every_word_is_a_target_once(spark):
+    """The rounds share out all places; the given class biases of a word that occurs once have learnt."""
+    texts = [b"", b"one", *[b" ".join(b"w%d" % i for i in range(n)) for n in (3, 50, 700)], b"one"]
+    doc = np.repeat(np.arange(len(texts)), [len(t.split()) for t in texts])
+    for rounds in (1, 2, 5):
+        assert (sum(lm.targets(texts, doc, rounds, k).astype(int) for k in range(rounds)) == 1).all()
+        # in whichever order the texts are read
+        first, turned = lm.targets(texts, doc, rounds, 0), lm.targets(texts[::-1], (len(texts) - 1 - doc)[::-1], rounds, 0)
+        assert (np.bincount(doc, first) == np.bincount(doc[::-1], turned)).all()
+    kind, words = lm.WordClasses(), {}
+    for i in range(5000):
+        words.setdefault(kind[b"r%d" % i] // lm.SIDE, f"r{i}")
+    assert len(words) == lm.SIDE
+    df = spark.createDataFrame([(w,) for w in words.values()], "text string").repartition(2)
+    learnt = lm.views(lm.fit(df))["bias_b"]
+    assert (np.abs(learnt).max(axis=1) > 0).all()
+    for w in words.values():
+        a, b = divmod(kind[w.encode()], lm.SIDE)
+        assert learnt[a].argmax() == b
