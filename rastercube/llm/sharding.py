@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_right
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,45 +33,58 @@ def _cuts(ends: list[int], shards: int, capacity: int) -> list[int]:
     return cuts
 
 
+def _reach(parts: list[tuple], ends: list[int], shards: int, capacity: int) -> tuple[bool, set[int]]:
+    """Whether ``shards`` suffice if segments of several groups could be cut anywhere, and the segments so cut."""
+    at, inside = 0, set()
+    for _ in range(shards):
+        i = bisect_right(ends, at + capacity)
+        if i == len(parts):
+            return True, inside
+        start = ends[i - 1] if i else 0
+        if parts[i][2] > 1 and at + capacity > start:
+            at += capacity
+            inside.add(i)
+        else:
+            at = start
+    return False, inside
+
+
+def _least(fits, low: int, high: int) -> int:
+    """The smallest capacity from ``low`` to ``high`` that fits; ``high`` does."""
+    while low < high:
+        mid = (low + high) // 2
+        low, high = (low, mid) if fits(mid) else (mid + 1, high)
+    return low
+
+
 def minimax(groups: DataFrame, shards: int, largest: int) -> tuple[list[str | None], int]:
     """``(bounds, capacity)``: the smallest capacity at which greedy cutting needs at most ``shards`` shards.
 
     Groups are ordered by digest.  The driver holds segments of that order
-    with their byte sums, not groups: a few thousand, of which only those are
-    refined where a cut could fall for a capacity between what is surely too
-    little and what surely suffices.  ``bounds`` are the digest prefixes at
-    which shards 1, 2, ... start (None: such a shard is empty).
+    with their byte sums, not groups.  A capacity surely does not suffice if
+    it does not even where segments may be cut anywhere, and surely does if it
+    does with segments as wholes.  Until the least of both kinds is the same,
+    only the segments are refined in which a cut falls: at most two a shard
+    and round, however large a group is.  ``bounds`` are the digest prefixes
+    at which shards 1, 2, ... start (None: such a shard is empty).
     """
     parts = _segments(groups, [""])
+    if not parts:
+        return [None] * (shards - 1), 0
     total = sum(p[1] for p in parts)
+    low = max(largest, -(-total // shards))
     while True:
-        ends, run = [], 0
-        for p in parts:
-            run += p[1]
-            ends.append(run)
-        if not parts:
-            return [None] * (shards - 1), 0
-        # with segments as atoms a capacity suffices or not; real groups may need less, by no more than a segment
-        lo = max(largest, -(-total // shards))
-        low, high = lo, total
-        while low < high:
-            mid = (low + high) // 2
-            if _cuts(ends, shards, mid)[-1] == len(parts):
-                high = mid
-            else:
-                low = mid + 1
-        # the k-th cut falls no earlier than whole segments reach at the least capacity, and before byte k * low
-        early = _cuts(ends, shards, lo)
-        late = [bisect_right(ends, (k + 1) * low) for k in range(shards)]
-        open_ = {i for a, b in zip(early, late) for i in range(a, min(b + 1, len(parts))) if parts[i][2] > 1}
-        if not open_:
-            break
+        ends = list(accumulate(p[1] for p in parts))
+        low = _least(lambda c: _reach(parts, ends, shards, c)[0], low, total)
+        high = _least(lambda c: _cuts(ends, shards, c)[-1] == len(parts), low, total)
+        cuts = _cuts(ends, shards, high)
+        if low == high:
+            return [parts[c][0] if c < len(parts) else None for c in cuts[:-1]], low
+        open_ = _reach(parts, ends, shards, low)[1] | {c for c in cuts if c < len(parts) and parts[c][2] > 1}
         # segments of one depth at a time, the coarsest first
         depth = min(len(parts[i][0]) for i in open_)
         prefixes = [parts[i][0] for i in sorted(open_) if len(parts[i][0]) == depth]
         parts = sorted([p for p in parts if p[0] not in set(prefixes)] + _segments(groups, prefixes))
-    cuts = _cuts(ends, shards, low)
-    return [parts[c][0] if c < len(parts) else None for c in cuts[:-1]], low
 
 
 def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -52,3 +52,35 @@ def test_plan_has_no_python(docs):
 
 def test_empty(no_docs):
     assert sharding.shard(no_docs, 8).count() == 0
+
+
+@pytest.mark.parametrize("share", [0, 0.126, 0.2, 1 / 3])
+def test_a_hot_group_does_not_bring_the_others_to_the_driver(share, monkeypatch):
+    """A round brings at most two segments a shard; the capacity is the least one."""
+    import random
+    from bisect import bisect_left
+
+    rng, shards = random.Random(3), 8
+    groups = sorted((f"{rng.getrandbits(256):064x}", rng.randint(100, 3000)) for _ in range(30_000))
+    if share:
+        groups[9000] = (groups[9000][0], int(sum(n for _, n in groups) * share / (1 - share)))
+    digests, sent = [d for d, _ in groups], []
+
+    def segments(_, prefixes):
+        depth, out = len(prefixes[0]), {}
+        for p in prefixes:
+            for d, n in groups[bisect_left(digests, p): bisect_left(digests, p + "g") if p else None]:
+                x = out.setdefault(d[: depth + sharding.MORE], [0, 0])
+                x[0] += n
+                x[1] += 1
+        sent.append((len(prefixes), len(out)))
+        return sorted((p, *x) for p, x in out.items())
+
+    monkeypatch.setattr(sharding, "_segments", segments)
+    sizes = [n for _, n in groups]
+    bounds, capacity = sharding.minimax(None, shards, max(sizes))
+    assert capacity == least_capacity(sizes, shards)
+    at = [0, *(bisect_left(digests, b) if b else len(sizes) for b in bounds), len(sizes)]
+    assert max(sum(sizes[i:j]) for i, j in zip(at, at[1:])) == capacity
+    assert max(n for n, _ in sent) <= 2 * shards and sum(n for _, n in sent) < 10_000
+    assert len(sent) < 30
