@@ -238,6 +238,46 @@ def container_scores(root: Node) -> dict[str, float]:
     return scores
 
 
+WORD = re.compile(r"[^\W\d_]{2}")
+
+
+def _adds(node: Node, child: Node, path: str) -> bool:
+    """Whether ``node`` holds words outside ``child`` and ``path`` that are neither links nor boilerplate."""
+    stack = [x for x in node.items if x is not child]
+    while stack:
+        x = stack.pop()
+        if isinstance(x, str):
+            if WORD.search(entities.unescape(x)):
+                return True
+        elif x.tag != "a" and not boilerplate(x) and path_of(x) != path:
+            stack.extend(x.items)
+    return False
+
+
+def best_path(root: Node) -> str | None:
+    """The path of a page's main text: the best container, or what holds it together with more text.
+
+    From the best container it climbs to the outermost element that adds words
+    to it, but not out of the nearest article or main.
+    """
+    scores = container_scores(root)
+    if not scores:
+        return None
+    path = min(scores, key=lambda p: (-scores[p], p))
+    stack, node = [root], None
+    while stack and node is None:
+        x = stack.pop()
+        if path_of(x) == path:
+            node = x
+        else:
+            stack.extend(y for y in reversed(x.items) if isinstance(y, Node) and not boilerplate(y))
+    while node is not None and node.parent and node.tag not in ("article", "main"):
+        if _adds(node.parent, node, path):
+            path = path_of(node.parent)
+        node = node.parent
+    return path
+
+
 def extract(root: Node, paths: list[str]) -> str:
     """The text of the containers at the first of ``paths`` that hold any."""
     for path in paths:
@@ -262,7 +302,7 @@ def host_of(url):
 def main_text(pages: DataFrame, votes: int = 5, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """A row per page: page_id, url, text, n_chars (code points).
 
-    Pass one parses each page and votes: its best container path (score) for
+    Pass one parses each page and votes: its main path (:func:`best_path`) for
     its host, and sends (host, path, votes), combined before the shuffle, so a
     host with a third of all pages is a few rows from each task.  The paths of
     a host are ranked by votes, ties by path; up to ``votes`` ranks are kept.
@@ -274,13 +314,9 @@ def main_text(pages: DataFrame, votes: int = 5, id_col: str = "page_id", url_col
     table gives none; other columns are left out.  Elements below
     ``MAX_LEVEL`` levels are read as siblings at that level.
     """
-    def best(root: Node) -> str | None:
-        scores = container_scores(root)
-        return min(scores, key=lambda p: (-scores[p], p)) if scores else None
-
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(u, best(parse(h or ""))) for u, h in zip(batch.column(0).to_pylist(), _texts(batch.column(1)))]
+            found = [(u, best_path(parse(h or ""))) for u, h in zip(batch.column(0).to_pylist(), _texts(batch.column(1)))]
             found = [(h, p) for h, p in found if p]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.string()) for i in (0, 1)], names=["host", "path"])
 
@@ -289,7 +325,7 @@ def main_text(pages: DataFrame, votes: int = 5, id_col: str = "page_id", url_col
             texts = []
             for page, paths in zip(_texts(batch.column(2)), batch.column(3).to_pylist()):
                 root = parse(page or "")
-                texts.append(extract(root, paths or []) or extract(root, [best(root)]))
+                texts.append(extract(root, paths or []) or extract(root, [best_path(root)]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])

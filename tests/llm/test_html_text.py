@@ -60,3 +60,14 @@ def test_deep_nesting_loses_no_text():
             assert max(html_text.container_scores(root).values()) > 0
     root = html_text.parse("<body>" + "<span>x " * 3000)
     assert html_text.extract(root, ["html>body"]) == " ".join("x" * 3000)
+
+
+def test_heading_lead_and_sections_beside_the_core_are_kept():
+    """Parts of an article outside its best container are text too, however long that container is."""
+    core = "<div class=entry-content>" + "<p>" + "long text " * 400 + "</p></div>"
+    parts = "<h1>The title</h1><p class=lead>A lead.</p>" + core + "<section><p>Part two.</p></section>"
+    want = ["The title", "A lead.", ("long text " * 400).strip(), "Part two."]
+    for page in ("<body><article>%s</article></body>", "<body><div class=page>%s</div></body>", "<body>%s</body>",
+                 "<body><main><div><div>%s</div></div></main><div class=x>Other words</div></body>"):
+        root = html_text.parse("<nav>Menu words</nav>" + page % parts + "<footer>Foot words</footer>")
+        assert html_text.extract(root, [html_text.best_path(root)]).split("\n\n") == want
