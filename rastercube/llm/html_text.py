@@ -46,17 +46,24 @@ MAX_LEVEL = 512
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "level", "items", "path", "good")
+    __slots__ = ("tag", "attrs", "parent", "level", "items", "path", "good", "kind", "spared")
 
     def __init__(self, tag: str, attrs: dict, parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.level = parent.level + 1 if parent else 0
         self.items: list = []
-        self.path = self.good = None
+        self.path = self.good = self.kind = None
+        self.spared = False
 
 
 def parse(page: str) -> Node:
-    """A tolerant tree of the page: unclosed, stray and misnested tags never lose text."""
+    """A tolerant tree of the page: unclosed, stray and misnested tags never lose text; wrappers are told from boilerplate."""
+    root = _tree(page)
+    _spare(root)
+    return root
+
+
+def _tree(page: str) -> Node:
     root = node = Node("html", {}, None)
     depth, at, n = {}, 0, len(page)
     while at < n:
@@ -127,24 +134,85 @@ def _words(node: Node) -> set[str]:
     return set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", names).lower()))
 
 
-def boilerplate(node: Node) -> bool:
-    """Whether an element is surely not article text, by its tag, role, or the words of its class and id."""
-    if node.tag in DROP_TAGS or "hidden" in node.attrs or node.attrs.get("aria-hidden") == "true":
-        return True
+# What an element is: sure boilerplate, readers' comments, boilerplate by its name only, or text.
+SURE, COMMENTS, NAMED, TEXT = range(4)
+COMMENT_WORDS = frozenset("comment comments commentlist reply replies respond disqus".split())
+
+
+def kind_of(node: Node) -> int:
+    """What an element is by its tag, role, or the words of its class and id."""
+    if node.kind is None:
+        node.kind = _kind(node)
+    return node.kind
+
+
+def _kind(node: Node) -> int:
+    if (node.tag in DROP_TAGS and node.tag != "form") or "hidden" in node.attrs or node.attrs.get("aria-hidden") == "true":
+        return SURE
     if "display:none" in node.attrs.get("style", "").replace(" ", "").lower():
-        return True
-    if node.attrs.get("role", "").lower() in DROP_ROLES:
-        return True
+        return SURE
+    role = node.attrs.get("role", "").lower()
+    if role in DROP_ROLES and role != "form":
+        return SURE
     words = _words(node)
     if node.tag in ("html", "body", "main", "article"):
-        return bool(words & {"comment", "comments", "reply", "respond"}) and node.tag == "article"
+        return COMMENTS if words & {"comment", "comments", "reply", "respond"} and node.tag == "article" else TEXT
+    if words & COMMENT_WORDS:
+        return COMMENTS
     if node.tag == "header":
         # a header within the article holds its heading; any other is the site's
         up = node.parent
         while up and up.tag not in ("article", "main"):
             up = up.parent
-        return up is None or bool(words & DROP_WORDS)
-    return bool(words & DROP_WORDS)
+        return NAMED if up is None or words & DROP_WORDS else TEXT
+    return NAMED if node.tag == "form" or role == "form" or words & DROP_WORDS else TEXT
+
+
+def boilerplate(node: Node) -> bool:
+    """Whether an element is not article text: by :func:`kind_of`, unless the page has its text in there (:func:`_spare`)."""
+    return kind_of(node) != TEXT and not node.spared
+
+
+def _spare(root: Node) -> None:
+    """Mark the elements that are boilerplate by name, but wrap the page's text.
+
+    Those are spared that hold four times the text (not links) of the rest, or
+    the page's only h1 or main and at least as much; the text within what is
+    surely boilerplate or comments does not count.  If nothing is left without
+    the named ones, all of them are spared; then the comments.
+    """
+    # (node, text, headings) in page order of their ends; a node's sums are there when it ends
+    sums: dict[Node, list[int]] = {}
+    named, stack = [], [(root, False)]
+    while stack:
+        node, ended = stack.pop()
+        if not ended:
+            sums[node] = [0, int(node.tag in ("h1", "main"))]
+            if node is not root and kind_of(node) == NAMED:
+                named.append(node)
+            stack.append((node, True))
+            for x in node.items:
+                if isinstance(x, str):
+                    sums[node][0] += len(x.strip())
+                elif x.tag != "a" and kind_of(x) not in (SURE, COMMENTS):
+                    stack.append((x, False))
+        elif node is not root:
+            for i in (0, 1):
+                sums[node.parent][i] += sums[node][i]
+    text, heads = sums[root]
+    for node in named:
+        inside, has = sums[node]
+        outside = text - inside
+        node.spared = inside > 0 and (inside >= 4 * outside or (has > 0 and has == heads and inside >= outside))
+    for kind in (NAMED, COMMENTS):
+        if text_blocks(root):
+            return
+        stack = [root]
+        while stack:
+            for x in stack.pop().items:
+                if isinstance(x, Node) and kind_of(x) >= kind:
+                    x.spared = x.spared or kind_of(x) in (NAMED, COMMENTS)
+                    stack.append(x)
 
 
 def text_blocks(node: Node) -> list[str]:

@@ -71,3 +71,19 @@ def test_heading_lead_and_sections_beside_the_core_are_kept():
                  "<body><main><div><div>%s</div></div></main><div class=x>Other words</div></body>"):
         root = html_text.parse("<nav>Menu words</nav>" + page % parts + "<footer>Foot words</footer>")
         assert html_text.extract(root, [html_text.best_path(root)]).split("\n\n") == want
+
+
+def test_wrappers_with_names_of_boilerplate_keep_the_article():
+    """A part of a name, or a form around the page, does not drop the page's text; real boilerplate still goes."""
+    text = "<h1>Title here</h1>" + "<p>A paragraph of the article.</p>" * 5
+    want = "\n\n".join(["Title here"] + ["A paragraph of the article."] * 5)
+    for top in ('<div id=page class="no-sidebar">', '<div class="content with-sidebar">', '<div id=wrapper class="nav-open">',
+                '<section class="search-result">', '<div class="widget-text">', "<form action=/x>"):
+        end = f"</{top[1:].split()[0].rstrip('>')}>"
+        for extra in ("", '<div class="sidebar"><p>Side words.</p></div>'):
+            for page in (f"<body>{top}{text}{extra}{end}", f"<body>{top}{text}{end}{extra}"):
+                root = html_text.parse(page + "<nav>Menu words</nav><div class=comments><p>" + "A reader writes. " * 90 + "</p></div>")
+                assert html_text.extract(root, [html_text.best_path(root)]) == want
+    # many parts, none of which holds most of the text
+    root = html_text.parse("<body>" + '<div class="widget-text"><p>Part of it.</p></div>' * 7 + "<footer>Foot</footer>")
+    assert html_text.extract(root, [html_text.best_path(root)]) == "\n\n".join(["Part of it."] * 7)
