@@ -266,6 +266,8 @@ def likely(node: Node) -> bool:
     return node.good
 
 
+# The host's text of a page is taken if it is at least so small a part of the page's own.
+FAIR = 4
 CONTAINERS = frozenset("article main section div td body html center blockquote".split())
 
 
@@ -322,16 +324,20 @@ def _adds(node: Node, child: Node, path: str) -> bool:
     return False
 
 
-def best_path(root: Node) -> str | None:
+def core_path(scores: dict[str, float]) -> str | None:
+    """The best container's path."""
+    return min(scores, key=lambda p: (-scores[p], p)) if scores else None
+
+
+def best_path(root: Node, scores: dict[str, float] | None = None) -> str | None:
     """The path of a page's main text: the best container, or what holds it together with more text.
 
     From the best container it climbs to the outermost element that adds words
     to it, but not out of the nearest article or main.
     """
-    scores = container_scores(root)
-    if not scores:
+    path = core_path(container_scores(root) if scores is None else scores)
+    if path is None:
         return None
-    path = min(scores, key=lambda p: (-scores[p], p))
     stack, node = [root], None
     while stack and node is None:
         x = stack.pop()
@@ -355,7 +361,9 @@ def extract(root: Node, paths: list[str]) -> str:
             if path_of(node) == path:
                 tops.append(node)
                 continue
-            stack.extend(x for x in reversed(node.items) if isinstance(x, Node) and not boilerplate(x))
+            # what the path runs through is no boilerplate on this host
+            stack.extend(x for x in reversed(node.items) if isinstance(x, Node) and (
+                not boilerplate(x) or kind_of(x) == NAMED and f"{path}>".startswith(f"{path_of(x)}>")))
         if blocks := [b for top in tops for b in text_blocks(top)]:
             return "\n\n".join(blocks)
     return ""
@@ -371,42 +379,70 @@ def main_text(pages: DataFrame, votes: int = 5, id_col: str = "page_id", url_col
     """A row per page: page_id, url, text, n_chars (code points).
 
     Pass one parses each page and votes: its main path (:func:`best_path`) for
-    its host, and sends (host, path, votes), combined before the shuffle, so a
-    host with a third of all pages is a few rows from each task.  The paths of
-    a host are ranked by votes, ties by path; up to ``votes`` ranks are kept.
-    Pass two parses each page again and takes its host's first path that holds
-    text on that page, else the page's own best container.
-
-    Null html and pages without text give an empty text; a null url or host is
-    one host of its own; repeated rows count each and come back each; an empty
+    its host; it also counts on how many pages a container path holds text and
+    on how many it is the best.  Rows of (host, path, counts) are combined
+    before the shuffle, so a host with a third of all pages is a few rows from
+    each task.  The paths of a host are ranked by votes, ties by path; up to
+    ``votes`` ranks are kept, and its side paths: on a tenth of its pages or
+    more, but the best on less than half of those.  Pass two parses each page
+    again and takes its host's first path that holds text on that page if that
+    is at least a ``FAIR``-th of the page's own main text, or if the page's best
+    container is a side path; else the page's own main text, so a page of a
+    rarer layout keeps its text.
+
+    Null html and pages without text give an empty text; pages
+    without a host have no vote in common; repeated rows count each and come back each; an empty
     table gives none; other columns are left out.  Elements below
     ``MAX_LEVEL`` levels are read as siblings at that level.
     """
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(u, best_path(parse(h or ""))) for u, h in zip(batch.column(0).to_pylist(), _texts(batch.column(1)))]
-            found = [(h, p) for h, p in found if p]
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.string()) for i in (0, 1)], names=["host", "path"])
+            found: dict[tuple[str, str], list[int]] = {}
+            for host, page in zip(batch.column(0).to_pylist(), _texts(batch.column(1))):
+                root = parse(page or "")
+                scores = container_scores(root)
+                if not scores:
+                    continue
+                for p in scores:
+                    found.setdefault((host, p), [0, 0, 0])[2] += 1
+                found[host, core_path(scores)][1] += 1
+                found.setdefault((host, best_path(root, scores)), [0, 0, 0])[0] += 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[i] for k in found], pa.string()) for i in (0, 1)]
+                + [pa.array([v[i] for v in found.values()], pa.int64()) for i in range(3)],
+                names=["host", "path", "votes", "best", "held"])
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for page, paths in zip(_texts(batch.column(2)), batch.column(3).to_pylist()):
+            for page, paths, side in zip(_texts(batch.column(2)), batch.column(3).to_pylist(), batch.column(4).to_pylist()):
                 root = parse(page or "")
-                texts.append(extract(root, paths or []) or extract(root, [best_path(root)]))
+                scores = container_scores(root)
+                agreed, own = extract(root, paths or []), best_path(root, scores)
+                if not paths or paths[0] != own or not agreed:
+                    mine = extract(root, [own])
+                    if not agreed or len(agreed) * FAIR < len(mine) and core_path(scores) not in side:
+                        agreed = mine
+                texts.append(agreed)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
 
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).cast("string").alias("html"), host_of(F.col(url_col).cast("string")).alias("host"))
-    counted = rows.select("host", "html").mapInArrow(vote, "host string, path string").groupBy("host", "path").count()
-    rank = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("count"), "path"))
-    chosen = counted.withColumn("rank", rank).where(F.col("rank") <= votes)
-    chosen = settle(chosen.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("rank", "path"))).alias("p")).select(
-        "host", F.col("p.path").alias("paths")))
+    counted = rows.where("host != ''").select("host", "html").mapInArrow(
+        vote, "host string, path string, votes long, best long, held long").groupBy("host", "path").agg(
+        *[F.sum(c).alias(c) for c in ("votes", "best", "held")])
+    rank = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path"))
+    chosen = counted.withColumn("rank", rank).withColumn("pages", F.sum("votes").over(Window.partitionBy("host")))
+    ranked = (F.col("rank") <= votes) & (F.col("votes") > 0)
+    side = (F.col("held") * 10 >= F.col("pages")) & (F.col("best") * 2 < F.col("held"))
+    chosen = settle(chosen.where(ranked | side).groupBy("host").agg(
+        F.sort_array(F.collect_list(F.when(ranked, F.struct("rank", "path")))).alias("p"),
+        F.collect_list(F.when(side, F.col("path"))).alias("side")).select("host", F.col("p.path").alias("paths"), "side"))
     named = rows.join(checked(chosen), "host", "left")
-    return named.select("page_id", "url", "html", "paths").mapInArrow(take, "page_id long, url string, text string, n_chars long")
+    return named.select("page_id", "url", "html", "paths", "side").mapInArrow(
+        take, "page_id long, url string, text string, n_chars long")
 
 
 def _texts(column: pa.Array) -> Iterator[str | None]:

@@ -87,3 +87,16 @@ def test_wrappers_with_names_of_boilerplate_keep_the_article():
     # many parts, none of which holds most of the text
     root = html_text.parse("<body>" + '<div class="widget-text"><p>Part of it.</p></div>' * 7 + "<footer>Foot</footer>")
     assert html_text.extract(root, [html_text.best_path(root)]) == "\n\n".join(["Part of it."] * 7)
+
+
+def test_a_rarer_layout_keeps_its_article(spark, pages_schema):
+    """A teaser at the majority's path does not replace the article; pages without a host have no vote in common."""
+    most = "<body><div class=box><p>" + "word " * 60 + "</p></div></body>"
+    rare = "<body><div class=box><p>One teaser sentence.</p></div><div class=story><p>" + "tale " * 200 + "</p></div></body>"
+    rows = [(i, "http://h.example/", most) for i in range(30)] + [(30, "http://h.example/", rare)]
+    rows += [(40 + i, None, most) for i in range(9)] + [(50, "/relative", rare)]
+    df = spark.createDataFrame([(*r, "t", "d", "h") for r in rows], pages_schema)
+    got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
+    for i in (30, 50):
+        assert ("tale " * 200).strip() in got[i]
+    assert all(got[i] == ("word " * 60).strip() for i in (0, 29, 40, 48))
