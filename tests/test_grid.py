@@ -2,7 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from fixtures import SF001
 from fixtures import obs_df
 from rastercube.operators import grid
 from rastercube.sources import testdata as td

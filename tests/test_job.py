@@ -71,7 +71,7 @@ def test_materialize_and_preview(spark, capsys):
 def test_store_writes_few_files_per_date(spark, tmpdir_path):
     import glob
 
-    from conftest import SF01
+    from fixtures import SF01
     from rastercube.sources import testdata as td
 
     store.write_observations(td.obs(spark, SF01), tmpdir_path)

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from conftest import SF001
+from fixtures import SF001
 from rastercube.plans.queries import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "

@@ -124,7 +124,7 @@ def test_auto_counts_before_it_chooses(spark, monkeypatch):
 
 def test_five_measures_methods_agree(spark):
     from rastercube.sources.testdata import obs
-    from conftest import SF001
+    from fixtures import SF001
 
     o = obs(spark, SF001)
     a = {r.date: r for r in five_measures(o, ["date"], method="exact").collect()}
@@ -143,7 +143,7 @@ def test_five_measures_methods_agree(spark):
 
 def test_no_python_in_statistics_plan(spark):
     from rastercube.sources.testdata import obs
-    from conftest import SF001
+    from fixtures import SF001
 
     df = date_stats(obs(spark, SF001))
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -153,7 +153,7 @@ def test_no_python_in_statistics_plan(spark):
 
 def test_invariants_on_testdata(spark):
     from rastercube.sources.testdata import obs
-    from conftest import SF001
+    from fixtures import SF001
 
     st = date_stats(obs(spark, SF001)).collect()
     assert all(r.ndvi_p25 <= r.ndvi_p75 for r in st)
@@ -175,7 +175,7 @@ def test_scale_offset_and_extra_mask(spark):
 
 def test_forced_refinement_on_testdata_matches_builtin(spark):
     from rastercube.sources.testdata import obs
-    from conftest import SF001
+    from fixtures import SF001
 
     o = obs(spark, SF001)
     kw = dict(exact_rows=5, refine_buckets=8, broadcast_rows=10)
@@ -192,7 +192,7 @@ def test_forced_refinement_on_testdata_matches_builtin(spark):
 
 def test_results_come_in_order(spark):
     """SRT1 and SRT2: by date, and by zone and date."""
-    from conftest import SF001
+    from fixtures import SF001
     from rastercube.operators import zones
     from rastercube.sources import testdata as td
 
