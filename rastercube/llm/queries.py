@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rastercube.llm import (
-    exact_dedup, html_text, lm_scoring, merkle, mixing, packing, quality, sharding, simhash, substring, warc)
+    exact_dedup, html_text, lm_scoring, merkle, minhash_forest, mixing, packing, quality, sharding, simhash, substring, warc)
 
 
 def tokenizer_path() -> str:
@@ -63,6 +63,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"), shards=8)
 
 
+def op11_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_forest.near_duplicates(_table(spark, sf_dir, "documents"), words=5, percent=85)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_leaves(_table(spark, sf_dir, "documents"))
 
@@ -70,7 +74,8 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_lm_scoring, op3_simhash, op4_mixing, op5_html_text, op6_warc, op7_exact_dedup,
-        op8_quality_rules, op9_substring_dedup, op10_sharding, op13_merkle_manifest)}
+        op8_quality_rules, op9_substring_dedup, op10_sharding, op11_minhash_forest,
+        op13_merkle_manifest)}
 
 ORACLE: dict[str, str] = {
     "op6_warc": """
