@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rastercube.llm import (
-    exact_dedup, html_text, lm_scoring, merkle, minhash_forest, mixing, packing, quality, sharding, simhash, substring, warc)
+    collocation, exact_dedup, html_text, lm_scoring, merkle, minhash_forest, mixing, packing, quality, sharding, simhash, substring, warc)
 
 
 def tokenizer_path() -> str:
@@ -67,6 +67,10 @@ def op11_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.near_duplicates(_table(spark, sf_dir, "documents"), words=5, percent=85)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(_table(spark, sf_dir, "documents"), least=30, share=80, top=2000)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_leaves(_table(spark, sf_dir, "documents"))
 
@@ -75,7 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_lm_scoring, op3_simhash, op4_mixing, op5_html_text, op6_warc, op7_exact_dedup,
         op8_quality_rules, op9_substring_dedup, op10_sharding, op11_minhash_forest,
-        op13_merkle_manifest)}
+        op12_collocations, op13_merkle_manifest)}
 
 ORACLE: dict[str, str] = {
     "op6_warc": """
@@ -104,5 +108,6 @@ ORACLE: dict[str, str] = {
                                               lambda p: w[p]) END AS kept FROM t)
         SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(n - len(kept) AS BIGINT) AS n_removed,
                sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM x""",
+    "op12_collocations": collocation.oracle_sql(),
     "op13_merkle_manifest": merkle.oracle_sql(),
 }
