@@ -71,6 +71,17 @@ def read_observations(spark: SparkSession, path: str, with_tile: bool = False) -
     return df.select(*cols)
 
 
+def write_index(points: DataFrame, path: str, mode: str = "append") -> None:
+    """Access points of compressed bands (``tiles.index_tiles``), beside the store."""
+    points.write.mode(mode).parquet(path)
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    from rastercube.sources.tiles import INDEX_DDL
+
+    return spark.read.schema(INDEX_DDL).parquet(path)
+
+
 ONE_FILE_ROWS = 1_000_000
 
 
