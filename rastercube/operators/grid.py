@@ -9,7 +9,7 @@ array (bounded by the number of dates).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rastercube.functions.columns import clamp_keep_null, fill_missing, trunc_div_int
@@ -58,13 +58,9 @@ def time_axis(df: DataFrame) -> DataFrame:
     return d.select("date", (F.dense_rank().over(Window.orderBy("date")) - 1).cast("int").alias("t"))
 
 
-def plane_axis(df: DataFrame, by: list[str]) -> DataFrame:
-    """The planes of a cube: ``date, t`` and, with ``by``, each (by, date) that has data, numbered ``_p``."""
-    dates = time_axis(df)
-    if not by:
-        return dates.withColumn("_p", F.col("t"))
-    planes = df.select("date", *by).distinct().join(dates, "date")
-    return planes.withColumn("_p", (F.row_number().over(Window.orderBy("t", *by)) - 1).cast("int"))
+def planes(df: DataFrame, by: list[str], dates: DataFrame) -> DataFrame:
+    """The planes of a cube: ``date, t`` and, with ``by``, each (by, date) that has data."""
+    return df.select("date", *by).distinct().join(dates, "date") if by else dates
 
 
 def _checked_dates(dates: DataFrame, limit: int = MAX_BROADCAST_DATES, n: int | None = None) -> tuple[DataFrame, int]:
@@ -100,6 +96,7 @@ def _extent(means: DataFrame, extent: tuple[int, int, int] | None):
 
 
 STRIP = 64  # columns of a strip
+WIDE_DATES = 16  # up to so many dates a cell's series is one row of the hash aggregation
 
 
 def dense_cube(
@@ -116,8 +113,8 @@ def dense_cube(
     (largest) extent.
 
     Block means are gathered per (date, row, strip of ``STRIP`` columns) into
-    a ``col -> value`` map; a lattice from ``spark.range`` supplies strips
-    without any data.  The dense rows are generated by exploding each strip
+    a ``col -> value`` map; a lattice generated from the planes supplies
+    strips without any data.  The dense rows are generated by exploding each strip
     after the last shuffle, so the full ``rows x cols x dates`` volume is never
     shuffled or joined, and the work grows with the width, not its square.
     ``by_time`` rebalances the strips on ``t`` for ``store.write_cube``.
@@ -129,23 +126,18 @@ def dense_cube(
         return spark.createDataFrame([], f"t int, date string, {keyed}row_ds int, col_ds int, value float")
     n_rows, n_cols = ext[0], ext[1]
     by = list(by or [])
-    d, n_planes = _checked_dates(plane_axis(means, by), n=None if by else ext[2])
-    n_strips = -(-n_cols // STRIP)
+    d, _ = _checked_dates(time_axis(means), n=ext[2])
     strips = (
-        means.join(d, ["date", *by])
-        .groupBy("_p", "row_ds", F.floor(F.col("col_ds") / STRIP).cast("int").alias("_s"))
+        means.join(d, "date")
+        .groupBy("t", *by, "row_ds", F.floor(F.col("col_ds") / STRIP).cast("int").alias("_s"))
         .agg(F.map_from_entries(F.collect_list(F.struct("col_ds", F.col("ndvi_mean").cast("float")))).alias("_m"))
     )
-    total = n_planes * n_rows * n_strips
-    # each strip explodes into STRIP rows: aim at ~1M output rows per partition
-    parts = partitions or max(1, min(total * STRIP // 1_000_000 + 1, 100_000))
-    plane = n_rows * n_strips
-    lattice = spark.range(0, total, 1, parts).select(
-        F.floor(F.col("id") / F.lit(plane)).cast("int").alias("_p"),
-        F.floor((F.col("id") % F.lit(plane)) / F.lit(n_strips)).cast("int").alias("row_ds"),
-        (F.col("id") % F.lit(n_strips)).cast("int").alias("_s"),
-    )
-    dense = lattice.join(strips, ["_p", "row_ds", "_s"], "left").join(d, "_p")
+    # the strips of every plane, a row for STRIP cells
+    lattice = planes(means, by, d).withColumn("row_ds", F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))))
+    if partitions:
+        lattice = lattice.repartition(partitions, "t", *by, "row_ds")
+    lattice = lattice.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit((n_cols - 1) // STRIP))))
+    dense = lattice.join(strips, ["t", *by, "row_ds", "_s"], "left")
     if by_time:
         dense = dense.hint("rebalance", "t")
     first = F.col("_s") * STRIP
@@ -168,8 +160,25 @@ def cube_series(cube: DataFrame, by: list[str] | None = None) -> DataFrame:
     by = list(by or [])
     n_dates = cube.agg(F.max("t")).first()[0]
     n_dates = 0 if n_dates is None else int(n_dates) + 1
-    g = cube.groupBy(*by, "row_ds", "col_ds").agg(F.sort_array(F.collect_list(F.struct("t", "value"))).alias("_v"))
-    return g.select(*by, "row_ds", "col_ds", _series_array("_v", n_dates).alias("series"))
+    return _series(cube, [*by, "row_ds", "col_ds"], F.col("value"), n_dates)
+
+
+def _series(values: DataFrame, keys: list[str], value: Column, n_dates: int) -> DataFrame:
+    """``keys, series`` from one value per key and ``t``; two values are an error.
+
+    A few dates are aggregated as one number each, in place; the pairs of many
+    are gathered and sorted, since a row would be as wide as there are dates.
+    """
+    value = value.cast("float")
+    if n_dates > WIDE_DATES:
+        g = values.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("t", value.alias("value")))).alias("_v"))
+        return g.select(*keys, _series_array("_v", n_dates).alias("series"))
+    g = values.groupBy(*keys).agg(F.count(value).alias("_n"), *[F.max(F.when(F.col("t") == k, value)).alias(f"_{k}") for k in range(n_dates)])
+    found = sum((F.col(f"_{k}").isNotNull().cast("int") for k in range(n_dates)), F.lit(0))
+    none = F.lit(None).cast("array<float>")
+    twice = F.when(F.col("_n") != found, F.raise_error(F.lit("two values of one cell and date")).cast("array<float>"))
+    series = F.array(*[F.col(f"_{k}") for k in range(n_dates)]).cast("array<float>") if n_dates else none
+    return g.select(*keys, F.coalesce(twice, series).alias("series"))
 
 
 def _series_array(pairs: str, n_dates: int):
@@ -185,8 +194,7 @@ def _series_array(pairs: str, n_dates: int):
         return F.concat(F.array_repeat(none, gap), F.array(pair["value"].cast("float")))
 
     filled = F.flatten(F.transform(F.col(pairs), with_gap))
-    rest = F.array_repeat(none, F.lit(n_dates - 1) - upto(F.size(pairs) - 1))
-    return F.when(F.col(pairs).isNull(), F.array_repeat(none, F.lit(n_dates))).otherwise(F.concat(filled, rest))
+    return F.concat(filled, F.array_repeat(none, F.lit(n_dates - 1) - upto(F.size(pairs) - 1)))
 
 
 def series_from_means(
@@ -208,11 +216,7 @@ def series_from_means(
     n_rows, n_cols = ext[0], ext[1]
     by = list(by or [])
     d, n_dates = _checked_dates(time_axis(means), n=ext[2])
-    present = (
-        means.join(d, "date")
-        .groupBy(*by, "row_ds", "col_ds")
-        .agg(F.sort_array(F.collect_list(F.struct("t", F.col("ndvi_mean").cast("float").alias("value")))).alias("_v"))
-    )
+    present = _series(means.join(d, "date"), [*by, "row_ds", "col_ds"], F.col("ndvi_mean"), n_dates)
     total, plane = n_rows * n_cols, n_rows * n_cols
     if by:
         groups = means.select(*by).distinct().withColumn("_g", (F.row_number().over(Window.orderBy(*by)) - 1).cast("int"))
@@ -228,7 +232,7 @@ def series_from_means(
     if by:
         lattice = lattice.join(groups, "_g")
     return lattice.join(present, [*by, "row_ds", "col_ds"], "left").select(
-        *by, "row_ds", "col_ds", _series_array("_v", n_dates).alias("series")
+        *by, "row_ds", "col_ds", F.coalesce("series", F.array_repeat(F.lit(None).cast("float"), n_dates)).alias("series")
     )
 
 

@@ -25,8 +25,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rastercube.functions import morton
 from rastercube.functions.geo import utm_columns
-from rastercube.operators.stats import five_measures
+from rastercube.operators.stats import date_stats, five_measures
 from rastercube.schema import ZONES
 
 # The reference's zones (name, lon, lat, radius km) and the
@@ -109,13 +110,21 @@ def in_box(row_min, row_max, col_min, col_max, row: str = "row", col: str = "col
 
 
 def bbox_filter(obs: DataFrame, row_min: int, row_max: int, col_min: int, col_max: int) -> DataFrame:
-    """Literal box: becomes a Parquet pushed filter on ``row``/``col``."""
+    """Literal box: becomes a Parquet pushed filter on ``row``/``col`` (and on the Morton key, if ``obs`` has one)."""
+    obs = _near(obs, [(row_min, row_max, col_min, col_max)])
     return obs.filter(in_box(F.lit(row_min), F.lit(row_max), F.lit(col_min), F.lit(col_max)))
 
 
 EDGES = ("row_min", "row_max", "col_min", "col_max")
 
 
+def _near(obs: DataFrame, boxes: list[tuple[int, int, int, int]]) -> DataFrame:
+    """``obs`` without pixels far from all boxes, where a Morton key can tell: key ranges reach the Parquet scan."""
+    if morton.KEY not in obs.columns:
+        return obs
+    return obs.filter(morton.in_ranges(morton.key_ranges(boxes)))
+
+
 def _tile_key(boxes: DataFrame) -> list[str]:
     return ["tile_id"] if "tile_id" in boxes.columns else []
 
@@ -133,12 +142,12 @@ def _literal_box(r) -> Column:
     return box & (F.col("tile_id") == r.tile_id) if "tile_id" in r else box
 
 
-def _tag_array(rows, first: Column | None = None) -> Column:
-    """``array(first?, CASE WHEN in box THEN zone END, ...)``: exploded as is and
+def _tag_array(rows) -> Column:
+    """``array(CASE WHEN in box THEN zone END, ...)``: exploded as is and
     NULL tags dropped afterwards -- no lambda, so the generator stays inside
     whole-stage code generation."""
     tags = [F.when(_literal_box(r), F.lit(r.zone)) for r in rows]
-    return F.array(*([first] if first is not None else []), *tags)
+    return F.array(*tags)
 
 
 def _envelope(rows) -> Column:
@@ -172,7 +181,8 @@ def assign_zones(
         rows = _collect_boxes(boxes, max_inline)
         if not rows:
             return obs.limit(0).withColumn("zone", F.lit(None).cast("string"))
-        pre = obs.filter(reduce(lambda a, b: a | b, [_literal_box(r) for r in rows]) & _envelope(rows))
+        near = _near(obs, [tuple(r[e] for e in EDGES) for r in rows])
+        pre = near.filter(reduce(lambda a, b: a | b, [_literal_box(r) for r in rows]) & _envelope(rows))
         return pre.withColumn("zone", F.explode(_tag_array(rows))).filter(F.col("zone").isNotNull())
     if strategy == "cells":
         tile = _tile_key(boxes)
@@ -196,6 +206,7 @@ def assign_zones(
             cells = F.broadcast(cells)
         o = obs.withColumn("_cr", F.floor(F.col("row") / cell)).withColumn("_cc", F.floor(F.col("col") / cell))
         if env.a is not None:
+            o = _near(o, [(env.a, env.b, env.c, env.d)])
             o = o.filter(in_box(F.lit(env.a), F.lit(env.b), F.lit(env.c), F.lit(env.d)))
         j = o.join(
             cells,
@@ -223,14 +234,15 @@ def zone_stats(
     summarised in one pass, larger ones by the distributed path.
     ``by=["tile_id"]`` gives them per (tile_id, zone, date)."""
     keys = [*(by or []), "zone", "date"]
-    obs = obs.select(*dict.fromkeys([*(by or []), *_tile_key(boxes)]), "date", "row", "col", "ndvi")
+    key = [morton.KEY] if morton.KEY in obs.columns else []
+    obs = obs.select(*dict.fromkeys([*(by or []), *_tile_key(boxes)]), "date", "row", "col", "ndvi", *key)
     if strategy == "union":
         # one filtered scan per zone (literal box -> pushed into the scan),
         # unioned, then a single grouped aggregation
         rows = _collect_boxes(boxes, kw.pop("max_inline", MAX_INLINE_ZONES))
         if not rows:
             return five_measures(obs.limit(0).withColumn("zone", F.lit(None).cast("string")), keys, method=method)
-        frames = [obs.filter(_literal_box(r)).withColumn("zone", F.lit(r.zone).cast("string")) for r in rows]
+        frames = [_near(obs, [tuple(r[e] for e in EDGES)]).filter(_literal_box(r)).withColumn("zone", F.lit(r.zone).cast("string")) for r in rows]
         tagged = reduce(lambda a, b: a.unionByName(b), frames)
         return five_measures(tagged, keys, method=method).orderBy(*keys)
     tagged = assign_zones(obs, boxes, strategy, **kw)
@@ -238,37 +250,15 @@ def zone_stats(
 
 
 def date_and_zone_stats(
-    obs: DataFrame, boxes: DataFrame, method: str = "exact", max_inline: int = MAX_INLINE_ZONES
+    obs: DataFrame, boxes: DataFrame, method: str = "auto", max_inline: int = MAX_INLINE_ZONES
 ) -> tuple[DataFrame, DataFrame]:
-    """Per-date and per-(zone, date) statistics from one shared set of scans.
+    """Per-date and per-(zone, date) statistics of the same observations.
 
-    Each pixel is tagged with a NULL "whole scene" key plus every zone that
-    contains it, and one grouped summary runs over ``(zone, date)``.  The
-    exact percentiles read the observations twice in total, instead of
-    twice per statistics table.  Any number of zones: beyond ``max_inline``
-    the zone rows come from the cell join instead of literal boxes.
+    Each table has scans of its own, with its own columns and filters, and the
+    path that its groups' sizes ask for: one scan for both was slower, since
+    it carried every pixel through the zones' keys.
     """
-    pixels = obs.select(*_tile_key(boxes), "date", "row", "col", "ndvi")
-    if boxes.limit(max_inline + 1).count() > max_inline:
-        whole = pixels.withColumn("zone", F.lit(None).cast("string"))
-        tagged = whole.unionByName(assign_zones(pixels, boxes, "cells"))
-    else:
-        rows = _collect_boxes(boxes, max_inline)
-        scene = "\u0000scene"  # stands for the whole-scene group until after the explode
-        alone = F.array(F.lit(scene))
-        tags = alone
-        if rows:  # only a pixel inside some box fans out
-            inside = reduce(lambda a, b: a | b, [_literal_box(r) for r in rows])
-            tags = F.when(inside, _tag_array(rows, F.lit(scene))).otherwise(alone)
-        tagged = (
-            pixels.withColumn("zone", F.explode(tags))
-            .filter(F.col("zone").isNotNull())
-            .withColumn("zone", F.when(F.col("zone") != scene, F.col("zone")))
-        )
-    both = five_measures(tagged, ["zone", "date"], method=method)
-    by_date = both.filter(F.col("zone").isNull()).drop("zone").orderBy("date")
-    by_zone = both.filter(F.col("zone").isNotNull()).orderBy("zone", "date")
-    return by_date, by_zone
+    return date_stats(obs, method=method), zone_stats(obs, boxes, method=method, max_inline=max_inline)
 
 
 def zone_pivot(

@@ -22,7 +22,7 @@ from rastercube.operators import grid, mosaic, zones
 from rastercube.schema import TILES
 from rastercube.sources import store
 from rastercube.sources.manifest import read_manifest, tile_records
-from rastercube.sources.tiles import load_tiles
+from rastercube.sources.tiles import index_tiles, load_tiles
 
 # The map crop in cube cells (rows [0, 870), cols [240, 1098))
 # and the mesh stride used for the 3-D view.
@@ -43,15 +43,48 @@ def _timed(res: JobResult, name: str, fn):
     return out
 
 
-MAX_PIVOT_ZONES = 10_000
+MAX_PIVOT_ZONES = 1_000  # zone columns of a pivot table
+
+
+def write_pivots(stats: DataFrame, zone_names: DataFrame, path: str, most: int | None = None) -> int:
+    """The date x zone tables, ``most`` zones each in their order: one at ``path``, or, of several, ``path/part=k``.
+
+    Only one table's zone names are on the driver at a time.  Returns the number of tables.
+    """
+    most = most or MAX_PIVOT_ZONES
+    zone_names = zone_names.select("zone").where("zone is not null").distinct()
+    last, part = None, 0
+    while True:
+        rest = zone_names if last is None else zone_names.where(F.col("zone") > last)
+        names = [r.zone for r in rest.orderBy("zone").limit(most + 1).collect()]
+        more, names = len(names) > most, names[:most]
+        if not names and part:
+            return part
+        mine = stats.where(F.col("zone").between(names[0], names[-1])) if names else stats.limit(0)
+        table = zones.zone_pivot(mine, names=names or None)
+        store.write_csv(table, os.path.join(path, f"part={part}") if more or part else path)
+        if not more:
+            return part + 1
+        last, part = names[-1], part + 1
 
 
 def load_observations(
-    spark: SparkSession, manifest_path: str, data_dir: str | None = None, multi_line: bool = True, **tile_options
+    spark: SparkSession, manifest_path: str, data_dir: str | None = None, multi_line: bool = True,
+    index: str | None = None, **tile_options
 ) -> DataFrame:
-    """Manifest -> tile strips scanned on the executors -> observation rows."""
+    """Manifest -> tile strips scanned on the executors -> observation rows.
+
+    ``index`` is a folder beside the store for access points of compressed
+    bands: bands that it lacks are indexed first (one pass over each), then the
+    strips of every raster are dealt out.
+    """
     records = tile_records(read_manifest(spark, manifest_path, multi_line), data_dir)
-    return load_tiles(spark, records, **tile_options)
+    if index is None:
+        return load_tiles(spark, records, **tile_options)
+    known = store.read_index(spark, index) if store.exists(spark, index) else None
+    # written before it is read: the files of ``known`` stay as they are
+    store.write_index(index_tiles(spark, records, tile_options.get("decoder", "npy"), known=known), index)
+    return load_tiles(spark, records, points=store.read_index(spark, index), **tile_options)
 
 
 def check_tiles(obs: DataFrame, tiles: DataFrame | None) -> None:
@@ -73,7 +106,7 @@ def run(
     block: int = 10,
     crop: tuple[int, int, int, int] = CROP,
     stride: int = MESH_STRIDE,
-    method: str = "exact",
+    method: str = "auto",
     tiles: DataFrame | None = None,
 ) -> JobResult:
     """Run the job over an observation DataFrame, writing every result.
@@ -91,8 +124,8 @@ def run(
     if tiles is not None:
         obs = obs.withColumn("tile_id", F.coalesce(mosaic.tile_code("tile_id"), F.col("tile_id")))
     cols = [c for c in ("tile_id", "date", "row", "col", "red", "nir", "ndvi") if c in obs.columns]
-    _timed(res, "load", lambda: store.write_observations(obs.select(*cols), obs_path))
-    o = store.read_observations(spark, obs_path, with_tile="tile_id" in cols)
+    _timed(res, "load", lambda: store.write_observations(obs.select(*cols), obs_path, clustered=True))
+    o = store.read_observations(spark, obs_path, with_tile="tile_id" in cols, clustered=True)
 
     by = [] if tiles is None else ["tile_id"]
     if "tile_id" in cols:
@@ -103,16 +136,13 @@ def run(
     zpath = os.path.join(out_dir, "zone_stats")
 
     def stats_step():
-        # one shared pair of scans for both statistics tables
         by_date, by_zone = zones.date_and_zone_stats(o, boxes, method=method)
         store.write_csv(by_date, os.path.join(out_dir, "global_stats"))
         store.write_csv(by_zone, zpath)
 
     _timed(res, "statistics", stats_step)
     zs = store.read_stats_csv(spark, zpath, zones=True, parse_dates=False)
-    names = [r.zone for r in boxes.select("zone").distinct().orderBy("zone").limit(MAX_PIVOT_ZONES + 1).collect()]
-    if len(names) <= MAX_PIVOT_ZONES:  # a table has only so many columns; the long form below has all zones
-        store.write_csv(zones.zone_pivot(zs, names=names), os.path.join(out_dir, "zone_pivot"))
+    write_pivots(zs, boxes, os.path.join(out_dir, "zone_pivot"))
     zs.transform(zones.zone_series).write.mode("overwrite").parquet(os.path.join(out_dir, "zone_series"))
 
     cube_dir = os.path.join(out_dir, "cube")
@@ -188,8 +218,9 @@ def main(argv: list[str] | None = None) -> None:
     run_p.add_argument("--data-dir")
     run_p.add_argument("--json-lines", action="store_true", help="manifest written by 'select' (JSON lines)")
     run_p.add_argument("--block", type=int, default=10)
+    run_p.add_argument("--index", help="folder for access points of compressed bands, made and kept up")
     run_p.add_argument("--tiles", help="tile dimension, one JSON object a line (needed for several tiles)")
-    run_p.add_argument("--method", default="exact", choices=["exact", "builtin", "approx"])
+    run_p.add_argument("--method", default="auto", choices=["auto", "exact", "builtin", "approx"])
     args = ap.parse_args(argv)
 
     spark = build_session()
@@ -200,7 +231,7 @@ def main(argv: list[str] | None = None) -> None:
         )
         store.preview(chosen)
     else:
-        obs = load_observations(spark, args.manifest, args.data_dir, multi_line=not args.json_lines)
+        obs = load_observations(spark, args.manifest, args.data_dir, multi_line=not args.json_lines, index=args.index)
         tiles = spark.read.schema(TILES).option("mode", "FAILFAST").json(args.tiles) if args.tiles else None
         res = run(spark, obs, args.out, block=args.block, method=args.method, tiles=tiles)
         for k, v in res.timings.items():

@@ -260,6 +260,17 @@ cb AS (SELECT 'z' || c_custkey AS zone, (c_custkey * 37) % 900 AS r, (c_custkey
 SELECT b.zone, o.date, {measures()} FROM obs o JOIN cb b
   ON o.row BETWEEN b.r AND b.r + 20 AND o.col BETWEEN b.c AND b.c + 30 GROUP BY b.zone, o.date
 UNION ALL SELECT '*' AS zone, date, {measures()} FROM obs GROUP BY date""",
+    "zone_moments": f"""WITH {OBS},
+cb AS (SELECT 'z' || c_custkey AS zone, (c_custkey * 37) % 900 AS r, (c_custkey * 53) % 900 AS c FROM customer)
+SELECT b.zone, o.date, round(avg(CAST(ndvi AS DOUBLE)), 6) AS ndvi_mean,
+       round(stddev_samp(CAST(ndvi AS DOUBLE)), 6) AS ndvi_std, count(ndvi) AS pixel_count FROM obs o JOIN cb b
+  ON o.row BETWEEN b.r AND b.r + 20 AND o.col BETWEEN b.c AND b.c + 30 GROUP BY b.zone, o.date""",
+    "morton_key": f"""WITH {OBS}
+SELECT date, row, col, {" + ".join(f"((row::BIGINT >> {i} & 1) << {2 * i + 1}) + ((col::BIGINT >> {i} & 1) << {2 * i})" for i in range(16))} AS z
+FROM obs""",
+    "bbox_filter_clustered": f"""WITH {OBS}
+SELECT date, row, col, ndvi FROM obs
+WHERE row BETWEEN {B0} AND {B1} AND col BETWEEN {BC0} AND {BC1}""",
     "zone_utm": f"WITH {UTM} SELECT zone, round(easting, 3) AS easting, round(northing, 3) AS northing FROM utm",
     "zone_bounds": f"""WITH {BOUNDS}
 SELECT zone, greatest(row_min, 0) AS row_min, greatest(row_max, 0) AS row_max,

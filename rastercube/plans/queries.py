@@ -9,18 +9,22 @@ orders.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from rastercube.functions import morton
 from rastercube.functions.columns import normalized_difference
 from rastercube.functions.paths import resolve_path
 from rastercube.operators import catalog as cat
-from rastercube.operators import grid, mosaic, zones
+from rastercube.operators import grid, moments, mosaic, zones
 from rastercube.operators.stats import date_stats, observation_count
 from rastercube.operators.bands import valid_mask
+from rastercube.session import checkpoint_dir
+from rastercube.sources import store
 from rastercube.sources import testdata as td
 from rastercube.sources.archives import resolve_bands
 
@@ -104,6 +108,10 @@ def q_date_and_zone_stats(spark, d):
 
 
 
+def q_zone_moments(spark, d):
+    return r6(moments.zone_moments(td.obs(spark, d), customer_boxes(spark, d)))
+
+
 def q_zone_stats(spark, d):
     return r6(zones.zone_stats(td.obs(spark, d), td.test_boxes(spark), strategy="inline"))
 
@@ -129,6 +137,18 @@ def q_bbox_filter(spark, d):
     return zones.bbox_filter(td.obs(spark, d), *BBOX).select("date", "row", "col", "ndvi")
 
 
+def q_morton_key(spark, d):
+    return td.obs(spark, d).select("date", "row", "col", morton.morton_key().alias("z"))
+
+
+def q_bbox_filter_clustered(spark, d):
+    """The box, read by key ranges from a store that is written for it."""
+    path = f"{checkpoint_dir(spark)}/store-{uuid.uuid4().hex}"
+    store.write_observations(td.obs(spark, d), path, clustered=True)
+    found = zones.bbox_filter(store.read_observations(spark, path, clustered=True), *BBOX)
+    return found.select("date", "row", "col", "ndvi")
+
+
 def _zone_stats_small(spark, d):
     return zones.zone_stats(td.obs(spark, d), td.test_boxes(spark))
 
@@ -385,6 +405,9 @@ QUERIES: dict[str, Query] = {
     "zone_stats_cells": q_zone_stats_cells,
     "zone_stats_union": q_zone_stats_union,
     "date_and_zone_stats": q_date_and_zone_stats,
+    "zone_moments": q_zone_moments,
+    "morton_key": q_morton_key,
+    "bbox_filter_clustered": q_bbox_filter_clustered,
     "zone_utm": q_zone_utm,
     "zone_bounds": q_zone_bounds,
     "bbox_filter": q_bbox_filter,

@@ -15,10 +15,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rastercube.functions import morton
 from rastercube.schema import DATE_STATS, OBSERVATION, ZONE_STATS
 
 CUBE_SCHEMA = "t INT, date STRING, row_ds INT, col_ds INT, value FLOAT"
 DATES_SCHEMA = "t INT, date STRING"
+ROW_GROUP_BYTES = 4 << 20
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -34,9 +36,15 @@ def write_observations(
     partitions: int | None = None,
     max_records_per_file: int = 5_000_000,
     mode: str = "overwrite",
+    clustered: bool = False,
+    row_group_bytes: int = ROW_GROUP_BYTES,
 ) -> None:
     """Flat observation store: ``date=...`` folders, files sorted by row.
 
+    ``clustered`` sorts files by the Morton key of (row, col) instead and
+    stores it as ``z``, in row groups of ``row_group_bytes``: a box then prunes
+    by rows and columns alike (see :func:`read_observations`).
+
     The ``rebalance`` hint lets adaptive execution hash the rows by date,
     merge small dates into one task and split a date that holds a large share
     of the pixels into tasks of the advisory size -- so each task writes one
@@ -45,32 +53,45 @@ def write_observations(
     source, would decode every tile twice).  ``partitions`` forces an exact
     hash partitioning on (date, row block) instead.
     """
+    if clustered:
+        obs = obs.withColumn(morton.KEY, morton.morton_key())
+    place = [morton.KEY] if clustered else ["row", "col"]
     keep = [c for c in obs.columns if c != "date"]
     if partitions:
         laid = obs.repartition(partitions, F.col("date"), F.floor(F.col("row") / 500))
     else:
         laid = obs.hint("rebalance", "date")
+    out = laid.sortWithinPartitions("date", *place).select(*keep, "date").write.mode(mode)
+    if clustered:
+        out = out.option("parquet.block.size", row_group_bytes)
     (
-        laid.sortWithinPartitions("date", "row", "col")
-        .select(*keep, "date")
-        .write.mode(mode)
-        .option("maxRecordsPerFile", max_records_per_file)
+        out.option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("date")
         .parquet(path)
     )
 
 
-def read_observations(spark: SparkSession, path: str, with_tile: bool = False) -> DataFrame:
+def read_observations(spark: SparkSession, path: str, with_tile: bool = False, clustered: bool = False) -> DataFrame:
+    """The store's observations.  With ``clustered`` they keep the key ``z``, by which
+    ``zones.bbox_filter`` and the zone operators turn boxes into key ranges for the scan."""
     fields = list(OBSERVATION.fields)
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields if f.name != "date")
     if with_tile:
         ddl = "tile_id string, " + ddl
+    if clustered:
+        ddl += f", {morton.KEY} bigint"
     ddl += ", date string"
     df = spark.read.schema(ddl).parquet(path)
-    cols = (["tile_id"] if with_tile else []) + [f.name for f in fields]
+    cols = (["tile_id"] if with_tile else []) + [f.name for f in fields] + ([morton.KEY] if clustered else [])
     return df.select(*cols)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, on whatever file system the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def write_index(points: DataFrame, path: str, mode: str = "append") -> None:
     """Access points of compressed bands (``tiles.index_tiles``), beside the store."""
     points.write.mode(mode).parquet(path)

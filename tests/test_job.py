@@ -81,3 +81,40 @@ def test_store_writes_few_files_per_date(spark, tmpdir_path):
     back = store.read_observations(spark, tmpdir_path)
     assert back.count() == td.obs(spark, SF01).count()
     assert dict(back.dtypes)["date"] == "string"
+
+
+def test_pivots_of_more_zones_than_a_table_has_columns(spark, tmpdir_path):
+    """More than 10,000 zones: none is left out."""
+    n = 10_050
+    stats = spark.range(n).select(F.format_string("z%05d", "id").alias("zone"), F.explode(F.array(F.lit("d1"), F.lit("d2"))).alias("date"),
+                                  (F.col("id") / 100).alias("ndvi_mean"))
+    parts = job.write_pivots(stats, stats, tmpdir_path, most=4_000)
+    assert parts == 3
+    seen = {}
+    for k in range(parts):
+        table = spark.read.option("header", True).option("inferSchema", True).csv(f"{tmpdir_path}/part={k}")
+        rows = table.collect()
+        assert [r.date for r in rows] == ["d1", "d2"]
+        seen |= {c: rows[1][c] for c in table.columns if c != "date"}
+    assert seen == {f"z{i:05}": i / 100 for i in range(n)}
+
+
+def test_job_with_an_index_of_compressed_bands(spark, tmpdir_path):
+    """A second load indexes nothing again and gives the same rows; pivots are cut where asked."""
+    import zipfile
+
+    from test_seekable import _archive, _bands
+
+    for i in range(2):
+        _archive(os.path.join(tmpdir_path, f"S2_MSIL2A_2024010{i}_T33TTG.zip"), _bands(600, 500, i), zipfile.ZIP_DEFLATED)
+    manifest = os.path.join(tmpdir_path, "manifest.json")
+    with open(manifest, "w") as f:
+        json.dump([{"id": str(i), "name": f"S2_MSIL2A_2024010{i}_T33TTG", "date": f"2024-01-0{i}", "cloud_cover": 1.0,
+                    "path": os.path.join(tmpdir_path, f"S2_MSIL2A_2024010{i}_T33TTG.zip")} for i in range(2)], f)
+    index = os.path.join(tmpdir_path, "index")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    plain = rows(job.load_observations(spark, manifest))
+    for _ in range(2):
+        assert rows(job.load_observations(spark, manifest, index=index)) == plain
+    points = store.read_index(spark, index)
+    assert points.count() == points.select("path", "member", "bit").distinct().count() > 0

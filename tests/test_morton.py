@@ -1,0 +1,95 @@
+"""Morton keys, boxes as key ranges, and row groups left out of a clustered store."""
+
+import glob
+import random
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from fixtures import SF001, SF01
+from rastercube.functions import morton
+from rastercube.operators import zones
+from rastercube.sources import store
+from rastercube.sources import testdata as td
+
+
+def plain_key(r, c):
+    return sum((r >> i & 1) << 2 * i + 1 | (c >> i & 1) << 2 * i for i in range(31))
+
+
+def test_keys_interleave_bits(spark):
+    pixels = [(0, 0), (1, 0), (0, 1), (10980, 10970), (2**31 - 1, 2**31 - 1), (12345, 2**31 - 1), (None, 1), (-5, 3)]
+    got = spark.createDataFrame(pixels, "row int, col int").select("row", "col", morton.morton_key().alias("z")).collect()
+    for r in got:
+        assert r.z == (None if r.row is None else plain_key(max(0, r.row), r.col))
+
+
+@pytest.mark.parametrize("most", [1, 2, 8, 64])
+def test_ranges_hold_every_pixel_of_the_boxes(most):
+    rng = random.Random(most)
+    for _ in range(30):
+        boxes = []
+        for _ in range(rng.randint(1, 4)):
+            r, c = rng.randrange(-5, 200), rng.randrange(-5, 200)
+            boxes.append((r, r + rng.randrange(60), c, c + rng.randrange(60)))
+        ranges = morton.key_ranges(boxes, most)
+        assert len(ranges) <= most and ranges == sorted(ranges)
+        for a, b, c, d in boxes:
+            for r in range(max(0, a), b + 1, 7):
+                for x in range(max(0, c), d + 1, 5):
+                    assert any(lo <= plain_key(r, x) <= hi for lo, hi in ranges)
+
+
+def test_ranges_are_tight_and_bounded():
+    (lo, hi), = morton.key_ranges([(64, 127, 64, 127)])
+    assert hi - lo + 1 == 64 * 64
+    ranges = morton.key_ranges([(1000, 1099, 3000, 3099)])
+    assert len(ranges) <= 64 and sum(b - a + 1 for a, b in ranges) < 3 * 100 * 100
+    assert morton.key_ranges([]) == morton.key_ranges([(5, 4, 0, 9)]) == morton.key_ranges([(-9, -1, 0, 9)]) == []
+
+
+def test_a_small_box_reads_few_row_groups(spark, tmpdir_path):
+    """A box small in both directions: under a tenth of the row groups can hold it, by key and by what is pushed down."""
+    obs = spark.range(600 * 600).select(
+        F.lit("2024-01-05").alias("date"), (F.floor(F.col("id") / 600) * 10).cast("int").alias("row"),
+        (F.col("id") % 600 * 10).cast("int").alias("col"), F.rand(1).cast("float").alias("red"),
+        F.rand(2).cast("float").alias("nir"), F.rand(3).cast("float").alias("ndvi"))
+    store.write_observations(obs, tmpdir_path, clustered=True, row_group_bytes=64 << 10)
+    box = (2100, 2500, 3300, 3700)
+    ranges = morton.key_ranges([box])
+    groups, met = 0, 0
+    for f in glob.glob(f"{tmpdir_path}/date=*/*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        at = meta.schema.names.index("z")
+        for g in range(meta.num_row_groups):
+            s = meta.row_group(g).column(at).statistics
+            groups += 1
+            met += any(lo <= s.max and hi >= s.min for lo, hi in ranges)
+    assert groups >= 40 and met <= groups / 10
+    o = store.read_observations(spark, tmpdir_path, clustered=True)
+    q = zones.bbox_filter(o, *box)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(z," in plan.split("PushedFilters:")[1]
+    assert q.count() == 41 * 41
+
+
+def test_zone_operators_agree_on_a_clustered_store(spark, tmpdir_path):
+    obs = td.obs(spark, SF01).repartition(3)
+    store.write_observations(obs, tmpdir_path, clustered=True)
+    o = store.read_observations(spark, tmpdir_path, clustered=True)
+    small = [(200, 600, 100, 450), (0, 0, 0, 0), (5000, 6000, 0, 0)]
+    for b in small:
+        cols = ["date", "row", "col", "ndvi"]
+        assert sorted(zones.bbox_filter(o, *b).select(cols).collect()) == sorted(zones.bbox_filter(obs, *b).select(cols).collect())
+    key = ["zone", "date", "pixel_count", "ndvi_p25"]
+    want = [tuple(r) for r in zones.zone_stats(obs, td.test_boxes(spark)).select(key).collect()]
+    for strategy in ("inline", "cells", "union"):
+        got = zones.zone_stats(o, td.test_boxes(spark), strategy=strategy).select(key)
+        assert [tuple(r) for r in got.collect()] == want
+
+
+def test_plain_store_is_as_before(spark, tmpdir_path):
+    obs = td.obs(spark, SF001)
+    store.write_observations(obs, tmpdir_path)
+    assert "z" not in store.read_observations(spark, tmpdir_path).columns
