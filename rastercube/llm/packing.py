@@ -40,12 +40,39 @@ class WordIds(dict):
         ids = self.old.get(word)
         if ids is None:
             ids = self.encode(word)
+        self._keep(word, ids)
+        return ids
+
+    def _keep(self, word: str, ids: bytes) -> None:
         if len(word) <= CACHE_LENGTH:
             if len(self) >= CACHE_WORDS:  # words in use come back from the old half
                 self.old = dict(self)
                 self.clear()
             self[word] = ids
-        return ids
+
+    def learn(self, words: set[str]) -> None:
+        """Encode the unseen ones of ``words`` in one call, the ids dealt back to them by their places.
+
+        Only printable Latin-1 words go together, as nothing joins them to what
+        stands before or after; others are encoded one by one when they are used.
+        """
+        new = set()
+        for word in words:
+            stem = word[:-1] if word[-1:] in STOPS else word
+            if stem.isalpha() and max(stem) <= "\xff":
+                word = stem.lower()
+            if word and len(word) <= CACHE_LENGTH and word not in self and word not in self.old and (
+                    max(word) <= "\xff" and word.isprintable() and "<" not in word):
+                new.add(word)
+        if not new:
+            return
+        some = list(new)
+        done = self.encoder.encode("\n".join(some), add_special_tokens=False)
+        starts = np.cumsum([0] + [len(w) + 1 for w in some])
+        ids = np.asarray(done.ids, "<u4").tobytes()
+        cuts = (4 * np.searchsorted([a for a, _ in done.offsets], starts)).tolist()
+        for word, a, b in zip(some, cuts, cuts[1:]):
+            self._keep(word, ids[a:b])
 
     def encode(self, word: str) -> bytes:
         """The ids of a word seen for the first time.
@@ -62,8 +89,16 @@ class WordIds(dict):
         ids = self.encoder.encode(word, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def all_ids(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text."""
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        found = [list(map(self.get, words)) for words in split]
+        self.learn({w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None})
+        for words, ids in zip(split, found):
+            yield b"".join(map(self.__getitem__, words) if None in ids else ids)
+
     def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        return next(self.all_ids([text]))
 
 
 _ENCODERS: dict[str, WordIds] = {}
@@ -191,8 +226,11 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, m
 
         def documents() -> Iterator[tuple]:
             for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    yield doc_id, words.ids(text.as_py() or "") + end
+                for at in range(0, batch.num_rows, 16):
+                    part = batch.slice(at, 16)
+                    texts = [t or "" for t in part.column(1).to_pylist()]
+                    for doc_id, ids in zip(part.column(0).to_pylist(), words.all_ids(texts)):
+                        yield doc_id, ids + end
 
         yield from record_batches(packed(documents(), window, first, max_open), SCHEMA)
 
