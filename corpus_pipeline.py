@@ -40,12 +40,22 @@ def apply_decisions(docs: DataFrame, decided: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base test and the certified rules of their language."""
+    """Documents that pass the base test and the certified rules of their language.
+
+    A null or empty text has no words and fails the base test; a null language
+    is a stratum of its own; whole texts are read, however long; repeated rows
+    are judged alike and keep their number; an empty table stays empty.
+    """
     return quality.kept_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts, that of the largest doc_id."""
+    """One row of each group of equal texts, that of the largest doc_id.
+
+    Null counts as empty text; a null doc_id is the smallest; of repeated rows
+    one stays; long texts are compared by all their chunks; an empty table
+    stays empty.
+    """
     found = exact_dedup.exact_duplicates(docs).groupBy("doc_id", "text_sha256").agg(
         F.max("kept").alias("any"), F.count("*").alias("n"))
     return apply_decisions(docs, found.where("not any or n > 1").select("doc_id", "text_sha256", F.col("any").alias("once")))
@@ -64,12 +74,22 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: each document as often as it is taken, shard by shard."""
+    """The mix: each document as often as it is taken, shard by shard.
+
+    A null text has size 0 and comes as it is or not at all; a null source is
+    a source of its own, the last; repeated rows are documents of their own; an
+    empty table stays empty.
+    """
     return mixing.mix(docs, weights=(5, 2, 1), share=1.5, most=2.0).documents()
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in windows of 2,048 ids."""
+    """The pieces of all documents in windows of 2,048 ids.
+
+    A null or empty text is the end id alone, a null doc_id stays null, a long
+    text fills windows of its own, repeated rows are packed once each, and an
+    empty table gives no rows.
+    """
     return packing.pack(docs, tokenizer_path())
 
 
