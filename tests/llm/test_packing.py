@@ -78,16 +78,3 @@ def test_folding_keeps_everything():
 
 def test_empty(no_docs):
     assert packing.pack(no_docs, tokenizer_path()).count() == 0
-
-
-def test_words_learned_together_have_the_tokenizer_s_ids():
-    import random
-
-    rng = random.Random(3)
-    letters = "abcdefgXYZ'-.,:;!?0123456789$#éÄß_/|<>"
-    texts = [" ".join("".join(rng.choices(letters, k=rng.randint(1, 14))) for _ in range(300)) for _ in range(20)]
-    texts += ["", "\n", "naïve 漢字 İ x\u200dy é̂", "word\u00a0word \x85 z", "q" * 60 + " " + "q" * 60 + "."]
-    words = packing.WordIds(tokenizer_path())
-    for _ in range(2):
-        for text, ids in zip(texts, words.all_ids(texts)):
-            assert list(np.frombuffer(ids, "<u4")) == plain_ids(text)[:-1]
