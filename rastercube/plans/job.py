@@ -78,7 +78,10 @@ def load_observations(
     bands: bands that it lacks are indexed first (one pass over each), then the
     strips of every raster are dealt out.
     """
-    records = tile_records(read_manifest(spark, manifest_path, multi_line), data_dir)
+    return _scan(spark, tile_records(read_manifest(spark, manifest_path, multi_line), data_dir), index, **tile_options)
+
+
+def _scan(spark: SparkSession, records: DataFrame, index: str | None, **tile_options) -> DataFrame:
     if index is None:
         return load_tiles(spark, records, **tile_options)
     known = store.read_index(spark, index) if store.exists(spark, index) else None
@@ -87,6 +90,30 @@ def load_observations(
     return load_tiles(spark, records, points=store.read_index(spark, index), **tile_options)
 
 
+def load_new(
+    spark: SparkSession, manifest_path: str, store_path: str, data_dir: str | None = None, multi_line: bool = True,
+    index: str | None = None, **tile_options
+) -> int:
+    """Load the manifest's acquisitions that the store at ``store_path`` lacks; returns their number.
+
+    The store has a folder for each (date, tile), so a rerun reads no tile, a
+    new acquisition adds one folder and changes no other, and a load that failed
+    can simply be repeated.  An acquisition without any valid pixel leaves no
+    folder and is read again the next time.  Read the store by
+    ``store.read_observations(..., with_tile=True, clustered=True)``.
+    """
+    records = tile_records(read_manifest(spark, manifest_path, multi_line), data_dir)
+    if store.exists(spark, store_path):
+        # a tile without a name goes by its path, as in the tile scan
+        have = store.acquisitions(spark, store_path).withColumnRenamed("tile_id", "_id")
+        name = F.coalesce(records["name"], records["path"]) if "name" in records.columns else records["path"]
+        records = records.join(have, (records["date"] == have["date"]) & (name == have["_id"]), "left_anti")
+    n = records.count()
+    if n:
+        store.append_acquisitions(_scan(spark, records, index, **tile_options), store_path)
+    return n
+
+
 def check_tiles(obs: DataFrame, tiles: DataFrame | None) -> None:
     """Observations must be of one tile, or all of tiles that the dimension has."""
     seen = obs.select("tile_id").distinct()

@@ -71,6 +71,27 @@ def write_observations(
     )
 
 
+def append_acquisitions(obs: DataFrame, path: str, row_group_bytes: int = ROW_GROUP_BYTES) -> None:
+    """Add acquisitions to a store of ``date=.../tile_id=...`` folders, clustered by the Morton key.
+
+    A folder that is there already is replaced as a whole (dynamic partition
+    overwrite), the others stay as they are; so writing the same acquisitions
+    again, after a failure say, leaves the same store.
+    """
+    keyed = obs.withColumn(morton.KEY, morton.morton_key()).hint("rebalance", "date", "tile_id")
+    keep = [c for c in keyed.columns if c not in ("date", "tile_id")]
+    (
+        keyed.sortWithinPartitions("date", "tile_id", morton.KEY).select(*keep, "date", "tile_id")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("parquet.block.size", row_group_bytes)
+        .partitionBy("date", "tile_id").parquet(path)
+    )
+
+
+def acquisitions(spark: SparkSession, path: str) -> DataFrame:
+    """The ``(date, tile_id)`` folders of such a store: no column of any file is read."""
+    return read_observations(spark, path, with_tile=True, clustered=True).select("date", "tile_id").distinct()
+
+
 def read_observations(spark: SparkSession, path: str, with_tile: bool = False, clustered: bool = False) -> DataFrame:
     """The store's observations.  With ``clustered`` they keep the key ``z``, by which
     ``zones.bbox_filter`` and the zone operators turn boxes into key ranges for the scan."""

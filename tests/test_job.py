@@ -118,3 +118,49 @@ def test_job_with_an_index_of_compressed_bands(spark, tmpdir_path):
         assert rows(job.load_observations(spark, manifest, index=index)) == plain
     points = store.read_index(spark, index)
     assert points.count() == points.select("path", "member", "bit").distinct().count() > 0
+
+
+def test_only_new_acquisitions_are_loaded(spark, tmpdir_path):
+    """A rerun reads no tile (the archives are gone), a new one adds one folder and changes no other file."""
+    import glob
+    import shutil
+
+    from test_seekable import _archive, _bands
+
+    raw, path = os.path.join(tmpdir_path, "raw"), os.path.join(tmpdir_path, "store")
+    manifest = os.path.join(tmpdir_path, "manifest.json")
+    os.mkdir(raw)
+
+    def listed(items):
+        for i, (date, name) in enumerate(items):
+            _archive(os.path.join(raw, f"{name}.zip"), _bands(300, 200, i))
+        return [{"id": n, "name": n, "date": d, "cloud_cover": 1.0, "path": os.path.join(raw, f"{n}.zip")} for d, n in items]
+
+    def write(rows):
+        with open(manifest, "w") as f:
+            json.dump(rows, f)
+
+    def files():
+        return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/date=*/tile_id=*/*.parquet")}
+
+    first = listed([("2024-01-05", "a"), ("2024-01-05", "b"), ("2024-02-05", "c")])
+    write(first)
+    plain = sorted(map(tuple, job.load_observations(spark, manifest).select("tile_id", "date", "row", "col", "ndvi").collect()))
+    assert job.load_new(spark, manifest, path) == 3
+    before = files()
+    shutil.move(raw, raw + "-gone")
+    os.mkdir(raw)
+    assert job.load_new(spark, manifest, path) == 0 and files() == before
+    stored = store.read_observations(spark, path, with_tile=True, clustered=True)
+    assert sorted(map(tuple, stored.select("tile_id", "date", "row", "col", "ndvi").collect())) == plain
+
+    write(first + listed([("2024-02-05", "d")]))  # a date that the store has, of another tile
+    assert job.load_new(spark, manifest, path) == 1
+    after = files()
+    assert {f: t for f, t in after.items() if f in before} == before
+    assert {os.path.dirname(f) for f in set(after) - set(before)} == {f"{path}/date=2024-02-05/tile_id=d"}
+    record = spark.createDataFrame([(os.path.join(raw, "d.zip"), "2024-02-05", "d")], "path string, date string, name string")
+    store.append_acquisitions(job._scan(spark, record, None), path)
+    again = files()  # written again: one folder replaced by the same rows
+    assert {f for f in again if f not in after} and {f: t for f, t in again.items() if f in before} == before
+    assert store.read_observations(spark, path, with_tile=True, clustered=True).count() == len(plain) + 30 * 20
