@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import string
 import struct
 import zlib
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +22,9 @@ SCHEMA = pa.schema([
 DDL = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
        "offset long")
 CACHE_WORDS, CACHE_LENGTH = 400_000, 48
-STOPS = frozenset(".,;:!?")
+TAIL = string.punctuation
+# Words of one encoder call, and code points of the texts that are looked up together.
+CALL_WORDS, LOOK_CHARS = 512, 1 << 18
 
 
 class WordIds(dict):
@@ -35,35 +39,79 @@ class WordIds(dict):
 
         self.encoder = Tokenizer.from_file(path)
         self.old: dict = {}
+        pieces = self.encoder.get_vocab()
+        self.ends = np.zeros(max(pieces.values(), default=0) + 1, bool)
+        self.ends[[i for piece, i in pieces.items() if piece.endswith("</w>")]] = True
+
+    def known(self, word: str) -> bytes | None:
+        """A word's ids if either half of the cache has them; words in use come back from the old half."""
+        ids = self.get(word)
+        if ids is None and (ids := self.old.get(word)) is not None:
+            self.keep(word, ids)
+        return ids
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            ids = self.encode(word)
+    def keep(self, word: str, ids: bytes) -> None:
         if len(word) <= CACHE_LENGTH:
-            if len(self) >= CACHE_WORDS:  # words in use come back from the old half
+            if len(self) >= CACHE_WORDS:
                 self.old = dict(self)
                 self.clear()
             self[word] = ids
-        return ids
 
-    def encode(self, word: str) -> bytes:
-        """The ids of a word seen for the first time.
+    def encode(self, text: str) -> list[int]:
+        return self.encoder.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of words that :meth:`known` lacks.
 
         The tokenizer lowers case and splits letters from other characters.
-        For Latin-1 letters that is simple enough to be done here, so that a
-        word, its capitalised form and its forms before a stop share an entry.
+        For Latin-1 letters that is simple enough to be done here: a word, its
+        capitalised form and its forms before signs share their letters' ids,
+        and the letters of many words are encoded in one call, whose ids are
+        parted where a piece ends.
         """
-        stem = word[:-1] if word[-1:] in STOPS else word
-        if stem.isalpha() and max(stem) <= "\xff":
-            low = stem.lower()
-            if low != word:
-                return self[low] + (b"" if stem is word else self[word[-1]])
-        ids = self.encoder.encode(word, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        parts, wanted, found = {}, {}, {}
+        for word in words:
+            stem = word.rstrip(TAIL)
+            if stem.isalpha() and max(stem) <= "\xff":
+                parts[word] = pair = (stem.lower(), word[len(stem):])
+                for part in pair:
+                    if part not in wanted:
+                        wanted[part] = self.known(part) if part else b""
+            else:
+                wanted[word] = None
+        letters = [w for w, ids in wanted.items() if ids is None and w.isalpha() and max(w) <= "\xff"]
+        for at in range(0, len(letters), CALL_WORDS):
+            some = letters[at: at + CALL_WORDS]
+            ids = np.array(self.encode(" ".join(some)), "<u4")
+            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(stops) == len(some) and stops[-1] == len(ids):
+                raw = ids.tobytes()
+                for word, lo, hi in zip(some, [0, *stops], stops):
+                    wanted[word] = raw[4 * lo: 4 * hi]
+        for word, ids in wanted.items():
+            if ids is None:
+                one = self.encode(word)
+                wanted[word] = ids = struct.pack(f"<{len(one)}I", *one)
+            if word in words or word not in self:
+                self.keep(word, ids)
+        for word in words:
+            if word in parts:
+                found[word] = ids = wanted[parts[word][0]] + wanted[parts[word][1]]
+                self.keep(word, ids)
+            else:
+                found[word] = wanted[word]
+        return found
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        got = [list(map(self.get, words)) for words in split]
+        lack = {w for words, ids in zip(split, got) for w, i in zip(words, ids) if i is None}
+        if lack:
+            back = {w: self.known(w) for w in lack}
+            back.update(self.learn({w for w, i in back.items() if i is None}))
+            got = [[back[w] if i is None else i for w, i in zip(words, ids)] for words, ids in zip(split, got)]
+        return list(map(b"".join, got))
 
 
 _ENCODERS: dict[str, WordIds] = {}
@@ -117,11 +165,27 @@ class Levels:
         self.n_open += 1
         return None
 
-    def drain(self) -> list:
-        """All pieces of the open windows, fullest window first; none is open afterwards."""
-        pieces = [p for level in reversed(self.open) for held in level for p in held]
+    def drain(self) -> Iterator[list]:
+        """Close all open windows, each filled but the last.
+
+        The windows stay as the rule made them, the fullest first; their gaps
+        are filled from the emptiest ones, which are taken apart for it, their
+        pieces cut where a gap ends.
+        """
+        held = deque(h for level in self.open for h in level)
         self.__init__(self.window)
-        return pieces
+        spare: list[tuple] = []
+        while held or spare:
+            row = held.pop() if held else []
+            room = self.window - sum(len(p[2]) // 4 for p in row)
+            while room and (spare or held):
+                spare = spare or held.popleft()
+                doc_id, start, ids, total = spare.pop()
+                row.append((doc_id, start, ids[: 4 * room], total))
+                if len(ids) > 4 * room:
+                    spare.append((doc_id, start + room, ids[4 * room:], total))
+                room -= len(row[-1][2]) // 4
+            yield row
 
 
 def packed(docs: Iterator[tuple], window: int, first: int, max_open: int) -> Iterator[tuple]:
@@ -136,21 +200,6 @@ def packed(docs: Iterator[tuple], window: int, first: int, max_open: int) -> Ite
             offset += len(ids) // 4
         sequence += 1
 
-    def fold() -> Iterator[tuple]:
-        """Close what is open: run the pieces on and cut them at window ends, so only the last is padded."""
-        row, room = [], window
-        for doc_id, start, ids, total in levels.drain():
-            while ids:
-                part, ids = ids[: 4 * room], ids[4 * room:]
-                row.append((doc_id, start, part, total))
-                start += len(part) // 4
-                room -= len(part) // 4
-                if not room:
-                    yield from emit(row)
-                    row, room = [], window
-        if row:
-            yield from emit(row)
-
     for doc_id, ids in docs:
         total, whole = len(ids) // 4, len(ids) // 4 // window * window
         for start in range(0, whole, window):
@@ -160,8 +209,10 @@ def packed(docs: Iterator[tuple], window: int, first: int, max_open: int) -> Ite
             if full:
                 yield from emit(full)
             elif levels.n_open > max_open:
-                yield from fold()
-    yield from fold()
+                for pieces in levels.drain():
+                    yield from emit(pieces)
+    for pieces in levels.drain():
+        yield from emit(pieces)
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, max_open: int = 8192,
@@ -175,9 +226,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, m
     window stand alone; the rest is one item, which goes online into the fill
     level chosen by :class:`Levels` (ties: the fullest).  Each input partition
     packs its own documents, so nothing is shuffled and a lost task repeats
-    its result.  At its end, or when ``max_open`` windows are open, the
-    pieces of open windows are run on and cut at window ends: at most one
-    window a partition (and fold) is padded.
+    its result.  At its end, or when ``max_open`` windows are open (16 KB each
+    at most), the gaps of the fullest open windows are filled from the emptiest
+    (:meth:`Levels.drain`): at most one window a partition (and drain) is padded.
 
     Returns a row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id (partition number times 2^40 plus a running number), offset.
@@ -191,8 +242,15 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, m
 
         def documents() -> Iterator[tuple]:
             for batch in batches:
+                doc_ids, texts, n = [], [], 0
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    yield doc_id, words.ids(text.as_py() or "") + end
+                    doc_ids.append(doc_id)
+                    texts.append(text.as_py() or "")
+                    n += len(texts[-1])
+                    if n >= LOOK_CHARS:
+                        yield from zip(doc_ids, (ids + end for ids in words.ids(texts)))
+                        doc_ids, texts, n = [], [], 0
+                yield from zip(doc_ids, (ids + end for ids in words.ids(texts)))
 
         yield from record_batches(packed(documents(), window, first, max_open), SCHEMA)
 

@@ -46,8 +46,9 @@ def test_every_id_lies_in_one_piece(docs, rows, window):
 
 def test_special_text_and_white_space_match_the_tokenizer():
     words = packing.WordIds(tokenizer_path())
-    for text in ("a<|endoftext|>b it's  x\x1cy\x85z", "İ ́x É", "\n\n tab\tnbsp !!", "word " * 3, "漢字 ~~ 12 3"):
-        assert list(np.frombuffer(words.ids(text), "<u4")) == plain_ids(text)[:-1]
+    for text in ("a<|endoftext|>b it's  x\x1cy\x85z", "İ ́x É", "\n\n tab\tnbsp !!", "word " * 3, "漢字 ~~ 12 3", "Ünï% ÜNÏ ünï&&& ªº µm. don't. (a) x's",
+                 "a" * 60 + "! " + "Z" * 70):
+        assert list(np.frombuffer(words.ids([text])[0], "<u4")) == plain_ids(text)[:-1]
 
 
 def test_levels_choose_the_least_sum_of_squares():
@@ -70,6 +71,39 @@ def test_levels_choose_the_least_sum_of_squares():
         assert levels.n_open == levels.count.sum()
 
 
+def test_words_are_encoded_alike_together_and_when_the_cache_turns_over(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 50)
+    monkeypatch.setattr(packing, "CALL_WORDS", 7)
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("abcéßxyzABÉ"), int(rng.integers(1, 9)))) + str(rng.choice(["", ".", "!!", "%&", "'", "7", "-a"]))
+             for _ in range(300)]
+    texts = [" ".join(rng.choice(words, int(rng.integers(0, 60)))) for _ in range(60)]
+    ids = packing.WordIds(tokenizer_path())
+    for at in range(0, 60, 5):
+        got = ids.ids(texts[at: at + 5])
+        assert [list(np.frombuffer(g, "<u4")) for g in got] == [plain_ids(t)[:-1] for t in texts[at: at + 5]]
+
+
+def test_most_pieces_stay_where_the_rule_put_them():
+    """Of the pieces of 1,250 documents, at least three quarters lie in windows that the rule chose for them."""
+    rng = np.random.default_rng(2)
+    docs = [(i, bytes(4 * int(n))) for i, n in enumerate(rng.lognormal(5.5, 1, 1250).astype(int) + 1)]
+    levels, closed = packing.Levels(2048), 0
+    for i, ids in docs:
+        n = len(ids) // 4 % 2048
+        if n:
+            closed += len(levels.place(n, (i, 0, ids[: 4 * n], n)) or [])
+    open_ = {p[0]: id(h) for level in levels.open for h in level for p in h}
+    rows = list(levels.drain())
+    assert all(sum(len(p[2]) // 4 for p in r) == 2048 for r in rows[:-1]) and not levels.n_open
+    homes = sum(len(r) for r in rows)
+    stay = 0
+    for r in rows:
+        first = open_[r[0][0]]
+        stay += sum(open_[p[0]] == first for p in r)
+    assert (closed + stay) / (closed + homes) >= 0.75
+
+
 def test_folding_keeps_everything():
     docs = [(i, b"abcd" * (i % 7 + 1)) for i in range(200)]
     got = list(packing.packed(iter(docs), 10, 0, 3))
