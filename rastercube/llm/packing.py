@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import string
-import struct
 import zlib
 from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,16 +21,26 @@ SCHEMA = pa.schema([
 DDL = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
        "offset long")
 CACHE_WORDS, CACHE_LENGTH = 400_000, 48
-TAIL = string.punctuation
-# Words of one encoder call, and code points of the texts that are looked up together.
-CALL_WORDS, LOOK_CHARS = 512, 1 << 18
+# Words of one encoder call, and bytes of the texts that are looked up together.
+CALL_WORDS, LOOK_BYTES = 512, 1 << 22
+# Letters whose lower case and normal form are the same everywhere, and the signs behind them.
+LETTERS, SIGNS = "[A-Za-zÀ-ÖØ-öø-ÿªºµ]+", r"[!-/:-@\[-`{-~]"
+
+
+def gather(values: np.ndarray, lengths: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """The runs numbered ``index`` of ``values``, which holds runs of ``lengths`` one after another."""
+    first, n = (np.cumsum(lengths) - lengths)[index], lengths[index]
+    return values[np.arange(int(n.sum())) + np.repeat(first - (np.cumsum(n) - n), n)]
 
 
 class WordIds(dict):
-    """Text between blanks -> its ids as little-endian 32-bit bytes.
+    """Pieces of text between blanks -> their ids as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its words in order; words recur, so each is encoded once.
+    are those of its words in order; words recur, so each is encoded once.  It
+    lowers case and splits letters from other characters; for Latin-1 letters
+    that is simple enough to be done here, so a word, its capitalised form and
+    its forms before signs share an entry.
     """
 
     def __init__(self, path: str):
@@ -43,75 +52,67 @@ class WordIds(dict):
         self.ends = np.zeros(max(pieces.values(), default=0) + 1, bool)
         self.ends[[i for piece, i in pieces.items() if piece.endswith("</w>")]] = True
 
-    def known(self, word: str) -> bytes | None:
-        """A word's ids if either half of the cache has them; words in use come back from the old half."""
-        ids = self.get(word)
-        if ids is None and (ids := self.old.get(word)) is not None:
-            self.keep(word, ids)
-        return ids
-
-    def keep(self, word: str, ids: bytes) -> None:
-        if len(word) <= CACHE_LENGTH:
-            if len(self) >= CACHE_WORDS:
+    def keep(self, piece: str, ids: bytes) -> None:
+        if len(piece) <= CACHE_LENGTH:
+            if len(self) >= CACHE_WORDS:  # pieces in use come back from the old half
                 self.old = dict(self)
                 self.clear()
-            self[word] = ids
+            self[piece] = ids
 
-    def encode(self, text: str) -> list[int]:
-        return self.encoder.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.encoder.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def learn(self, words: set[str]) -> dict[str, bytes]:
-        """The ids of words that :meth:`known` lacks.
+    def pieces(self, pieces: pa.Array) -> list[bytes]:
+        """The ids of distinct pieces.
 
-        The tokenizer lowers case and splits letters from other characters.
-        For Latin-1 letters that is simple enough to be done here: a word, its
-        capitalised form and its forms before signs share their letters' ids,
-        and the letters of many words are encoded in one call, whose ids are
-        parted where a piece ends.
+        Those of letters only that the cache lacks are encoded many in one
+        call, whose ids are parted where a piece ends.
         """
-        parts, wanted, found = {}, {}, {}
-        for word in words:
-            stem = word.rstrip(TAIL)
-            if stem.isalpha() and max(stem) <= "\xff":
-                parts[word] = pair = (stem.lower(), word[len(stem):])
-                for part in pair:
-                    if part not in wanted:
-                        wanted[part] = self.known(part) if part else b""
+        names = pieces.to_pylist()
+        got = list(map(self.get, names))
+        lack = []
+        for i in [i for i, ids in enumerate(got) if ids is None]:
+            got[i] = self.old.get(names[i])
+            if got[i] is None:
+                lack.append(i)
             else:
-                wanted[word] = None
-        letters = [w for w, ids in wanted.items() if ids is None and w.isalpha() and max(w) <= "\xff"]
+                self.keep(names[i], got[i])
+        whole = pc.match_substring_regex(pieces, f"^{LETTERS}$").to_numpy(zero_copy_only=False)
+        letters = [i for i in lack if whole[i]]
         for at in range(0, len(letters), CALL_WORDS):
             some = letters[at: at + CALL_WORDS]
-            ids = np.array(self.encode(" ".join(some)), "<u4")
-            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(stops) == len(some) and stops[-1] == len(ids):
+            ids = self.encode(" ".join([names[i] for i in some]))
+            stops = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            if len(stops) == len(some) and stops[-1] == 4 * len(ids):
                 raw = ids.tobytes()
-                for word, lo, hi in zip(some, [0, *stops], stops):
-                    wanted[word] = raw[4 * lo: 4 * hi]
-        for word, ids in wanted.items():
-            if ids is None:
-                one = self.encode(word)
-                wanted[word] = ids = struct.pack(f"<{len(one)}I", *one)
-            if word in words or word not in self:
-                self.keep(word, ids)
-        for word in words:
-            if word in parts:
-                found[word] = ids = wanted[parts[word][0]] + wanted[parts[word][1]]
-                self.keep(word, ids)
-            else:
-                found[word] = wanted[word]
-        return found
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        got = [list(map(self.get, words)) for words in split]
-        lack = {w for words, ids in zip(split, got) for w, i in zip(words, ids) if i is None}
-        if lack:
-            back = {w: self.known(w) for w in lack}
-            back.update(self.learn({w for w, i in back.items() if i is None}))
-            got = [[back[w] if i is None else i for w, i in zip(words, ids)] for words, ids in zip(split, got)]
-        return list(map(b"".join, got))
+                for i, lo, hi in zip(some, [0, *stops], stops):
+                    got[i] = raw[lo:hi]
+        for i in lack:
+            if got[i] is None:
+                got[i] = self.encode(names[i]).tobytes()
+            self.keep(names[i], got[i])
+        return got
+
+    def ids(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text (null: none)."""
+        split = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
+        tokens = split.flatten().dictionary_encode()
+        words, index = tokens.dictionary, tokens.indices.to_numpy()
+        if not len(words):
+            return [b""] * len(texts)
+        plain = pc.match_substring_regex(words, f"^{LETTERS}{SIGNS}*$")
+        stem = pc.if_else(plain, pc.utf8_lower(pc.replace_substring_regex(words, f"{SIGNS}+$", "")), words)
+        tail = pc.if_else(plain, pc.replace_substring_regex(words, f"^{LETTERS}", ""), "")
+        both = pa.concat_arrays([stem, tail]).dictionary_encode()
+        got = self.pieces(both.dictionary)
+        length = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        part = both.indices.to_numpy().reshape(2, -1)
+        ids = gather(np.frombuffer(b"".join(got), "<u4"), length, part.T.ravel())
+        length = length[part].sum(axis=0)
+        raw = gather(ids, length, index).tobytes()
+        at = 4 * np.concatenate(([0], np.cumsum(length[index])))
+        at = at[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
+        return [raw[a:b] for a, b in zip(at, at[1:])]
 
 
 _ENCODERS: dict[str, WordIds] = {}
@@ -242,15 +243,12 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, m
 
         def documents() -> Iterator[tuple]:
             for batch in batches:
-                doc_ids, texts, n = [], [], 0
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    doc_ids.append(doc_id)
-                    texts.append(text.as_py() or "")
-                    n += len(texts[-1])
-                    if n >= LOOK_CHARS:
-                        yield from zip(doc_ids, (ids + end for ids in words.ids(texts)))
-                        doc_ids, texts, n = [], [], 0
-                yield from zip(doc_ids, (ids + end for ids in words.ids(texts)))
+                doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
+                size = np.cumsum(pc.binary_length(texts.fill_null("")).to_numpy(zero_copy_only=False)) // LOOK_BYTES
+                cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), len(texts)]
+                for lo, hi in zip(cuts, cuts[1:]):
+                    for doc_id, ids in zip(doc_ids[lo:hi], words.ids(texts.slice(lo, hi - lo))):
+                        yield doc_id, ids + end
 
         yield from record_batches(packed(documents(), window, first, max_open), SCHEMA)
 

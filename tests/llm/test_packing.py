@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rastercube.llm import packing
@@ -48,7 +49,7 @@ def test_special_text_and_white_space_match_the_tokenizer():
     words = packing.WordIds(tokenizer_path())
     for text in ("a<|endoftext|>b it's  x\x1cy\x85z", "İ ́x É", "\n\n tab\tnbsp !!", "word " * 3, "漢字 ~~ 12 3", "Ünï% ÜNÏ ünï&&& ªº µm. don't. (a) x's",
                  "a" * 60 + "! " + "Z" * 70):
-        assert list(np.frombuffer(words.ids([text])[0], "<u4")) == plain_ids(text)[:-1]
+        assert list(np.frombuffer(words.ids(pa.array([text]))[0], "<u4")) == plain_ids(text)[:-1]
 
 
 def test_levels_choose_the_least_sum_of_squares():
@@ -80,7 +81,7 @@ def test_words_are_encoded_alike_together_and_when_the_cache_turns_over(monkeypa
     texts = [" ".join(rng.choice(words, int(rng.integers(0, 60)))) for _ in range(60)]
     ids = packing.WordIds(tokenizer_path())
     for at in range(0, 60, 5):
-        got = ids.ids(texts[at: at + 5])
+        got = ids.ids(pa.array(texts[at: at + 5]))
         assert [list(np.frombuffer(g, "<u4")) for g in got] == [plain_ids(t)[:-1] for t in texts[at: at + 5]]
 
 
