@@ -46,8 +46,8 @@ def test_accounts(docs, rows):
 
 
 def test_documents_are_taken_as_often_as_accounted(docs):
-    for words in (50_000_000, 500):  # one shard, many shards
-        mix = mixing.mix(docs, shard_words=words)
+    for words, least in ((50_000_000, 1), (500, 8), (50_000_000, 400)):  # one shard, many, more than draws
+        mix = mixing.mix(docs, shard_words=words, least_shards=least)
         want = defaultdict(int)
         for r in mix.accounts().collect():
             want[r.doc_id, r.size] += r.copies
@@ -59,6 +59,44 @@ def test_documents_are_taken_as_often_as_accounted(docs):
         assert {k: v for k, v in want.items() if v} == dict(have)
 
 
+def test_shards_hold_what_the_tree_dealt(docs):
+    """Each draw is one shard's, a shard has a run of every source's permutation, and its documents are those of its blocks."""
+    mix = mixing.mix(docs, least_shards=6)
+    draws, plan = mix.draws.collect(), {r.s: r for r in mix.sources.collect()}
+    assert len({(r.s, r["pass"], r.block) for r in draws}) == len(draws)
+    at = {}
+    for r in sorted(draws, key=lambda r: (r.s, r["pass"] * plan[r.s].blocks + r.block)):
+        assert r.shard >= at.get(r.s, 0)  # runs of the permutation, in the shards' order
+        at[r.s] = r.shard
+    assert sum(len(set(r.shard for r in draws if r.s == s)) > 1 for s in plan) > 1
+    shard_of = {(r.s, r.block, r["pass"]): r.shard for r in draws}
+    s_of = {p.source: s for s, p in plan.items()}
+    blocks = {(r.s, r.key, r.mark): r.block for r in mix.placed(mix.narrow).collect()}
+    seen = defaultdict(list)
+    for r in mix.narrow.collect():
+        s = s_of[r.named]
+        seen[repr(r.doc_id), r.size, s].append(blocks[s, r.key, r.mark])
+    for r in mix.accounts().collect():
+        assert len(r.shards) == len(r.positions) == r.copies
+        options = seen[repr(r.doc_id), r.size, s_of[r.source]]
+        assert any(all(shard_of.get((s_of[r.source], b, p)) == k for p, k in enumerate(r.shards)) for b in options)
+
+
+def test_documents_without_an_id_are_spread(spark):
+    rows = [(None, f"words of text {i} here", "a") for i in range(300)] + [(i, "b c", "b") for i in range(50)]
+    mix = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    sizes = mix.placed(mix.narrow).where("source = 'a'").groupBy("block").count().collect()
+    assert max(r["count"] for r in sizes) < 15
+    check([(r[0], r[1], None, r[2]) for r in rows], mix.accounts().collect())
+
+
+def test_the_step_permutes():
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 3, 12, 30030, 64):
+        step = mixing._step(n, rng)
+        assert len({i * step % n for i in range(n)}) == n
+
+
 def test_tree_meets_quotas_and_capacities():
     quota = np.array([700, 0, 31, 5, 1000])
     for shards in (1, 2, 7, 16):
