@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from rastercube.llm.common import checked, settle
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp svg math".split())
+RAW = frozenset("script style textarea title noscript template iframe noembed noframes svg".split())
 BLOCK = frozenset(
     "head address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol option p pre section summary table tbody td "
-    "tfoot th thead tr ul".split())
+    "tfoot th thead tr ul xmp".split())
 # The open elements whose end tag may be left out, and the start tags that end them.
 _ROWS = {"tr", "tbody", "thead", "tfoot"}
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
@@ -26,13 +26,19 @@ CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"o
 HEAD = frozenset("meta link base title style script noscript template".split())
 SCOPES = frozenset("table ul ol dl select html body article section main div".split())
 # Never part of the main text, whatever a host's pages agree on.
-DROP_TAGS = RAW | frozenset("nav aside footer form button select input dialog menu head object audio video canvas".split())
+DROP_TAGS = RAW | frozenset("nav aside footer form button select input dialog menu head object audio video canvas annotation "
+                             "annotation-xml".split())
 DROP_WORDS = frozenset(
     "nav navbar navigation menu menubar submenu breadcrumb breadcrumbs sidebar sidebars aside footer masthead banner ad "
     "ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert "
     "popup modal overlay newsletter subscribe subscription signup login search searchbox share sharing social related "
     "recommended recommendations trending popular pagination pager comment comments commentlist respond reply replies "
     "disqus toolbar widget widgets skip copyright legal tags taglist topbar toc".split())
+# Words of a name that only say where or how a part stands: with one of DROP_WORDS they are that word's name.
+PLACE_WORDS = frozenset(
+    "area bar block body bottom box button buttons center col column container content cta feed first form frame group head header "
+    "heading holder icon icons image images inner item items last layout left link links list lists module outer panel "
+    "placeholder post posts primary right row secondary section site slot stories the title top unit wrap wrapper zone".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form "
                        "toolbar".split())
 GOOD_WORDS = frozenset("article content entry main post story body text hentry".split())
@@ -41,18 +47,23 @@ TOKEN = re.compile(
     r"</([a-zA-Z][^\s/>]*)[^>]*(?:>|$)|<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">]|['\"](?=[^>]*>))*+)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 SPACE = re.compile(r"\s+")
+# Where the drawing of an svg ends: its end tag, or a tag that cannot stand in one.
+SVG_END = re.compile(r"</svg(?=[\s/>])[^>]*>?|(?=</?(?:p|div|h[1-6]|ul|ol|dl|li|table|section|article|main|body|html|blockquote|"
+                     r"pre|header|footer|nav|aside)[\s/>])", re.I)
+# A link with more text in blocks is no link list's entry, but wraps a part of the page.
+LINK_TEXT = 200
 # Elements nested deeper become siblings there, as in browsers; no text is lost.
 MAX_LEVEL = 512
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "level", "items", "path", "good", "kind", "spared")
+    __slots__ = ("tag", "attrs", "parent", "level", "items", "path", "good", "kind", "spared", "wraps")
 
     def __init__(self, tag: str, attrs: dict, parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.level = parent.level + 1 if parent else 0
         self.items: list = []
-        self.path = self.good = self.kind = None
+        self.path = self.good = self.kind = self.wraps = None
         self.spared = False
 
 
@@ -103,7 +114,16 @@ def _tree(page: str) -> Node:
                 node = node.parent
             child = Node(tag, attrs, node)
             node.items.append(child)
-            if tag in RAW and not found[3].rstrip().endswith("/"):
+            if tag == "svg" and not found[3].rstrip().endswith("/"):
+                end = SVG_END.search(page, at)
+                if end and not end[0] and "<foreignobject" in page[at: end.end()].lower():
+                    end = re.compile(r"</svg(?=[\s/>])[^>]*>?", re.I).search(page, at) or end
+                at = end.end() if end else n
+            elif tag == "xmp":
+                end = re.compile(r"</xmp(?=[\s/>])[^>]*>?", re.I).search(page, at)
+                child.items.append(page[at: end.start() if end else n].replace("&", "&amp;"))
+                at = end.end() if end else n
+            elif tag in RAW and not found[3].rstrip().endswith("/"):
                 end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
                 at = end.end() if end else n
             elif tag not in VOID and not (found[3].rstrip().endswith("/") and tag not in BLOCK):
@@ -129,9 +149,61 @@ def _close(node: Node, tag: str, depth: dict) -> Node:
     return up.parent
 
 
+def _split(name: str) -> list[str]:
+    return [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if w]
+
+
+def _names(node: Node) -> list[list[str]]:
+    """The words of each class name and of the id."""
+    return [_split(n) for n in [*node.attrs.get("class", "").split(), node.attrs.get("id", "")]]
+
+
 def _words(node: Node) -> set[str]:
-    names = f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}"
-    return set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", names).lower()))
+    return {w for name in _names(node) for w in name}
+
+
+def _named(node: Node, words: frozenset) -> bool:
+    """Whether a name of ``node`` is one of ``words``: as its last word, or with nothing but words of place beside it.
+
+    So ``cookie-notice`` and ``ad-box`` are, ``ad-free`` and ``social-history``
+    are not; those count only for a part that is mostly links.
+    """
+    weak = False
+    for name in _names(node):
+        if words.intersection(name):
+            if name[-1] in words or all(w in words or w in PLACE_WORDS for w in name):
+                return True
+            weak = True
+    return weak and _mostly_links(node)
+
+
+def _mostly_links(node: Node) -> bool:
+    text = linked = 0
+    stack = [(x, False) for x in node.items]
+    while stack:
+        x, link = stack.pop()
+        if isinstance(x, str):
+            text += len(x.strip())
+            linked += len(x.strip()) if link else 0
+        elif x.tag not in RAW:
+            stack.extend((y, link or x.tag == "a") for y in x.items)
+    return 2 * linked > text
+
+
+def is_link(node: Node) -> bool:
+    """Whether an element is a link, other than one around a part of the page (more than ``LINK_TEXT`` in blocks)."""
+    if node.tag != "a":
+        return False
+    if node.wraps is None:
+        stack, held = [(x, False) for x in node.items], 0
+        while stack and held <= LINK_TEXT:
+            x, block = stack.pop()
+            if isinstance(x, str):
+                held += len(x.strip()) if block else 0
+            elif x.tag not in RAW:
+                stack.extend((y, block or x.tag in BLOCK) for y in x.items)
+        node.wraps = held > LINK_TEXT
+    return not node.wraps
 
 
 # What an element is: sure boilerplate, readers' comments, boilerplate by its name only, or text.
@@ -157,15 +229,15 @@ def _kind(node: Node) -> int:
     words = _words(node)
     if node.tag in ("html", "body", "main", "article"):
         return COMMENTS if words & {"comment", "comments", "reply", "respond"} and node.tag == "article" else TEXT
-    if words & COMMENT_WORDS:
+    if words & COMMENT_WORDS and _named(node, COMMENT_WORDS):
         return COMMENTS
     if node.tag == "header":
         # a header within the article holds its heading; any other is the site's
         up = node.parent
         while up and up.tag not in ("article", "main"):
             up = up.parent
-        return NAMED if up is None or words & DROP_WORDS else TEXT
-    return NAMED if node.tag == "form" or role == "form" or words & DROP_WORDS else TEXT
+        return NAMED if up is None or _named(node, DROP_WORDS) else TEXT
+    return NAMED if node.tag == "form" or role == "form" or words & DROP_WORDS and _named(node, DROP_WORDS) else TEXT
 
 
 def boilerplate(node: Node) -> bool:
@@ -177,7 +249,8 @@ def _spare(root: Node) -> None:
     """Mark the elements that are boilerplate by name, but wrap the page's text.
 
     Those are spared that hold four times the text (not links) of the rest, or
-    the page's only h1 or main and at least as much; the text within what is
+    the page's only h1 or main and at least as much, or an h1 within the article
+    or main; the text within what is
     surely boilerplate or comments does not count.  If nothing is left without
     the named ones, all of them are spared; then the comments.
     """
@@ -194,7 +267,7 @@ def _spare(root: Node) -> None:
             for x in node.items:
                 if isinstance(x, str):
                     sums[node][0] += len(x.strip())
-                elif x.tag != "a" and kind_of(x) not in (SURE, COMMENTS):
+                elif not is_link(x) and kind_of(x) not in (SURE, COMMENTS):
                     stack.append((x, False))
         elif node is not root:
             for i in (0, 1):
@@ -204,6 +277,11 @@ def _spare(root: Node) -> None:
         inside, has = sums[node]
         outside = text - inside
         node.spared = inside > 0 and (inside >= 4 * outside or (has > 0 and has == heads and inside >= outside))
+        if has and not node.spared:  # the heading of an article, whatever its frame is called
+            up = node.parent
+            while up and up.tag not in ("article", "main"):
+                up = up.parent
+            node.spared = up is not None
     for kind in (NAMED, COMMENTS):
         if text_blocks(root):
             return
@@ -290,7 +368,7 @@ def container_scores(root: Node) -> dict[str, float]:
                 x = inline.pop()
                 if isinstance(x, str):
                     own += len(x.strip())
-                elif x.tag == "a":
+                elif is_link(x):
                     linked += sum(len(y.strip()) for y in x.items if isinstance(y, str))
                 elif x.tag not in BLOCK and not boilerplate(x):
                     inline.extend(x.items)
@@ -319,7 +397,7 @@ def _adds(node: Node, child: Node, path: str) -> bool:
         if isinstance(x, str):
             if WORD.search(entities.unescape(x)):
                 return True
-        elif x.tag != "a" and not boilerplate(x) and path_of(x) != path:
+        elif not is_link(x) and not boilerplate(x) and path_of(x) != path:
             stack.extend(x.items)
     return False
 
@@ -433,13 +511,17 @@ def main_text(pages: DataFrame, votes: int = 5, id_col: str = "page_id", url_col
     counted = rows.where("host != ''").select("host", "html").mapInArrow(
         vote, "host string, path string, votes long, best long, held long").groupBy("host", "path").agg(
         *[F.sum(c).alias(c) for c in ("votes", "best", "held")])
+    counted = settle(counted)
+    # Spark limits the ranks of a host in each task before they meet
     rank = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path"))
-    chosen = counted.withColumn("rank", rank).withColumn("pages", F.sum("votes").over(Window.partitionBy("host")))
-    ranked = (F.col("rank") <= votes) & (F.col("votes") > 0)
-    side = (F.col("held") * 10 >= F.col("pages")) & (F.col("best") * 2 < F.col("held"))
-    chosen = settle(chosen.where(ranked | side).groupBy("host").agg(
+    top = counted.where("votes > 0").withColumn("rank", rank).where(F.col("rank") <= votes)
+    pages_of = counted.groupBy("host").agg(F.sum("votes").alias("pages"))
+    side = counted.where("best * 2 < held").join(pages_of, "host").where("held * 10 >= pages")
+    chosen = top.select("host", "rank", "path").unionByName(side.select("host", F.lit(None).cast("int").alias("rank"), "path"))
+    ranked = F.col("rank").isNotNull()
+    chosen = settle(chosen.groupBy("host").agg(
         F.sort_array(F.collect_list(F.when(ranked, F.struct("rank", "path")))).alias("p"),
-        F.collect_list(F.when(side, F.col("path"))).alias("side")).select("host", F.col("p.path").alias("paths"), "side"))
+        F.collect_list(F.when(~ranked, F.col("path"))).alias("side")).select("host", F.col("p.path").alias("paths"), "side"))
     named = rows.join(checked(chosen), "host", "left")
     return named.select("page_id", "url", "html", "paths", "side").mapInArrow(
         take, "page_id long, url string, text string, n_chars long")

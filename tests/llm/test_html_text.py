@@ -100,3 +100,32 @@ def test_a_rarer_layout_keeps_its_article(spark, pages_schema):
     for i in (30, 50):
         assert ("tale " * 200).strip() in got[i]
     assert all(got[i] == ("word " * 60).strip() for i in (0, 29, 40, 48))
+
+
+def test_a_word_in_a_name_does_not_drop_text():
+    """Parts whose names only contain a word of boilerplate stay; parts that are named so, or are mostly links, go."""
+    text = "A long paragraph of the article that goes on for some while and has its own words. " * 4
+    body = "<p>%s</p>" % text
+    for part, want in (
+            ('<p class="ad-free">Kept words.</p>', "Kept words."),
+            ('<section class="social-history"><p>Kept words.</p></section>', "Kept words."),
+            ('<section id="legal-background"><p>Kept words.</p></section>', "Kept words."),
+            ('<div class="title-banner"><h1>Kept words.</h1></div>', "Kept words."),
+            ('<figure class="widget-photo"><figcaption>Kept words.</figcaption></figure>', "Kept words."),
+            ('<section id="comment-on-results"><p>Kept words.</p></section>', "Kept words."),
+            ('<p class="tags-explained">Kept words.</p>', "Kept words."),
+            ("<p>Where <math><mi>x</mi><annotation>tex</annotation></math> is.</p>", "Where x is."),
+            ("<xmp>a <b> &amp; c</xmp>", "a <b> &amp; c"),
+            ("<svg><path d=x><p>Kept words.</p>", "Kept words."),
+            ("<svg><title>No</title></svg><p>Kept words.</p>", "Kept words."),
+            ('<div class="ad-box">Buy</div>', None), ('<div class="cookie-notice">Buy</div>', None),
+            ('<div class="share-this-story"><a href=x>Share it</a></div>', None), ('<div id="relatedPosts">More</div>', None)):
+        root = html_text.parse(f"<body><article>{part}{body}</article><div class=sidebar><p>Side</p></div></body>")
+        got = html_text.extract(root, [html_text.best_path(root)]).split("\n\n")
+        assert got == [want] * (want is not None) + [text.strip()], part
+
+
+def test_an_article_within_a_link_is_the_text():
+    text = "A long paragraph of the article that goes on for some while and has its own words. " * 4
+    root = html_text.parse(f"<body><a href=x><div class=story><h1>Title</h1><p>{text}</p></div></a><div>Short words</div></body>")
+    assert text.strip() in html_text.extract(root, [html_text.best_path(root)])
