@@ -1,6 +1,8 @@
+import math
 import random
 
 import numpy as np
+import pytest
 
 from rastercube.llm import lm_scoring as lm
 
@@ -18,27 +20,73 @@ def texts(n, seed):
     return out
 
 
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def prepared(spark, rows):
+    df = frame(spark, rows)
+    counts = lm.token_counts(df.select("text"))
+    known = lm.vocabulary(counts)
+    return counts, known, lm.encode(df, known)
+
+
+def plain_scores(known, weights, train, asked):
+    """Score and number of words by plain loops over words, classes and counts, from the texts alone."""
+    n = {}
+    for _, t in train:
+        for w in (t or "").lower().encode().split():
+            n[w] = n.get(w, 0) + 1
+    classes = known.side ** 2
+    own = sorted(n, key=lambda w: (-n[w], w))[: known.own]
+    kind = {w: i for i, w in enumerate(own)}
+    of = lambda w: kind[w] if w in kind else len(own) + lm.mark(w) % (classes - len(own))
+    share = {}
+    for w in n:
+        k, m = share.get(of(w), (0, 0))
+        share[of(w)] = (k + n[w], m + 1)
+    net = {k: v.astype(float) for k, v in lm.views(weights, known.side).items()}
+    out = []
+    for i, t in asked:
+        words, total = (t or "").lower().encode().split(), 0.0
+        for j, w in enumerate(words):
+            hidden = np.zeros(lm.WIDTH)
+            for k, o in enumerate(lm.OFFSETS):
+                c = of(words[j + o]) if 0 <= j + o < len(words) else classes
+                hidden += net["embed"][k * (classes + 1) + c]
+            hidden = np.tanh(hidden)
+            a, b = divmod(of(w), known.side)
+            for x, at in ((hidden @ net["out_a"] + net["bias_a"], a), (hidden @ net["out_b"] + net["bias_b"][a], b)):
+                total += x[at] - math.log(sum(math.exp(v) for v in x))
+            if w not in kind:
+                k, m = share.get(of(w), (0, 0))
+                total += math.log((n.get(w, 0) + lm.UNSEEN) / (k + lm.UNSEEN * (m + 1)))
+        out.append((i, len(words), total))
+    return out
+
+
 def test_held_out_texts_beat_shuffled_ones(spark):
-    train = spark.createDataFrame([(t,) for t in texts(600, 1)], "text string").repartition(2)
-    weights = lm.fit(train, rounds=3, rate=0.1)
+    counts, known, encoded = prepared(spark, list(enumerate(texts(600, 1))))
+    weights = lm.fit(encoded, known, rounds=3, rate=0.1)
     held = texts(40, 2)
     mixed = [" ".join(random.Random(i).sample(t.split(), 60)) for i, t in enumerate(held)]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(held + mixed)], "doc_id long, text string")
-    got = {r.doc_id: r.mean_log_likelihood for r in lm.scores(df, weights).collect()}
+    asked = lm.encode(frame(spark, list(enumerate(held + mixed))), known)
+    got = {r.doc_id: r.mean_log_likelihood for r in lm.scores(asked, known, weights, counts).collect()}
     good, bad = np.mean([got[i] for i in range(40)]), np.mean([got[i] for i in range(40, 80)])
-    assert good > -4.5 and good > bad + 0.7
+    assert good > -2.5 and good > bad + 0.7
     assert np.mean([got[i] > got[40 + i] for i in range(40)]) > 0.9
 
 
 def test_gradient_and_norm():
-    flat = lm.start(1) * 3
-    classes, position, _ = lm.sequence([b"a b c d e f g", b"", b"x y"])
-    assert len(position) == 9 and (classes[position] < lm.VOCABULARY).all()
-    net = lm.views(flat)
+    side = 9
+    flat = lm.start(1, side) * 3
+    found = [np.array(x, np.int64) for x in ([3, 5, 80, 0, 5, 7, 44], [], [1, 2])]
+    classes, position, doc = lm.sequence(found, side * side)
+    assert classes[position].tolist() == [3, 5, 80, 0, 5, 7, 44, 1, 2] and doc.tolist() == [0] * 7 + [2] * 2
+    net = lm.views(flat, side)
     # the two softmaxes give a distribution over all classes
-    rows, hidden, *_ = lm.forward(net, classes, position)
     p = 0.0
-    for c in range(lm.VOCABULARY):
+    for c in range(side * side):
         changed = classes.copy()
         changed[position[3]] = c
         p += np.exp(lm.forward(net, changed, position[3:4])[-1][0])
@@ -46,8 +94,8 @@ def test_gradient_and_norm():
     before = lm.forward(net, classes, position)[-1].sum()
     squares = np.zeros_like(flat)
     for _ in range(30):
-        lm.train(flat, squares, classes, position, 0.05)
-    assert lm.forward(lm.views(flat), classes, position)[-1].sum() > before + 5
+        lm.train(flat, squares, side, classes, position, 0.05)
+    assert lm.forward(lm.views(flat, side), classes, position)[-1].sum() > before + 5
 
 
 def test_rows(docs, rows, no_docs):
@@ -58,55 +106,58 @@ def test_rows(docs, rows, no_docs):
     assert lm.pseudo_likelihood(no_docs).count() == 0
 
 
-def test_tokens_of_one_class_score_by_their_counts(spark, monkeypatch):
-    """A junk word costs more than the frequent word of its class, by the smoothed counts, looked up or joined."""
-    kind = lm.WordClasses()
-    junk = next(w for i in range(100_000) if kind[(w := f"junk{i}").encode()] == kind[b"the"])
-    docs = [(0, "the " * 40), (1, f"a The b {junk} c the"), (2, None)] + [(3, "x y")] * 3
-    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    weights, counts = lm.start(1), lm.token_counts(df.select("text"))
-    n = {}
-    for _, t in docs:
-        for w in (t or "").lower().encode().split():
-            n[w] = n.get(w, 0) + 1
-    assert {bytes(r.token): r.n for r in counts.collect()} == n
-    words, sizes = np.zeros(lm.VOCABULARY), np.zeros(lm.VOCABULARY)
-    for w, k in n.items():
-        words[kind[w]] += k
-        sizes[kind[w]] += 1
-    share = lambda w: np.log((n.get(w, 0) + lm.UNSEEN) / (words[kind[w]] + lm.UNSEEN * (sizes[kind[w]] + 1)))
-    tests = docs + [(4, f"the {junk}"), (5, "the the"), (6, "the neverseen")]
-    asked = spark.createDataFrame(tests, "doc_id long, text string").repartition(2)
-    plain = {r.doc_id: r for r in lm.scores(asked, weights).collect()}
-    for head in (lm.HEAD, 4, 1):
-        monkeypatch.setattr(lm, "HEAD", head)
-        got = lm.scores(asked, weights, counts=counts).collect()
-        assert sorted(r.doc_id for r in got) == sorted(r[0] for r in tests)
-        for r in got:
-            text = dict(tests)[r.doc_id]
-            more = sum(share(w) for w in (text or "").lower().encode().split())
-            assert r.n_tokens == plain[r.doc_id].n_tokens
-            assert abs(r.log_likelihood - plain[r.doc_id].log_likelihood - more) < 0.02
-        score = {r.doc_id: r.log_likelihood for r in got}
-        assert score[5] > score[4] + 2
+@pytest.mark.parametrize("head", [lm.HEAD, 40, 1])
+def test_scores_by_plain_loops(spark, monkeypatch, head):
+    """Whole scores, with the tokens known to the tasks or joined, of seen and unseen words."""
+    rng = random.Random(5)
+    train = [(i, " ".join(f"w{min(int(rng.expovariate(0.03)), 199)}" for _ in range(rng.randrange(60)))) for i in range(60)]
+    train += [(60, None), (61, "The the THE"), (62, "The the THE")]
+    monkeypatch.setattr(lm, "HEAD", head)
+    counts, known, encoded = prepared(spark, train)
+    assert len(known.head) <= head and known.own <= known.side ** 2 // 2
+    weights = lm.fit(encoded, known)
+    asked = train + [(70, "w0 neverseen w1 the"), (71, "")]
+    got = lm.scores(lm.encode(frame(spark, asked).repartition(3), known), known, weights, counts).collect()
+    want = plain_scores(known, weights, train, asked)
+    assert sorted((r.doc_id, r.n_tokens) for r in got) == sorted((i, n) for i, n, _ in want)
+    score = {i: s for i, _, s in want}
+    for r in got:
+        assert abs(r.log_likelihood - score[r.doc_id]) < 0.02
+
+
+def test_partitions_do_not_change_scores(spark):
+    rows = list(enumerate(texts(80, 3) + ["junk words once"] * 3)) + [(None, "a b"), (None, "a b"), (5, None)]
+    found = [sorted(map(repr, lm.pseudo_likelihood(frame(spark, rows).repartition(n)).collect())) for n in (1, 4, 9)]
+    assert found[0] == found[1] == found[2]
+
+
+def test_classes_grow_with_the_corpus(spark):
+    """Frequent tokens are classes of their own, and more of them in a larger corpus."""
+    def known(words):
+        rows = [(f"t{i}".encode(), lm.mark(f"t{i}".encode()), max(1, words // ((i + 1) * 10))) for i in range(3000)]
+        return lm.vocabulary(spark.createDataFrame(rows, "token binary, mark long, n long"))
+    small, large, huge = known(10**5), known(10**8), known(10**13)
+    assert small.side < large.side < huge.side
+    assert small.own < large.own < huge.own and huge.own > 2000
+    for v in (small, large, huge):
+        assert v.head[0] == b"t0" and len(set(v.classes()[: v.own])) == v.own
+        assert (v.classes()[v.own:] >= v.own).all() and (v.classes() < v.side ** 2).all()
+        assert (v.share[: v.own] == 0).all() and (v.share[v.own:] <= 0).all()
 
 
 def test_every_word_is_a_target_once(spark):
-    """The rounds share out all places; the given class biases of a word that occurs once have learnt."""
-    texts = [b"", b"one", *[b" ".join(b"w%d" % i for i in range(n)) for n in (3, 50, 700)], b"one"]
-    doc = np.repeat(np.arange(len(texts)), [len(t.split()) for t in texts])
+    """The rounds share out all places; every frequent token's own output has learnt."""
+    size = [0, 1, 3, 50, 700, 1]
+    salt = np.array([lm.mark(b"%d" % n) for n in size])
+    doc = np.repeat(np.arange(len(size)), size)
     for rounds in (1, 2, 5):
-        assert (sum(lm.targets(texts, doc, rounds, k).astype(int) for k in range(rounds)) == 1).all()
+        assert (sum(lm.targets(salt, doc, rounds, k).astype(int) for k in range(rounds)) == 1).all()
         # in whichever order the texts are read
-        first, turned = lm.targets(texts, doc, rounds, 0), lm.targets(texts[::-1], (len(texts) - 1 - doc)[::-1], rounds, 0)
+        first = lm.targets(salt, doc, rounds, 0)
+        turned = lm.targets(salt[::-1], (len(size) - 1 - doc)[::-1], rounds, 0)
         assert (np.bincount(doc, first) == np.bincount(doc[::-1], turned)).all()
-    kind, words = lm.WordClasses(), {}
-    for i in range(5000):
-        words.setdefault(kind[b"r%d" % i] // lm.SIDE, f"r{i}")
-    assert len(words) == lm.SIDE
-    df = spark.createDataFrame([(w,) for w in words.values()], "text string").repartition(2)
-    learnt = lm.views(lm.fit(df))["bias_b"]
-    assert (np.abs(learnt).max(axis=1) > 0).all()
-    for w in words.values():
-        a, b = divmod(kind[w.encode()], lm.SIDE)
-        assert learnt[a].argmax() == b
+    _, known, encoded = prepared(spark, [(i, f"r{i}") for i in range(32)])
+    assert known.own == 32
+    learnt = lm.views(lm.fit(encoded, known), known.side)["bias_b"]
+    used = learnt[: math.ceil(32 / known.side)].ravel()[:32]
+    assert (used > 0).all()
