@@ -16,7 +16,8 @@ from rastercube.llm.common import byte_values, mix64, shuffle_partitions
 
 # Words handled at once in a task, words whose name a worker keeps, keys that a task remembers having sent.
 CHUNK_WORDS, CACHE_WORDS, SENT_KEYS = 300_000, 500_000, 1 << 16
-ROUNDS = 3
+# Groups of symbols that a round deals out to the halves of the alphabet.
+ROUNDS, GROUPS = 3, 256
 # Odd multipliers of the running hashes (fixed values).
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 HITS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("row", pa.int64()), ("first", pa.int32()),
@@ -25,10 +26,10 @@ HITS_DDL = "a long, b long, row long, first int, last int, sure boolean, several
 
 
 class WordNames(dict):
-    """A word's 64-bit name: equal for equal words in every task, so no table of names is needed."""
+    """A word's 128-bit name: equal for equal words in every task, so no table of names is needed."""
 
-    def __missing__(self, word: bytes) -> int:
-        name = xxhash.xxh3_64_intdigest(word)
+    def __missing__(self, word: bytes) -> bytes:
+        name = xxhash.xxh3_128_digest(word)
         if len(self) >= CACHE_WORDS:
             self.clear()
         self[word] = name
@@ -38,17 +39,49 @@ class WordNames(dict):
 _NAMES = WordNames()
 
 
-def word_names(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_NAMES.__getitem__, words), np.uint64, len(words))
+def word_names(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Both halves of the words' names."""
+    both = np.frombuffer(b"".join(map(_NAMES.__getitem__, words)), np.uint64).reshape(-1, 2)
+    return both[:, 0].copy(), both[:, 1].copy()
 
 
-def recompress(words: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(name, lo, hi)`` of the symbols after ``rounds`` rounds of naming runs, then pairs.
+def _group(name: np.ndarray, r: int) -> np.ndarray:
+    """The group of each symbol in round ``r``; a round deals out whole groups to the halves of the alphabet."""
+    return (mix64(name, 3 * r + 2) >> np.uint64(56)).astype(np.intp)
+
+
+def _runs(name: np.ndarray, lo: np.ndarray, hi: np.ndarray, n: int, r: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Name every run of a symbol by (symbol, length)."""
+    at = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
+    last = np.append(at[1:], len(name)) - 1
+    run = last - at
+    name = np.where(run > 0, mix64(name[at] ^ mix64(run.astype(np.uint64), 3 * r + 1)), name[at])
+    return name, np.concatenate(([-1], lo[at[1:] - 1])), np.append(hi[last[:-1] + 1], n)
+
+
+def _pairs(name: np.ndarray, lo: np.ndarray, hi: np.ndarray, n: int, r: int,
+           half: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Name every pair of a symbol of the left half and one of the right half."""
+    left = half[_group(name, r)]
+    pair = np.append(left[:-1] & ~left[1:], False)
+    keep = np.flatnonzero(~np.concatenate(([False], pair[:-1])))
+    two, left = pair[keep], left[keep]
+    end = keep + two
+    before, after = np.concatenate(([-1], lo[:-1])), np.append(hi[1:], n)
+    # a single left symbol depends on what follows it, a single right one on what stands before it
+    lo = np.where(~two & ~left, before[keep], lo[keep])
+    hi = np.where(~two & left, after[keep], hi[end])
+    return np.where(two, mix64(name[keep] ^ (mix64(name[end], 3 * r + 3) << np.uint64(1))), name[keep]), lo, hi
+
+
+def recompress(words: np.ndarray, halves: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(name, lo, hi)`` of the symbols after a round of naming runs, then pairs, for each of ``halves``.
 
     A round names every run of a symbol by (symbol, length), then every pair
     whose left symbol falls into the left half of the alphabet and whose right
-    one into the right half; halves are a bit of the symbol's name.  Names are
-    hashes of what they stand for, so that they agree everywhere.  ``lo..hi``
+    one into the right half; ``halves`` says for each round which groups of
+    symbols are the left half (:func:`pairings`).  Names are hashes of what
+    they stand for, so that they agree everywhere.  ``lo..hi``
     are the words that made the symbol come out as it did: its own and the
     neighbours that bounded its run or did not pair with it.  Wherever the
     words lo..hi occur, the same symbol stands at the same place; symbols that
@@ -56,25 +89,60 @@ def recompress(words: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.
     fall along the sequence.
     """
     n = len(words)
-    name, lo, hi = words, np.arange(n), np.arange(n)
-    for r in range(rounds):
-        at = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
-        last = np.append(at[1:], len(name)) - 1
-        run = last - at
-        name = np.where(run > 0, mix64(name[at] ^ mix64(run.astype(np.uint64), 3 * r + 1)), name[at])
-        lo, hi = (np.concatenate(([-1], lo[at[1:] - 1])), np.append(hi[last[:-1] + 1], n))
-
-        left = (mix64(name, 3 * r + 2) >> np.uint64(63)).astype(bool)
-        pair = np.append(left[:-1] & ~left[1:], False)
-        keep = np.flatnonzero(~np.concatenate(([False], pair[:-1])))
-        two, half = pair[keep], left[keep]
-        end = keep + two
-        before, after = np.concatenate(([-1], lo[:-1])), np.append(hi[1:], n)
-        # a single left symbol depends on what follows it, a single right one on what stands before it
-        lo = np.where(~two & ~half, before[keep], lo[keep])
-        hi = np.where(~two & half, after[keep], hi[end])
-        name = np.where(two, mix64(name[keep] ^ (mix64(name[end], 3 * r + 3) << np.uint64(1))), name[keep])
-    return name, lo, hi
+    found = words, np.arange(n), np.arange(n)
+    for r, half in enumerate(halves):
+        found = _pairs(*_runs(*found, n, r), n, r, half)
+    return found
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch], halves: list[np.ndarray], chunk_words: int) -> Iterator[pa.RecordBatch]:
+    """How often a symbol of one group stands before one of another after these rounds and the next one's runs."""
+    r, total = len(halves), np.zeros(GROUPS * GROUPS, np.int64)
+    for _, words in _chunks(batches, 0, chunk_words):
+        names, _ = word_names([w for text in words for w in text])
+        if len(names):
+            group = _group(_runs(*recompress(names, halves), len(names), r)[0], r)
+            total += np.bincount(group[:-1] * GROUPS + group[1:], minlength=len(total))
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["at", "n"])
+
+
+def split_groups(count: np.ndarray) -> np.ndarray:
+    """Which groups are the left half, for ``count`` of (group, next group): at least a quarter of the pairs of
+    different groups then have their left symbol in it and their right one in the other half.
+
+    Groups are dealt out by falling weight, each to the half that parts it
+    from more of its neighbours dealt before; so at least half of these pairs
+    are parted, and the halves are named so that most of them go from left to right.
+    """
+    both = count + count.T
+    np.fill_diagonal(both, 0)
+    side = np.zeros(len(count), np.int64)
+    for g in np.lexsort((np.arange(len(count)), -both.sum(axis=1))).tolist():
+        pull = int(both[g] @ side) or int(side.sum())
+        side[g] = -1 if pull > 0 else 1
+    left = side > 0
+    return ~left if count[~left][:, left].sum() > count[left][:, ~left].sum() else left
+
+
+def pairings(texts: DataFrame, rounds: int, chunk_words: int) -> list[np.ndarray]:
+    """The halves of the alphabet for each round, from counts of neighbouring symbols over all texts (one string column).
+
+    A round is one Spark job: every task names runs and pairs as the rounds
+    before have settled, and counts its neighbours by group; Spark sums the
+    counts, at most ``GROUPS * GROUPS`` rows whatever the corpus' size, and the
+    driver deals out the groups.  No token is moved.  Neighbours across texts
+    that a task reads together count too; the halves only decide how well
+    symbols grow, never what is removed.
+    """
+    halves: list[np.ndarray] = []
+    for _ in range(rounds):
+        met = texts.mapInArrow(partial(_neighbours, halves=list(halves), chunk_words=chunk_words), "at int, n long")
+        met = met.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+        count = np.zeros(GROUPS * GROUPS, np.int64)
+        count[met.column("at").to_numpy()] = met.column("n").to_numpy()
+        halves.append(split_groups(count.reshape(GROUPS, GROUPS)))
+    return halves
 
 
 class Spans:
@@ -212,12 +280,13 @@ def _batch(a, b, row, first, last, sure, several) -> pa.RecordBatch:
          pa.array(last.astype(np.int32)), pa.array(sure), pa.array(several)], schema=HITS)
 
 
-def _anchors(batches: Iterator[pa.RecordBatch], window: int, rounds: int, chunk_words: int) -> Iterator[pa.RecordBatch]:
+def _anchors(batches: Iterator[pa.RecordBatch], window: int, halves: list[np.ndarray], chunk_words: int) -> Iterator[pa.RecordBatch]:
     """For every run of windows with the same anchor a row (anchor, context, windows first..last).
 
     A window's anchor is, of the symbols that its words fix, the one of least
     name; it goes by the hash of the words that fix it.  Equal windows have
-    equal anchors.  The context is a hash of all words of the run's windows.
+    equal anchors.  The context is a hash of all words of the run's windows, by
+    both halves of their names.
     A window without such a symbol (one with very long runs) stands for itself.
     """
     sent, told = Sent(), Sent()
@@ -225,8 +294,8 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int, rounds: int, chunk_
         base, doc, start = _starts(words, window)
         if not len(start):
             continue
-        names = word_names([w for text in words for w in text])
-        name, lo, hi = recompress(names, rounds)
+        names, more = word_names([w for text in words for w in text])
+        name, lo, hi = recompress(names, halves)
         # symbols lo >= start and hi < start + window stand side by side
         left = np.searchsorted(lo, start, "left")
         right = np.searchsorted(hi, start + window, "left") - 1
@@ -240,7 +309,8 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int, rounds: int, chunk_
         # the length beside the words; 0 keeps windows that stand for themselves apart
         length = np.where(own, 0, last - first + 1).astype(np.uint64)
         a = mix64(Spans(names, BASES[0])(first, last) ^ mix64(length, 98))
-        b = Spans(mix64(names, 1), BASES[1])(start[at], start[end] + window - 1)
+        b = mix64(Spans(names, BASES[1])(start[at], start[end] + window - 1), 2)
+        b ^= Spans(more, BASES[0])(start[at], start[end] + window - 1)
         row = batch.column(0).to_numpy()[doc[at]]
         yield _hits(a, b, row, start[at] - base[doc[at]], start[end] - base[doc[at]], sent, told)
 
@@ -260,7 +330,7 @@ def _covered(at: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], window: int, chunk_words: int) -> Iterator[pa.RecordBatch]:
-    """The runs found equal as a whole, joined; and every window of runs to be compared, by two 64-bit hashes."""
+    """The runs found equal as a whole, joined; and every window of runs to be compared, by a hash of each half of its words' names."""
     sent = Sent()
     for batch, words in _chunks(batches, 2, chunk_words):
         base, doc, start = _starts(words, window)
@@ -281,7 +351,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], window: int, chunk_words: int
         doc, start = doc[chosen], start[chosen]
         if len(start):
             names = word_names([w for text in words for w in text])
-            a, b = (Spans(mix64(names, i), x)(start, start + window - 1) for i, x in enumerate(BASES))
+            a, b = (Spans(half, x)(start, start + window - 1) for half, x in zip(names, BASES))
             yield _hits(a, b, rows[doc], start - base[doc], start - base[doc], sent)
 
 
@@ -305,15 +375,16 @@ def remove_repeats(docs: DataFrame, window: int = 35, rounds: int = ROUNDS, id_c
 
     Removed is every word covered by a ``window`` of consecutive words whose
     sequence also starts anywhere else, in the same document too; windows are
-    judged on the input.  Three passes over documents dealt out evenly (all
-    three read one shuffle of the texts):
+    judged on the input.  First :func:`pairings` settles, in a Spark job for
+    each round, which symbols pair.  Then three passes over documents dealt
+    out evenly (all three read one shuffle of the texts):
 
     1. :func:`recompress` names runs and pairs in rounds; every window's
        anchor (:func:`_anchors`) goes to where equal anchors meet.
        Runs whose contexts are equal too repeat as a whole.  Of runs of one
        anchor with different contexts, one for each context goes on.
     2. Their windows are verified one by one, by all their words (128 bits of
-       hash), again where equal ones meet.
+       hash over 128-bit names), again where equal ones meet.
     3. Words under verified windows are taken out.
 
     A passage repeated very often, and a phrase that very many passages share,
@@ -327,9 +398,10 @@ def remove_repeats(docs: DataFrame, window: int = 35, rounds: int = ROUNDS, id_c
     if window < 1 or rounds < 1:
         raise ValueError("window and rounds must be positive")
     parts = shuffle_partitions(docs)
+    halves = pairings(docs.select(F.col(text_col).cast("string")), rounds, chunk_words)
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                         F.col(text_col).cast("string").alias("text")).repartition(parts, "row")
-    hits = texts.mapInArrow(partial(_anchors, window=window, rounds=rounds, chunk_words=chunk_words), HITS_DDL).repartition(parts, "a")
+    hits = texts.mapInArrow(partial(_anchors, window=window, halves=halves, chunk_words=chunk_words), HITS_DDL).repartition(parts, "a")
     equal = Window.partitionBy("a", "b")
     anchor = Window.partitionBy("a")
     hits = hits.withColumn("nth", F.row_number().over(equal.orderBy("row", "first"))).withColumn(

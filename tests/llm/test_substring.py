@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rastercube.llm import substring
@@ -89,15 +90,76 @@ def test_a_symbol_follows_from_the_words_that_fix_it():
     rng = np.random.default_rng(4)
     for alphabet in (2, 5, 50):
         words = substring.mix64(rng.integers(0, alphabet, 400).astype(np.uint64))
-        name, lo, hi = substring.recompress(words, 3)
+        halves = [rng.random(substring.GROUPS) < 0.5 for _ in range(3)]
+        name, lo, hi = substring.recompress(words, halves)
         assert (np.diff(lo) >= 0).all() and (np.diff(hi) >= 0).all()
         for shift in (0, 7, 31):
             other = np.concatenate((rng.integers(0, 9, shift).astype(np.uint64), words[100:300], words[:50]))
-            symbols = set(zip(*(x.tolist() for x in substring.recompress(other, 3))))
+            symbols = set(zip(*(x.tolist() for x in substring.recompress(other, halves))))
             for s, a, b in zip(name.tolist(), lo.tolist(), hi.tolist()):
                 if a >= 100 and b < 300:
                     assert (s, a - 100 + shift, b - 100 + shift) in symbols
 
 
+def test_halves_part_a_quarter_of_the_pairs():
+    rng = np.random.default_rng(2)
+    for density in (0.001, 0.05, 1):
+        count = rng.integers(0, 1000, (substring.GROUPS, substring.GROUPS)) * (rng.random((substring.GROUPS,) * 2) < density)
+        left = substring.split_groups(count)
+        apart = count.sum() - np.trace(count)
+        assert 4 * count[left][:, ~left].sum() >= apart
+    left = substring.split_groups(np.zeros((substring.GROUPS,) * 2, np.int64))
+    assert left.sum() == substring.GROUPS // 2
+
+
+def test_rounds_are_counted_over_all_texts(spark):
+    """Halves are the same however the texts are partitioned, and pair at least a quarter of what stands side by side."""
+    rng = random.Random(9)
+    texts = [" ".join(f"w{int(rng.expovariate(0.05))}" for _ in range(400)) for _ in range(60)]
+    ends = [(t,) for t in texts]
+    frame = spark.createDataFrame(ends, "text string")
+    whole = substring.pairings(frame.repartition(1), 3, 1 << 30)
+    assert len(whole) == 3 and all(h.dtype == bool and len(h) == substring.GROUPS for h in whole)
+    names, _ = substring.word_names([w.encode() for t in texts for w in t.split()])
+    for r in range(3):
+        before = substring._runs(*substring.recompress(names, whole[:r]), len(names), r)
+        after = substring._pairs(*before, len(names), r, whole[r])
+        assert len(after[0]) <= 0.8 * len(before[0])
+    # counts of single texts add up wherever the texts are read
+    parted = [substring.pairings(frame.repartition(n), 3, 1) for n in (2, 7)]
+    for halves in parted:
+        for r in range(3):
+            before = substring._runs(*substring.recompress(names, halves[:r]), len(names), r)
+            assert len(substring._pairs(*before, len(names), r, halves[r])[0]) <= 0.8 * len(before[0])
+
+
+@pytest.mark.parametrize("half", [0, 1])
+def test_words_that_share_half_a_name_are_told_apart(monkeypatch, half):
+    """Two words whose names agree in 64 of 128 bits: no window with them is taken for equal, by context or one by one."""
+    names = substring.WordNames()
+    x, y = bytearray(names[b"x"]), bytearray(names[b"y"])
+    y[8 * half: 8 * half + 8] = x[8 * half: 8 * half + 8]
+    names[b"y"] = bytes(y)
+    monkeypatch.setattr(substring, "_NAMES", names)
+    rng = random.Random(1)
+    words = [f"w{rng.randrange(1000)}" for _ in range(80)]
+    texts = [" ".join(words[:40] + [w] + words[40:]) for w in "xy"]
+    halves = [np.arange(substring.GROUPS) % 2 == 0] * 3
+    spans = pa.array([[{"first": 0, "last": 46, "done": False, "compare": True}]] * 2)
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array([0, 1]), pa.array(texts), spans],
+                                       names=["row", "doc_id", "text", "spans"])
+    with_word = set(range(6, 41))
+    for out in (substring._anchors(iter([batch]), 35, halves, 1 << 20), substring._candidates(iter([batch]), 35, 1 << 20)):
+        rows = [r for b in out for r in b.to_pylist()]
+        met = Counter((r["a"], r["b"]) for r in rows)
+        seen = set()
+        for r in rows:
+            if with_word & set(range(r["first"], r["last"] + 1)):
+                assert not r["sure"] and met[r["a"], r["b"]] == 1
+            seen |= {(r["row"], i) for i in range(r["first"], r["last"] + 1)}
+        assert len(seen) == 2 * 47
+    assert sum(r["last"] - r["first"] + 1 for r in rows if r["sure"]) >= 12
+
+
 def test_empty(no_docs):
     assert substring.remove_repeats(no_docs).count() == 0
