@@ -14,6 +14,8 @@ from rastercube.session import checkpoint_dir
 
 # A side is broadcast only when it was counted and has at most so many (narrow) rows.
 BROADCAST_ROWS = 100_000
+# The same for a side with strings of any length, by bytes.
+BROADCAST_BYTES = 32 << 20
 # Code points that separate words, in every contract: space and \x09-\x0D.
 WHITE = b" \t\n\x0b\x0c\r"
 
@@ -35,6 +37,15 @@ def checked(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def checked_bytes(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcasting if its strings and fixed columns (16 bytes each) have at most ``most`` bytes in all."""
+    size = F.lit(16 * len(df.columns)).cast("long")
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            size += F.coalesce(F.octet_length(name), F.lit(0))
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= most else df
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, with underscores appended until ``df`` has no such column."""
     have = {c.lower() for c in df.columns}

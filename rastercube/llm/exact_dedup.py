@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastercube.llm.common import byte_values, checked, mix64, settle
+from rastercube.llm.common import byte_values, checked_bytes, mix64, settle
 
 MIN_CHUNK, MEAN_CHUNK, MAX_CHUNK = 1024, 4096, 32768
 _GEAR = mix64(np.arange(256, dtype=np.uint64)).astype(np.uint32)
@@ -94,12 +94,13 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Texts are equal when identical; null counts as empty.  The row of the
     largest doc_id stays (a null id counts as the smallest; of repeated rows
     with that id one stays, the others are dropped).  An empty table gives
-    none; other columns are left out.
+    none; other columns are left out.  The groups' recipes are broadcast only
+    if they have few bytes in all, else joined by a shuffle.
     """
     made = recipes(docs, id_col, text_col)
     best = F.max(F.struct("doc_id", "row")).alias("best")
     groups = settle(made.groupBy("recipe").agg(best, F.count("*").alias("n")).where("n > 1"))
-    return made.join(checked(groups), "recipe", "left").select(
+    return made.join(checked_bytes(groups), "recipe", "left").select(
         "doc_id", F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
         F.coalesce(F.col("best.row") == F.col("row"), F.lit(True)).alias("kept"), "text_sha256")

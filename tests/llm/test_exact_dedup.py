@@ -4,6 +4,7 @@ import random
 import pytest
 
 from rastercube.llm import exact_dedup
+from rastercube.llm.common import checked_bytes
 
 
 def test_against_grouping_by_text(docs, rows):
@@ -51,3 +52,17 @@ def test_chunks_meet_again_after_an_insertion():
 
 def test_empty(no_docs):
     assert exact_dedup.exact_duplicates(no_docs).count() == 0
+
+
+def test_groups_are_broadcast_by_bytes(spark, docs, monkeypatch):
+    few = spark.createDataFrame([(i, bytes(1000)) for i in range(20)], "n long, recipe binary")
+    hinted = lambda df: "ResolvedHint (strategy=broadcast)" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(checked_bytes(few, 20 * 1032)) and not hinted(checked_bytes(few, 20 * 1032 - 1))
+    assert hinted(checked_bytes(few.where("n < 0"), 0))
+    want = sorted(map(repr, exact_dedup.exact_duplicates(docs).collect()))
+    monkeypatch.setattr(exact_dedup, "checked_bytes", lambda df: checked_bytes(df, 0))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(repr, exact_dedup.exact_duplicates(docs).collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
