@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rastercube.llm.common import byte_values, mix64, shuffle_partitions
+from rastercube.llm.common import WHITE, byte_values, mix64, shuffle_partitions
 
 # Words handled at once in a task, words whose name a worker keeps, keys that a task remembers having sent.
 CHUNK_WORDS, CACHE_WORDS, SENT_KEYS = 300_000, 500_000, 1 << 16
@@ -45,33 +45,64 @@ def word_names(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return both[:, 0].copy(), both[:, 1].copy()
 
 
+class Symbols:
+    """First symbols: 64-bit hashes of the words by prefix polynomials over a text's bytes, without splitting it.
+
+    Only the rounds go by them, where a wrong agreement costs a comparison;
+    what is removed is compared by :func:`word_names`.
+    """
+
+    def __init__(self) -> None:
+        self.white = np.isin(np.arange(256), list(WHITE))
+        self.value = mix64(np.arange(256, dtype=np.uint64), 7)
+        self.power = self.undo = np.ones(1, np.uint64)
+
+    def _reach(self, n: int) -> None:
+        if n > len(self.power):
+            self.power, self.undo = (
+                np.cumprod(np.concatenate(([np.uint64(1)], np.full(n - 1, x)))) for x in
+                (BASES[0], np.uint64(pow(int(BASES[0]), -1, 1 << 64))))
+
+    def __call__(self, texts: list[bytes], block: int = 1 << 20) -> np.ndarray:
+        """Of all the texts' words, in order; about ``block`` bytes at a time, however long a text is."""
+        data = np.frombuffer(b"\n".join([b"", *texts, b""]), np.uint8)
+        edge = np.flatnonzero(np.diff(self.white[data])) + 1
+        start, end = edge[::2], edge[1::2]
+        out = np.empty(len(start), np.uint64)
+        cut = np.append(np.searchsorted(start, np.arange(0, len(data), block)), len(start))
+        with np.errstate(over="ignore"):
+            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                if a < b:
+                    at = start[a]
+                    part = self.value[data[at: end[b - 1]]]
+                    self._reach(len(part))
+                    prefix = np.concatenate(([np.uint64(0)], np.cumsum(part * self.power[: len(part)])))
+                    out[a:b] = mix64((prefix[end[a:b] - at] - prefix[start[a:b] - at]) * self.undo[start[a:b] - at])
+        return out
+
+
+_SYMBOLS = Symbols()
+
+
 def _group(name: np.ndarray, r: int) -> np.ndarray:
     """The group of each symbol in round ``r``; a round deals out whole groups to the halves of the alphabet."""
     return (mix64(name, 3 * r + 2) >> np.uint64(56)).astype(np.intp)
 
 
-def _runs(name: np.ndarray, lo: np.ndarray, hi: np.ndarray, n: int, r: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Name every run of a symbol by (symbol, length)."""
+def _runs(name: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
+    """Name every run of a symbol by (symbol, length): names, and where the runs begin."""
     at = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
-    last = np.append(at[1:], len(name)) - 1
-    run = last - at
-    name = np.where(run > 0, mix64(name[at] ^ mix64(run.astype(np.uint64), 3 * r + 1)), name[at])
-    return name, np.concatenate(([-1], lo[at[1:] - 1])), np.append(hi[last[:-1] + 1], n)
+    run = np.append(at[1:], len(name)) - 1 - at
+    return np.where(run > 0, mix64(name[at] ^ mix64(run.astype(np.uint64), 3 * r + 1)), name[at]), at
 
 
-def _pairs(name: np.ndarray, lo: np.ndarray, hi: np.ndarray, n: int, r: int,
-           half: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Name every pair of a symbol of the left half and one of the right half."""
+def _pairs(name: np.ndarray, r: int, half: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Name every pair of a symbol of the left half and one of the right half: names, where they begin, which are pairs, which begin left."""
     left = half[_group(name, r)]
     pair = np.append(left[:-1] & ~left[1:], False)
     keep = np.flatnonzero(~np.concatenate(([False], pair[:-1])))
-    two, left = pair[keep], left[keep]
-    end = keep + two
-    before, after = np.concatenate(([-1], lo[:-1])), np.append(hi[1:], n)
-    # a single left symbol depends on what follows it, a single right one on what stands before it
-    lo = np.where(~two & ~left, before[keep], lo[keep])
-    hi = np.where(~two & left, after[keep], hi[end])
-    return np.where(two, mix64(name[keep] ^ (mix64(name[end], 3 * r + 3) << np.uint64(1))), name[keep]), lo, hi
+    two = pair[keep]
+    return np.where(two, mix64(name[keep] ^ (mix64(name[keep + two], 3 * r + 3) << np.uint64(1))), name[keep]), keep, two, left[keep]
 
 
 def recompress(words: np.ndarray, halves: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -89,20 +120,30 @@ def recompress(words: np.ndarray, halves: list[np.ndarray]) -> tuple[np.ndarray,
     fall along the sequence.
     """
     n = len(words)
-    found = words, np.arange(n), np.arange(n)
+    name, lo, hi = words, np.arange(n), np.arange(n)
     for r, half in enumerate(halves):
-        found = _pairs(*_runs(*found, n, r), n, r, half)
-    return found
-
-
-def _neighbours(batches: Iterator[pa.RecordBatch], halves: list[np.ndarray], chunk_words: int) -> Iterator[pa.RecordBatch]:
+        size = len(name)
+        name, at = _runs(name, r)
+        last = np.append(at[1:], size) - 1
+        lo, hi = np.concatenate(([-1], lo[at[1:] - 1])), np.append(hi[last[:-1] + 1], n)
+        name, keep, two, left = _pairs(name, r, half)
+        # a single left symbol depends on what follows it, a single right one on what stands before it
+        before, after = np.concatenate(([-1], lo[:-1])), np.append(hi[1:], n)
+        lo, hi = np.where(~two & ~left, before[keep], lo[keep]), np.where(~two & left, after[keep], hi[keep + two])
+    return name, lo, hi
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch], halves: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """How often a symbol of one group stands before one of another after these rounds and the next one's runs."""
-    r, total = len(halves), np.zeros(GROUPS * GROUPS, np.int64)
-    for _, words in _chunks(batches, 0, chunk_words):
-        names, _ = word_names([w for text in words for w in text])
-        if len(names):
-            group = _group(_runs(*recompress(names, halves), len(names), r)[0], r)
-            total += np.bincount(group[:-1] * GROUPS + group[1:], minlength=len(total))
+    total = np.zeros(GROUPS * GROUPS, np.int64)
+    for batch in batches:
+        for i in range(0, batch.num_rows, 256):
+            name = _SYMBOLS([t or b"" for t in byte_values(batch.column(0).slice(i, 256))])
+            if len(name):
+                for r, half in enumerate(halves):
+                    name = _pairs(_runs(name, r)[0], r, half)[0]
+                group = _group(_runs(name, len(halves))[0], len(halves))
+                total += np.bincount(group[:-1] * GROUPS + group[1:], minlength=len(total))
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["at", "n"])
 
@@ -125,7 +166,7 @@ def split_groups(count: np.ndarray) -> np.ndarray:
     return ~left if count[~left][:, left].sum() > count[left][:, ~left].sum() else left
 
 
-def pairings(texts: DataFrame, rounds: int, chunk_words: int) -> list[np.ndarray]:
+def pairings(texts: DataFrame, rounds: int) -> list[np.ndarray]:
     """The halves of the alphabet for each round, from counts of neighbouring symbols over all texts (one string column).
 
     A round is one Spark job: every task names runs and pairs as the rounds
@@ -137,7 +178,7 @@ def pairings(texts: DataFrame, rounds: int, chunk_words: int) -> list[np.ndarray
     """
     halves: list[np.ndarray] = []
     for _ in range(rounds):
-        met = texts.mapInArrow(partial(_neighbours, halves=list(halves), chunk_words=chunk_words), "at int, n long")
+        met = texts.mapInArrow(partial(_neighbours, halves=list(halves)), "at int, n long")
         met = met.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
         count = np.zeros(GROUPS * GROUPS, np.int64)
         count[met.column("at").to_numpy()] = met.column("n").to_numpy()
@@ -294,8 +335,10 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int, halves: list[np.nda
         base, doc, start = _starts(words, window)
         if not len(start):
             continue
-        names, more = word_names([w for text in words for w in text])
-        name, lo, hi = recompress(names, halves)
+        flat = [w for text in words for w in text]
+        symbols = _SYMBOLS([b" ".join(flat)])
+        names, more = word_names(flat)
+        name, lo, hi = recompress(symbols, halves)
         # symbols lo >= start and hi < start + window stand side by side
         left = np.searchsorted(lo, start, "left")
         right = np.searchsorted(hi, start + window, "left") - 1
@@ -308,7 +351,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int, halves: list[np.nda
         last = np.where(own, start[at] + window - 1, hi[anchor[at]])
         # the length beside the words; 0 keeps windows that stand for themselves apart
         length = np.where(own, 0, last - first + 1).astype(np.uint64)
-        a = mix64(Spans(names, BASES[0])(first, last) ^ mix64(length, 98))
+        a = mix64(Spans(symbols, BASES[0])(first, last) ^ mix64(length, 98))
         b = mix64(Spans(names, BASES[1])(start[at], start[end] + window - 1), 2)
         b ^= Spans(more, BASES[0])(start[at], start[end] + window - 1)
         row = batch.column(0).to_numpy()[doc[at]]
@@ -398,7 +441,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, rounds: int = ROUNDS, id_c
     if window < 1 or rounds < 1:
         raise ValueError("window and rounds must be positive")
     parts = shuffle_partitions(docs)
-    halves = pairings(docs.select(F.col(text_col).cast("string")), rounds, chunk_words)
+    halves = pairings(docs.select(F.col(text_col).cast("string")), rounds)
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                         F.col(text_col).cast("string").alias("text")).repartition(parts, "row")
     hits = texts.mapInArrow(partial(_anchors, window=window, halves=halves, chunk_words=chunk_words), HITS_DDL).repartition(parts, "a")

@@ -113,24 +113,34 @@ def test_halves_part_a_quarter_of_the_pairs():
 
 
 def test_rounds_are_counted_over_all_texts(spark):
-    """Halves are the same however the texts are partitioned, and pair at least a quarter of what stands side by side."""
+    """However the texts are partitioned, a round's pairs take at least a fifth of the symbols away."""
     rng = random.Random(9)
     texts = [" ".join(f"w{int(rng.expovariate(0.05))}" for _ in range(400)) for _ in range(60)]
     ends = [(t,) for t in texts]
     frame = spark.createDataFrame(ends, "text string")
-    whole = substring.pairings(frame.repartition(1), 3, 1 << 30)
+    whole = substring.pairings(frame.repartition(1), 3)
     assert len(whole) == 3 and all(h.dtype == bool and len(h) == substring.GROUPS for h in whole)
-    names, _ = substring.word_names([w.encode() for t in texts for w in t.split()])
-    for r in range(3):
-        before = substring._runs(*substring.recompress(names, whole[:r]), len(names), r)
-        after = substring._pairs(*before, len(names), r, whole[r])
-        assert len(after[0]) <= 0.8 * len(before[0])
-    # counts of single texts add up wherever the texts are read
-    parted = [substring.pairings(frame.repartition(n), 3, 1) for n in (2, 7)]
-    for halves in parted:
+    names = substring._SYMBOLS([t.encode() for t in texts])
+    for halves in [whole] + [substring.pairings(frame.repartition(n), 3) for n in (2, 7)]:
+        name = names
         for r in range(3):
-            before = substring._runs(*substring.recompress(names, halves[:r]), len(names), r)
-            assert len(substring._pairs(*before, len(names), r, halves[r])[0]) <= 0.8 * len(before[0])
+            before, _ = substring._runs(name, r)
+            name = substring._pairs(before, r, halves[r])[0]
+            assert len(name) <= 0.8 * len(before)
+        assert (name == substring.recompress(names, halves)[0]).all()
+
+
+def test_symbols_are_those_of_the_words():
+    """One for each word, the same wherever it stands, in blocks of any size; other words have others."""
+    rng = random.Random(6)
+    words = [rng.randbytes(rng.choice([1, 2, 9, 300])).translate(None, b" \t\n\x0b\x0c\r") or b"x" for _ in range(500)]
+    texts = [b"", b" \n", b"\x0b".join(words), b"  " + b"\t ".join(words[::-1]) + b"\r", b"\xc2\xa0\x1c one"]
+    for block in (1, 50, 1 << 20):
+        found = substring._SYMBOLS(texts, block)
+        flat = [w for t in texts for w in t.split()]
+        assert len(found) == len(flat)
+        assert len(set(zip(flat, found.tolist()))) == len(set(flat)) == len(set(found.tolist()))
+    assert len(substring._SYMBOLS([])) == 0
 
 
 @pytest.mark.parametrize("half", [0, 1])
