@@ -10,6 +10,9 @@ many-to-many range join; three plans give the same rows:
             their cell (broadcast below a checked size, else a shuffled join
             that AQE can split when one cell is hot) with the range test kept
             as a residual -- for many zones; cells are as large as a typical box
+``blocks``  (statistics only) the pixels of a block meet all the zones in it
+            at once, see ``operators.zone_blocks`` -- for many zones, without
+            a row for each pixel of each zone
 ``union``   one filtered scan per zone, unioned, then one aggregation (the
             reference's per-zone filters, kept as a cross-check)
 
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 from rastercube.functions import morton
 from rastercube.functions.geo import utm_columns
 from rastercube.operators.stats import date_stats, five_measures
+from rastercube.operators.zone_blocks import block_measures
 from rastercube.schema import ZONES
 
 # The reference's zones (name, lon, lat, radius km) and the
@@ -232,6 +236,8 @@ def zone_stats(
     """Five measures per (zone, date), ordered; zones with no pixel give no row.
     The numbers are exact; zones that hold few pixels a date (counted) are
     summarised in one pass, larger ones by the distributed path.
+    More than ``max_inline`` zones go by ``blocks``, but those whose blocks hold
+    too many pixels; these, and all if a ``method`` is named, go by ``cells``.
     ``by=["tile_id"]`` gives them per (tile_id, zone, date)."""
     keys = [*(by or []), "zone", "date"]
     key = [morton.KEY] if morton.KEY in obs.columns else []
@@ -245,10 +251,26 @@ def zone_stats(
         frames = [_near(obs, [tuple(r[e] for e in EDGES)]).filter(_literal_box(r)).withColumn("zone", F.lit(r.zone).cast("string")) for r in rows]
         tagged = reduce(lambda a, b: a.unionByName(b), frames)
         return five_measures(tagged, keys, method=method).orderBy(*keys)
+    if strategy == "auto" and method == "auto" and "cell" not in kw:
+        limit = kw.get("max_inline", MAX_INLINE_ZONES)
+        strategy = "blocks" if boxes.limit(limit + 1).count() > limit else "inline"
+    if strategy == "blocks":
+        return _block_stats(obs, boxes, keys, by or [], method)
     tagged = assign_zones(obs, boxes, strategy, **kw)
     return five_measures(tagged, keys, method=method).orderBy(*keys)
 
 
+def _block_stats(obs: DataFrame, boxes: DataFrame, keys: list[str], by: list[str], method: str) -> DataFrame:
+    env = boxes.agg(F.min("row_min").alias("a"), F.max("row_max").alias("b"), F.min("col_min").alias("c"), F.max("col_max").alias("d")).first()
+    if env.a is not None:
+        obs = _near(obs, [tuple(env)]).filter(in_box(*[F.lit(x) for x in env]))
+    found, left = block_measures(obs, boxes, by, _tile_key(boxes))
+    out = found.select(*keys, *[F.col(x).alias(f"ndvi_{x}") for x in ("mean", "std", "p25", "p75")], F.col("n").alias("pixel_count"))
+    if left is not None:
+        out = out.unionByName(five_measures(assign_zones(obs, left, "cells"), keys, method=method))
+    return out.orderBy(*keys)
+
+
 def date_and_zone_stats(
     obs: DataFrame, boxes: DataFrame, method: str = "auto", max_inline: int = MAX_INLINE_ZONES
 ) -> tuple[DataFrame, DataFrame]:
