@@ -280,11 +280,17 @@ def band_regrid(
 
     ``bands`` holds ``keys + (row, col, value)``.  Each pixel goes to the cells
     that it overlaps (a few at most when the target is coarser), then one
-    aggregation.  Cells without a pixel are absent.
+    aggregation.  Cells without a pixel are absent.  Places are 64-bit integers,
+    since a row times a height passes 32 bits in a tall band.
     """
     def overlaps(index, size: int, out: int, name: str):
-        first = F.floor(index * out / size)
-        last = F.ceil((index + 1) * out / size) - 1
+        index, size_, out_ = index.cast("long"), F.lit(size).cast("long"), F.lit(out).cast("long")
+
+        def whole(x):
+            return F.call_function("div", x - F.pmod(x, size_), size_)
+
+        first = whole(index * out_)
+        last = whole((index + 1) * out_ - 1)
         return F.explode(F.transform(F.sequence(first, last), lambda k: F.struct(
             k.cast("int").alias(name),
             (F.least((k + 1) * F.lit(size / out), index + 1) - F.greatest(k * F.lit(size / out), index)).alias("w"))))
