@@ -4,7 +4,8 @@ The pixels of a (tile, date) are laid out once as prefix sums of count, value
 and square; then a box needs four look-ups, however large it is and however
 many boxes there are.  The sums are built by a scan in two passes over square
 blocks of cells: inside each block, and, over the blocks' edges only, across
-blocks.  No date or tile is gathered; a block is the largest group.
+blocks.  Boxes are cut to the cells, so that boxes of the same cells, and
+corners of the same cell, are looked up once.  No date or tile is gathered; a block is the largest group.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from rastercube.session import checkpoint_dir
 
 BLOCK = 64  # cells of a block's side
 MAX_BROADCAST_CORNERS = 200_000  # ~50 bytes a corner
+MAX_BROADCAST_SUMS = 1_000_000  # ~60 bytes a corner or box and date
 SUMS = ("n", "s", "q")
 
 
@@ -114,6 +116,13 @@ class PrefixSums:
         e = self.extent.first()
         return df.withColumn("rows", F.lit(e.rows).cast("int")).withColumn("cols", F.lit(e.cols).cast("int"))
 
+    def cut(self, df: DataFrame, names: list[str]) -> DataFrame:
+        """``df`` with its rows ``r..`` and columns ``c..`` of cells cut to the last ones of the tile, and to -1 before the first."""
+        last = {"r": "rows", "c": "cols"}
+        held = self._with_extent(df)
+        return held.select(*[F.greatest(F.least(F.col(x).cast("long"), (F.col(last[x[0]]).cast("long") + 1) * self.block - 1), F.lit(-1)).alias(x)
+                             if x in names else F.col(x) for x in df.columns])
+
     def at(self, corners: DataFrame) -> DataFrame:
         """``corners`` (..., r, c[, tile_id]) with every date and, as ``n, s, q``, the sums over the cells up to (r, c), both included.
 
@@ -121,9 +130,7 @@ class PrefixSums:
         beyond the last counts as the last.
         """
         b, tile = self.block, self.keys[:-1]
-        inside = self._with_extent(corners.where((F.col("r") >= 0) & (F.col("c") >= 0)))
-        last = lambda x, m: F.least(F.col(x).cast("long"), (F.col(m).cast("long") + 1) * b - 1)
-        inside = inside.withColumn("r", last("r", "rows")).withColumn("c", last("c", "cols")).drop("rows", "cols")
+        inside = self.cut(corners.where((F.col("r") >= 0) & (F.col("c") >= 0)), ["r", "c"])
         inside = inside.withColumn("br", F.floor(F.col("r") / b).cast("int")).withColumn("bc", F.floor(F.col("c") / b).cast("int"))
         i, j = (F.col("r") % b).cast("int"), (F.col("c") % b).cast("int")
         found = inside.join(self.outside, [*tile, "br", "bc"])
@@ -146,18 +153,56 @@ def zone_moments(obs: DataFrame | PrefixSums, boxes: DataFrame, step: int = 10,
     sums = obs if isinstance(obs, PrefixSums) else PrefixSums(obs, step, by_tile=by_tile)
     step, keys = sums.step, sums.keys
     tile = [k for k in keys if k != "date"]
+    edges = ["r1", "r0", "c1", "c0"]
     cell = lambda c: F.floor(c / step).cast("long")
-    ends = [(F.col("row_max"), F.col("row_min") - 1), (F.col("col_max"), F.col("col_min") - 1)]
-    corners = F.array(*[F.struct(F.lit(1 if i == j else -1).alias("sign"), cell(r).alias("r"), cell(c).alias("c"))
-                        for i, r in enumerate(ends[0]) for j, c in enumerate(ends[1])])
     asked = boxes.where((F.col("row_min") <= F.col("row_max")) & (F.col("col_min") <= F.col("col_max")))
-    asked = asked.select(*tile, "zone", F.explode(corners).alias("p")).select(*tile, "zone", "p.*")
-    if asked.limit(MAX_BROADCAST_CORNERS + 1).count() <= MAX_BROADCAST_CORNERS:
-        asked = F.broadcast(asked)
-    found = sums.at(asked).groupBy(*keys, "zone").agg(*[F.sum(F.col("sign") * F.col(x)).alias(x) for x in SUMS])
-    found = found.where(F.col("n") > 0.5)
+    asked = asked.select(*tile, "zone", cell(F.col("row_max")).alias("r1"), cell(F.col("row_min") - 1).alias("r0"),
+                         cell(F.col("col_max")).alias("c1"), cell(F.col("col_min") - 1).alias("c0"))
+    times = F.count(F.lit(1)).over(Window.partitionBy(*tile, "zone")).alias("times")
+    asked = _written(sums.cut(asked.where((F.col("r1") >= 0) & (F.col("c1") >= 0)), edges).select(*tile, "zone", *edges, times))
+    series = _box_series(sums, asked.select(*tile, *edges).distinct(), tile)
+    met = asked.join(_broadcast(series), [*tile, *edges])
+    once = met.where("times = 1").select(*tile, "zone", "v")
+    # the boxes of one name are one zone
+    more = met.where("times > 1").select(*tile, "zone", F.inline("v")).groupBy(*tile, "zone", "date").agg(*[F.sum(x).alias(x) for x in SUMS])
+    more = more.groupBy(*tile, "zone").agg(F.sort_array(F.collect_list(F.struct("date", *SUMS))).alias("v"))
+    found = once.unionByName(more).withColumn("v", F.filter("v", lambda x: x["n"] > 0.5)).where(F.size("v") > 0)
+    # zones are put in order as one row each, and their dates are in order
+    found = found.orderBy(*tile, "zone").select(*tile, "zone", F.inline("v"))
     mean = F.col("s") / F.col("n")
     spread = F.greatest(F.col("q") - F.col("s") * mean, F.lit(0.0))
     std = F.when(F.col("n") > 1.5, F.sqrt(spread / (F.col("n") - 1)))
     return found.select(*tile, "zone", "date", mean.alias("ndvi_mean"), std.alias("ndvi_std"),
-                        F.round("n").cast("long").alias("pixel_count")).orderBy(*tile, "zone", "date")
+                        F.round("n").cast("long").alias("pixel_count"))
+
+
+def _broadcast(series: DataFrame) -> DataFrame:
+    """Rows with an array ``v`` of sums, marked for broadcasting if these are few."""
+    return F.broadcast(series) if (series.agg(F.sum(F.size("v") + 1)).first()[0] or 0) <= MAX_BROADCAST_SUMS else series
+
+
+def _box_series(sums: PrefixSums, boxes: DataFrame, tile: list[str]) -> DataFrame:
+    """``(tile, r1, r0, c1, c0, v)``: the sums ``date, n, s, q`` of each box of cells, an entry for each date of its tile.
+
+    A corner is looked up once, however many boxes have it, and its dates are
+    one row.  All corners of a tile have the same dates, in order.
+    """
+    boxes = _written(boxes)
+    corners = F.explode(F.array(*[F.struct(F.col(r).alias("r"), F.col(c).alias("c")) for r in ("r1", "r0") for c in ("c1", "c0")]))
+    points = _written(boxes.select(*tile, corners.alias("p")).select(*tile, "p.*").where((F.col("r") >= 0) & (F.col("c") >= 0)).distinct())
+    if points.limit(MAX_BROADCAST_CORNERS + 1).count() <= MAX_BROADCAST_CORNERS:
+        points = F.broadcast(points)
+    at = _written(sums.at(points).groupBy(*tile, "r", "c").agg(F.sort_array(F.collect_list(F.struct("date", *SUMS))).alias("v")))
+    at = _broadcast(at)
+    met = boxes
+    for r in ("r1", "r0"):
+        for c in ("c1", "c0"):
+            corner = at.select(*tile, F.col("r").alias(r), F.col("c").alias(c), F.col("v").alias(r + c))
+            met = met.join(corner, [*tile, r, c], "inner" if r + c == "r1c1" else "left")
+
+    def of_date(x, i):
+        part = lambda name, k: F.coalesce(F.get(F.col(name), i)[k], F.lit(0.0))
+        return F.struct(x["date"].alias("date"), *[
+            (x[k] - part("r0c1", k) - part("r1c0", k) + part("r0c0", k)).alias(k) for k in SUMS])
+
+    return _written(met.select(*tile, "r1", "r0", "c1", "c0", F.transform("r1c1", of_date).alias("v")))
