@@ -18,6 +18,8 @@ from rastercube.llm.ranking import ranked
 TREES, DEPTH, LEAST, NEAR = 16, 8, 3, 16
 # Rows of an order that a task holds at once, shingles hashed at a time.
 BLOCK_ROWS, STEP = 8192, 2048
+# Rows of a large region that meet as many others in a task, and how many of them at once.
+PART_ROWS, LINES = 4096, 256
 MARKS = "row long, doc_id long, mark long, n_shingles long, digest binary, keys binary, bits binary"
 _SEEDS = mix64(np.arange(TREES * DEPTH, dtype=np.uint64), 7).astype(np.uint32)
 
@@ -166,7 +168,7 @@ def candidates(classes: DataFrame, percent: int, near: int = NEAR, least: int =
     with the same first values, ``least`` at least.  A region of up to ``near``
     + 1 rows is searched whole; in a larger one the depth grows until its parts
     are that small, and of what lies between these parts, or cannot be parted,
-    each row only meets the next one.  Pairs whose sizes
+    each row only meets the next one here, and :func:`region_pairs` finds the rest.  Pairs whose sizes
     cannot fit, or whose signatures are clearly apart, are left out.  The orders are cut
     into blocks of a fixed number of rows, each with the first rows of the next.
     """
@@ -187,6 +189,53 @@ def candidates(classes: DataFrame, percent: int, near: int = NEAR, least: int =
     return found.groupBy("u", "v").agg(F.max("shared").alias("shared"))
 
 
+def _region(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """``(u, v)`` of the rows of two parts (or of one) of a region that lie in different components and may be alike."""
+    apart = TREES * DEPTH - alike_bits(percent)
+    for batch in batches:
+        for i in range(batch.num_rows):
+            one, two = (batch.column(c)[i].as_py() for c in ("i", "j"))
+            rows = batch.column("rows")[i].values
+            part, node, size, root = (rows.field(k).to_numpy() for k in range(4))
+            bits = np.frombuffer(b"".join(rows.field(4).to_pylist()), np.uint64).reshape(len(part), -1)
+            left, right = np.flatnonzero(part == one), np.flatnonzero(part == two)
+            for at in range(0, len(left), LINES):
+                a = left[at: at + LINES, None]
+                fit = root[a] != root[right]
+                if one == two:
+                    fit &= a < right
+                if not fit.any():
+                    continue
+                fit &= 100 * np.minimum(size[a], size[right]) >= percent * np.maximum(size[a], size[right])
+                x, y = np.nonzero(fit)
+                x, y = left[at + x], right[y]
+                near = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1) <= apart
+                u, v = node[x[near]], node[y[near]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
+
+
+def region_pairs(classes: DataFrame, roots: DataFrame, percent: int, near: int = NEAR, least: int = LEAST) -> DataFrame | None:
+    """All pairs ``(u, v)`` of a region of more than ``near`` + 1 rows that may still join two components; none: None.
+
+    Regions inside one component, as most groups of near copies are, are left
+    out.  The others' rows are dealt into parts of about ``PART_ROWS``, and
+    every two parts meet in a task, so that no region is gathered.
+    """
+    rooted = classes.join(checked(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    keyed = rooted.select("node", "n_shingles", "bits", "root", F.posexplode(F.array(*[
+        F.substring("keys", 2 * DEPTH * tree + 1, 2 * least) for tree in range(TREES)])).alias("tree", "key"))
+    keyed = settle(keyed)
+    large = settle(keyed.groupBy("tree", "key").agg(F.count("*").alias("n"), F.min("root").alias("a"), F.max("root").alias("b")).where(
+        (F.col("n") > near + 1) & (F.col("a") < F.col("b"))).select("tree", "key", F.ceil(F.col("n") / PART_ROWS).alias("parts")))
+    if not large.limit(1).count():
+        return None
+    held = keyed.join(checked(large), ["tree", "key"]).withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
+    held = held.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    met = held.groupBy("tree", "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).agg(
+        F.collect_list(F.struct("part", "node", F.col("n_shingles").cast("long").alias("size"), "root", "bits")).alias("rows"))
+    return met.select("i", "j", "rows").mapInArrow(partial(_region, percent=percent), "u long, v long").distinct()
+
+
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """The pairs whose sets, as sorted hashes, are alike enough."""
     for batch in batches:
@@ -226,12 +275,16 @@ def components(classes: DataFrame, texts: DataFrame, words: int, percent: int, r
     A candidate inside a component need not be confirmed any more.  So first
     each class's nearest candidate is, ``rounds`` times over, and the classes
     found to be linked are joined; then all candidates that still lie between
-    different components are confirmed.  Only sets of classes with a candidate
+    different components are confirmed, and last those that :func:`candidates`
+    left out in large regions.  Only sets of classes with a candidate
     of a fitting size are made and moved.
     """
-    open_pairs = settle(candidates(classes, percent))
-    needed = open_pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = settle(full_sets(texts, classes.join(needed, "node").select("node", "first.doc_id", "first.mark"), words))
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        needed = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+        return settle(full_sets(texts, classes.join(needed, "node").select("node", "first.doc_id", "first.mark"), words))
+
+    near_pairs = open_pairs = settle(candidates(classes, percent))
+    sets = sets_of(open_pairs)
     found = roots = None
     for turn in range(rounds + 1):
         tested = settle(open_pairs if turn == rounds else _nearest(open_pairs))
@@ -243,6 +296,12 @@ def components(classes: DataFrame, texts: DataFrame, words: int, percent: int, r
             open_pairs = settle(_crossing(rest, roots))
             if not open_pairs.limit(1).count():
                 break
+    rest = region_pairs(classes.select("node", "n_shingles", "keys", "bits"), roots, percent)
+    if rest is not None:
+        rest = settle(rest.join(near_pairs.select("u", "v"), ["u", "v"], "left_anti"))
+        new = settle(links(rest, sets_of(rest), percent))
+        if new.limit(1).count():
+            roots = settle(connected_components(found.unionByName(new)))
     return roots
 
 
@@ -253,8 +312,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 85, id_col:
     Documents are linked if their sets of word shingles have ``100 *
     intersection >= percent * union``; sets are hashes of 64 bits a shingle.
     Equal sets are one class and linked at once.  Classes are candidates as
-    :func:`candidates` says: a pair at 0.85 that shares no region with very
-    many others is missed with a probability of (1 - 0.85 ** 3) ** 16, about
+    :func:`candidates` and :func:`region_pairs` say: a pair at 0.85 shares no
+    region, and is missed, with a probability of (1 - 0.85 ** 3) ** 16, about
     2e-7, and every candidate that could join two components is confirmed.
 
     Null and empty texts, and those without words, have no shingles and are
