@@ -162,14 +162,34 @@ def _measure_blocks(batches: Iterator[pa.RecordBatch], schema: pa.Schema, n_keys
                            part=pa.array(number[several].astype(np.int32)))
 
 
+def _ordered(group: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The values, ascending in each group, NaN last; groups are small numbers in ascending order."""
+    if values.dtype != np.float32:
+        return values[np.lexsort((values, group))].astype(np.float64)
+    # a float's bits as a number that sorts like it, below its group's
+    bits = np.where(np.isnan(values), np.float32("nan"), values).view(np.uint32)
+    both = (group.astype(np.uint64) << 32) | np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31))
+    both.sort()
+    bits = both.astype(np.uint32)
+    return np.where(bits >> 31, bits & np.uint32((1 << 31) - 1), ~bits).view(np.float32).astype(np.float64)
+
+
 def _measure_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The measures of each row's lists of values, all together."""
+    """The measures of each row's lists of values, all together; many rows at once."""
     for batch in batches:
-        for i in range(batch.num_rows):
-            values = np.sort(batch.column("all")[i].values.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False))
-            m = measured(values, np.array([len(values)]))
-            yield pa.RecordBatch.from_arrays([batch.column("parts").slice(i, 1), *[m[x] for x in (*MEASURES, "n")]],
+        every = batch.column("all")
+        lists = every.flatten()
+        values = lists.flatten().to_numpy(zero_copy_only=False)
+        inner = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
+        upto = inner[np.concatenate(([0], np.cumsum(every.value_lengths().to_numpy(zero_copy_only=False))))]
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(upto, upto[at] + GATHERED, "right")) - 1)
+            counts = np.diff(upto[at: end + 1])
+            m = measured(_ordered(np.repeat(np.arange(end - at), counts), values[upto[at]: upto[end]]), counts)
+            yield pa.RecordBatch.from_arrays([batch.column("parts").slice(at, end - at), *[m[x] for x in (*MEASURES, "n")]],
                                              names=["parts", *MEASURES, "n"])
+            at = end
 
 
 def _homes(boxes: DataFrame) -> DataFrame:
