@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +18,10 @@ from rastercube.llm.ranking import ranked
 TREES, DEPTH, LEAST, NEAR = 16, 8, 3, 16
 # Rows of an order that a task holds at once, shingles hashed at a time.
 BLOCK_ROWS, STEP = 8192, 2048
-# Rows of a large region that meet as many others in a task, and how many of them at once.
-PART_ROWS, LINES = 4096, 256
+# Rows and shingles of a large region's part, which meets another one in a task, and how many of its rows do at once.
+PART_ROWS, PART_SHINGLES, LINES = 2048, 2_000_000, 256
+# Pairs whose signatures are compared at once; shingles that are looked up at once.
+PAIRS, SIDE = 65_536, 1_000_000
 MARKS = "row long, doc_id long, mark long, n_shingles long, digest binary, keys binary, bits binary"
 _SEEDS = mix64(np.arange(TREES * DEPTH, dtype=np.uint64), 7).astype(np.uint32)
 
@@ -168,7 +170,7 @@ def candidates(classes: DataFrame, percent: int, near: int = NEAR, least: int =
     with the same first values, ``least`` at least.  A region of up to ``near``
     + 1 rows is searched whole; in a larger one the depth grows until its parts
     are that small, and of what lies between these parts, or cannot be parted,
-    each row only meets the next one here, and :func:`region_pairs` finds the rest.  Pairs whose sizes
+    each row only meets the next one here, and :func:`region_links` finds the rest.  Pairs whose sizes
     cannot fit, or whose signatures are clearly apart, are left out.  The orders are cut
     into blocks of a fixed number of rows, each with the first rows of the next.
     """
@@ -189,51 +191,119 @@ def candidates(classes: DataFrame, percent: int, near: int = NEAR, least: int =
     return found.groupBy("u", "v").agg(F.max("shared").alias("shared"))
 
 
-def _region(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """``(u, v)`` of the rows of two parts (or of one) of a region that lie in different components and may be alike."""
-    apart = TREES * DEPTH - alike_bits(percent)
+def alike_values(percent: int) -> int:
+    """How many signature values must agree: nine standard deviations below what a link has."""
+    n, p = TREES * DEPTH, percent / 100
+    return int(n * p - 9 * (n * p * (1 - p)) ** 0.5)
+
+
+def _meet(t: pa.Table, percent: int, least: int) -> Iterator[tuple[int, int]]:
+    """Linked pairs ``(u, v)`` of two parts (or of one) of a region, one for each two components that they join.
+
+    Pairs of rows of different components are compared by size and signature
+    and then by their full sets.  A pair that shares regions in several orders
+    is the first one's.
+    """
+    tree, one, two = (t.column(c)[0].as_py() for c in ("tree", "i", "j"))
+    part, node, size, label = (t.column(c).to_numpy() for c in ("part", "node", "n_shingles", "root"))
+    bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(len(part), -1)
+    signed = np.frombuffer(b"".join(t.column("keys").to_pylist()), ">u2").astype(np.uint16).reshape(len(part), -1)
+    values, word = np.unique(np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("shingles")]), return_inverse=True)
+    label, first = label.copy(), np.cumsum(size) - size
+    apart, agree = TREES * DEPTH - alike_bits(percent), alike_values(percent)
+    mark = np.zeros(len(values), bool)
+    left, right = np.flatnonzero(part == one), np.flatnonzero(part == two)
+    for at in range(0, len(left), LINES):
+        a = left[at: at + LINES, None]
+        fit = label[a] != label[right]
+        if one == two:
+            fit &= a < right
+        fit &= 100 * np.minimum(size[a], size[right]) >= percent * np.maximum(size[a], size[right])
+        x, y = np.nonzero(fit)
+        x, y = left[at + x], right[y]
+        keep = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1) <= apart
+        x, y = x[keep], y[keep]
+        for k in range(0, len(x), PAIRS):
+            same = signed[x[k: k + PAIRS]] == signed[y[k: k + PAIRS]]
+            earlier = same.reshape(-1, TREES, DEPTH)[:, :tree, :least].all(axis=2).any(axis=1)
+            keep[k: k + PAIRS][: len(same)] = (same.sum(axis=1) >= agree) & ~earlier
+        x, y = x[keep[: len(x)]], y[keep[: len(x)]]
+        for u, others in zip(*_runs(x, y)):
+            others = others[label[others] != label[u]]
+            mine = word[first[u]: first[u] + size[u]]
+            mark[mine] = True
+            # at most so many shingles are laid side by side
+            for v in np.split(others, np.flatnonzero(np.diff(np.cumsum(size[others]) // SIDE)) + 1) if len(others) else ():
+                n = size[v]
+                head = np.cumsum(n) - n
+                shared = np.add.reduceat(mark[word[np.repeat(first[v] - head, n) + np.arange(n.sum())]].astype(np.int64), head)
+                for w in v[100 * shared >= percent * (size[u] + n - shared)].tolist():
+                    if label[w] != label[u]:
+                        label[label == label[w]] = label[u]
+                        yield (node[u], node[w])
+            mark[mine] = False
+
+
+def _runs(x: np.ndarray, y: np.ndarray) -> tuple[list, list]:
+    """The values of ``x``, which is sorted, and the ``y`` of each."""
+    value, at = np.unique(x, return_index=True)
+    return value.tolist(), np.split(y, at[1:]) if len(value) else []
+
+
+def _region(batches: Iterator[pa.RecordBatch], percent: int, least: int) -> Iterator[pa.RecordBatch]:
+    """:func:`_meet` for each (tree, key, i, j) of a partition that is sorted by them."""
+    def links(t: pa.Table) -> pa.RecordBatch:
+        found = np.array(list(_meet(t, percent, least)), np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(found.min(axis=1)), pa.array(found.max(axis=1))], names=["u", "v"])
+
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        for i in range(batch.num_rows):
-            one, two = (batch.column(c)[i].as_py() for c in ("i", "j"))
-            rows = batch.column("rows")[i].values
-            part, node, size, root = (rows.field(k).to_numpy() for k in range(4))
-            bits = np.frombuffer(b"".join(rows.field(4).to_pylist()), np.uint64).reshape(len(part), -1)
-            left, right = np.flatnonzero(part == one), np.flatnonzero(part == two)
-            for at in range(0, len(left), LINES):
-                a = left[at: at + LINES, None]
-                fit = root[a] != root[right]
-                if one == two:
-                    fit &= a < right
-                if not fit.any():
-                    continue
-                fit &= 100 * np.minimum(size[a], size[right]) >= percent * np.maximum(size[a], size[right])
-                x, y = np.nonzero(fit)
-                x, y = left[at + x], right[y]
-                near = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1) <= apart
-                u, v = node[x[near]], node[y[near]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
-
-
-def region_pairs(classes: DataFrame, roots: DataFrame, percent: int, near: int = NEAR, least: int = LEAST) -> DataFrame | None:
-    """All pairs ``(u, v)`` of a region of more than ``near`` + 1 rows that may still join two components; none: None.
+        if not batch.num_rows:
+            continue
+        new = np.zeros(batch.num_rows, bool)
+        for c in ("tree", "key", "i", "j"):
+            x = batch.column(c).to_numpy(zero_copy_only=False)
+            new[1:] |= x[1:] != x[:-1]
+            new[0] |= not held or x[0] != held[-1].column(c)[-1].as_py()
+        edges = [*np.flatnonzero(new).tolist(), batch.num_rows]
+        if edges[0]:
+            held.append(batch.slice(0, edges[0]))
+        for a, b in zip(edges, edges[1:]):
+            if held:
+                yield links(pa.Table.from_batches(held))
+            held = [batch.slice(a, b - a)]
+    if held:
+        yield links(pa.Table.from_batches(held))
+
+
+def region_links(classes: DataFrame, roots: DataFrame, texts: DataFrame, words: int, percent: int,
+                 near: int = NEAR, least: int = LEAST) -> DataFrame | None:
+    """Links ``(u, v)`` that join all components which pairs in regions of more than ``near`` + 1 rows join; no such region: None.
 
     Regions inside one component, as most groups of near copies are, are left
-    out.  The others' rows are dealt into parts of about ``PART_ROWS``, and
-    every two parts meet in a task, so that no region is gathered.
+    out.  The others' rows are dealt, with their full sets, into parts of about ``PART_ROWS``
+    rows and ``PART_SHINGLES`` shingles, and every two parts meet in a task,
+    so that no region is gathered.  A set is moved once for each part of its
+    regions, not for each pair, and no pairs leave the task but links between different components.
     """
     rooted = classes.join(checked(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    keyed = rooted.select("node", "n_shingles", "bits", "root", F.posexplode(F.array(*[
-        F.substring("keys", 2 * DEPTH * tree + 1, 2 * least) for tree in range(TREES)])).alias("tree", "key"))
-    keyed = settle(keyed)
-    large = settle(keyed.groupBy("tree", "key").agg(F.count("*").alias("n"), F.min("root").alias("a"), F.max("root").alias("b")).where(
-        (F.col("n") > near + 1) & (F.col("a") < F.col("b"))).select("tree", "key", F.ceil(F.col("n") / PART_ROWS).alias("parts")))
+    keyed = settle(rooted.select("node", "n_shingles", "root", F.posexplode(F.array(*[
+        F.substring("keys", 2 * DEPTH * tree + 1, 2 * least) for tree in range(TREES)])).alias("tree", "key")))
+    parts = F.ceil(F.greatest(F.col("n") / PART_ROWS, F.col("all") / PART_SHINGLES))
+    large = settle(keyed.groupBy("tree", "key").agg(
+        F.count("*").alias("n"), F.sum("n_shingles").alias("all"), F.min("root").alias("a"), F.max("root").alias("b")).where(
+        (F.col("n") > near + 1) & (F.col("a") < F.col("b"))).select("tree", "key", parts.alias("parts")))
     if not large.limit(1).count():
         return None
-    held = keyed.join(checked(large), ["tree", "key"]).withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
-    held = held.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    met = held.groupBy("tree", "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).agg(
-        F.collect_list(F.struct("part", "node", F.col("n_shingles").cast("long").alias("size"), "root", "bits")).alias("rows"))
-    return met.select("i", "j", "rows").mapInArrow(partial(_region, percent=percent), "u long, v long").distinct()
+    held = settle(keyed.join(checked(large), ["tree", "key"]).drop("n_shingles"))
+    inside = classes.join(checked(held.select("node").distinct()), "node", "left_semi")
+    sets = full_sets(texts, inside.select("node", "first.doc_id", "first.mark"), words)
+    whole = settle(inside.select("node", "n_shingles", "keys", "bits").join(sets, "node"))
+    held = held.withColumn("part", F.pmod(F.xxhash64("node"), "parts")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    met = held.select("tree", "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "root")
+    met = met.join(whole, "node").repartition(shuffle_partitions(classes), "tree", "key", "i", "j").sortWithinPartitions("tree", "key", "i", "j")
+    return met.mapInArrow(partial(_region, percent=percent, least=least), "u long, v long")
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -274,34 +344,33 @@ def components(classes: DataFrame, texts: DataFrame, words: int, percent: int, r
 
     A candidate inside a component need not be confirmed any more.  So first
     each class's nearest candidate is, ``rounds`` times over, and the classes
-    found to be linked are joined; then all candidates that still lie between
-    different components are confirmed, and last those that :func:`candidates`
-    left out in large regions.  Only sets of classes with a candidate
-    of a fitting size are made and moved.
+    found to be linked are joined; last, all candidates that still lie between
+    different components are confirmed, and what :func:`candidates` left out
+    in large regions is met there.  Only sets of classes with a candidate
+    of a fitting size, or in such a region, are made and moved.
     """
     def sets_of(pairs: DataFrame) -> DataFrame:
         needed = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
         return settle(full_sets(texts, classes.join(needed, "node").select("node", "first.doc_id", "first.mark"), words))
 
-    near_pairs = open_pairs = settle(candidates(classes, percent))
+    open_pairs = settle(candidates(classes, percent))
     sets = sets_of(open_pairs)
     found = roots = None
-    for turn in range(rounds + 1):
-        tested = settle(open_pairs if turn == rounds else _nearest(open_pairs))
+    for _ in range(max(rounds, 1)):
+        tested = settle(_nearest(open_pairs))
         new = settle(links(tested, sets, percent))
         found = new if found is None else settle(found.unionByName(new))
         roots = settle(connected_components(found))
-        if turn < rounds:
-            rest = open_pairs.join(tested.select("u", "v"), ["u", "v"], "left_anti")
-            open_pairs = settle(_crossing(rest, roots))
-            if not open_pairs.limit(1).count():
-                break
-    rest = region_pairs(classes.select("node", "n_shingles", "keys", "bits"), roots, percent)
-    if rest is not None:
-        rest = settle(rest.join(near_pairs.select("u", "v"), ["u", "v"], "left_anti"))
-        new = settle(links(rest, sets_of(rest), percent))
-        if new.limit(1).count():
-            roots = settle(connected_components(found.unionByName(new)))
+        rest = open_pairs.join(tested.select("u", "v"), ["u", "v"], "left_anti")
+        open_pairs = settle(_crossing(rest, roots))
+        more = open_pairs.limit(1).count()
+        if not more:
+            break
+    last = [settle(links(open_pairs, sets, percent))] if more else []
+    inside = region_links(classes, roots, texts, words, percent)
+    last += [] if inside is None else [settle(inside)]
+    if any([x.limit(1).count() for x in last]):
+        roots = settle(connected_components(reduce(DataFrame.unionByName, last, found)))
     return roots
 
 
@@ -312,7 +381,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 85, id_col:
     Documents are linked if their sets of word shingles have ``100 *
     intersection >= percent * union``; sets are hashes of 64 bits a shingle.
     Equal sets are one class and linked at once.  Classes are candidates as
-    :func:`candidates` and :func:`region_pairs` say: a pair at 0.85 shares no
+    :func:`candidates` and :func:`region_links` say: a pair at 0.85 shares no
     region, and is missed, with a probability of (1 - 0.85 ** 3) ** 16, about
     2e-7, and every candidate that could join two components is confirmed.
 

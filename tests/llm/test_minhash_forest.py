@@ -155,3 +155,18 @@ def test_large_regions_in_parts(spark, monkeypatch):
     finally:
         cloudpickle.unregister_pickle_by_value(forest)
     assert got == plain(rows)
+
+
+def test_large_regions_make_no_pairs(spark, monkeypatch):
+    """op11: a set is moved once for each part of its regions, and not for each pair in them."""
+    rows = list(enumerate(hidden_pairs()))
+    met, real = [], forest.links
+    monkeypatch.setattr(forest, "links", lambda pairs, *a: met.append(pairs.count()) or real(pairs, *a))
+    inside, whole = [], forest.region_links
+
+    def region(*a):
+        inside.append(whole(*a))
+        return inside[0]
+    monkeypatch.setattr(forest, "region_links", region)
+    assert result(forest.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4))) == plain(rows)
+    assert sum(met) <= 2 * forest.TREES * len(rows) and inside[0].count() <= forest.TREES * len(rows)
