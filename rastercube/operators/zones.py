@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from rastercube.functions import morton
 from rastercube.functions.geo import utm_columns
 from rastercube.operators.stats import date_stats, five_measures
-from rastercube.operators.zone_blocks import block_measures
+from rastercube.operators.zone_blocks import LISTS, block_measures
 from rastercube.schema import ZONES
 
 # The reference's zones (name, lon, lat, radius km) and the
@@ -264,11 +264,16 @@ def _block_stats(obs: DataFrame, boxes: DataFrame, keys: list[str], by: list[str
     env = boxes.agg(F.min("row_min").alias("a"), F.max("row_max").alias("b"), F.min("col_min").alias("c"), F.max("col_max").alias("d")).first()
     if env.a is not None:
         obs = _near(obs, [tuple(env)]).filter(in_box(*[F.lit(x) for x in env]))
-    found, left = block_measures(obs, boxes, by, _tile_key(boxes))
-    out = found.select(*keys, *[F.col(x).alias(f"ndvi_{x}") for x in ("mean", "std", "p25", "p75")], F.col("n").alias("pixel_count"))
+    zones, series, left = block_measures(obs, boxes, by, _tile_key(boxes))
+    out = zones.join(series, "figure")
+    if left is None:
+        # zones are put in order as one row each, and their dates are in order
+        out = out.orderBy(*keys[:-1])
+    out = out.select(*keys[:-1], F.inline(F.arrays_zip(*LISTS)))
+    out = out.select(*keys, *[F.col(x).alias(f"ndvi_{x}") for x in ("mean", "std", "p25", "p75")], F.col("n").cast("long").alias("pixel_count"))
     if left is not None:
-        out = out.unionByName(five_measures(assign_zones(obs, left, "cells"), keys, method=method))
-    return out.orderBy(*keys)
+        out = out.unionByName(five_measures(assign_zones(obs, left, "cells"), keys, method=method)).orderBy(*keys)
+    return out
 
 
 def date_and_zone_stats(
